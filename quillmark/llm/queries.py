@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import mixing, sharding
+from quillmark.llm import contamination, mixing, sharding, similarity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,17 @@ def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    out = contamination.contaminated_spans(docs, items).drop("text")
+    return out.select("doc_id", "n_words", contamination.hit_words().alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), contamination.items_digest().alias("items_sha256"), contamination.is_contaminated().alias("contaminated"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = similarity.similarity_classes(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+    return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
