@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, mixing, sharding, similarity
+from quillmark.llm import contamination, mixing, secrets, sharding, similarity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +35,36 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = [r.kind for r in secrets.BASE_RULES]
+    counts = [F.size(secrets.of_kinds(F.col("secrets"), [k])).cast("long").alias(f"n_{k}") for k in base]
+    digest = F.sha2(secrets.joined_spans(secrets.of_kinds(F.col("secrets"), base)).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.joined_spans(F.col("secrets")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+def _op8_sql() -> str:
+    rules = [*secrets.BASE_RULES, *secrets.MORE_RULES]
+    quoted = lambda x: x.replace("'", "''")
+    parts = []
+    for rank, r in enumerate(rules):
+        p = quoted(r.pattern)
+        measure = f"length(regexp_extract(m[i], '{p}', {r.group}))" if r.group else "length(m[i])"
+        parts.append(f"""SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, pos AS start, pos + length(m[i]) AS stop FROM (
+            SELECT doc_id, m, i, (list_sum(list_transform(s[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i-1], x -> length(x))), 0))::BIGINT AS pos
+            FROM (SELECT doc_id, m, s, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS s FROM documents WHERE text IS NOT NULL)))
+            WHERE {measure} >= {r.least}""")
+    spans = "string_agg({}, ',' ORDER BY start, rank)".format("kind || ':' || start || ':' || stop")
+    kinds = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES)
+    last = len(secrets.BASE_RULES)
+    return f"""WITH hit AS ({" UNION ALL ".join(parts)})
+        SELECT doc_id, {kinds}, sha256(coalesce({spans} FILTER (WHERE rank < {last}), '')) AS base_sha256, coalesce({spans}, '') AS spans
+        FROM (SELECT doc_id FROM documents) LEFT JOIN hit USING (doc_id) GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_secret_scan": _op8_sql()}
