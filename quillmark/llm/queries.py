@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, mixing, secrets, sharding, similarity
+from quillmark.llm import contamination, dedup, mixing, secrets, sharding, similarity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", contamination.hit_words().alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), contamination.items_digest().alias("items_sha256"), contamination.is_contaminated().alias("contaminated"))
 
 
+def op5_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = similarity.similarity_classes(table(spark, sf_dir, "documents"), shingle=4, percent=85)
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
@@ -47,6 +51,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+OP5_SQL = r"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
+copies AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM plain GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM plain JOIN copies USING (text)
+"""
+
+
 def _op8_sql() -> str:
     rules = [*secrets.BASE_RULES, *secrets.MORE_RULES]
     quoted = lambda x: x.replace("'", "''")
@@ -55,7 +66,7 @@ def _op8_sql() -> str:
         p = quoted(r.pattern)
         measure = f"length(regexp_extract(m[i], '{p}', {r.group}))" if r.group else "length(m[i])"
         parts.append(f"""SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, pos AS start, pos + length(m[i]) AS stop FROM (
-            SELECT doc_id, m, i, (list_sum(list_transform(s[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i-1], x -> length(x))), 0))::BIGINT AS pos
+            SELECT doc_id, m, i, (list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0))::BIGINT AS pos
             FROM (SELECT doc_id, m, s, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS s FROM documents WHERE text IS NOT NULL)))
             WHERE {measure} >= {r.least}""")
     spans = "string_agg({}, ',' ORDER BY start, rank)".format("kind || ':' || start || ':' || stop")
@@ -67,4 +78,4 @@ def _op8_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_secret_scan": _op8_sql()}
+    return {"op5_exact_copies": OP5_SQL, "op8_secret_scan": _op8_sql()}
