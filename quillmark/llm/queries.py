@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, dedup, mixing, secrets, sharding, similarity
+from quillmark.llm import contamination, dedup, language, mixing, secrets, sharding, similarity
+from quillmark.llm.words import crc_remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,13 @@ def op2_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
 
 
+def op3_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    model = language.train(docs.where(~held_out), "doc_id", "lang", "text")
+    return language.label_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     out = contamination.contaminated_spans(docs, items).drop("text")
