@@ -52,17 +52,16 @@ def buckets_for(rows: int) -> int:
 
 
 def prefix_sums(df: DataFrame, group: str, position: str, order: list[str], value: str, out: str, buckets: int) -> DataFrame:
-    """Adds out: the sum of value over the rows of the same group before this one, by position (uniform in (0, 1)), then order.
+    """Adds out: the sum of value over the rows of the same group before this one, by position (uniform in (0, 1)), then order. group isn't null.
 
     Each group is cut into ranges of position, so that a group that holds a third of all rows is spread
     over many tasks; only one total for each range is summed up over a whole group.
     """
-    bucket, key = f"{out}_bucket", f"{out}_key"
-    cut = df.withColumn(bucket, F.floor(F.col(position) * buckets).cast("int")).withColumn(key, F.xxhash64(F.col(group), F.col(bucket)))
-    before = Window.partitionBy(key, bucket, group).orderBy(position, *order).rowsBetween(Window.unboundedPreceding, -1)
+    bucket, total = f"{out}_bucket", f"{out}_total"
+    cut = df.withColumn(bucket, F.floor(F.col(position) * buckets).cast("int"))
+    before = Window.partitionBy(group, bucket).orderBy(position, *order).rowsBetween(Window.unboundedPreceding, -1)
     inside = cut.withColumn(f"{out}_inside", F.coalesce(F.sum(value).over(before), F.lit(0)))
-    totals = cut.groupBy(key, bucket, group).agg(F.sum(value).alias(f"{out}_total"))
+    totals = cut.groupBy(group, bucket).agg(F.sum(value).alias(total))
     upto = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(F.col(key).alias("_key"), F.col(bucket).alias("_bucket"), F.col(group).alias("_group"), F.coalesce(F.sum(f"{out}_total").over(upto), F.lit(0)).alias("_start"))
-    same = (F.col(key) == F.col("_key")) & (F.col(bucket) == F.col("_bucket")) & F.col(group).eqNullSafe(F.col("_group"))
-    return inside.join(starts, same).withColumn(out, F.col(f"{out}_inside") + F.col("_start")).drop(bucket, key, f"{out}_inside", "_key", "_bucket", "_group", "_start")
+    starts = totals.select(group, bucket, F.coalesce(F.sum(total).over(upto), F.lit(0)).alias(f"{out}_start"))
+    return inside.join(starts, [group, bucket]).withColumn(out, F.col(f"{out}_inside") + F.col(f"{out}_start")).drop(bucket, f"{out}_inside", f"{out}_start")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import buckets_for, prefix_sums, unit_hash
+from quillmark.llm.common import buckets_for, prefix_sums, unit_hash, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,7 +18,7 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, source: str, weights: Sequence[float], repeats: int) -> DataFrame:
-    """(source, source_size) with target: the sources share the sum of all sizes by weight; none gets over repeats times its own.
+    """Adds target to (source, source_size, ...): the sources share the sum of all sizes by weight; none gets over repeats times its own.
 
     Sources by code point, null last, take the weights in turn. What a source can't take is shared out among
     the others by weight until none is above its limit: with sources sorted by limit over weight, the level
@@ -31,12 +31,11 @@ def source_targets(sizes: DataFrame, source: str, weights: Sequence[float], repe
     filled = Window.orderBy(F.col("_cap") / F.col("_weight"), "_rank")
     before, rest, everywhere = filled.rowsBetween(Window.unboundedPreceding, -1), filled.rowsBetween(0, Window.unboundedFollowing), filled.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     left = F.sum("source_size").over(everywhere) - F.coalesce(F.sum("_cap").over(before), F.lit(0))
-    stepped = ranked.withColumns({"_left": left, "_rest": F.sum("_weight").over(rest)})
+    stepped = ranked.withColumns({"_left": left, "_rest": F.sum("_weight").over(rest), "_at": F.row_number().over(filled)})
     free = F.col("_cap") >= F.col("_left") * F.col("_weight") / F.col("_rest")
-    opened = stepped.withColumn("_at", F.row_number().over(filled))
-    opened = opened.withColumn("_level", F.min(F.when(free, F.struct("_at", "_left", "_rest"))).over(everywhere))
+    opened = stepped.withColumn("_level", F.min(F.when(free, F.struct("_at", "_left", "_rest"))).over(everywhere))
     share = F.col("_level._left") * F.col("_weight") / F.col("_level._rest")
-    return opened.select(source, "source_size", F.col("_weight").alias("weight"), F.when(F.col("_at") < F.col("_level._at"), F.col("_cap").cast("double")).otherwise(share).alias("target"))
+    return opened.select(*sizes.columns, F.when(F.col("_at") < F.col("_level._at"), F.col("_cap").cast("double")).otherwise(share).alias("target"))
 
 
 def fair_queue(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5.0, 2.0, 1.0), repeats: int = 3) -> DataFrame:
@@ -49,16 +48,25 @@ def fair_queue(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     Columns of df by the names of new ones are replaced.
     """
     new = ["size", "source_size", "target", "words_before", "virtual_finish"]
+    kept = [(f"in_{i}", c) for i, c in enumerate(df.columns) if c not in new]
+    queued = measured(df, key, text, source, [c for _, c in kept])
+    return _queue(queued, weights, repeats).select(*[F.col(i).alias(c) for i, (_, c) in zip((f"in_{n}" for n in range(len(kept))), kept, strict=True)], *new)
+
+
+def measured(df: DataFrame, key: str, text: str, source: str, kept: Sequence[str]) -> DataFrame:
+    """What the queue needs of each row: in_0, in_1, ... (kept), _key, _source, _group (of the source, not null), _crc, size, _position."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    given = df.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(df.columns)], F.col(key).alias("_k"), F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"), F.crc32(raw).alias("_crc"))
-    sizes = df.select(F.col(source).alias("_source"), word_count(F.col(text)).alias("_size")).groupBy("_source").agg(F.sum("_size").alias("source_size"))
-    targets = source_targets(sizes, "_source", weights, repeats).select(F.col("_source").alias("_target_source"), "source_size", "target")
-    queued = given.withColumn("_pos", unit_hash(F.col("_k"), F.col("_crc"), F.col("_size")))
-    queued = prefix_sums(queued, "_source", "_pos", ["_k", "_crc"], "_size", "_before", buckets_for(df.count()))
-    joined = queued.join(targets, F.col("_source").eqNullSafe(F.col("_target_source")))
-    finish = F.when(F.col("target") > 0, (F.col("_before") + F.col("_size")) / F.col("target"))
-    kept = [F.col(f"in_{i}").alias(c) for i, c in enumerate(df.columns) if c not in new]
-    return joined.select(*kept, F.col("_size").alias("size"), "source_size", "target", F.col("_before").alias("words_before"), finish.alias("virtual_finish"))
+    given = df.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.col(key).alias("_key"), F.col(source).alias("_source"), F.crc32(raw).alias("_crc"), word_count(F.col(text)).alias("size"))
+    group = F.coalesce(F.concat(F.lit("="), F.col("_source").cast("string")), F.lit(""))
+    return given.withColumns({"_group": group, "_position": unit_hash(F.col("_key"), F.col("_crc"), F.col("size"))})
+
+
+def _queue(rows: DataFrame, weights: Sequence[float], repeats: int) -> DataFrame:
+    sizes = rows.groupBy("_source", "_group").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(sizes, "_source", weights, repeats).drop("_source")
+    queued = prefix_sums(rows, "_group", "_position", ["_key", "_crc"], "size", "words_before", buckets_for(rows.count()))
+    finish = F.when(F.col("target") > 0, (F.col("words_before") + F.col("size")) / F.col("target"))
+    return queued.join(targets, "_group").withColumn("virtual_finish", finish)
 
 
 def taken_words(copy: Column) -> Column:
@@ -67,14 +75,16 @@ def taken_words(copy: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
 
 
-def mix_words(df: DataFrame, repeats: int = 3, **options) -> DataFrame:
-    """fair_queue with taken, globally sorted by virtual_finish and cut at the total budget, inside a document if need be.
+def mix_words(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5.0, 2.0, 1.0), repeats: int = 3) -> DataFrame:
+    """(key, source, size, source_size, target, taken, words_before, virtual_finish) of fair_queue, without the texts.
 
-    taken: the words of all copies up to the budget (long); documents that the mix leaves out have 0.
+    Globally sorted by virtual_finish and cut at the total budget, inside a document if need be. taken: the words of
+    all copies up to the budget (long); documents that the mix leaves out have 0. The texts are read once.
     """
-    queue = fair_queue(df, repeats=repeats, **options)
+    rows = written(measured(df, key, text, source, [key, source]), "measured")
     taken = sum((taken_words(F.lit(c)) for c in range(1, repeats)), taken_words(F.lit(0)))
-    return queue.withColumn("taken", taken).orderBy(F.col("virtual_finish").asc_nulls_last(), options.get("key", "doc_id"))
+    queue = _queue(rows, weights, repeats).withColumn("taken", taken).orderBy(F.col("virtual_finish").asc_nulls_last(), "_key")
+    return queue.select(F.col("in_0").alias(key), F.col("in_1").alias(source), "size", "source_size", "target", "taken", "words_before", "virtual_finish")
 
 
 def mix_documents(df: DataFrame, repeats: int = 3, **options) -> DataFrame:
