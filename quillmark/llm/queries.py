@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, dedup, language, mixing, secrets, sharding, similarity
+from quillmark.llm import contamination, dedup, language, mixing, secrets, sharding, similarity, toxicity
 from quillmark.llm.words import crc_remainder
 
 
@@ -55,6 +55,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.joined_spans(F.col("secrets")).alias("spans"))
 
 
+def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out), "doc_id", "text", "toxic")
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
