@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, dedup, language, mixing, secrets, sharding, similarity, toxicity
+from quillmark.llm import contamination, dedup, language, mixing, quality, secrets, sharding, similarity, toxicity
 from quillmark.llm.words import crc_remainder
 
 
@@ -62,6 +62,12 @@ def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.score_quality(docs, quality.train(docs))
+    return out.select("doc_id", F.col("quality").alias("score"), (F.col("quality") >= 0.5).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
