@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, dedup, language, mixing, quality, secrets, sharding, similarity, toxicity
+from quillmark.llm import contamination, dedup, language, mixing, pages, quality, secrets, sharding, similarity, toxicity
 from quillmark.llm.words import crc_remainder
 
 
@@ -42,6 +42,10 @@ def op5_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = similarity.similarity_classes(table(spark, sf_dir, "documents"), shingle=4, percent=85)
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
