@@ -1,0 +1 @@
+"""Streams: none of the workflow's operators is one; the batch operators that keep no order run on streams as they are."""
