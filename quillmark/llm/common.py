@@ -41,6 +41,20 @@ def dropped(spark: SparkSession, *tables: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hidden(df: DataFrame) -> DataFrame:
+    """df with its columns named in_0, in_1, ..., so that none clashes with what an operator adds."""
+    return df.toDF(*[f"in_{i}" for i in range(len(df.columns))])
+
+
+def hidden_name(df: DataFrame, column: str) -> str:
+    return f"in_{df.columns.index(column)}"
+
+
+def shown(out: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns that hidden(df) named, under their own names again."""
+    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
 def unit_hash(*cols: Column) -> Column:
     """A number in (0, 1) from the MD5 of the columns joined by a colon (52 bits); null counts as empty."""
     joined = F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])

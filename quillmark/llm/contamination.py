@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmark.llm.common import hidden, hidden_name, shown
+
 #: Bytes that belong to words, A-Z turned to a-z; all others become spaces.
 TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -190,9 +192,10 @@ def items_digest() -> Column:
     return F.sha2(F.array_join("hit_items", ",").cast("binary"), 256)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents of docs that are not contaminated, with the columns of docs."""
-    return contaminated_spans(docs, benchmark, **options).where(~is_contaminated()).select(*docs.columns)
+    found = contaminated_spans(hidden(docs), benchmark, text=hidden_name(docs, text), **options)
+    return shown(found.where(~is_contaminated()), docs)
 
 
 def without_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
@@ -215,7 +218,8 @@ def without_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", longest: int = 13, **options) -> DataFrame:
     """All rows and columns of docs; spans of hits of `longest` words or more are cut out of the texts."""
-    found = contaminated_spans(docs, benchmark, text=text, **options)
+    own = hidden_name(docs, text)
+    found = contaminated_spans(hidden(docs), benchmark, text=own, **options)
 
     @F.pandas_udf("string")
     def cut(texts, spans):
@@ -223,7 +227,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", long
 
         return pd.Series([without_spans(t, [(x["start"], x["end"]) for x in s if x["end"] - x["start"] >= longest]) for t, s in zip(texts, spans, strict=True)], dtype=object)
 
-    return found.withColumn(text, cut(text, "hit_spans")).select(*docs.columns)
+    return shown(found.withColumn(own, cut(own, "hit_spans")), docs)
 
 
 def brute_force(docs: list[str | None], items: list[tuple[str, str | None]], window: int = 13) -> list[tuple[int, int, list[str]]]:

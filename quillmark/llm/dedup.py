@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import dropped, written
+from quillmark.llm.common import hidden, hidden_name, shown, written
 
 #: White space as spaces; and what of it becomes one space.
 TO_SPACE = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
@@ -84,7 +84,8 @@ def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """(key, keep_id, group_size, kept, text_sha256) for each row of docs.
 
     Texts are equal when identical after each run of white space became one space; null counts as empty. The smallest key
-    of equal texts stays: keep_id; of rows that repeat a key and text, all have kept. An empty table gives no rows; keys are integers, not null.
+    of equal texts stays: keep_id; of rows that repeat a key and text, all have kept. An empty table gives no rows. Keys are integers; a null key
+    comes after all others, so it stays only where equal texts have no other (keep_id is null then).
 
     Each text is cut into chunks where its content says so; a recipe is the ordered list of its chunks' 128-bit identifiers.
     Identifiers are verified: chunks are dealt out by identifier and compared byte by byte (each task sends each
@@ -103,10 +104,11 @@ def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     groups = recipes.groupBy("list", "recipe").agg(F.min("doc").alias("keep_id"), F.count("*").alias("group_size"))
     one, two = recipes.alias("a"), groups.alias("b")
     joined = one.join(two, (F.col("a.list") == F.col("b.list")) & (F.col("a.recipe") == F.col("b.recipe")))
-    return joined.select(F.col("a.doc").alias(key), "keep_id", "group_size", (F.col("a.doc") == F.col("keep_id")).alias("kept"), F.col("a.sha").alias("text_sha256"))
+    return joined.select(F.col("a.doc").alias(key), "keep_id", "group_size", F.coalesce(F.col("a.doc") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("a.sha").alias("text_sha256"))
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay, with the columns of docs."""
-    stay = exact_copies(docs, key, text).where("kept").select(key).distinct()
-    return docs.join(stay, key, "left_semi").select(*docs.columns)
+    """The rows of docs that stay, with the columns of docs; if a null key stays anywhere, all rows with one do."""
+    stay = exact_copies(docs, key, text).where("kept").select(F.col(key).alias("_stay")).distinct()
+    own = hidden_name(docs, key)
+    return shown(hidden(docs).join(stay, F.col(own).eqNullSafe(F.col("_stay")), "left_semi"), docs)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import buckets_for, prefix_sums, unit_hash, written
+from quillmark.llm.common import buckets_for, prefix_sums, shown, unit_hash, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -87,14 +87,14 @@ def mix_words(df: DataFrame, key: str = "doc_id", text: str = "text", source: st
     return queue.select(F.col("in_0").alias(key), F.col("in_1").alias(source), "size", "source_size", "target", "taken", "words_before", "virtual_finish")
 
 
-def mix_documents(df: DataFrame, repeats: int = 3, **options) -> DataFrame:
+def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5.0, 2.0, 1.0), repeats: int = 3) -> DataFrame:
     """The mix itself: rows and columns of df, once for each copy taken, in order of virtual finish time.
 
     Whole documents only: a copy across the budget stays if half of it or more lies before it, so each
     source's words are off its target by half a document at most. A document without words has no weight and stays once.
     """
-    queue = fair_queue(df, repeats=repeats, **options)
-    copies = queue.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    rows = measured(df, key, text, source, df.columns)
+    copies = _queue(rows, weights, repeats).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     whole = F.when(F.col("size") == 0, F.col("copy") == 0).otherwise(2 * taken_words(F.col("copy")) >= F.col("size"))
     finish = F.coalesce(F.col("virtual_finish") + F.col("copy") * F.col("source_size") / F.when(F.col("target") > 0, F.col("target")), F.lit(0.0))
-    return copies.where(whole).withColumn("_finish", finish).orderBy("_finish", options.get("key", "doc_id")).select(*df.columns)
+    return shown(copies.where(whole).withColumn("finish", finish).orderBy("finish", "_key"), df)

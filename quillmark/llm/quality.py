@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import unit_hash
+from quillmark.llm.common import hidden, hidden_name, shown, unit_hash
 from quillmark.llm.words import WordTable, by_steps
 
 #: What a labeller says: no opinion, good, bad.
@@ -172,7 +172,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: i
     return QualityModel(says_bad, good_share, weights, bias)
 
 
-def score_quality(docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
     """All rows and columns of docs, and quality: the scorer's chance that a text is good (double).
 
     Null and empty texts, and those of white space alone, have 0. A column quality of docs is replaced.
@@ -195,4 +195,5 @@ def score_quality(docs: DataFrame, model: QualityModel, key: str = "doc_id", tex
 
 def good_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5, **options) -> DataFrame:
     """The rows of docs with a quality of `least` or more, with the columns of docs."""
-    return score_quality(docs, train(docs, key, text, **options), key, text).where(F.col("quality") >= least).select(*docs.columns)
+    scored = score_quality(hidden(docs), train(docs, key, text, **options), hidden_name(docs, text))
+    return shown(scored.where(F.col("quality") >= least), docs)
