@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quillmark.llm.common import dropped, written
+from quillmark.llm.common import dropped, hidden, hidden_name, shown, written
 from quillmark.llm.components import components
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -192,6 +192,48 @@ def _pairs(u, v) -> list:
     return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
 
 
+def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, root) of the keys whose sets are in several components."""
+    rooted = members.join(classes.withColumnRenamed("component", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    return written(rooted.join(several, "key", "left_semi").select("key", "id", "root"), "open")
+
+
+def _to_leaders(open_: DataFrame) -> DataFrame:
+    """Pairs of each key's set that has most keys, the one with the fewest differences, and the sets in other components."""
+    shared = open_.groupBy("id").agg(F.count("*").alias("shared"))
+    leaders = open_.join(shared, "id").groupBy("key").agg(F.max_by(F.struct("id", "root"), F.struct("shared", "id")).alias("leader"))
+    return open_.join(leaders, "key").where("root <> leader.root").select(*_pairs("id", "leader.id")).distinct()
+
+
+def _sharing_rare(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components that share one of their rarest shingles.
+
+    Two sets that link share percent / 100 of either's shingles at least. So with shingles in one order for all, by frequency, then
+    hash, they share one of each set's first n - ceil(percent * n / 100) + 1. Shingles that one set alone has come first.
+    """
+    own = sets.join(open_.select("id", "root").distinct(), "id")
+    each = own.select("id", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count("*").alias("count")).where("count > 1")
+    common = each.join(counts, "shingle")
+    unique = common.groupBy("id").agg((F.first("n") - F.count("*")).alias("unique"))
+    first = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    near = common.join(unique, "id").where(F.col("unique") < first)
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("count", "shingle")) + F.col("unique")
+    rare = written(near.withColumn("at", rank).where(F.col("at") <= first).select("id", "root", "shingle", "n", "at"), "rare")
+    one, two = rare.alias("a"), rare.alias("b")
+    across = one.join(two, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root")))
+    return across.select(*_pairs("a.id", "b.id")).distinct()
+
+
+def _joined(classes: DataFrame, links: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components and links with more links."""
+    if more.isEmpty():
+        return classes, links
+    links = links.union(more)
+    return written(components(links), "components"), links
+
+
 def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component) for each row of docs: the smallest key that links lead to, its own included.
 
@@ -199,11 +241,13 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     between white space). Null and empty texts, and those without words, have no shingles and link with nothing; equal texts and repeated rows link.
 
     Equal sets are one vertex. Keys of parity sketches bring sets together; every set is checked against the first one of
-    its key. Then all pairs that share a key and are still in different components are checked, so that no link between
-    components is lost, and pairs inside a component needn't be made. A key column must be of an integer type and not null.
+    its key, then, where a key still has several components, against the set of that key that shares most keys. Of the pairs that share a key and are still in
+    different components, those can link alone that also share one of their rarest shingles; all these are checked. So no link
+    between components is lost, and pairs inside a component needn't be made. Keys are integers; a row with a null key has null n_shingles and component and links with nothing.
     """
     spark = docs.sparkSession
-    given = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    every = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    given = every.where("doc IS NOT NULL")
     raw = given.mapInArrow(sketch_rows(shingle, percent), ROWS)
     apart = F.when(F.col("kind") != SET, F.col("id")).otherwise(F.lit(0))
     group = Window.partitionBy("kind", "key", "apart")
@@ -223,34 +267,31 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = written(components(checked), "components")
     root = found.withColumnRenamed("component", "root")
 
-    members = links.select("key", "id").union(links.select("key", F.col("other").alias("id"))).distinct().join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    members = written(members, "members")
-    mixed_keys = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    open_members = members.join(mixed_keys, "key", "left_semi")
-    counts = open_members.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    odd = open_members.join(main, "key").where("root <> main").select("key", F.col("id").alias("one"), F.col("root").alias("one_root"))
-    across = open_members.join(odd, "key").where(F.col("root") != F.col("one_root")).select(*_pairs("id", "one")).distinct()
-    more = written(_linked(across.join(checked, ["u", "v"], "left_anti"), sets, percent), "links")
-    if more.isEmpty():
-        classes = found
-    else:
-        classes = written(components(checked.union(more)), "components")
+    members = written(links.select("key", "id").union(links.select("key", F.col("other").alias("id"))).distinct(), "members")
+    open_ = _open_members(members, found)
+    tried = written(_linked(_to_leaders(open_), sets, percent), "links")
+    classes, checked = _joined(found, checked, tried)
+    open_ = _open_members(members, classes)
+    more = written(_linked(_sharing_rare(open_, sets, percent).join(checked, ["u", "v"], "left_anti"), sets, percent), "links")
+    classes, checked = _joined(classes, checked, more)
 
     rooted = vertices.join(classes, "id", "left").select("id", "doc", F.coalesce("component", "id").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     by_set = rooted.join(smallest, "root").select("id", "component")
     out = rows.join(by_set, "id", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("doc")).alias("component"))
-    result = written(out, "classes")
-    dropped(spark, table, wanted, sets, checked, found, members, more)
+    keyless = every.where("doc IS NULL").select(F.col("doc").alias(key), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component"))
+    result = written(out.union(keyless), "classes")
+    dropped(spark, table, wanted, sets, members, tried, more)
     return result
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs that have the smallest key of their class, with the columns of docs."""
+    """The rows of docs that have the smallest key of their class, or no key, with the columns of docs."""
     classes = similarity_classes(docs, key, **options)
     stay = classes.where(F.col(key) == F.col("component")).select(key).distinct()
-    return docs.join(stay, key, "left_semi").select(*docs.columns)
+    own = hidden_name(docs, key)
+    kept, keyless = hidden(docs).join(stay.withColumnRenamed(key, own), own, "left_semi"), hidden(docs).where(F.col(own).isNull())
+    return shown(kept, docs).union(shown(keyless, docs))
 
 
 def brute_force(texts: dict[int, str | None], shingle: int, percent: int) -> dict[int, tuple[int, int]]:
