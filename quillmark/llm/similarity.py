@@ -222,7 +222,9 @@ def _sharing_rare(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("id").orderBy("count", "shingle")) + F.col("unique")
     rare = written(near.withColumn("at", rank).where(F.col("at") <= first).select("id", "root", "shingle", "n", "at"), "rare")
     one, two = rare.alias("a"), rare.alias("b")
-    across = one.join(two, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root")))
+    # what is left of either set from the first shared shingle on must be as much as the two would have to share
+    enough = [(100 + percent) * (F.col(f"{x}.n") - F.col(f"{x}.at") + 1) >= percent * (F.col("a.n") + F.col("b.n")) for x in "ab"]
+    across = one.join(two, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") < F.col("b.root")) & enough[0] & enough[1])
     return across.select(*_pairs("a.id", "b.id")).distinct()
 
 
