@@ -41,7 +41,7 @@ def source_targets(sizes: DataFrame, source: str, weights: Sequence[float], repe
 def fair_queue(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5.0, 2.0, 1.0), repeats: int = 3) -> DataFrame:
     """All rows and columns of df, and size, source_size, target, words_before, virtual_finish.
 
-    The documents of a source queue up in a shuffled order, by the hash of key, CRC-32 and size. words_before: the
+    The documents of a source queue up in a shuffled order, by the hash of key, MD5 and size. words_before: the
     source's words before the document. virtual_finish: (words_before + size) over the target, when the first copy is
     served; the next copies follow one source_size later each. Targets add up to the total budget, so the budget is used up
     at virtual time 1 exactly. Null texts have no words; a null source is a source; an empty df gives no rows.
@@ -54,17 +54,17 @@ def fair_queue(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
 
 
 def measured(df: DataFrame, key: str, text: str, source: str, kept: Sequence[str]) -> DataFrame:
-    """What the queue needs of each row: in_0, in_1, ... (kept), _key, _source, _group (of the source, not null), _crc, size, _position."""
+    """What the queue needs of each row: in_0, in_1, ... (kept), _key, _source, _group (of the source, not null), _digest, size, _position."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    given = df.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.col(key).alias("_key"), F.col(source).alias("_source"), F.crc32(raw).alias("_crc"), word_count(F.col(text)).alias("size"))
+    given = df.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(kept)], F.col(key).alias("_key"), F.col(source).alias("_source"), F.md5(raw).alias("_digest"), word_count(F.col(text)).alias("size"))
     group = F.coalesce(F.concat(F.lit("="), F.col("_source").cast("string")), F.lit(""))
-    return given.withColumns({"_group": group, "_position": unit_hash(F.col("_key"), F.col("_crc"), F.col("size"))})
+    return given.withColumns({"_group": group, "_position": unit_hash(F.col("_key"), F.col("_digest"), F.col("size"))})
 
 
 def _queue(rows: DataFrame, weights: Sequence[float], repeats: int) -> DataFrame:
     sizes = rows.groupBy("_source", "_group").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, "_source", weights, repeats).drop("_source")
-    queued = prefix_sums(rows, "_group", "_position", ["_key", "_crc"], "size", "words_before", buckets_for(rows.count()))
+    queued = prefix_sums(rows, "_group", "_position", ["_key", "_digest"], "size", "words_before", buckets_for(rows.count()))
     finish = F.when(F.col("target") > 0, (F.col("words_before") + F.col("size")) / F.col("target"))
     return queued.join(targets, "_group").withColumn("virtual_finish", finish)
 

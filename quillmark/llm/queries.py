@@ -102,5 +102,54 @@ def _op8_sql() -> str:
         FROM (SELECT doc_id FROM documents) LEFT JOIN hit USING (doc_id) GROUP BY doc_id"""
 
 
+#: CRC-32 a byte at a time, from a table made of its fixed polynomial.
+OP1_SQL = r"""
+WITH tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i::BIGINT], range(8)::BIGINT[]), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))),
+sized AS (SELECT doc_id, (strlen(coalesce(text, '')) + 8)::BIGINT AS size,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', '\1,', 'g'), ',')[:-2], lambda h: ('0x' || h)::BIGINT)), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295)::BIGINT AS text_crc32
+    FROM documents, tab),
+scores AS (SELECT doc_id, s, md5(doc_id || ':' || s) AS h FROM (SELECT DISTINCT doc_id FROM documents), range(25) r(s)),
+best AS (SELECT doc_id, arg_max(s, substr(h, 1, 13)) FILTER (WHERE s < 24)::INT AS shard, arg_max(s, substr(h, 1, 13))::INT AS grown_shard FROM scores GROUP BY doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY substr(md5(concat_ws(':', doc_id, text_crc32, size)), 1, 13), doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM sized JOIN best USING (doc_id)
+"""
+
+OP2_SQL = r"""
+WITH measured AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(text, '')) AS digest FROM documents),
+placed AS (SELECT *, (('0x' || substr(md5(concat_ws(':', doc_id, digest, size)), 1, 13))::BIGINT + 0.5) / 4503599627370496 AS place FROM measured),
+queue AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS weight FROM measured GROUP BY source),
+steps AS (SELECT *, row_number() OVER f AS spot, sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_ FROM sizes WINDOW f AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
+level AS (SELECT spot AS first_free, left_ AS l, rest AS r FROM steps WHERE 3 * source_size >= left_ * weight / rest ORDER BY spot LIMIT 1),
+targets AS (SELECT source, source_size, CASE WHEN spot < first_free THEN 3.0 * source_size ELSE l * weight / r END::DOUBLE AS target FROM steps, level)
+SELECT doc_id, size::BIGINT AS size, source_size, target, sum(greatest(0, least(size, round(target)::BIGINT - before - c * source_size)))::BIGINT AS taken, CASE WHEN target > 0 THEN (before + size)::DOUBLE / target END AS virtual_finish
+FROM queue JOIN targets ON queue.source IS NOT DISTINCT FROM targets.source, (VALUES (0), (1), (2)) AS copies(c) GROUP BY doc_id, digest, size, source_size, target, before
+"""
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM item),
+occurs AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (SELECT DISTINCT doc_id, pos, n, item_id FROM occurs JOIN win USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+OP7_SQL = rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, w, least(4, len(w)) AS n FROM (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents)),
+shingle AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s FROM doc WHERE n > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT doc_id, coalesce(size.n, 0) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id FROM doc LEFT JOIN size USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_copies": OP5_SQL, "op8_secret_scan": _op8_sql()}
+    return {"op1_rendezvous_shards": OP1_SQL, "op2_weighted_fair_mix": OP2_SQL, "op4_decontaminate": OP4_SQL, "op7_jaccard_join": OP7_SQL, "op5_exact_copies": OP5_SQL, "op8_secret_scan": _op8_sql()}
