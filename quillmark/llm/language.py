@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.words import LETTERS, WordTable, by_steps, counted_words, ngram_buckets, sampled
+from quillmark.llm.words import LETTERS, WordTable, by_steps, ngram_buckets, sampled
 
 #: First code points of ranges of scripts, and the scripts.
 SCRIPT_RANGES = (
@@ -58,20 +58,34 @@ class LanguageModel:
         return out - out.max(axis=1, keepdims=True)
 
 
+def bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (lang, text): (lang, bucket, n) for the n-gram buckets of each part's words; buckets from BUCKETS on count scripts."""
+    for batch in by_steps(batches):
+        by_lang: dict[str, list[str]] = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            by_lang.setdefault(lang, []).extend(LETTERS.findall(text.as_py().lower()))
+        for lang, words in by_lang.items():
+            if words:
+                distinct, n = np.unique(np.array(words, dtype=object), return_counts=True)
+                bucket, of = ngram_buckets(distinct.tolist(), SIZES, BUCKETS)
+                counts = np.concatenate([np.bincount(bucket, n[of], BUCKETS), np.bincount(scripts_of(distinct.tolist()), n, len(SCRIPTS))])
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(counts[at].astype(np.int64))], names=["lang", "bucket", "n"])
+
+
 def train(docs: DataFrame, key: str, lang: str, text: str, most_docs: int = 600, most_bytes: int = 2_000_000, penalty: float = 8.0) -> LanguageModel:
-    """From a sample of rows with a language: most_docs documents and most_bytes of text for each language."""
+    """From a sample of rows with a language: most_docs documents and most_bytes of text for each language. The driver gets counts by bucket alone."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, lang, text)
-    counts = counted_words(sampled(known, key, lang, text, most_docs, most_bytes), [lang], text)
-    counts = counts.groupby([lang, "word"], as_index=False)["count"].sum()
-    languages = tuple(sorted(counts[lang].unique()))
+    counted = sampled(known, key, lang, text, most_docs, most_bytes).select(lang, text).mapInArrow(bucket_counts, "lang string, bucket long, n long")
+    counts = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    names = np.array(counts["lang"].to_pylist(), dtype=object)
+    bucket, n = counts["bucket"].to_numpy(), counts["n"].to_numpy()
+    languages = tuple(sorted(set(names.tolist())))
     log_p, written_in = np.zeros((len(languages), BUCKETS), np.float32), np.zeros((len(languages), len(SCRIPTS)), bool)
     for k, name in enumerate(languages):
-        own = counts[counts[lang] == name]
-        words, n = own["word"].tolist(), own["count"].to_numpy(float)
-        bucket, of = ngram_buckets(words, SIZES, BUCKETS)
-        total = np.bincount(bucket, n[of], BUCKETS) + 0.1
+        own = np.bincount(bucket[names == name], n[names == name], BUCKETS + len(SCRIPTS))
+        total, by_script = own[:BUCKETS] + 0.1, own[BUCKETS:]
         log_p[k] = np.log(total / total.sum())
-        by_script = np.bincount(scripts_of(words), n, len(SCRIPTS))
         written_in[k] = by_script >= 0.01 * by_script.sum()
     return LanguageModel(languages, log_p, written_in, penalty)
 
