@@ -76,7 +76,7 @@ def bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def train(docs: DataFrame, key: str, lang: str, text: str, most_docs: int = 600, most_bytes: int = 2_000_000, penalty: float = 8.0) -> LanguageModel:
     """From a sample of rows with a language: most_docs documents and most_bytes of text for each language. The driver gets counts by bucket alone."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, lang, text)
-    counted = sampled(known, key, lang, text, most_docs, most_bytes).select(lang, text).mapInArrow(bucket_counts, "lang string, bucket long, n long")
+    counted = sampled(known, key, lang, F.octet_length(text), most_docs, most_bytes).select(lang, text).mapInArrow(bucket_counts, "lang string, bucket long, n long")
     counts = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = np.array(counts["lang"].to_pylist(), dtype=object)
     bucket, n = counts["bucket"].to_numpy(), counts["n"].to_numpy()

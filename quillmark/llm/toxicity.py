@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.words import WordTable, by_steps, counted_words, ngram_buckets, sampled
+from quillmark.llm.words import WordTable, by_steps, ngram_buckets, sampled
 
 #: Words: runs of letters, digits and signs that stand in for letters in misspellings.
 TOKEN = re.compile(r"[^\W_](?:[\w@$*!+-]*[^\W_])?")
@@ -36,45 +36,70 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(logit + self.biases[1] - self.biases[0], -60, 60)))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most_docs: int = 2000, most_bytes: int = 5_000_000, epochs: int = 80, rate: float = 0.3, seed: int = 7) -> ToxicityModel:
+def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (label, text): (y, size, buckets, counts): a document's number of subwords, its buckets (int32) and how often it has each (uint16)."""
+    for batch in by_steps(batches, 2_000_000):
+        sizes, buckets, counts = [], [], []
+        for text in batch.column(1):
+            words, n = np.unique(np.array(TOKEN.findall(text.as_py().lower()), dtype=object), return_counts=True)
+            bucket, of = ngram_buckets(words.tolist(), SIZES, BUCKETS, whole=True)
+            total = np.bincount(bucket, n[of], BUCKETS) if len(bucket) else np.zeros(BUCKETS)
+            at = np.flatnonzero(total)
+            sizes.append(int(total.sum()))
+            buckets.append(at.astype(np.int32).tobytes())
+            counts.append(np.minimum(total[at], 65535).astype(np.uint16).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["y", "size", "buckets", "counts"])
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most_docs: int = 1500, most_bytes: int = 5_000_000, epochs: int = 80, rate: float = 0.3, seed: int = 7) -> ToxicityModel:
     """From a sample of rows that labels marks 0 or 1: most_docs documents and most_bytes of text for each label.
 
     A document is the average of its subwords' embeddings; cross-entropy of the softmax, each class weighed by its share among all labelled
-    rows (to a power of 0.7), however many were sampled. Steps follow the gradient over the square root of a subword's frequency; those in fewer than 5 documents
-    stay out, as they tell documents apart, not classes. Repeated labels of a key: the highest counts. With only one class, or none, known, all scores are that class's share.
+    rows (to a power of 0.7), however many were sampled. Steps follow the gradient over the square root of a subword's frequency; those that occur fewer than 5 times
+    stay out, as they tell documents apart, not classes. Repeated labels of a key: the highest counts; of its rows, one does. With only one class, or none, known, all scores are that class's share.
     """
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).cast("int").alias("_y"))
-    known = docs.select(key, text).where(F.col(text).isNotNull()).join(marks, key).select(key, F.col("_y"), text)
-    counts = counted_words(sampled(known, key, "_y", text, most_docs, most_bytes), [key, "_y"], text, TOKEN)
-    doc, first = np.unique(counts[key].to_numpy(), return_index=True)
-    y = counts["_y"].to_numpy()[first].astype(int)
+    texts = docs.where(F.col(text).isNotNull()).select(key, text)
+    known = texts.groupBy(key).agg(F.max(F.octet_length(text)).alias("_size")).join(marks, key)
     in_all = dict(known.groupBy("_y").count().collect())
+    if len(in_all) == 2:
+        chosen = sampled(known, key, "_y", F.col("_size"), most_docs, most_bytes).select(key, "_y")  # few enough to go to all executors, by most_docs
+        sample = texts.join(F.broadcast(chosen), key).dropDuplicates([key]).select("_y", text).mapInArrow(subword_counts, "y int, size long, buckets binary, counts binary").where("size > 0").toArrow()
+        y = sample["y"].to_numpy().astype(int)
+    else:
+        y = np.array(list(in_all), int)
     if len(set(y.tolist())) < 2:
         share = (y.mean() if len(y) else 0.0) * 0.98 + 0.01
         return ToxicityModel(np.zeros((BUCKETS, 1)), np.zeros((1, 2)), np.array([0.0, np.log(share / (1 - share))]))
-    words, number = np.unique(counts["word"].to_numpy(dtype=str), return_inverse=True)
-    of_doc, n = np.searchsorted(doc, counts[key].to_numpy()), counts["count"].to_numpy(float)
-    bucket, of_word = ngram_buckets(words.tolist(), SIZES, BUCKETS, whole=True)
-    parts = np.bincount(of_word, minlength=len(words))
-    size = np.bincount(of_doc, n * parts[number], len(doc))
-    part = n / size[of_doc]  # what a word's sum of subwords adds to its document's average
+    rows = [(np.frombuffer(b.as_py(), np.int32), np.frombuffer(c.as_py(), np.uint16).astype(np.float32) / s) for b, c, s in zip(sample["buckets"], sample["counts"], sample["size"].to_numpy(), strict=True)]
+    frequency = sum(np.bincount(b, v * s, BUCKETS) for (b, v), s in zip(rows, sample["size"].to_numpy(), strict=True))
+    del sample
+    step = np.where(frequency >= 5, 1 / np.sqrt(np.maximum(1, frequency)), 0)[:, None]
     weight = np.where(y == 1, *((in_all[k] / (y == k).sum()) ** 0.7 for k in (1, 0)))
     weight /= weight.sum()
-    frequency = np.bincount(bucket, np.bincount(number, minlength=len(words))[of_word], BUCKETS)
-    step = np.where(frequency >= 5, 1 / np.sqrt(np.maximum(1, frequency)), 0)[:, None]
     rng = np.random.default_rng(seed)
     e, w, b = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)) * step, rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)
+    rows = [(b[step[b, 0] > 0], v[step[b, 0] > 0]) if (step[b, 0] > 0).any() else (b[:1], v[:1] * 0) for b, v in rows]  # the others add nothing
+    parts = [range(i, min(i + 250, len(rows))) for i in range(0, len(rows), 250)]  # in turn, for memory
+    parts = [(p, np.concatenate([rows[i][0] for i in p]), np.concatenate([rows[i][1] for i in p]), np.array([len(rows[i][0]) for i in p])) for p in parts]
+    del rows
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (e, w, b)]
     for epoch in range(1, epochs + 1):
-        h = np.stack([np.bincount(of_doc, part * np.bincount(of_word, e[bucket, k], len(words))[number], len(doc)) for k in range(DIMENSIONS)], axis=1)
-        z = h @ w + b
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        g = z / z.sum(axis=1, keepdims=True)
-        g[np.arange(len(y)), y] -= 1
-        g *= weight[:, None]
-        gh = g @ w.T
-        ge = np.stack([np.bincount(bucket, np.bincount(number, part * gh[of_doc, k], len(words))[of_word], BUCKETS) for k in range(DIMENSIONS)], axis=1)
-        for x, grad, (m, v) in zip((e, w, b), (ge * step, h.T @ g, g.sum(axis=0)), state, strict=True):
+        ge, gw, gb = np.zeros_like(e), np.zeros_like(w), np.zeros_like(b)
+        for p, bucket, share, lengths in parts:
+            starts = np.cumsum(lengths) - lengths
+            h = np.stack([np.add.reduceat(e[bucket, k] * share, starts) for k in range(DIMENSIONS)], axis=1)
+            z = h @ w + b
+            z = np.exp(z - z.max(axis=1, keepdims=True))
+            g = z / z.sum(axis=1, keepdims=True)
+            g[np.arange(len(p)), y[p.start : p.stop]] -= 1
+            g *= weight[p.start : p.stop, None]
+            gh = g @ w.T
+            for k in range(DIMENSIONS):
+                ge[:, k] += np.bincount(bucket, share * np.repeat(gh[:, k], lengths), BUCKETS)
+            gw += h.T @ g
+            gb += g.sum(axis=0)
+        for x, grad, (m, v) in zip((e, w, b), (ge * step, gw, gb), state, strict=True):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad**2 - v)
             scale = v.max() if x is e else v  # one for all embeddings

@@ -6,7 +6,6 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,29 +96,12 @@ def crc_remainder(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def sampled(df: DataFrame, key: str, label: str, text: str, most_docs: int, most_bytes: int) -> DataFrame:
-    """Rows of df by label, chosen by the hash of key: most_docs and most_bytes of text for each label, give or take chance."""
-    totals = df.groupBy(label).agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("b")).collect()
+def sampled(df: DataFrame, key: str, label: str, size: Column, most_docs: int, most_bytes: int) -> DataFrame:
+    """Rows of df by label, chosen by the hash of key: most_docs rows and most_bytes of size for each label, give or take chance."""
+    totals = df.groupBy(label).agg(F.count("*").alias("n"), F.sum(size).alias("b")).collect()
     share = F.lit(0.0)
     for row in totals:
         part = min(1.0, most_docs / row["n"], most_bytes / max(1, row["b"] or 0))
         share = F.when(F.col(label) == F.lit(row[label]), F.lit(part)).otherwise(share)
     return df.where(unit_hash(F.col(key), F.lit("sample")) < share)
 
-
-def counted_words(df: DataFrame, keep: Sequence[str], text: str, pattern: re.Pattern = LETTERS) -> pd.DataFrame:
-    """keep, word (lower case) and count of each row's distinct words, at the driver: for bounded samples."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_steps(batches):
-            rows, words, counts = [], [], []
-            for i, value in enumerate(batch.column(len(keep))):
-                found, n = np.unique(np.array(pattern.findall((value.as_py() or "").lower()), dtype=object).astype(str), return_counts=True)
-                rows.append(np.full(len(found), i))
-                words.extend(found.tolist())
-                counts.append(n)
-            take = pa.array(np.concatenate(rows) if rows else [], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(keep))), pa.array(words, pa.string()), pa.array(np.concatenate(counts) if counts else [], pa.int64())], names=[*keep, "word", "count"])
-
-    return df.select(*keep, text).mapInArrow(count, f"{schema}, word string, count long").toPandas()
