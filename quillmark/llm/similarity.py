@@ -68,8 +68,8 @@ def bands(percent: int, most: int = 1 << 40) -> tuple[tuple[int, ...], tuple[int
     for j in range(len(lows) - 1):
         a = lows[j + 1] - 1
         d = (100 - percent) * (a + 100 * a // percent) // (100 + percent)
-        spares.append(d // 8)
-        segments.append(d + 1 + d // 8 if d else 0)
+        spares.append(-(-6 * d * d // (5 * a)))  # about as many as have a shingle or none
+        segments.append(d + 1 + spares[-1] if d else 0)
     return tuple(lows), tuple(segments), tuple(spares)
 
 
@@ -77,28 +77,25 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the parity sketch of a shingle set: one for each segment that the pigeonhole join needs.
 
     A sketch has k segments of 64 bits; each shingle XORs its hash into one of them, so that the segments that differ, like the bits
-    that differ, are no more than the symmetric difference. Segments of one shingle or none tell little, and common shingles make
-    them frequent; as long as a set has no more of these than there are spare segments, they aren't needed.
+    that differ, are no more than the symmetric difference. Segments of few shingles tell little, and common shingles make them
+    frequent, so each set leaves out as many segments as are spare: the first ones by number of shingles, then value, then place. Two sets that link agree
+    in one segment more than that, and none of the two leaves out the last of these in that order.
     """
     lows, segments, spares = bands(percent)
     own = int(np.searchsorted(lows, len(shingles), side="right")) - 1
-    mixed_values, out = None, []
+    values, high, out = None, None, []
     for j in (own, own - 1):
         k = segments[j] if j >= 0 else 0
         if not k:
             continue
-        if mixed_values is None:
-            mixed_values, high = mixed(shingles ^ np.uint64(GOLDEN)), shingles >> np.uint64(32)
-        at = (high * np.uint64(k)) >> np.uint64(32)  # sorted, as the shingles are
+        if values is None:
+            values, high = mixed(shingles ^ np.uint64(GOLDEN)), shingles >> np.uint64(32)
+        at = ((high * np.uint64(k)) >> np.uint64(32)).astype(np.int64)  # sorted, as the shingles are
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        value, held, where = np.bitwise_xor.reduceat(mixed_values, first), np.diff(np.append(first, len(at))), at[first]
-        weak = k - np.count_nonzero(held > 1)
-        if weak <= spares[j]:
-            value, where = value[held > 1], where[held > 1]
-        elif len(where) < k:
-            empty = np.setdiff1d(np.arange(k, dtype=np.uint64), where)
-            value, where = np.append(value, np.zeros(len(empty), np.uint64)), np.append(where, empty)
-        out.append(mixed(value + mixed(where * np.uint64(GOLDEN) + np.uint64(j + 1))))
+        value, held = np.zeros(k, np.uint64), np.bincount(at, minlength=k)
+        value[at[first]] = np.bitwise_xor.reduceat(values, first)
+        stay = np.lexsort((value, held))[spares[j] :]
+        out.append(mixed(value[stay] + mixed(stay.astype(np.uint64) * np.uint64(GOLDEN) + np.uint64(j + 1))))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
