@@ -56,10 +56,15 @@ def first_ok(candidates: DataFrame, group: str, value: str = "name", ok: str = "
 
 
 def ordered_distinct(values: Column) -> Column:
-    """Values that aren't empty, once each without regard to case, where they first stand."""
+    """Values that aren't empty, once each without regard to case, where they first stand.
+
+    Two sorts, by lower-cased value and back by place, so that long arrays cost little more than short ones.
+    """
     kept = F.filter(values, lambda x: x.isNotNull() & (x != ""))
-    lower = F.transform(kept, lambda x: F.lower(x))
-    return F.filter(kept, lambda x, i: F.array_position(lower, F.lower(x)) == i + 1)
+    keyed = F.array_sort(F.transform(kept, lambda x, i: F.struct(F.lower(x).alias("low"), i.alias("at"), x.alias("value"))))
+    # within transform, the sorted array is a variable: it isn't made anew for each element
+    firsts = F.transform(F.array(keyed), lambda s: F.filter(s, lambda x, i: (i == 0) | (x["low"] != F.get(s, i - 1)["low"])))[0]
+    return F.transform(F.array_sort(F.transform(firsts, lambda x: F.struct(x["at"].alias("at"), x["value"].alias("value")))), lambda x: x["value"])
 
 
 def missing_fonts(required: DataFrame, available: DataFrame, font: str = "font") -> DataFrame:

@@ -322,7 +322,7 @@ def first_ok_candidate(spark, sf_dir):
 
 
 def ordered_dedup(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.slice(F.split("text", " "), 1, 40).alias("w"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("w"))
     return d.select("doc_id", F.array_join(catalog.ordered_distinct(F.col("w")), " ").alias("words"))
 
 
