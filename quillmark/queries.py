@@ -178,7 +178,7 @@ def priority_pick(spark, sf_dir):
 def skeleton_insert(spark, sf_dir):
     ranked = selecting.ranked(_items(spark, sf_dir), "id")
     skeleton = ranked.where("id % 5 = 0").withColumn("place", F.row_number().over(selecting.Window.partitionBy("board").orderBy(F.col("id") % 97, "id")))
-    return selecting.inserted(skeleton, ranked.where("id % 5 = 1"))
+    return selecting.inserted(skeleton, ranked.where("id % 5 <> 0"))
 
 
 def page_breaks(spark, sf_dir):
