@@ -276,8 +276,7 @@ def page_reconcile(spark, sf_dir):
 
 def toc_backfill(spark, sf_dir):
     pages = issue_pages(spark, sf_dir)
-    heads = pages.where("page_no % 2 = 1").select("doc_id", "page_no")
-    return diffing.backfilled_contents(heads, pages)
+    return diffing.backfilled_contents(pages.select("doc_id", "page_no"), pages)
 
 
 #: Lines of Chinese text: what the tables lack.
