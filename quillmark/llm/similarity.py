@@ -233,6 +233,18 @@ def _joined(classes: DataFrame, links: DataFrame, more: DataFrame) -> tuple[Data
     return written(components(links), "components"), links
 
 
+def _marked(at: int, shingle: int):
+    """For mapInArrow: all columns, and the set of the text in column at."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            marks = [int(fingerprint(shingle_set(t.as_py(), shingle, hashes))) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(marks, np.uint64).view(np.int64))], names=[*batch.schema.names, "id"])
+
+    return scan
+
+
 def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component) for each row of docs: the smallest key that links lead to, its own included.
 
@@ -244,6 +256,14 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     different components, those can link alone that also share one of their rarest shingles; all these are checked. So no link
     between components is lost, and pairs inside a component needn't be made. Keys are integers; a row with a null key has null n_shingles and component and links with nothing.
     """
+    return _classes(docs, key, text, shingle, percent).select(F.col("doc").alias(key), "n_shingles", "component")
+
+
+def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """similarity_classes with doc for the key, and for each row its set (id), and stays: whether that is the set of its class that is to stay.
+
+    Of a class, that is the set of the smallest key (of several such sets, the smallest); texts without shingles all stay.
+    """
     spark = docs.sparkSession
     every = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     given = every.where("doc IS NOT NULL")
@@ -275,22 +295,39 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes, checked = _joined(classes, checked, more)
 
     rooted = vertices.join(classes, "id", "left").select("id", "doc", F.coalesce("component", "id").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
-    by_set = rooted.join(smallest, "root").select("id", "component")
-    out = rows.join(by_set, "id", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("doc")).alias("component"))
-    keyless = every.where("doc IS NULL").select(F.col("doc").alias(key), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component"))
+    smallest = rooted.groupBy("root").agg(F.min(F.struct("doc", "id")).alias("least"))
+    by_set = rooted.join(smallest, "root").select("id", F.col("least.doc").alias("component"), (F.col("id") == F.col("least.id")).alias("first"))
+    shingled = F.col("n") > 0
+    out = rows.join(by_set, "id", "left").select("doc", F.col("n").alias("n_shingles"), F.coalesce(F.when(shingled, F.col("component")), F.col("doc")).alias("component"), "id", (~shingled | (F.col("first") & (F.col("doc") == F.col("component")))).alias("stays"))
+    keyless = every.where("doc IS NULL").select("doc", *[F.lit(None).cast(t).alias(c) for c, t in (("n_shingles", "long"), ("component", "long"), ("id", "long"), ("stays", "boolean"))])
     result = written(out.union(keyless), "classes")
     dropped(spark, table, wanted, sets, members, tried, more)
     return result
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs that have the smallest key of their class, or no key, with the columns of docs."""
-    classes = similarity_classes(docs, key, **options)
-    stay = classes.where(F.col(key) == F.col("component")).select(key).distinct()
-    own = hidden_name(docs, key)
-    kept, keyless = hidden(docs).join(stay.withColumnRenamed(key, own), own, "left_semi"), hidden(docs).where(F.col(own).isNull())
-    return shown(kept, docs).union(shown(keyless, docs))
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of docs for each class, of its smallest key, and the rows without key or shingles, with the columns of docs.
+
+    Keys of one row decide for it. Where a key has several rows, they are told apart by their sets; of rows with the key and the set
+    that stay, one with the smallest text does.
+    """
+    own, own_text = hidden_name(docs, key), hidden_name(docs, text)
+    classes = _classes(docs, key, text, shingle, percent).where("doc IS NOT NULL")
+    by_doc = written(classes.groupBy("doc").agg(F.count("*").alias("n_rows"), F.max("stays").alias("stays")).where("stays"), "stay")
+    single, several = (by_doc.where(c).select("doc") for c in ("n_rows = 1", "n_rows > 1"))
+    given, at = hidden(docs), F.col(own).cast("long") == F.col("doc")
+    out = given.join(single, at, "left_semi").union(given.where(F.col(own).isNull()))
+    n = several.count()
+    if n:
+        schema = given.withColumn("id", F.lit(0).cast("long")).schema
+        texts = given.join(F.broadcast(several) if n <= BROADCAST_IDS else several.hint("merge"), at, "left_semi")
+        rows = texts.mapInArrow(_marked(given.columns.index(own_text), shingle), schema)
+        stay = classes.where("stays").join(several, "doc", "left_semi").groupBy("doc", "id").agg(F.max(F.col("n_shingles") > 0).alias("shingled"))
+        stay = stay.select("doc", F.col("id").alias("set"), "shingled")
+        rows = rows.join(stay, at & (F.col("id") == F.col("set")))
+        one = rows.where("shingled").groupBy("doc", "set").agg(F.min_by(F.struct(*given.columns), F.col(own_text)).alias("row")).select("row.*")
+        out = out.union(one).union(rows.where(~F.col("shingled")).select(*given.columns))
+    return shown(out, docs)
 
 
 def brute_force(texts: dict[int, str | None], shingle: int, percent: int) -> dict[int, tuple[int, int]]:
