@@ -23,10 +23,10 @@ def words_of(text: str | None) -> list[bytes]:
 class SuffixAutomaton:
     """Of several items' words. need[s]: the shortest match in state s that ends a window; there, windows() has which."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int) -> None:
         self.window, self.next, self.link, self.length = window, [{}], [-1], [0]
-        ends: dict[int, set[str]] = {}
-        short: dict[int, list[tuple[int, str]]] = {}
+        ends: dict[int, set[str | None]] = {}
+        short: dict[int, list[tuple[int, str | None]]] = {}
         for name, words in items:
             last = 0
             for w in words:
@@ -36,7 +36,7 @@ class SuffixAutomaton:
                 short.setdefault(last, []).append((len(words), name))
         by_length = sorted(range(1, len(self.next)), key=self.length.__getitem__)
         # items that contain a state's strings: those of the states below it in the link tree; kept where a window can end
-        self.items: dict[int, set[str]] = {}
+        self.items: dict[int, set[str | None]] = {}
         for s in reversed(by_length):
             own = ends.pop(s, set())
             if self.length[s] >= window:
@@ -83,7 +83,7 @@ class SuffixAutomaton:
         return new
 
     def matches(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Spans of words (end exclusive, in order, apart) inside occurrences of windows, and the items that have these."""
+        """Spans of words (end exclusive, in order, apart) inside occurrences of windows, and the items with an id that have these."""
         follow, link, length, need, window = self.next, self.link, self.length, self.need, self.window
         found: list[tuple[int, int]] = []
         states: set[tuple[int, int]] = set()
@@ -104,11 +104,12 @@ class SuffixAutomaton:
             if matched >= need[state]:
                 found.append((i + 1 - max(window * (matched >= window and length[state] >= window), max((m for m, _ in self.short[state] if m <= matched), default=0)), i + 1))
                 states.add((state, min(matched, window)))
-        items: set[str] = set()
+        items: set[str | None] = set()
         for s, n in states:
             if n >= window:
                 items |= self.items.get(self.top[s], set())
             items.update(name for m, name in self.short[s] if m <= n)
+        items.discard(None)
         return merged(found), items
 
 
@@ -122,12 +123,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, most_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, most_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The items with words, in blocks of most_words words at most (or of one longer item)."""
     block, size = [], 0
     for row in benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
         words = words_of(row["t"])
-        if words and row["i"] is not None:
+        if words:
             if size and size + len(words) > most_words:
                 yield block
                 block, size = [], 0
@@ -144,7 +145,8 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     words inside occurrences of windows (start, end exclusive; apart and in order). hit_items: ids of the items with
     occurring windows (distinct, sorted as strings). Longest matches against a suffix automaton give both in one pass over a text.
     Items go to the executors in blocks of most_words words, so no broadcast grows beyond that; more blocks are more passes within the
-    same tasks, without a shuffle. Null and empty texts have no words; null item ids and items without words are left out; repeated item ids count once.
+    same tasks, without a shuffle. Null and empty texts have no words; items without words are left out; repeated item ids count once.
+    Items with a null id have windows like the others, but hit_items doesn't name them.
     Columns of docs by the names of new ones are replaced.
     """
     new = ["n_words", "hit_spans", "hit_items"]

@@ -2,7 +2,7 @@
 
 import random
 
-from quillmark.llm import similarity
+from quillmark.llm import contamination, similarity
 
 
 def test_one_of_each_decides_by_row(spark):
@@ -16,3 +16,11 @@ def test_one_of_each_decides_by_row(spark):
     one_of_four = [x for x in got if x[0] == 4]
     want = [(1, a, "x"), (2, b, "y"), (3, c.upper(), "x"), *one_of_four, (6, None, "x"), (6, "", "y"), (6, " ", "z"), (None, a, "x"), (None, a, "x"), (7, "one of a kind", "x")]
     assert found.columns == frame.columns and len(one_of_four) == 1 and got == sorted(want, key=repr)
+
+
+def test_items_without_id_contaminate(spark):
+    docs = spark.createDataFrame([(1, "x a b c y"), (2, "x d e f y"), (3, "z z z")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c"), ("7", "d e f"), (None, "d e f")], "item_id string, text string")
+    got = {x["doc_id"]: (x["n"], x["hit_items"]) for x in contamination.contaminated_spans(docs, items).select("doc_id", contamination.hit_words().alias("n"), "hit_items").collect()}
+    assert got == {1: (3, []), 2: (3, ["7"]), 3: (0, [])}
+    assert [x["doc_id"] for x in contamination.decontaminate(docs, items).collect()] == [3]
