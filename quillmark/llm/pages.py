@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +16,12 @@ from pyspark.sql import DataFrame
 
 from quillmark.llm.words import by_steps
 
-#: Fixed lists of tags: whose content isn't text; that have none; that don't end a block of text; that end an open paragraph.
-HIDDEN = ("script", "style", "noscript", "template", "textarea", "select", "svg", "math", "iframe", "object", "title", "head")
+#: Fixed lists of tags: whose content isn't text, and of these the ones that can end with their parent; of formulas; that have no content; that don't end a block of text; that end an open paragraph.
+HIDDEN = ("script", "style", "noscript", "textarea", "iframe", "title", "head")
+HIDDEN_PARTS = frozenset("template select svg object annotation annotation-xml".split())
+MATH = frozenset("math annotation annotation-xml maction menclose merror mfenced mfrac mi mlongdiv mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()) | MATH
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: Words in class, id and role that tell what a part of a page is for.
 OF_KIND = {
@@ -41,6 +44,7 @@ TAG = re.compile(
 )
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PARTS = re.compile(r"[a-z]+")
+VALUE_END = re.compile(r"=\s*[^\s\"'=]+$")  # a slash behind it belongs to the value
 
 
 @dataclass
@@ -70,7 +74,7 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, frozenset[str]]] = []
     inside: frozenset[str] = frozenset()
     pieces: list[str] = []
-    linked, at, links = 0, 0, 0
+    linked, at, links, unseen = 0, 0, 0, 0
     known: dict[tuple[frozenset[str], str, str], frozenset[str]] = {}
 
     def flush() -> None:
@@ -84,12 +88,20 @@ def blocks(html: str) -> list[Block]:
 
     def text(piece: str) -> None:
         nonlocal linked
-        if piece:
+        if piece and not unseen:
             piece = entities.unescape(piece)
             pieces.append(piece)
             if links:
                 linked += len(piece.strip())
 
+    def close(i: int) -> None:
+        """Ends the elements from the i-th open one on."""
+        nonlocal links, unseen, inside
+        links -= sum(t == "a" for t, _ in stack[i:])
+        unseen -= sum(t in HIDDEN_PARTS for t, _ in stack[i:])
+        inside = stack[i - 1][1] if i else frozenset()
+        del stack[i:]
+
     for m in TAG.finditer(html):
         text(html[at : m.start()])
         at = m.end()
@@ -107,31 +119,28 @@ def blocks(html: str) -> list[Block]:
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    if name in INLINE and any(t not in INLINE for t, _ in stack[i + 1 :]):
+                    if name in INLINE and any(t not in INLINE for t, _ in takewhile(lambda x: x[0] not in HIDDEN_PARTS, stack[i + 1 :])):
                         break
-                    links -= sum(t == "a" for t, _ in stack[i:])
-                    inside = stack[i - 1][1] if i else frozenset()
-                    del stack[i:]
+                    close(i)
                     break
             continue
-        if name in VOID:
+        if name in VOID or attributes.endswith("/") and (name == "svg" or name in MATH or "in:svg" in inside or "in:math" in inside) and not VALUE_END.search(attributes):
             continue
         ends = "p" if name in ENDS_P else name if name in ("li", "td", "th", "tr", "option", "dt", "dd") else ""
         if ends:
             for i in range(len(stack) - 1, -1, -1):
                 tag = stack[i][0]
                 if tag == ends:
-                    links -= sum(t == "a" for t, _ in stack[i:])
-                    del stack[i:]
-                    inside = stack[-1][1] if stack else frozenset()
+                    close(i)
                     break
-                if tag not in INLINE and not (ends in ("td", "th", "li", "dt", "dd") and tag == "p"):
+                if tag not in INLINE and tag != "svg" and not (ends in ("td", "th", "li", "dt", "dd") and tag == "p"):
                     break
         key = (inside, name, attributes)
         if key not in known:
             known[key] = inside | {f"in:{name}"} | _names(attributes)
         inside = known[key]
         links += name == "a"
+        unseen += name in HIDDEN_PARTS
         stack.append((name, inside))
     text(html[at:])
     flush()

@@ -2,7 +2,7 @@
 
 import random
 
-from quillmark.llm import contamination, similarity
+from quillmark.llm import contamination, pages, similarity
 
 
 def test_one_of_each_decides_by_row(spark):
@@ -24,3 +24,14 @@ def test_items_without_id_contaminate(spark):
     got = {x["doc_id"]: (x["n"], x["hit_items"]) for x in contamination.contaminated_spans(docs, items).select("doc_id", contamination.hit_words().alias("n"), "hit_items").collect()}
     assert got == {1: (3, []), 2: (3, ["7"]), 3: (0, [])}
     assert [x["doc_id"] for x in contamination.decontaminate(docs, items).collect()] == [3]
+
+
+def test_hidden_elements_end_with_themselves_or_their_parent():
+    texts = lambda html: [b.text for b in pages.blocks(html)]
+    assert texts('<p>One</p><svg class="icon"/><p>two</p><math/><p>three</p><svg><path d="M0"/><text>no</text></svg><p>four</p>') == ["One", "two", "three", "four"]
+    assert texts("<p>So <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><mspace/><annotation>x=2</annotation></semantics></math> holds.</p>") == ["So x=2 holds."]
+    for tag in ("svg", "object", "select", "template"):
+        assert texts(f"<div>a<{tag}>no<b>no</b></div><p>b</p><div>c<{tag}>no</{tag}>d</div>") == ["a", "b", "c", "d"]
+        assert texts(f'<p>a <a href="/"><{tag} x=1></a> b</p><p>c</p>')[-1] == "c"
+    assert texts("<ul><li>a<svg>no<li>b</ul><p>c<p>d") == ["a", "b", "c", "d"]
+    assert texts("<svg class=icon/>no</svg>a") == ["a"]
