@@ -21,7 +21,7 @@ RUN = re.compile(r"([^\w\s])\1")
 #: Fixed bounds of the labellers: the measure, the most that is good, the least that is bad.
 LABELLERS = (
     ("repeats", 0.10, 0.20),  # words equal to the one before
-    ("few_words", 0.60, 0.85),  # share of words that occurred before
+    ("few_words", 0.60, 0.85),  # share of words that occurred before, in the same part of a long text
     ("capitals", 0.15, 0.35),  # upper-case letters of all letters
     ("shouts", 0.02, 0.15),  # words in capitals, of three letters or more
     ("sign_runs", 0.02, 0.10),  # words with a sign twice in a row
@@ -31,6 +31,8 @@ LABELLERS = (
     ("long_words", 0.02, 0.20),  # words of more than 40 characters
 )
 FEATURES = 1 << 12
+#: Words of a part within which words that occurred before are counted: all words fill up a vocabulary in the end.
+PART_WORDS = 20_000
 
 
 def word_measures(words: list[str]) -> np.ndarray:
@@ -57,8 +59,9 @@ def measures(rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     n = len(numbers)
     if not n:
         return np.zeros(len(LABELLERS))
+    distinct = sum(len(np.unique(numbers[k : k + PART_WORDS])) for k in range(0, n, PART_WORDS))
     letters, capitals, shouts, runs, no_letters, signs, chars, long_, short, _ = rows.sum(axis=0)
-    return np.array([(numbers[1:] == numbers[:-1]).sum() / n, 1 - len(np.unique(numbers)) / n, capitals / max(1, letters), shouts / n, runs / n, no_letters / n, signs / max(1, chars), 1 - short / max(1, n - no_letters), long_ / n])
+    return np.array([(numbers[1:] == numbers[:-1]).sum() / n, 1 - distinct / n, capitals / max(1, letters), shouts / n, runs / n, no_letters / n, signs / max(1, chars), 1 - short / max(1, n - no_letters), long_ / n])
 
 
 def votes(measured: np.ndarray, n: int, least_words: int = 8) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 import random
 
-from quillmark.llm import contamination, pages, similarity
+from quillmark.llm import contamination, pages, quality, similarity
 
 
 def test_one_of_each_decides_by_row(spark):
@@ -35,3 +35,18 @@ def test_hidden_elements_end_with_themselves_or_their_parent():
         assert texts(f'<p>a <a href="/"><{tag} x=1></a> b</p><p>c</p>')[-1] == "c"
     assert texts("<ul><li>a<svg>no<li>b</ul><p>c<p>d") == ["a", "b", "c", "d"]
     assert texts("<svg class=icon/>no</svg>a") == ["a"]
+
+
+def test_few_words_does_not_grow_with_length():
+    r, few = random.Random(6), [name for name, _, _ in quality.LABELLERS].index("few_words")
+
+    def measured(n):
+        words = [int(60_000 * r.random() ** 3) for _ in range(n)]
+        numbers = quality.np.array(words)
+        return quality.measures(quality.np.zeros((n, 10)), numbers)[few], 1 - len(set(words)) / n
+
+    short, whole = measured(quality.PART_WORDS)
+    assert short == whole and short < 0.85
+    long, whole = measured(50 * quality.PART_WORDS)
+    assert whole > 0.85 and abs(long - short) < 0.02
+    assert quality.measures(quality.np.zeros((90_000, 10)), quality.np.arange(90_000) % 30)[few] > 0.99
