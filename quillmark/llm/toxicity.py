@@ -37,7 +37,7 @@ class ToxicityModel:
 
 
 def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow over (label, text): (y, size, buckets, counts): a document's number of subwords, its buckets (int32) and how often it has each (uint16)."""
+    """For mapInArrow over (label, text): (y, size, buckets, counts): a document's number of subwords, its buckets (int32) and how often it has each (int64)."""
     for batch in by_steps(batches, 2_000_000):
         sizes, buckets, counts = [], [], []
         for text in batch.column(1):
@@ -47,7 +47,7 @@ def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             at = np.flatnonzero(total)
             sizes.append(int(total.sum()))
             buckets.append(at.astype(np.int32).tobytes())
-            counts.append(np.minimum(total[at], 65535).astype(np.uint16).tobytes())
+            counts.append(total[at].astype(np.int64).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["y", "size", "buckets", "counts"])
 
 
@@ -56,7 +56,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, m
 
     A document is the average of its subwords' embeddings; cross-entropy of the softmax, each class weighed by its share among all labelled
     rows (to a power of 0.7), however many were sampled. Steps follow the gradient over the square root of a subword's frequency; those that occur fewer than 5 times
-    stay out, as they tell documents apart, not classes. Repeated labels of a key: the highest counts; of its rows, one does. With only one class, or none, known, all scores are that class's share.
+    stay out, as they tell documents apart, not classes. Repeated labels of a key: the highest counts; of its rows, that of the least text does. Null keys have no label. With only one class, or none, known, all scores are that class's share.
     """
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).cast("int").alias("_y"))
     texts = docs.where(F.col(text).isNotNull()).select(key, text)
@@ -64,14 +64,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, m
     in_all = dict(known.groupBy("_y").count().collect())
     if len(in_all) == 2:
         chosen = sampled(known, key, "_y", F.col("_size"), most_docs, most_bytes).select(key, "_y")  # few enough to go to all executors, by most_docs
-        sample = texts.join(F.broadcast(chosen), key).dropDuplicates([key]).select("_y", text).mapInArrow(subword_counts, "y int, size long, buckets binary, counts binary").where("size > 0").toArrow()
+        sample = texts.join(F.broadcast(chosen), key).groupBy(key, "_y").agg(F.min(text).alias("_text")).select("_y", "_text").mapInArrow(subword_counts, "y int, size long, buckets binary, counts binary").where("size > 0").toArrow().sort_by([("y", "ascending"), ("size", "ascending"), ("buckets", "ascending"), ("counts", "ascending")])
         y = sample["y"].to_numpy().astype(int)
     else:
         y = np.array(list(in_all), int)
     if len(set(y.tolist())) < 2:
         share = (y.mean() if len(y) else 0.0) * 0.98 + 0.01
         return ToxicityModel(np.zeros((BUCKETS, 1)), np.zeros((1, 2)), np.array([0.0, np.log(share / (1 - share))]))
-    rows = [(np.frombuffer(b.as_py(), np.int32), np.frombuffer(c.as_py(), np.uint16).astype(np.float32) / s) for b, c, s in zip(sample["buckets"], sample["counts"], sample["size"].to_numpy(), strict=True)]
+    rows = [(np.frombuffer(b.as_py(), np.int32), (np.frombuffer(c.as_py(), np.int64) / s).astype(np.float32)) for b, c, s in zip(sample["buckets"], sample["counts"], sample["size"].to_numpy(), strict=True)]
     frequency = sum(np.bincount(b, v * s, BUCKETS) for (b, v), s in zip(rows, sample["size"].to_numpy(), strict=True))
     del sample
     step = np.where(frequency >= 5, 1 / np.sqrt(np.maximum(1, frequency)), 0)[:, None]
