@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import hidden, hidden_name, shown
+from quillmark.llm.common import dropped, hidden, hidden_name, shown, written
 
 #: Bytes that belong to words, A-Z turned to a-z; all others become spaces.
 TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -20,95 +21,123 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(TO_WORDS).split() if text else []
 
 
+#: No state, no word, no length that a match could have.
+NONE, NO_WORD, NEVER = -1, -2, (1 << 31) - 1
+
+
 class SuffixAutomaton:
-    """Of several items' words. need[s]: the shortest match in state s that ends a window; there, windows() has which."""
+    """Of several items' words, in arrays of 32-bit numbers: some 40 bytes for each word, and the distinct words themselves.
+
+    A state's first transition is in word and to; only states with more have a dictionary in more. need[s]: the shortest match in state s
+    that ends a window; named[s]: where in names the items are whose windows end there (longer states point to the one of `window` words).
+    """
 
     def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int) -> None:
-        self.window, self.next, self.link, self.length = window, [{}], [-1], [0]
+        self.window, self.words = window, {}
+        self.word, self.to, self.link, self.length = array("i", [NO_WORD]), array("i", [NONE]), array("i", [NONE]), array("i", [0])
+        self.more: dict[int, dict[int, int]] = {}
         ends: dict[int, set[str | None]] = {}
         short: dict[int, list[tuple[int, str | None]]] = {}
         for name, words in items:
             last = 0
             for w in words:
-                last = self._extend(last, w)
+                last = self._extend(last, self.words.setdefault(w, len(self.words)))
                 ends.setdefault(last, set()).add(name)
             if 0 < len(words) < window:
                 short.setdefault(last, []).append((len(words), name))
-        by_length = sorted(range(1, len(self.next)), key=self.length.__getitem__)
+        link, length = self.link, self.length
+        by_length = sorted(range(1, len(link)), key=length.__getitem__)
         # items that contain a state's strings: those of the states below it in the link tree; kept where a window can end
-        self.items: dict[int, set[str | None]] = {}
+        self.names: list[tuple] = [()]
+        self.named = array("i", bytes(4 * len(link)))
+        numbers: dict[tuple, int] = {(): 0}
         for s in reversed(by_length):
-            own = ends.pop(s, set())
-            if self.length[s] >= window:
-                if self.length[self.link[s]] < window:
-                    self.items[s] = own
+            own = ends.pop(s, ())
+            if length[s] >= window:
+                if length[link[s]] < window:
+                    own = tuple(sorted(own, key=lambda x: (x is None, x or "")))
+                    self.named[s] = numbers.setdefault(own, len(self.names))
+                    if self.named[s] == len(self.names):
+                        self.names.append(own)
                 else:
-                    ends.setdefault(self.link[s], set()).update(own)
-        self.short: list[tuple] = [()] * len(self.next)
-        self.top = list(range(len(self.next)))  # the state of the last `window` words, for states that hold more
-        self.need = [1 << 60] * len(self.next)
+                    ends.setdefault(link[s], set()).update(own)
+        self.need, self.short = array("i", [NEVER]) * len(link), {}
         for s in by_length:
-            up = self.link[s]
-            self.short[s] = (*short.get(s, ()), *self.short[up])
-            if self.length[up] >= window:
-                self.top[s] = self.top[up]
-            self.need[s] = min([*(m for m, _ in self.short[s]), *([window] if self.length[s] >= window else [])], default=1 << 60)
-
-    def _new(self, length: int, follow: dict[bytes, int], link: int) -> int:
-        self.next.append(follow)
-        self.link.append(link)
-        self.length.append(length)
-        return len(self.next) - 1
-
-    def _split(self, p: int, w: bytes, q: int) -> int:
+            up = link[s]
+            if s in short or up in self.short:
+                self.short[s] = (*short.get(s, ()), *self.short.get(up, ()))
+            if length[up] >= window:
+                self.named[s] = self.named[up]
+            self.need[s] = min([*(m for m, _ in self.short.get(s, ())), *([window] if length[s] >= window else [])], default=NEVER)
+
+    def _new(self, length: int, link: int) -> int:
+        for numbers, n in ((self.word, NO_WORD), (self.to, NONE), (self.link, link), (self.length, length)):
+            numbers.append(n)
+        return len(self.link) - 1
+
+    def _next(self, s: int, w: int) -> int:
+        if self.word[s] == w:
+            return self.to[s]
+        return self.more[s].get(w, NONE) if s in self.more else NONE
+
+    def _lead(self, s: int, w: int, to: int) -> None:
+        if self.word[s] in (w, NO_WORD):
+            self.word[s], self.to[s] = w, to
+        else:
+            self.more.setdefault(s, {})[w] = to
+
+    def _split(self, p: int, w: int, q: int) -> int:
         """A copy of q for its strings that also follow p."""
-        copy = self._new(self.length[p] + 1, dict(self.next[q]), self.link[q])
+        copy = self._new(self.length[p] + 1, self.link[q])
+        self.word[copy], self.to[copy] = self.word[q], self.to[q]
+        if q in self.more:
+            self.more[copy] = dict(self.more[q])
         self.link[q] = copy
-        while p != -1 and self.next[p].get(w) == q:
-            self.next[p][w] = copy
+        while p != NONE and self._next(p, w) == q:
+            self._lead(p, w, copy)
             p = self.link[p]
         return copy
 
-    def _extend(self, last: int, w: bytes) -> int:
-        q = self.next[last].get(w)
-        if q is not None:
+    def _extend(self, last: int, w: int) -> int:
+        q = self._next(last, w)
+        if q != NONE:
             return q if self.length[q] == self.length[last] + 1 else self._split(last, w, q)
-        new, p = self._new(self.length[last] + 1, {}, 0), last
-        while p != -1 and w not in self.next[p]:
-            self.next[p][w] = new
+        new, p = self._new(self.length[last] + 1, 0), last
+        while p != NONE and (q := self._next(p, w)) == NONE:
+            self._lead(p, w, new)
             p = self.link[p]
-        if p != -1:
-            q = self.next[p][w]
+        if p != NONE:
             self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, w, q)
         return new
 
     def matches(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Spans of words (end exclusive, in order, apart) inside occurrences of windows, and the items with an id that have these."""
-        follow, link, length, need, window = self.next, self.link, self.length, self.need, self.window
+        word, to, more, link, length, need, window = self.word, self.to, self.more, self.link, self.length, self.need, self.window
+        known, none = self.words.get, {}
         found: list[tuple[int, int]] = []
         states: set[tuple[int, int]] = set()
         state = matched = 0
-        root = follow[0]
         for i, w in enumerate(words):
-            to = follow[state].get(w)
-            if to is None:
-                if w not in root:
-                    state = matched = 0
-                    continue
-                while to is None:
+            w = known(w, NONE)
+            if w == NONE:
+                state = matched = 0
+                continue
+            at = to[state] if word[state] == w else more.get(state, none).get(w, NONE)
+            if at == NONE:  # the root has all words, so that this ends
+                while at == NONE:
                     state = link[state]
-                    to = follow[state].get(w)
+                    at = to[state] if word[state] == w else more.get(state, none).get(w, NONE)
                 matched = length[state]
-            state = to
+            state = at
             matched += 1
             if matched >= need[state]:
-                found.append((i + 1 - max(window * (matched >= window and length[state] >= window), max((m for m, _ in self.short[state] if m <= matched), default=0)), i + 1))
+                found.append((i + 1 - max(window * (matched >= window and length[state] >= window), max((m for m, _ in self.short.get(state, ()) if m <= matched), default=0)), i + 1))
                 states.add((state, min(matched, window)))
         items: set[str | None] = set()
         for s, n in states:
             if n >= window:
-                items |= self.items.get(self.top[s], set())
-            items.update(name for m, name in self.short[s] if m <= n)
+                items.update(self.names[self.named[s]])
+            items.update(name for m, name in self.short.get(s, ()) if m <= n)
         items.discard(None)
         return merged(found), items
 
@@ -144,40 +173,60 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     A window is `window` consecutive words of an item; an item of fewer words is one window. hit_spans: spans of
     words inside occurrences of windows (start, end exclusive; apart and in order). hit_items: ids of the items with
     occurring windows (distinct, sorted as strings). Longest matches against a suffix automaton give both in one pass over a text.
-    Items go to the executors in blocks of most_words words, so no broadcast grows beyond that; more blocks are more passes within the
-    same tasks, without a shuffle. Null and empty texts have no words; items without words are left out; repeated item ids count once.
+    Items go to the executors in blocks of most_words words (or one longer item), one block after another: with several, each pass is written to the shared folder and the
+    one before dropped, so that driver and workers hold one block's automaton at a time, however large the benchmark is. Null and empty texts have no words; items without words are left out; repeated item ids count once.
     Items with a null id have windows like the others, but hit_items doesn't name them.
     Columns of docs by the names of new ones are replaced.
     """
+    return _found(docs, benchmark, text, item_id, item_text, window, most_words)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, most_words: int = 500_000, longest: int | None = None) -> DataFrame:
+    """contaminated_spans; with longest, spans of so many words or more are cut out of the texts in the last pass."""
     new = ["n_words", "hit_spans", "hit_items"]
     out = docs.drop(*new).withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.lit(None).cast("array<struct<start:long,end:long>>"), "hit_items": F.lit(None).cast("array<string>")})
-    blocks = item_blocks(benchmark, item_id, item_text, most_words)
-    first, schema, sent = True, out.schema, docs.sparkSession.sparkContext
-    block = next(blocks, [])
-    while first or block:
+    blocks, schema, sent = item_blocks(benchmark, item_id, item_text, most_words), out.schema, docs.sparkSession.sparkContext
+    block, following, table = next(blocks, []), next(blocks, None), None
+    first = True
+    while True:
         automaton = sent.broadcast(SuffixAutomaton(block, window))
-
-        def scan(batches: Iterator[pa.RecordBatch], automaton=automaton, first=first) -> Iterator[pa.RecordBatch]:
-            match = automaton.value.matches
-            for batch in batches:
-                names = batch.schema.names
-                counts, spans, items = [], [], []
-                before = [None] * len(batch) if first else zip(batch.column(names.index("hit_spans")).to_pylist(), batch.column(names.index("hit_items")).to_pylist(), strict=True)
-                for value, old in zip(batch.column(names.index(text)), before, strict=True):
-                    words = words_of(value.as_py())
-                    hit, named = match(words)
-                    if old:
-                        hit = merged([*hit, *((x["start"], x["end"]) for x in old[0])])
-                        named = named | set(old[1])
-                    counts.append(len(words))
-                    spans.append([{"start": a, "end": b} for a, b in hit])
-                    items.append(sorted(named))
-                made = {"n_words": pa.array(counts, pa.int64()), "hit_spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "hit_items": pa.array(items, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([made.get(n, c) for n, c in zip(names, batch.columns, strict=True)], names=names)
-
-        out = out.mapInArrow(scan, schema)
-        first, block = False, next(blocks, [])
-    return out
+        out = out.mapInArrow(_scan(automaton, text, first, longest if following is None else None), schema)
+        if following is None:
+            return out
+        before, table = table, written(out, "contaminated")
+        automaton.unpersist()
+        if before is not None:
+            dropped(docs.sparkSession, before)
+        out, first, block, following = table, False, following, next(blocks, None)
+
+
+def _scan(automaton, text: str, first: bool, longest: int | None):
+    """For mapInArrow: fills in n_words, and adds to hit_spans and hit_items what one block's automaton finds; cuts spans of longest words or more."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        match = automaton.value.matches
+        for batch in batches:
+            names = batch.schema.names
+            counts, spans, items, texts = [], [], [], {}
+            before = [None] * len(batch) if first else zip(batch.column(names.index("hit_spans")).to_pylist(), batch.column(names.index("hit_items")).to_pylist(), strict=True)
+            for i, (value, old) in enumerate(zip(batch.column(names.index(text)), before, strict=True)):
+                words = words_of(value.as_py())
+                hit, named = match(words)
+                if old:
+                    hit = merged([*hit, *((x["start"], x["end"]) for x in old[0])])
+                    named = named | set(old[1])
+                if longest is not None and (long_ := [x for x in hit if x[1] - x[0] >= longest]):
+                    texts[i] = without_spans(value.as_py(), long_)
+                counts.append(len(words))
+                spans.append([{"start": a, "end": b} for a, b in hit])
+                items.append(sorted(named))
+            made = {"n_words": pa.array(counts, pa.int64()), "hit_spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "hit_items": pa.array(items, pa.list_(pa.string()))}
+            if texts:
+                own = batch.column(names.index(text))
+                made[text] = pa.array([texts.get(i, x) for i, x in enumerate(own.to_pylist())], own.type)
+            yield pa.RecordBatch.from_arrays([made.get(n, c) for n, c in zip(names, batch.columns, strict=True)], names=names)
+
+    return scan
 
 
 def hit_words() -> Column:
@@ -194,9 +243,12 @@ def items_digest() -> Column:
     return F.sha2(F.array_join("hit_items", ",").cast("binary"), 256)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents of docs that are not contaminated, with the columns of docs."""
-    found = contaminated_spans(hidden(docs), benchmark, text=hidden_name(docs, text), **options)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", longest: int | None = None, **options) -> DataFrame:
+    """The documents of docs within the coverage limit (is_contaminated), with the columns of docs.
+
+    longest: from those that stay, spans of hits of so many words or more are cut out (None: texts stay as they are). Null and empty texts stay; repeated rows are judged alike.
+    """
+    found = _found(hidden(docs), benchmark, hidden_name(docs, text), longest=longest, **options)
     return shown(found.where(~is_contaminated()), docs)
 
 
@@ -219,17 +271,8 @@ def without_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", longest: int = 13, **options) -> DataFrame:
-    """All rows and columns of docs; spans of hits of `longest` words or more are cut out of the texts."""
-    own = hidden_name(docs, text)
-    found = contaminated_spans(hidden(docs), benchmark, text=own, **options)
-
-    @F.pandas_udf("string")
-    def cut(texts, spans):
-        import pandas as pd
-
-        return pd.Series([without_spans(t, [(x["start"], x["end"]) for x in s if x["end"] - x["start"] >= longest]) for t, s in zip(texts, spans, strict=True)], dtype=object)
-
-    return shown(found.withColumn(own, cut(own, "hit_spans")), docs)
+    """All rows and columns of docs; spans of hits of `longest` words or more are cut out of the texts. Null and empty texts stay as they are."""
+    return shown(_found(hidden(docs), benchmark, hidden_name(docs, text), longest=longest, **options), docs)
 
 
 def brute_force(docs: list[str | None], items: list[tuple[str, str | None]], window: int = 13) -> list[tuple[int, int, list[str]]]:
