@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,11 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import hidden, hidden_name, shown, unit_hash
-from quillmark.llm.words import WordTable, by_steps
+from quillmark.llm.words import PRIME, WordTable, by_steps, mixed
 
 #: What a labeller says: no opinion, good, bad.
 ABSTAINS, GOOD, BAD = 0, 1, 2
-RUN = re.compile(r"([^\w\s])\1")
 #: Fixed bounds of the labellers: the measure, the most that is good, the least that is bad.
 LABELLERS = (
     ("repeats", 0.10, 0.20),  # words equal to the one before
@@ -30,37 +28,68 @@ LABELLERS = (
     ("no_short_words", 0.90, 0.96),  # words of letters and digits that have more than 3 characters
     ("long_words", 0.02, 0.20),  # words of more than 40 characters
 )
-FEATURES = 1 << 12
+#: Buckets of the shapes of words and of the measures by steps; of words themselves.
+FEATURES, WORD_FEATURES = 1 << 12, 1 << 18
+ALL_FEATURES = FEATURES + WORD_FEATURES
 #: Words of a part within which words that occurred before are counted: all words fill up a vocabulary in the end.
 PART_WORDS = 20_000
+#: What is known of code points, looked up when they first occur: letter, capital, digit, letter or digit.
+LETTER, CAPITAL, DIGIT, ALNUM, UNSEEN = 1, 2, 4, 8, 255
+KINDS = np.full(0x110000, UNSEEN, np.uint8)
 
 
-def word_measures(words: list[str]) -> np.ndarray:
-    """For each word: letters, capitals, in capitals, sign run, no letter or digit, signs, characters, long, short; then the bucket of its shape."""
-    out = np.zeros((len(words), 10))
-    for i, w in enumerate(words):
-        letters, capitals, signs = sum(map(str.isalpha, w)), sum(map(str.isupper, w)), len(w) - sum(map(str.isalnum, w))
-        out[i] = letters, capitals, letters > 2 and capitals == letters, RUN.search(w) is not None, signs == len(w), signs, len(w), len(w) > 40, len(w) - signs < 4 and signs < len(w), _bucket(shape(w))
-    return out
+def char_kinds(codes: np.ndarray) -> np.ndarray:
+    kinds = KINDS[codes]
+    if (new := kinds == UNSEEN).any():
+        for code in np.unique(codes[new]).tolist():
+            c = chr(code)
+            KINDS[code] = LETTER * c.isalpha() + CAPITAL * c.isupper() + DIGIT * c.isdigit() + ALNUM * c.isalnum()
+        kinds = KINDS[codes]
+    return kinds
+
 
+def word_measures(words: list[str]) -> np.ndarray:
+    """For each word: letters, capitals, in capitals, sign run, no letter or digit, signs, characters, long, short; then the buckets of its shape and of itself.
 
-def shape(word: str) -> str:
-    """Classes of a word's characters, runs of letters and digits made one, and its length by powers of 2."""
-    kinds = "".join("u" if c.isupper() else "l" if c.isalpha() else "d" if c.isdigit() else c for c in word)
-    return re.sub(r"([uld])\1+", r"\1", kinds)[:12] + str(len(word).bit_length())
+    A shape is the classes of all characters of a word, runs of capitals, of other letters and of digits made one, and the word's length by powers of 2.
+    """
+    if not words:
+        return np.zeros((0, 11))
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    chars = np.fromiter(map(len, words), np.int64, len(words))
+    starts, kinds = np.cumsum(chars) - chars, char_kinds(codes)
+    total = lambda on: np.add.reduceat(on, starts, dtype=np.int64)
+    has = lambda kind: kinds & kind != 0
+    letters, capitals, signs = total(has(LETTER)), total(has(CAPITAL)), total(~has(ALNUM))
+    first = np.zeros(len(codes), bool)
+    first[starts] = True
+    twice = np.concatenate(([False], codes[1:] == codes[:-1])) & ~first & ~has(ALNUM) & (codes != ord("_"))
+    kind = np.where(has(CAPITAL), 1, np.where(has(LETTER), 2, np.where(has(DIGIT), 3, codes.astype(np.uint64) + np.uint64(16)))).astype(np.uint64)
+    kept = np.concatenate(([True], kind[1:] != kind[:-1])) | first | (kind >= 16)
+    at = np.cumsum(kept)
+    place = (at - np.repeat(at[starts], chars)).astype(np.uint64)
+    shape = np.add.reduceat(np.where(kept, mixed(kind + place * PRIME), np.uint64(0)), starts) + np.frexp(chars)[1].astype(np.uint64)
+    place = (np.arange(len(codes)) - np.repeat(starts, chars)).astype(np.uint64)
+    own = np.add.reduceat(mixed(codes + place * PRIME), starts)
+    columns = (letters, capitals, (letters > 2) & (capitals == letters), total(twice) > 0, signs == chars, signs, chars, chars > 40, (chars - signs < 4) & (signs < chars))
+    return np.column_stack([*columns, mixed(shape) % np.uint64(FEATURES), FEATURES + (mixed(own) % np.uint64(WORD_FEATURES)).astype(np.int64)]).astype(float)
 
 
 def _bucket(name: str) -> int:
     return xxhash.xxh32_intdigest(name) % FEATURES
 
 
+#: Buckets of the measures by steps of 1/20, for each labeller.
+STEPS = np.array([[_bucket(f"{name}:{k}") for k in range(21)] for name, _, _ in LABELLERS])
+
+
 def measures(rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """The labellers' measures of a text from its words' rows and numbers."""
     n = len(numbers)
     if not n:
         return np.zeros(len(LABELLERS))
     distinct = sum(len(np.unique(numbers[k : k + PART_WORDS])) for k in range(0, n, PART_WORDS))
-    letters, capitals, shouts, runs, no_letters, signs, chars, long_, short, _ = rows.sum(axis=0)
+    letters, capitals, shouts, runs, no_letters, signs, chars, long_, short = rows[:, :9].sum(axis=0)
     return np.array([(numbers[1:] == numbers[:-1]).sum() / n, 1 - distinct / n, capitals / max(1, letters), shouts / n, runs / n, no_letters / n, signs / max(1, chars), 1 - short / max(1, n - no_letters), long_ / n])
 
 
@@ -71,13 +100,17 @@ def votes(measured: np.ndarray, n: int, least_words: int = 8) -> np.ndarray:
     return np.full(len(LABELLERS), ABSTAINS) if n == 0 else np.where(out == BAD, ABSTAINS, out) if n < least_words else out
 
 
+def steps_of(measured: np.ndarray) -> np.ndarray:
+    """The buckets of a text's measures."""
+    return STEPS[np.arange(len(LABELLERS)), np.minimum(20, (measured * 20).astype(int))]
+
+
 def features(measured: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text: the share of each shape among its words, and its measures by steps of 1/20."""
+    """Hashed features of a text: the shares of each shape and of each word among its words, and its measures by steps of 1/20."""
     if not n:
         return np.empty(0, np.int64), np.empty(0)
-    bucket, count = np.unique(rows[:, 9].astype(np.int64), return_counts=True)
-    steps = [_bucket(f"{name}:{min(20, int(m * 20))}") for (name, _, _), m in zip(LABELLERS, measured, strict=True)]
-    return np.concatenate([bucket, steps]), np.concatenate([count / n, np.ones(len(steps))])
+    bucket, count = np.unique(rows[:, 9:].astype(np.int64), return_counts=True)
+    return np.concatenate([bucket, steps_of(measured)]), np.concatenate([count / n, np.ones(len(LABELLERS))])
 
 
 @dataclass(frozen=True)
@@ -124,54 +157,68 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -
 VOTES = ", ".join(f"v{i} int" for i in range(len(LABELLERS)))
 
 
-def _scan(text_at: int, make):
-    """For mapInArrow: make(batch, for each text its measures, rows, words)."""
+def _scan(text_at: int, values, judge, make):
+    """For mapInArrow: make(batch, for each text what judge makes of its words' rows and numbers); values(words): the rows, from word_measures on."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(word_measures)
+        table = WordTable(values)
         for batch in by_steps(batches):
             table.trim()
             numbers = [table.numbers((value.as_py() or "").split()) for value in batch.column(text_at)]
-            values = table.rows()
-            found = []
-            for x in numbers:
-                rows = values[x]
-                found.append((measures(rows, x), rows, len(x)))
-            yield make(batch, found)
+            rows = table.rows()
+            yield make(batch, [judge(rows[x], x) for x in numbers])
 
     return scan
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: int = 6000, epochs: int = 300, rate: float = 0.05) -> QualityModel:
-    """No labels are needed. Votes are counted by pattern over all rows of docs; the scorer learns the posteriors of most_docs rows, chosen by the hash of the key."""
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: int = 6000, least_docs: int = 5, epochs: int = 300, rate: float = 0.05) -> QualityModel:
+    """No labels are needed. Votes are counted by pattern over all rows of docs; the scorer learns the posteriors of most_docs rows, chosen by the hash of the key.
+
+    The scorer sees what the labellers don't: the words of a text and their shapes. Features of fewer than least_docs of its rows stay out, as they tell documents apart, not classes. A null key counts as the empty one; an empty docs gives the prior alone.
+    """
+
+    def vote(rows, numbers):
+        return votes(measures(rows, numbers), len(numbers))
 
-    def vote(batch, found):
-        all_votes = np.array([votes(m, n) for m, _, n in found], np.int32).reshape(-1, len(LABELLERS))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(all_votes.T)], names=[f"v{i}" for i in range(len(LABELLERS))])
+    def counted_votes(batch, found):
+        columns = np.ascontiguousarray(np.array(found, np.int32).reshape(-1, len(LABELLERS)).T)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f"v{i}" for i in range(len(LABELLERS))])
 
-    counted = docs.select(text).mapInArrow(_scan(0, vote), VOTES).groupBy(*[f"v{i}" for i in range(len(LABELLERS))]).count().toPandas()
+    plain = lambda words: word_measures(words)[:, :9].astype(np.float32)
+    counted = docs.select(text).mapInArrow(_scan(0, plain, vote, counted_votes), VOTES).groupBy(*[f"v{i}" for i in range(len(LABELLERS))]).count().toPandas()
+    counted = counted.sort_values(list(counted.columns))
     patterns, counts = counted.iloc[:, :-1].to_numpy(np.int64), counted["count"].to_numpy(float)
     says_bad, good_share = fit_labellers(patterns, counts)
 
+    def described(rows, numbers):
+        m, n = measures(rows, numbers), len(numbers)
+        bucket, value = features(m, rows, n)
+        return votes(m, n).astype(np.int8).tobytes(), bucket.astype(np.int32).tobytes(), value.astype(np.float32).tobytes()
+
     def sample(batch, found):
-        made = [features(m, rows, n) for m, rows, n in found]
-        return pa.RecordBatch.from_arrays([pa.array([votes(m, n).tolist() for m, _, n in found], pa.list_(pa.int64())), pa.array([b.tolist() for b, _ in made], pa.list_(pa.int64())), pa.array([v.tolist() for _, v in made], pa.list_(pa.float64()))], names=["votes", "bucket", "value"])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in range(3)], names=["votes", "bucket", "value"])
 
     share = min(1.0, most_docs / max(1.0, counts.sum()))
-    rows = docs.where(unit_hash(F.col(key), F.lit("quality")) < share).select(text).mapInArrow(_scan(0, sample), "votes array<long>, bucket array<long>, value array<double>").toPandas()
-    weights, bias = np.zeros(FEATURES), float(np.log(good_share / (1 - good_share)))
-    rows = rows[rows["bucket"].map(len) > 0]
-    if len(rows):
-        y = _posterior(np.array(rows["votes"].tolist()), says_bad, good_share)
-        lengths = rows["bucket"].map(len).to_numpy()
-        of, bucket, value = np.repeat(np.arange(len(rows)), lengths), np.concatenate(rows["bucket"].to_list()), np.concatenate(rows["value"].to_list())
-        m, v, mb, vb = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
+    chosen = docs.where(unit_hash(F.col(key), F.lit("quality")) < share).select(text)
+    rows = chosen.mapInArrow(_scan(0, word_measures, described, sample), "votes binary, bucket binary, value binary").toArrow().to_pydict()
+    rows = [(np.frombuffer(v, np.int8), np.frombuffer(b, np.int32), np.frombuffer(x, np.float32)) for v, b, x in zip(rows["votes"], rows["bucket"], rows["value"], strict=True) if b]
+    rows.sort(key=lambda x: [c.tobytes() for c in x])  # sums don't depend on the order in which tasks end
+    weights, bias = np.zeros(ALL_FEATURES), float(np.log(good_share / (1 - good_share)))
+    if rows:
+        y = _posterior(np.array([v for v, _, _ in rows]), says_bad, good_share)
+        of, bucket, value = np.repeat(np.arange(len(rows)), [len(b) for _, b, _ in rows]), np.concatenate([b for _, b, _ in rows]), np.concatenate([x for _, _, x in rows])
+        del rows
+        often = np.bincount(bucket, minlength=ALL_FEATURES)[bucket] >= least_docs
+        of, value = of[often], value[often]
+        used, bucket = np.unique(bucket[often], return_inverse=True)
+        w, m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
         for epoch in range(1, epochs + 1):  # logistic regression on soft labels, Adam, a little decay
-            g = (1 / (1 + np.exp(-np.clip(np.bincount(of, weights[bucket] * value, len(y)) + bias, -60, 60))) - y) / len(y)
-            gw, gb = np.bincount(bucket, g[of] * value, FEATURES) + 1e-6 * weights, g.sum()
+            g = (1 / (1 + np.exp(-np.clip(np.bincount(of, w[bucket] * value, len(y)) + bias, -60, 60))) - y) / len(y)
+            gw, gb = np.bincount(bucket, g[of] * value, len(used)) + 1e-6 * w, g.sum()
             m, v, mb, vb = m + 0.1 * (gw - m), v + 0.01 * (gw**2 - v), mb + 0.1 * (gb - mb), vb + 0.01 * (gb**2 - vb)
-            weights -= rate * m / (1 - 0.9**epoch) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-9)
+            w -= rate * m / (1 - 0.9**epoch) / (np.sqrt(v / (1 - 0.99**epoch)) + 1e-9)
             bias -= rate * mb / (1 - 0.9**epoch) / (np.sqrt(vb / (1 - 0.99**epoch)) + 1e-9)
+        weights[used] = w
     return QualityModel(says_bad, good_share, weights, bias)
 
 
@@ -183,17 +230,23 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
     sent, own = docs.sparkSession.sparkContext.broadcast(model), docs.drop("quality")
     at = own.columns.index(text)
 
-    def score(batch, found):
-        model = sent.value
-        out = []
-        for m, rows, n in found:
-            bucket, value = features(m, rows, n)
-            z = float(model.weights[bucket] @ value) + model.bias if n else -60.0
-            out.append(1 / (1 + np.exp(-min(60.0, max(-60.0, z)))) if n else 0.0)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "quality"])
+    def weighed(words):
+        """The labellers' measures of words, and what a word adds to the score of a text that is made of it alone."""
+        made, weights = word_measures(words), sent.value.weights
+        return np.column_stack([made[:, :9], weights[made[:, 9:].astype(np.int64)].sum(axis=1)])
+
+    def score(rows, numbers):
+        n = len(numbers)
+        if not n:
+            return 0.0
+        z = rows[:, 9].sum() / n + sent.value.weights[steps_of(measures(rows, numbers))].sum() + sent.value.bias
+        return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
+
+    def scored(batch, found):
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "quality"])
 
     schema = own.withColumn("quality", F.lit(0.0).cast("double")).schema
-    return own.mapInArrow(_scan(at, score), schema)
+    return own.mapInArrow(_scan(at, weighed, score, scored), schema)
 
 
 def good_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5, **options) -> DataFrame:
