@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from quillmark.llm.words import by_steps
 
 #: Fixed lists of tags: whose content isn't text, and of these the ones that can end with their parent; of formulas; that have no content; that don't end a block of text; that end an open paragraph.
-HIDDEN = ("script", "style", "noscript", "textarea", "iframe", "title", "head")
+HIDDEN = ("script", "style", "textarea", "iframe", "title", "head")
 HIDDEN_PARTS = frozenset("template select svg object annotation annotation-xml".split())
 MATH = frozenset("math annotation annotation-xml maction menclose merror mfenced mfrac mi mlongdiv mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,6 +37,9 @@ OF_KIND = {
 }
 KIND_OF = {w: k for k, words in OF_KIND.items() for w in words.split()}
 KIND_ONLY = frozenset("main content body text".split())  # too common a part of longer names to tell anything there
+#: Parts of names that say that something is or isn't beside an element, not what it is.
+LAYOUT_PARTS = frozenset("has have no not non with without free less hide hidden off layout wrap wrapper page".split())
+RIGHTS = re.compile(r"©|\(c\)|\bcopyright\b|\ball rights reserved\b", re.I)
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(t for t in HIDDEN if t != "head") + r")\b[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>",
@@ -47,42 +50,55 @@ PARTS = re.compile(r"[a-z]+")
 VALUE_END = re.compile(r"=\s*[^\s\"'=]+$")  # a slash behind it belongs to the value
 
 
+@dataclass
+class Element:
+    """An element of a page: the one it is in, its tag, what its names tell, whether it holds a main heading or an article, its characters of text."""
+
+    parent: Element | None
+    tag: str
+    kinds: frozenset[str]
+    depth: int
+    holds: bool = False
+    size: int = 0
+
+
 @dataclass
 class Block:
     text: str
-    inside: frozenset[str]
+    element: Element
     linked: int
-    path: str = ""
 
 
-def _names(attributes: str) -> frozenset[str]:
-    """What the class, id and role of a tag tell."""
+def _names(tag: str, attributes: str) -> frozenset[str]:
+    """What the class, id and role of a tag tell; of articles, whole names alone, as parts of them tell of topics."""
     found = set()
     for values in NAMES.findall(attributes):
         for name in "".join(values).lower().split():
             if name in KIND_OF:
-                found.add(f"kind:{KIND_OF[name]}")
-            else:
+                found.add(KIND_OF[name])
+            elif tag not in ("article", "main"):
                 parts = PARTS.findall(name)
-                found.update(f"kind:{KIND_OF[p]}" for p in parts if p in KIND_OF and (p not in KIND_ONLY or len(parts) == 1 or parts[-1] == p and KIND_OF.get(parts[0]) in (None, "content")))
+                if not LAYOUT_PARTS.intersection(parts):
+                    found.update(KIND_OF[p] for p in parts if p in KIND_OF and (p not in KIND_ONLY or len(parts) == 1 or parts[-1] == p and KIND_OF.get(parts[0]) in (None, "content")))
     return frozenset(found)
 
 
 def blocks(html: str) -> list[Block]:
     """Leaf blocks in page order: text between tags that aren't inline, with character references decoded and white space made single."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
-    inside: frozenset[str] = frozenset()
+    root = Element(None, "", frozenset(), 0)
+    stack: list[Element] = []
     pieces: list[str] = []
-    linked, at, links, unseen = 0, 0, 0, 0
-    known: dict[tuple[frozenset[str], str, str], frozenset[str]] = {}
+    linked, at, links, unseen, drawn = 0, 0, 0, 0, 0
+    known: dict[tuple[str, str], frozenset[str]] = {}
 
     def flush() -> None:
         nonlocal linked
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                out.append(Block(text, inside, min(linked, len(text))))
+                block = next((e for e in reversed(stack) if e.tag not in INLINE), root)
+                out.append(Block(text, stack[-1] if stack and block is root else block, min(linked, len(text))))
             pieces.clear()
         linked = 0
 
@@ -96,10 +112,10 @@ def blocks(html: str) -> list[Block]:
 
     def close(i: int) -> None:
         """Ends the elements from the i-th open one on."""
-        nonlocal links, unseen, inside
-        links -= sum(t == "a" for t, _ in stack[i:])
-        unseen -= sum(t in HIDDEN_PARTS for t, _ in stack[i:])
-        inside = stack[i - 1][1] if i else frozenset()
+        nonlocal links, unseen, drawn
+        links -= sum(e.tag == "a" for e in stack[i:])
+        unseen -= sum(e.tag in HIDDEN_PARTS for e in stack[i:])
+        drawn -= sum(e.tag in ("svg", "math") for e in stack[i:])
         del stack[i:]
 
     for m in TAG.finditer(html):
@@ -118,48 +134,91 @@ def blocks(html: str) -> list[Block]:
             continue
         if closing:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    if name in INLINE and any(t not in INLINE for t, _ in takewhile(lambda x: x[0] not in HIDDEN_PARTS, stack[i + 1 :])):
+                if stack[i].tag == name:
+                    if name in INLINE and any(e.tag not in INLINE for e in takewhile(lambda e: e.tag not in HIDDEN_PARTS, stack[i + 1 :])):
                         break
                     close(i)
                     break
             continue
-        if name in VOID or attributes.endswith("/") and (name == "svg" or name in MATH or "in:svg" in inside or "in:math" in inside) and not VALUE_END.search(attributes):
+        if name in VOID or attributes.endswith("/") and (name == "svg" or name in MATH or drawn) and not VALUE_END.search(attributes):
             continue
         ends = "p" if name in ENDS_P else name if name in ("li", "td", "th", "tr", "option", "dt", "dd") else ""
         if ends:
             for i in range(len(stack) - 1, -1, -1):
-                tag = stack[i][0]
+                tag = stack[i].tag
                 if tag == ends:
                     close(i)
                     break
                 if tag not in INLINE and tag != "svg" and not (ends in ("td", "th", "li", "dt", "dd") and tag == "p"):
                     break
-        key = (inside, name, attributes)
-        if key not in known:
-            known[key] = inside | {f"in:{name}"} | _names(attributes)
-        inside = known[key]
+        if (name, attributes) not in known:
+            known[name, attributes] = _names(name, attributes) if name not in ("html", "body") else frozenset()
+        parent = stack[-1] if stack else root
         links += name == "a"
         unseen += name in HIDDEN_PARTS
-        stack.append((name, inside))
+        drawn += name in ("svg", "math")
+        stack.append(Element(parent, name, known[name, attributes], parent.depth + 1))
     text(html[at:])
     flush()
-    return [b for b in out if "in:head" not in b.inside or b.inside & {"in:body"}]
+    return [b for b in out if not _in(b.element, "head") or _in(b.element, "body")]
+
+
+def _above(element: Element) -> Iterator[Element]:
+    """An element and those it is in, outwards."""
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def _in(element: Element, tag: str) -> bool:
+    return any(e.tag == tag for e in _above(element))
 
 
+#: Ancestor tags that set a block apart from the article it stands in.
+APART = frozenset(f"in:{t}" for t in ("aside", "nav", "footer", "header", "form", "button", "noscript"))
 SENTENCE = re.compile(r"[.!?。！？…][\"'”’)\]]*$")
 
 
 def block_features(found: list[Block]) -> list[list[str]]:
-    """Names of the features of each block: ancestor tags, what their names tell, and its text."""
-    whole = {f"page:{t}" for t in ("article", "main") if any(f"in:{t}" in b.inside for b in found)}
+    """Names of the features of each block: ancestor tags, what names of ancestors tell, its place, and its text.
+
+    What the names of a wrapper tell, of an element that has half of a page's text or more and a main heading or article in it, counts for
+    nothing: they tell of the layout. Of the others, the nearest that tells anything counts on its own besides.
+    """
+    headed, whole = None, 0
+    for i, b in enumerate(found):
+        whole += len(b.text)
+        main = False
+        for e in _above(b.element):
+            e.size += len(b.text)
+            main = main or e.tag in ("h1", "article", "main")
+            e.holds = e.holds or main
+        if headed is None and _in(b.element, "h1"):
+            headed = i
+    tags = {t for t in ("article", "main") if any(_in(b.element, t) for b in found)}
+    known: dict[int, tuple[frozenset[str], str]] = {}
+
+    def told(element: Element) -> tuple[frozenset[str], str]:
+        """Features of the blocks in an element; what the nearest names tell."""
+        todo = [e for e in takewhile(lambda e: id(e) not in known, _above(element))]
+        for e in reversed(todo):
+            above, near = known[id(e.parent)] if e.parent is not None else (frozenset(), "")
+            kinds = frozenset() if e.holds and 2 * e.size >= whole and e.tag not in ("article", "main", "h1") else e.kinds
+            known[id(e)] = above | ({f"in:{e.tag}"} if e.tag not in ("", "html", "body") else set()) | {f"kind:{k}" for k in kinds}, "+".join(sorted(kinds)) or near
+        return known[id(element)]
+
     out = []
-    for b in found:
+    for i, b in enumerate(found):
+        inside, near = told(b.element)
         words = b.text.count(" ") + 1
-        own = [*b.inside, "bias", f"words:{min(6, words.bit_length())}", f"links:{min(4, 5 * b.linked // max(1, len(b.text)))}"]
+        own = [*inside, "bias", f"words:{min(6, words.bit_length())}", f"links:{min(4, 5 * b.linked // max(1, len(b.text)))}", f"leaf:{b.element.tag}", f"near:{near}"]
         own += ["sentence"] if SENTENCE.search(b.text) else ["no sentence"]
         own += ["sign"] if any(c in b.text for c in "©®»›") else []
-        own += [f"out of {w[5:]}" for w in whole if f"in:{w[5:]}" not in b.inside]
+        own += [f"out of {t}" for t in tags if f"in:{t}" not in inside]
+        own += ["before heading"] if headed is not None and i < headed else ["after heading"] if headed is not None else []
+        apart = inside & APART or near not in ("", "content")
+        own += [("apart" if apart else "clear") + (where := " in article" if inside & {"in:article", "in:main"} else " in content" if near == "content" else "")]
+        own += ["rights" + where] if RIGHTS.search(b.text) else []
         out.append(own)
     return out
 
@@ -191,7 +250,7 @@ class PageModel:
         return out[::-1]
 
 
-def train_crf(pages: list[tuple[list[list[str]], list[bool]]], epochs: int = 150, rate: float = 0.1, decay: float = 1e-3) -> PageModel:
+def train_crf(pages: list[tuple[list[list[str]], list[bool]]], epochs: int = 250, rate: float = 0.1, decay: float = 2e-4) -> PageModel:
     """Maximum likelihood of labelled pages, with forward and backward sums over all pages at once; Adam, and a little decay."""
     names = sorted({f for fs, _ in pages for own in fs for f in own})
     number = {f: i for i, f in enumerate(names)}
@@ -235,42 +294,68 @@ def train_crf(pages: list[tuple[list[list[str]], list[bool]]], epochs: int = 150
 
 
 def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
-    """A made-up page and, for each of its blocks, whether it is main text: layouts, tags and names as pages commonly have them."""
+    """A made-up page and, for each of its blocks, whether it is main text: layouts, tags and names as pages commonly have them.
+
+    Names of furniture also stand on bodies, wrappers, articles and paragraphs, where they tell of the layout or the topic; some pages have no names and
+    few tags that tell anything; articles may be a sentence long and may have headers, footers and by-lines of their own.
+    """
     word = lambda: "".join(rng.choice(("ka", "lo", "mi", "ren", "tu", "sa", "el", "or", "vin", "pe")) for _ in range(rng.randint(1, 4)))
     phrase = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b)))
-    sentence = lambda: phrase(4, 18).capitalize() + rng.choice("...?!")
+    sentence = lambda: phrase(2, 18).capitalize() + rng.choice("...?!")
     prose = lambda a, b: " ".join(sentence() for _ in range(rng.randint(a, b)))
+    chance = lambda p: rng.random() < p
+    furniture = lambda: rng.choice(OF_KIND[rng.choice([k for k in OF_KIND if k != "content"])].split())
     label: list[bool] = []
+    plain, alone = chance(0.15), chance(0.06)  # no names, no tags of sections; nothing beside the article
 
     def leaf(tag: str, inner: str, main: bool, attributes: str = "") -> str:
         label.append(main)
-        if rng.random() < 0.2:
+        if chance(0.2):
             inner = f"<{(t := rng.choice(('b', 'em', 'span', 'strong')))}>{inner}</{t}>"
-        return f"<{tag}{attributes}>{inner}" + ("" if tag in ("p", "li") and rng.random() < 0.15 else f"</{tag}>")
+        if not plain and not attributes and chance(0.04):
+            attributes = f' class="{rng.choice((f"{furniture()}-free", f"no-{furniture()}", f"{word()}-{word()}"))}"'
+        return f"<{tag}{attributes}>{inner}" + ("" if tag in ("p", "li") and chance(0.15) else f"</{tag}>")
 
     def named(kind: str) -> str:
+        if plain:
+            return ""
         name = rng.choice(OF_KIND[kind].split())
         name = rng.choice((name, name, f"{name}-{word()}", f"{word()}_{name}", f"site-{name}"))
         return f' {rng.choice(("class", "id"))}="{name}"'
 
+    def layout() -> str:
+        """Names on an element that holds the article and more."""
+        name = rng.choice((f"has-{furniture()}", f"no-{furniture()}", f"{rng.choice(('left', 'right', word()))}-{furniture()}", f"{furniture()}-{word()}", f"page-with-{furniture()}", furniture(), word()))
+        return f' {rng.choice(("class", "class", "id"))}="{name}"' if not plain and chance(0.5) else ""
+
     def wrap(kind: str, tag: str, inner: str) -> str:
-        if tag and rng.random() < 0.5:
-            return f"<{tag}{named(kind) if rng.random() < 0.4 else ''}>{inner}</{tag}>"
+        if plain:
+            return f"<{(t := rng.choice(('div', 'div', 'section')))}>{inner}</{t}>"
+        if tag and chance(0.5):
+            return f"<{tag}{named(kind) if chance(0.4) else ''}>{inner}</{tag}>"
         tag = rng.choice(("div", "section"))
         return f"<{tag}{named(kind)}>{inner}</{tag}>"
 
     def items(a: int, b: int) -> str:
-        return "<ul>" + "".join(leaf("li", f'<a href="/{word()}">{phrase(1, 6)}</a>', False) for _ in range(rng.randint(a, b))) + "</ul>"
+        links = [f'<a href="/{word()}">{phrase(1, 6)}</a>' for _ in range(rng.randint(a, b))]
+        kind = rng.random()
+        if kind < 0.7:
+            return "<ul>" + "".join(leaf("li", x, False) for x in links) + "</ul>"
+        return "".join(leaf(rng.choice(("p", "div")), x, False) for x in links) if kind < 0.85 else bare(rng.choice((" ", " | ", " &middot; ")).join(links))
 
     def odd() -> str:
-        kind = rng.choice(("advert", "notice", "side", "form", "menu"))
+        kind = rng.choice(("advert", "notice", "side", "form", "menu", "noscript"))
+        if kind == "noscript":
+            return f"<noscript>{leaf('p', prose(1, 1), False) if chance(0.5) else bare(prose(1, 1))}</noscript>"
+        if plain:
+            kind = rng.choice(("form", "menu"))
         if kind == "advert":
-            return wrap(kind, "", leaf("p", prose(1, 2), False) if rng.random() < 0.6 else bare(prose(1, 3)))
+            return wrap(kind, "", leaf("p", prose(1, 2), False) if chance(0.6) else bare(prose(1, 3)))
         if kind == "notice":
             return wrap(kind, "", leaf("p", prose(1, 2), False) + leaf("button", phrase(1, 2), False))
         if kind == "form":
             return f"<form{named(kind)}>" + leaf("label", prose(1, 1), False) + "<input><br>" + leaf("button", phrase(1, 2), False) + "</form>"
-        return wrap(kind, {"side": "aside", "menu": "nav"}[kind], (leaf("h3", phrase(1, 3), False) if rng.random() < 0.5 else "") + (items(2, 6) if rng.random() < 0.7 else leaf("p", prose(1, 2), False)))
+        return wrap(kind, {"side": "aside", "menu": "nav"}[kind], (leaf("h3", phrase(1, 3), False) if chance(0.5) and not plain else "") + (items(2, 6) if chance(0.7) or plain else leaf("p", prose(1, 2), False)))
 
     def bare(inner: str) -> str:
         label.append(False)
@@ -278,14 +363,27 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
 
     def comments() -> str:
         one = lambda: leaf("p", phrase(1, 3), False) + leaf("p", prose(1, 4), False)
-        return wrap("comment", "", leaf("h3", phrase(1, 2), False) + "".join(f"<div{named('comment') if rng.random() < 0.5 else ''}>{one()}</div>" for _ in range(rng.randint(1, 4))))
+        tag = rng.choice(("div", "div", "article"))
+        return wrap("comment", "", leaf("h3", phrase(1, 2), False) + "".join(f"<{tag}{named('comment') if chance(0.5) else ''}>{one()}</{tag}>" for _ in range(rng.randint(1, 6))))
+
+    def by_line(tag: str) -> str:
+        return f"<{tag}>" + (leaf("p", rng.choice((f"By {phrase(1, 3).title()}", phrase(1, 6), prose(1, 1), f"{phrase(1, 2).title()}, 3 {word()} 2021")), False)) + (items(1, 3) if chance(0.3) else "") + f"</{tag}>"
+
+    def rights() -> str:
+        mark = rng.choice(("&copy;", "&copy;", "Copyright", "Copyright &copy;", "(c)"))
+        return f"{mark} {rng.choice(('', '2019 ', '2024 '))}{phrase(1, 4).title()}{rng.choice(('', '.', ' Ltd', '. All rights reserved.'))}" + (f" {prose(1, 2)}" if chance(0.4) else "")
 
     def content() -> str:
-        parts = [leaf("h1", phrase(2, 10), True)] if rng.random() < 0.85 else []
+        if chance(0.08):
+            return leaf("p", sentence(), True)
+        heading = [leaf("h1", phrase(2, 10), True)] if plain or chance(0.85) else []
+        if heading and not plain and chance(0.12):
+            heading = ["<header>", *heading, leaf("p", f"By {phrase(1, 3).title()}", False) if chance(0.6) else "", "</header>"]
+        parts = heading
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
             if kind < 0.68:
-                parts.append(leaf("p", prose(1, 6) if rng.random() < 0.85 else phrase(1, 9), True))
+                parts.append(leaf("p", prose(1, 6) if chance(0.85) else phrase(1, 9), True))
             elif kind < 0.76:
                 parts.append(leaf(rng.choice(("h2", "h3")), phrase(1, 8), True))
             elif kind < 0.82:
@@ -296,37 +394,57 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
                 parts.append("<table><tr>" + "".join(leaf("td", phrase(1, 4), True) for _ in range(rng.randint(2, 4))) + "</tr></table>")
             elif kind < 0.92:
                 parts.append(leaf("p", f'{prose(1, 2)} <a href="/x">{phrase(1, 5)}</a>', True))
+            elif kind < 0.93:
+                parts.append(leaf("p", rights() if chance(0.5) else "All rights reserved.", True))
+            elif kind < 0.94:
+                parts.append(f"<noscript>{leaf('p', prose(3, 6), True)}</noscript>")
             else:
                 parts.append(odd())
-        if rng.random() < 0.35:
+        if chance(0.35):
             tag, cut = rng.choice(("div", "section")), rng.randint(0, len(parts))
-            parts[cut:] = [f"<{tag}>{''.join(parts[cut:])}</{tag}>"]
-        if rng.random() < 0.2:
+            if "<header>" not in parts[cut:] or parts.index("<header>") >= cut:
+                parts[cut:] = [f"<{tag}>{''.join(parts[cut:])}</{tag}>"] if "</header>" not in parts[cut:] or "<header>" in parts[cut:] else parts[cut:]
+        if not plain and chance(0.2):
             parts.append(comments())
+        if not plain and chance(0.15):
+            parts.append(by_line("footer"))
         return "".join(parts)
 
     out = []
-    if rng.random() < 0.3:
+    if chance(0.3):
         out.append(odd())
-    if rng.random() < 0.5:
-        out.append(wrap("head", "header", leaf(rng.choice(("p", "div", "h2")), phrase(1, 5), False) + (items(2, 5) if rng.random() < 0.4 else "")))
-    if rng.random() < 0.8:
+    if chance(0.5) and not plain:
+        out.append(wrap("head", "header", leaf(rng.choice(("p", "div", "h2")), phrase(1, 5), False) + (items(2, 5) if chance(0.4) else "")))
+    if chance(0.8):
         out.append(wrap("menu", "nav", items(2, 8)))
-    if rng.random() < 0.5:
+    if chance(0.5):
         out.append(odd())
-    tag = rng.choice(("article", "article", "article", "main", "div"))
-    out.append(f"<{tag}{named('content') if tag == 'div' or rng.random() < 0.3 else ''}>{content()}</{tag}>")
-    if rng.random() < 0.4:
+    before = len(label)
+    tag = "div" if plain else rng.choice(("article", "article", "article", "main", "div"))
+    names = layout() if tag in ("article", "main") and chance(0.3) else named("content") if tag == "div" or chance(0.3) else ""
+    if tag in ("article", "main") and any(f'"{k}"' in names for k in KIND_OF):
+        names = ""  # an article by such a name would be what it says
+    article = f"<{tag}{names}>{content()}</{tag}>"
+    if chance(0.3):
+        inner = article + (odd() if chance(0.4) and not alone else "")
+        article = f"<div{layout()}>{inner}</div>"
+    if alone:
+        return article, label[before:]
+    out.append(article)
+    if chance(0.4) and not plain:
         out.append(comments())
-    if rng.random() < 0.5:
+    if chance(0.5):
         out.append(odd())
-    if rng.random() < 0.85:
-        out.append(wrap("foot", "footer", (leaf("p", f"&copy; {phrase(1, 4)}. {prose(1, 2)}", False) if rng.random() < 0.5 else bare(f"&copy; {phrase(1, 4)} &middot; {prose(1, 2)}")) + (items(1, 4) if rng.random() < 0.3 else "")))
-    return f"<html><head><title>{phrase(2, 6)}</title></head><body>{''.join(out)}</body></html>", label
+    if chance(0.85):
+        out.append(wrap("foot", "footer", (leaf("p", rights(), False) if chance(0.5) else bare(rights())) + (items(1, 4) if chance(0.3) else "")))
+    inner = "".join(out)
+    if chance(0.3):
+        inner = f"<div{layout()}>{inner}</div>"
+    return f"<html{layout() if chance(0.1) else ''}><head><title>{phrase(2, 6)}</title></head><body{layout()}>{inner}</body></html>", label
 
 
 @lru_cache(maxsize=4)
-def trained(pages: int = 400, seed: int = 11) -> PageModel:
+def trained(pages: int = 1200, seed: int = 11) -> PageModel:
     """The field, trained on labelled pages of labelled_page."""
     rng = random.Random(seed)
     made = []
