@@ -341,7 +341,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         kind = rng.random()
         if kind < 0.7:
             return "<ul>" + "".join(leaf("li", x, False) for x in links) + "</ul>"
-        return "".join(leaf(rng.choice(("p", "div")), x, False) for x in links) if kind < 0.85 else bare(rng.choice((" ", " | ", " &middot; ")).join(links))
+        return "".join(leaf(rng.choice(("p", "div")), x, False) for x in links) if kind < 0.85 else f"<div>{bare(rng.choice((' ', ' | ', ' &middot; ')).join(links))}</div>"
 
     def odd() -> str:
         kind = rng.choice(("advert", "notice", "side", "form", "menu", "noscript"))
