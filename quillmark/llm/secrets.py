@@ -7,9 +7,11 @@ import re._parser as parser
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmark.llm.common import dropped, heavy_keys, hidden, hidden_name, joined_evenly, written
+
 #: Strings that a part of a pattern can be followed up to, and characters of a class that are spelled out, when trigrams are derived.
 MOST_STRINGS = 32
 
@@ -126,10 +128,20 @@ def trigrams(query: object) -> list[str]:
     return [] if query is True else [query] if isinstance(query, str) else list(dict.fromkeys(t for q in query[1:] for t in trigrams(q)))
 
 
-def postings(text: Column, vocabulary: Sequence[str]) -> list[Column]:
-    """The index of a document: one bit for each trigram of vocabulary that its lower-cased text holds, 62 to a long."""
-    low = F.lower(text)
-    return [sum((F.when(F.contains(low, F.lit(t)), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, t in enumerate(vocabulary[k : k + 62])), F.lit(0).cast("long")) for k in range(0, max(1, len(vocabulary)), 62)]
+def postings(texts: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """The inverted index of texts (_id, _text): (trigram: its number in vocabulary, _id), one row for each text that holds it; equal texts are one."""
+    low = texts.select("_id", F.lower("_text").alias("_low"))
+    held = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(i)) for i, t in enumerate(vocabulary)]))
+    return low.select(F.explode(held).alias("trigram"), "_id").distinct()
+
+
+def candidates(index: DataFrame, queries: Sequence[object], vocabulary: Sequence[str]) -> DataFrame:
+    """(_id, rules): the texts whose postings meet any of the queries, and the ranks of these. The lists of all trigrams are merged by text, which intersects and unites them at once."""
+    words = [F.bit_or(F.when(F.floor(F.col("trigram") / 62) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("trigram") % 62).cast("int"))).otherwise(F.lit(0).cast("long"))).alias(f"held_{k}") for k in range((len(vocabulary) + 61) // 62)]
+    merged = index.groupBy("_id").agg(*words)
+    held = [F.col(f"held_{k}") for k in range(len(words))]
+    met = F.array_compact(F.array(*[F.when(meets(q, held, vocabulary), F.lit(rank)) for rank, q in enumerate(queries) if q is not True]))
+    return merged.select("_id", met.alias("rules")).where(F.size("rules") > 0)
 
 
 def meets(query: object, index: Sequence[Column], vocabulary: Sequence[str]) -> Column:
@@ -146,16 +158,17 @@ def meets(query: object, index: Sequence[Column], vocabulary: Sequence[str]) ->
     return out
 
 
-def matches(text: Column, rule: Rule) -> Column:
-    """Leftmost matches of a rule, apart, that are long enough: an array of (start, end), in code points, end exclusive."""
+def pieces(text: Column, rule: Rule, rank: int) -> Column:
+    """Leftmost matches of a rule, apart: an array of (rank, pos, gap, n, measured), with the code points between the match and the one before, its own, and those that count."""
     found, between = F.regexp_extract_all(text, F.lit(f"({rule.pattern})"), F.lit(1)), F.split(text, rule.pattern, -1)
     # text before each match, and its length; what is between the matches and the matches themselves make up the text
-    steps = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("n"), _measured(hit, rule).alias("m")))
-    none = F.array().cast("array<struct<start:int,end:int,m:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    end = lambda s, x: s["at"] + x["gap"] + x["n"]
-    walked = F.aggregate(steps, start, lambda s, x: F.struct(end(s, x).alias("at"), F.array_append(s["spans"], F.struct((s["at"] + x["gap"]).alias("start"), end(s, x).alias("end"), x["m"].alias("m"))).alias("spans")))
-    return F.transform(F.filter(walked["spans"], lambda x: x["m"] >= rule.least), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    both = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("n"), _measured(hit, rule).alias("measured")))
+    made = F.transform(both, lambda x, i: F.struct(F.lit(rank).alias("rank"), i.alias("pos"), x["gap"].alias("gap"), x["n"].alias("n"), x["measured"].alias("measured")))
+    return F.when(F.regexp_like(text, F.lit(rule.pattern)), made.cast(PIECES)).otherwise(F.array().cast(PIECES))
+
+
+PIECES = "array<struct<rank:int,pos:int,gap:int,n:int,measured:int>>"
+SECRETS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
 def _measured(hit: Column, rule: Rule) -> Column:
@@ -165,26 +178,42 @@ def _measured(hit: Column, rule: Rule) -> Column:
 def find_secrets(df: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BASE_RULES, *MORE_RULES)) -> DataFrame:
     """All rows and columns of df, and secrets: an array of (start, rank, end, kind), by start, then the order of rules.
 
-    start and end (exclusive) count code points. A document's index holds the trigrams that any rule needs, beside its
-    text; each rule's Boolean query is answered from it, and only candidates are matched. Rules without mandatory trigrams scan all
-    documents. The index is partitioned by document, so nothing is shuffled. Null and empty texts have no secrets. A column secrets of df is replaced.
+    start and end (exclusive) count code points. An inverted index of the trigrams that any rule needs is built over all texts and written to the shared
+    folder; each rule's Boolean query is answered by intersecting its posting lists, and only candidates are matched. Rules without mandatory trigrams
+    are matched against all texts. Equal texts are told by a 64-bit hash in the index, where a clash only adds a candidate, and by their SHA-256
+    besides where spans are joined. Positions are running sums over the matches of a text, so that many matches cost no more each than few. Texts that a
+    large share of the rows repeats are salted where rows are joined. Null and empty texts have no secrets. A column secrets of df is replaced.
     """
+    kept = df.drop("secrets")
+    given = hidden(kept).withColumn("_text", F.coalesce(F.col(hidden_name(kept, text)), F.lit("")))
+    given = given.withColumn("_id", F.xxhash64("_text"))
     queries = [trigram_query(r.pattern) for r in rules]
     vocabulary = list(dict.fromkeys(t for q in queries for t in trigrams(q)))
-    given = F.coalesce(F.col(text), F.lit(""))
-    index = postings(given, vocabulary)
-    names = [f"_postings_{i}" for i in range(len(index))]
-    indexed = df.withColumns(dict(zip(names, index, strict=True)))
-    kind = "array<struct<start:int,rank:int,end:int,kind:string>>"
-    hits = []
-    for rank, (rule, query) in enumerate(zip(rules, queries, strict=True)):
-        tagged = _tagged(matches(given, rule), rank, rule.kind)
-        hits.append(F.when(meets(query, [F.col(n) for n in names], vocabulary) & F.regexp_like(given, F.lit(rule.pattern)), tagged.cast(kind)).otherwise(F.array().cast(kind)))
-    return indexed.withColumn("secrets", F.array_sort(F.flatten(F.array(*hits)))).drop(*names)
-
-
-def _tagged(spans: Column, rank: int, kind: str) -> Column:
-    return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind")))
+    heavy = written(heavy_keys(given.groupBy("_id").count(), "_id", "count", given.count()), "heavy")
+    spread = F.spark_partition_id() + F.xxhash64(*[c for c in given.columns if c.startswith("in_") and c != hidden_name(kept, text)]) if len(kept.columns) > 1 else F.spark_partition_id()
+
+    exact = F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_sha")
+    found = []
+    if any(q is True for q in queries):
+        every = F.flatten(F.array(*[pieces(F.col("_text"), r, i) for i, (r, q) in enumerate(zip(rules, queries, strict=True)) if q is True]))
+        found.append(given.select("_id", "_text", every.alias("_pieces")).where(F.size("_pieces") > 0).select("_id", exact, F.inline("_pieces")))
+    if vocabulary:
+        index = written(postings(given, vocabulary), "postings")
+        chosen = written(candidates(index, queries, vocabulary), "candidates")
+        asked = F.flatten(F.array(*[F.when(F.array_contains("rules", i), pieces(F.col("_text"), r, i)).otherwise(F.array().cast(PIECES)) for i, (r, q) in enumerate(zip(rules, queries, strict=True)) if q is not True]))
+        texts = joined_evenly(given.select("_id", "_text", spread.alias("_spread")), chosen, "_id", heavy, F.col("_spread"))
+        found.append(texts.select("_id", "_text", asked.alias("_pieces")).where(F.size("_pieces") > 0).select("_id", exact, F.inline("_pieces")))
+    walked = Window.partitionBy("_id", "_sha", "rank").orderBy("pos")
+    every = (found[0].union(found[1]) if len(found) > 1 else found[0]).distinct().withColumn("_end", F.sum(F.col("gap") + F.col("n")).over(walked).cast("int"))
+    least, kinds = (F.element_at(F.array(*map(F.lit, x)), F.col("rank") + 1) for x in ([r.least for r in rules], [r.kind for r in rules]))
+    span = F.struct((F.col("_end") - F.col("n")).alias("start"), "rank", F.col("_end").alias("end"), kinds.alias("kind"))
+    spans = written(every.where(F.col("measured") >= least).groupBy("_id", "_sha").agg(F.array_sort(F.collect_list(span)).cast(SECRETS).alias("secrets")), "spans")
+    if vocabulary:
+        dropped(df.sparkSession, index, chosen)
+
+    rows = joined_evenly(given.select("*", exact, spread.alias("_spread")), spans, "_id", heavy, F.col("_spread"), "left", ("_sha",))
+    own = [F.col(hidden_name(kept, c)).alias(c) for c in kept.columns]
+    return rows.select(*own, F.coalesce("secrets", F.array().cast(SECRETS)).alias("secrets"))
 
 
 def joined_spans(spans: Column) -> Column:
