@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quillmark.llm.common import dropped, hidden, hidden_name, shown, written
+from quillmark.llm.common import dropped, heavy_keys, hidden, hidden_name, joined_evenly, shown, written
 from quillmark.llm.components import components
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -21,7 +21,7 @@ MIX_A, MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 GOLDEN = 0x9E3779B97F4A7C15
 #: Shingles that one step over a batch of documents holds at most (or one longer document), for bounded memory.
 STEP_SHINGLES = 1_000_000
-#: Most candidate documents whose ids are broadcast (8 bytes each) to pick their texts; beyond, a shuffled join does.
+#: Most candidate documents whose ids are broadcast (8 bytes each) to pick their texts; beyond, a shuffled join does. The default of a parameter.
 BROADCAST_IDS = 2_000_000
 
 
@@ -99,20 +99,22 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def fingerprint(shingles: np.ndarray) -> np.uint64:
-    """Of a shingle set: equal sets have equal ones."""
+def fingerprint(shingles: np.ndarray, round_: int = 0) -> tuple[int, int]:
+    """Of a shingle set: its identifier and a second number to verify that by, 64 bits each; equal sets have equal ones. Another round has other identifiers."""
     if not len(shingles):
-        return np.uint64(0)
-    both = np.array([np.bitwise_xor.reduce(shingles), np.sum(mixed(shingles), dtype=np.uint64)], np.uint64)
-    return mixed(both[:1] + both[1:] * np.uint64(GOLDEN))[0]
+        return 0, 0
+    xor, total = np.bitwise_xor.reduce(shingles), np.sum(mixed(shingles), dtype=np.uint64)
+    both = np.array([xor, total], np.uint64)
+    turned = mixed(both[1:] + np.uint64(round_) * MIX_B) * np.uint64(GOLDEN)
+    return int(mixed(mixed(both[:1]) + turned)[0]), int(mixed(mixed(both[:1] + MIX_A) ^ mixed(both[1:] + MIX_B))[0])
 
 
-SET, LINK, DOC = 0, 1, 2
+SET, LINK, DOC, CHECK = 0, 1, 2, 3
 ROWS = "kind byte, key long, id long, other long"
 
 
-def sketch_rows(shingle: int, percent: int):
-    """For mapInArrow over (id, text): DOC rows (doc id, set, size), SET rows (key, set), the first of each key in a step over a batch,
+def sketch_rows(shingle: int, percent: int, round_: int = 0):
+    """For mapInArrow over (id, text): DOC rows (doc id, set, size), CHECK rows (second number, set), SET rows (key, set), the first of each key in a step over a batch,
     and LINK rows (key, set, first set) for the other ones, so that no key has more rows to shuffle than there are steps."""
 
     def table(kind, key, id, other):  # noqa: A002
@@ -139,13 +141,14 @@ def sketch_rows(shingle: int, percent: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            docs, sizes, marks, sets, held = [], [], [], {}, 0
+            docs, sizes, marks, sets, checks, held = [], [], [], {}, {}, 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 s = shingle_set(text.as_py(), shingle, hashes)
-                f = int(fingerprint(s))
+                f, check = fingerprint(s, round_)
                 docs.append(doc)
                 sizes.append(len(s))
                 marks.append(f)
+                checks[f, check] = None
                 if len(s) and f not in sets:
                     sets[f] = s
                     held += len(s)
@@ -155,12 +158,13 @@ def sketch_rows(shingle: int, percent: int):
             yield from step(sets)
             if docs:
                 yield table(DOC, np.array(docs, np.int64), np.array(marks, np.uint64), np.array(sizes, np.int64))
+                yield table(CHECK, np.array([c for _, c in checks], np.uint64), np.array([f for f, _ in checks], np.uint64), np.zeros(len(checks), np.uint64))
 
     return scan
 
 
-def set_rows(shingle: int):
-    """For mapInArrow over (id, text): (set, size, shingles)."""
+def set_rows(shingle: int, round_: int = 0):
+    """For mapInArrow over (id, text): (set, shingles)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -168,7 +172,7 @@ def set_rows(shingle: int):
             found, marks = [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), shingle, hashes)
-                marks.append(int(fingerprint(s)))
+                marks.append(fingerprint(s, round_)[0])
                 found.append(s.view(np.int64))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"])
@@ -193,13 +197,14 @@ def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
     """(key, id, root) of the keys whose sets are in several components."""
     rooted = members.join(classes.withColumnRenamed("component", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    several = written(several, "several")  # plain tables on both sides, so that the join can split a key of many sets
     return written(rooted.join(several, "key", "left_semi").select("key", "id", "root"), "open")
 
 
 def _to_leaders(open_: DataFrame) -> DataFrame:
     """Pairs of each key's set that has most keys, the one with the fewest differences, and the sets in other components."""
     shared = open_.groupBy("id").agg(F.count("*").alias("shared"))
-    leaders = open_.join(shared, "id").groupBy("key").agg(F.max_by(F.struct("id", "root"), F.struct("shared", "id")).alias("leader"))
+    leaders = written(open_.join(shared, "id").groupBy("key").agg(F.max_by(F.struct("id", "root"), F.struct("shared", "id")).alias("leader")), "leaders")
     return open_.join(leaders, "key").where("root <> leader.root").select(*_pairs("id", "leader.id")).distinct()
 
 
@@ -233,19 +238,29 @@ def _joined(classes: DataFrame, links: DataFrame, more: DataFrame) -> tuple[Data
     return written(components(links), "components"), links
 
 
-def _marked(at: int, shingle: int):
+def _marked(at: int, shingle: int, round_: int):
     """For mapInArrow: all columns, and the set of the text in column at."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            marks = [int(fingerprint(shingle_set(t.as_py(), shingle, hashes))) for t in batch.column(at)]
+            marks = [fingerprint(shingle_set(t.as_py(), shingle, hashes), round_)[0] for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(marks, np.uint64).view(np.int64))], names=[*batch.schema.names, "id"])
 
     return scan
 
 
-def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+def _sketches(given: DataFrame, shingle: int, percent: int, round_: int) -> DataFrame:
+    """The rows of sketch_rows; of each key's sets one is the first, and the others are linked with it."""
+    raw = given.mapInArrow(sketch_rows(shingle, percent, round_), ROWS)
+    apart = F.when(F.col("kind") != SET, F.col("id")).otherwise(F.lit(0))
+    group = Window.partitionBy("kind", "key", "apart")
+    first = F.when(F.col("kind") == SET, F.min("id").over(group)).otherwise(F.col("other"))
+    kept = raw.withColumn("apart", apart).withColumn("other", first).drop("apart").where((F.col("kind") != SET) | (F.col("id") != F.col("other")))
+    return written(kept, "sketches")
+
+
+def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """(key, n_shingles, component) for each row of docs: the smallest key that links lead to, its own included.
 
     Two documents link when 100 * intersection >= percent * union of their sets of word shingles (64-bit hashes of lower-cased words
@@ -256,35 +271,36 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     different components, those can link alone that also share one of their rarest shingles; all these are checked. So no link
     between components is lost, and pairs inside a component needn't be made. Keys are integers; a row with a null key has null n_shingles and component and links with nothing.
     """
-    return _classes(docs, key, text, shingle, percent).select(F.col("doc").alias(key), "n_shingles", "component")
+    return _classes(docs, key, text, shingle, percent, broadcast_ids)[0].select(F.col("doc").alias(key), "n_shingles", "component")
 
 
-def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int, broadcast_ids: int) -> tuple[DataFrame, int]:
     """similarity_classes with doc for the key, and for each row its set (id), and stays: whether that is the set of its class that is to stay.
 
     Of a class, that is the set of the smallest key (of several such sets, the smallest); texts without shingles all stay.
+    And the round of identifiers that was used: sets of one identifier are verified to have one second number too, else all are taken anew.
     """
     spark = docs.sparkSession
     every = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     given = every.where("doc IS NOT NULL")
-    raw = given.mapInArrow(sketch_rows(shingle, percent), ROWS)
-    apart = F.when(F.col("kind") != SET, F.col("id")).otherwise(F.lit(0))
-    group = Window.partitionBy("kind", "key", "apart")
-    first = F.when(F.col("kind") == SET, F.min("id").over(group)).otherwise(F.col("other"))
-    kept = raw.withColumn("apart", apart).withColumn("other", first).drop("apart").where((F.col("kind") != SET) | (F.col("id") != F.col("other")))
-    table = written(kept, "sketches")
-    links, rows = table.where(F.col("kind") != DOC).select("key", "id", "other"), table.where(F.col("kind") == DOC).select(F.col("key").alias("doc"), "id", F.col("other").alias("n"))
+    table, round_ = _sketches(given, shingle, percent, 0), 0
+    while not table.where(F.col("kind") == CHECK).groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").isEmpty():
+        dropped(spark, table)
+        round_ += 1
+        table = _sketches(given, shingle, percent, round_)
+    links, rows = table.where(F.col("kind") < DOC).select("key", "id", "other"), table.where(F.col("kind") == DOC).select(F.col("key").alias("doc"), "id", F.col("other").alias("n"))
     vertices = rows.where("n > 0").groupBy("id").agg(F.min("doc").alias("doc"))
 
     ids = links.select("id").union(links.select("other")).distinct()
     wanted = written(vertices.join(ids, "id", "left_semi").select("doc"), "candidates")
-    few = wanted.count() <= BROADCAST_IDS
+    few = wanted.count() <= broadcast_ids
     texts = given.join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc", "left_semi")
-    sets = written(texts.mapInArrow(set_rows(shingle), "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
+    sets = written(texts.mapInArrow(set_rows(shingle, round_), "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
 
-    checked = written(_linked(links.select(*_pairs("id", "other")).distinct(), sets, percent), "links")
+    pairs = written(links.select(*_pairs("id", "other")).distinct(), "pairs")
+    checked = written(_linked(pairs, sets, percent), "links")
+    dropped(spark, pairs)
     found = written(components(checked), "components")
-    root = found.withColumnRenamed("component", "root")
 
     members = written(links.select("key", "id").union(links.select("key", F.col("other").alias("id"))).distinct(), "members")
     open_ = _open_members(members, found)
@@ -295,24 +311,29 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -
     classes, checked = _joined(classes, checked, more)
 
     rooted = vertices.join(classes, "id", "left").select("id", "doc", F.coalesce("component", "id").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min(F.struct("doc", "id")).alias("least"))
-    by_set = rooted.join(smallest, "root").select("id", F.col("least.doc").alias("component"), (F.col("id") == F.col("least.id")).alias("first"))
-    shingled = F.col("n") > 0
-    out = rows.join(by_set, "id", "left").select("doc", F.col("n").alias("n_shingles"), F.coalesce(F.when(shingled, F.col("component")), F.col("doc")).alias("component"), "id", (~shingled | (F.col("first") & (F.col("doc") == F.col("component")))).alias("stays"))
+    smallest = written(rooted.groupBy("root").agg(F.min(F.struct("doc", "id")).alias("least"), F.count("*").alias("n")), "smallest")
+    n_sets = smallest.agg(F.sum("n")).first()[0] or 0
+    by_set = joined_evenly(rooted, smallest.drop("n"), "root", heavy_keys(smallest, "root", "n", n_sets), F.xxhash64("id"))
+    by_set = written(by_set.select("id", F.col("least.doc").alias("component"), (F.col("id") == F.col("least.id")).alias("first")), "by_set")
+    copies = rows.groupBy("id").count()
+    shingled, spread = F.col("n") > 0, F.xxhash64("doc") + F.spark_partition_id()
+    out = joined_evenly(rows, by_set, "id", written(heavy_keys(copies, "id", "count", rows.count()), "heavy"), spread, "left")
+    out = out.select("doc", F.col("n").alias("n_shingles"), F.coalesce(F.when(shingled, F.col("component")), F.col("doc")).alias("component"), "id", (~shingled | (F.col("first") & (F.col("doc") == F.col("component")))).alias("stays"))
     keyless = every.where("doc IS NULL").select("doc", *[F.lit(None).cast(t).alias(c) for c, t in (("n_shingles", "long"), ("component", "long"), ("id", "long"), ("stays", "boolean"))])
     result = written(out.union(keyless), "classes")
-    dropped(spark, table, wanted, sets, members, tried, more)
-    return result
+    dropped(spark, table, wanted, sets, members, tried, more, smallest, by_set, open_, found, classes, checked)
+    return result, round_
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """One row of docs for each class, of its smallest key, and the rows without key or shingles, with the columns of docs.
 
     Keys of one row decide for it. Where a key has several rows, they are told apart by their sets; of rows with the key and the set
     that stay, one with the smallest text does.
     """
     own, own_text = hidden_name(docs, key), hidden_name(docs, text)
-    classes = _classes(docs, key, text, shingle, percent).where("doc IS NOT NULL")
+    classes, round_ = _classes(docs, key, text, shingle, percent, broadcast_ids)
+    classes = classes.where("doc IS NOT NULL")
     by_doc = written(classes.groupBy("doc").agg(F.count("*").alias("n_rows"), F.max("stays").alias("stays")).where("stays"), "stay")
     single, several = (by_doc.where(c).select("doc") for c in ("n_rows = 1", "n_rows > 1"))
     given, at = hidden(docs), F.col(own).cast("long") == F.col("doc")
@@ -320,8 +341,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     n = several.count()
     if n:
         schema = given.withColumn("id", F.lit(0).cast("long")).schema
-        texts = given.join(F.broadcast(several) if n <= BROADCAST_IDS else several.hint("merge"), at, "left_semi")
-        rows = texts.mapInArrow(_marked(given.columns.index(own_text), shingle), schema)
+        texts = given.join(F.broadcast(several) if n <= broadcast_ids else several.hint("merge"), at, "left_semi")
+        rows = texts.mapInArrow(_marked(given.columns.index(own_text), shingle, round_), schema)
         stay = classes.where("stays").join(several, "doc", "left_semi").groupBy("doc", "id").agg(F.max(F.col("n_shingles") > 0).alias("shingled"))
         stay = stay.select("doc", F.col("id").alias("set"), "shingled")
         rows = rows.join(stay, at & (F.col("id") == F.col("set")))
