@@ -67,6 +67,31 @@ def round_half_even(value: Column) -> Column:
     return F.bround(value, 0).cast("long")
 
 
+def round_one_decimal(value: Column) -> Column:
+    """To one decimal (double), half to even, by the exact binary value: the fraction is taken as a whole number of 2**-59, so that no product is rounded before."""
+    size = F.abs(value)
+    tenths = ((size - F.floor(size)) * F.lit(float(2**59))).cast("long") * 10
+    whole, rest, half = F.call_function("shiftright", tenths, F.lit(59)), F.pmod(tenths, F.lit(2**59)), F.lit(2**58)
+    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
+    return (F.floor(size) * 10 + whole + up.cast("long")) / 10 * F.signum(value)
+
+
+def stamp(time: Column) -> Column:
+    """A point of time as file names have it."""
+    return F.date_format(time, "yyyyMMdd_HHmmss")
+
+
+def elapsed_seconds(start: Column, end: Column) -> Column:
+    """Whole seconds from start to end (timestamps without zone), half to even."""
+    micros = F.timestamp_diff("MICROSECOND", start, end)
+    return F.bround(micros / F.lit(1e6), 0).cast("long")
+
+
+def any_line_matches(lines: Column, pattern: str) -> Column:
+    """Whether a line of an array matches, without regard to case; null lines don't, and no lines don't."""
+    return F.coalesce(F.exists(lines, lambda x: F.coalesce(F.regexp_like(x, F.lit(f"(?i){pattern}")), F.lit(False))), F.lit(False))
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/\\]*)$", 1)
 
@@ -118,8 +143,8 @@ PROOF_RULES = {
     "half_width_mark": f"(?<=[{HAN}])[,;:?!](?=[{HAN}])",
 }
 
-#: Sign-offs at the end of an article (ours, after the stated rules): names or units in brackets, photo credits, captions.
-SIGN_OFF = rf"^{WS}*(?:（[{HAN}]{{2,4}}(?:[ 、][{HAN}]{{2,12}})*）|\([{HAN}]{{2,4}}(?:[ 、][{HAN}]{{2,12}})*\)|.{{0,20}}(?:[/／]摄|供图|摄影).{{0,4}}|图[为：:].{{0,40}})$"
+#: Sign-offs at the end of an article (ours, after the stated rules): names or units in brackets, photo credits, captions. Credits end with their mark and, like captions, hold no end of a sentence before it.
+SIGN_OFF = rf"^{WS}*(?:（[{HAN}]{{2,4}}(?:[ 、][{HAN}]{{2,12}})*）|\([{HAN}]{{2,4}}(?:[ 、][{HAN}]{{2,12}})*\)|[^。！？；，]*(?:[/／]摄|供图|摄影)[^{HAN}。！？；，]*|图[为：:][^。！？；]*。?)$"
 TRAILING_SIGN_OFF = rf"(?:（[{HAN}]{{2,4}}(?: [{HAN}]{{2,12}})*）)$"
 POINTERS = "详见|见下表|见附件|附后"
 
@@ -135,7 +160,7 @@ def strip_sign_off(paragraph: Column) -> Column:
 
 
 #: Lines that are nothing but furniture of a page (ours): anchored at both ends, so that no sentence of the text can match.
-FURNITURE = rf"^{WS}*(?:扫一扫.{{0,8}}(?:打开|关注|分享).{{0,10}}|打印本页|关闭窗口|字号：.{{0,8}}|分享到：?.{{0,12}}){WS}*$"
+FURNITURE = rf"^{WS}*(?:扫一扫[^。！？，]*(?:打开|关注|分享)[^。！？，]*|打印本页|关闭窗口|字号：[^。！？，]*|分享到：?[^。！？，]*){WS}*$"
 
 
 def is_furniture(line: Column) -> Column:

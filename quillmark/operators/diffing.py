@@ -20,6 +20,19 @@ def missing_paragraphs(originals: DataFrame, issue: DataFrame, key: str, clean:
     return both.groupBy(key, "paragraph").agg(F.sum("n").alias("missing")).where("missing > 0")
 
 
+def omissions(originals: DataFrame, issue: DataFrame, key: str, clean: Column, on_purpose: Column) -> DataFrame:
+    """(key, paragraph, missing, verdict): what the originals have and the issue lacks, as missing_paragraphs has it; removed if on_purpose says so of the paragraph as it stood, else omitted."""
+    counted = lambda df, sign, gone: df.select(key, clean.alias("paragraph"), F.lit(sign).alias("n"), gone.alias("gone")).where("paragraph <> ''")
+    both = counted(originals, 1, F.coalesce(on_purpose, F.lit(False))).union(counted(issue, -1, F.lit(False)))
+    lost = both.groupBy(key, "paragraph").agg(F.sum("n").alias("missing"), F.max("gone").alias("gone")).where("missing > 0")
+    return lost.select(key, "paragraph", "missing", F.when(F.col("gone"), F.lit("removed")).otherwise(F.lit("omitted")).alias("verdict"))
+
+
+def consistent(issues: DataFrame) -> DataFrame:
+    """(consistent): whether there is not one issue."""
+    return issues.agg((F.count("*") == 0).alias("consistent"))
+
+
 def differences(one: DataFrame, two: DataFrame) -> DataFrame:
     """Rows of one beyond those of two and the other way, as bags, with side."""
     return one.exceptAll(two).withColumn("side", F.lit("only first")).union(two.exceptAll(one).withColumn("side", F.lit("only second")))

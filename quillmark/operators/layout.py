@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.functions.text import count_literal, is_blank_page, remove_space
+from quillmark.functions.text import count_literal, is_blank_page, remove_space, round_one_decimal
 
 #: Fixed values.
 BOARDS = ("政策法规", "技术应用类", "科技前沿类")
@@ -15,6 +15,18 @@ RETIRED_BOARD = "媒体动态类"
 SOURCE_LABEL, LINK_LABEL = "来源：", "原文链接："
 TITLE = "测绘地理信息月刊"
 TITLE_SIZE, HEADER_TOP, LINE_TOP = 30, 80, 95
+#: Names of the checks, in their order, and what their details say. (The hint at a setting, which the fourth one's detail ends with elsewhere, is left out.)
+NAMES = {
+    "pages": "页数>0",
+    "boards": "三栏目齐全",
+    "retired": f"无“{RETIRED_BOARD}”",
+    "links": "来源行＝原文链接",
+    "no links": "正文不排原文链接（固定规则）",
+    "items": "条数符合预期",
+    "title": "封面红字刊名",
+    "header": "正文页眉就位",
+    "blank": "无空白页",
+}
 
 
 @dataclass(frozen=True)
@@ -61,25 +73,25 @@ def layout_checks(pages: DataFrame, rules: LayoutRules | None = None) -> DataFra
     present = F.filter(F.array(*map(F.lit, rules.boards)), lambda b: F.contains(F.col("text"), b))
     retired = F.contains(F.col("text"), F.lit(RETIRED_BOARD))
     tops = F.transform("header", lambda c: F.bround(c["top"], 0).cast("long").cast("string"))
-    lines = F.transform(F.slice("ruled", 1, 2), lambda x: F.bround(x["top"], 1))
+    lines = F.transform(F.slice("ruled", 1, 2), lambda x: round_one_decimal(x["top"]))
 
     def row(name: str, passed: Column, detail: Column) -> Column:
         return F.struct(F.lit(name).alias("name"), F.coalesce(passed, F.lit(False)).alias("passed"), detail.alias("detail"))
 
     links = (
-        row("来源行＝原文链接", (F.col("n_sources") == F.col("n_links")) & (F.col("n_sources") > 0), F.format_string("%d / %d", "n_sources", "n_links"))
+        row(NAMES["links"], (F.col("n_sources") == F.col("n_links")) & (F.col("n_sources") > 0), F.format_string("%d / %d", "n_sources", "n_links"))
         if rules.print_links
-        else row("正文不排原文链接", F.col("n_links") == 0, F.format_string("原文链接 %d 行", "n_links"))
+        else row(NAMES["no links"], F.col("n_links") == 0, F.format_string("原文链接 %d 行", "n_links"))
     )
     checks = [
-        row("页数>0", F.col("n_pages") > 0, F.format_string("%d 页", "n_pages")),
-        row("三栏目齐全", F.size(present) == len(rules.boards), F.array_join(present, "、")),
-        row(f"无“{RETIRED_BOARD}”", ~retired, F.when(retired, F.lit("仍出现")).otherwise(F.lit("0 处"))),
+        row(NAMES["pages"], F.col("n_pages") > 0, F.format_string("%d 页", "n_pages")),
+        row(NAMES["boards"], F.size(present) == len(rules.boards), F.array_join(present, "、")),
+        row(NAMES["retired"], ~retired, F.when(retired, F.lit("仍出现")).otherwise(F.lit("0 处"))),
         links,
-        *([row("条数符合预期", F.col("n_sources") == rules.expected_items, F.format_string("期望 %d，实际 %d", F.lit(rules.expected_items), "n_sources"))] if rules.expected_items else []),
-        row("封面红字刊名", F.contains(F.col("title"), F.lit(TITLE)), F.coalesce(F.nullif("title", F.lit("")), F.lit("未见大字号刊名"))),
-        row("正文页眉就位", (F.size("header") > 0) & (F.size("ruled") > 0), F.concat(F.lit("栏名 top="), F.coalesce(F.try_element_at(tops, F.lit(1)), F.lit("-")), F.lit("｜线 "), F.coalesce(_list(lines), F.lit("[]")))),
-        row("无空白页", F.size("blank") == 0, F.when(F.size("blank") == 0, F.lit("空白页 0 个")).otherwise(F.concat(F.lit("空白页 "), _list(F.col("blank"))))),
+        *([row(NAMES["items"], F.col("n_sources") == rules.expected_items, F.format_string("期望 %d，实际 %d", F.lit(rules.expected_items), "n_sources"))] if rules.expected_items else []),
+        row(NAMES["title"], F.contains(F.col("title"), F.lit(TITLE)), F.coalesce(F.nullif("title", F.lit("")), F.lit("未见大字号刊名"))),
+        row(NAMES["header"], (F.size("header") > 0) & (F.size("ruled") > 0), F.concat(F.lit("栏名 top="), F.coalesce(F.try_element_at(tops, F.lit(1)), F.lit("-")), F.lit("｜线 "), F.coalesce(_list(lines), F.lit("[]")))),
+        row(NAMES["blank"], F.size("blank") == 0, F.when(F.size("blank") == 0, F.lit("空白页 0 个")).otherwise(F.concat(F.lit("空白页 "), _list(F.col("blank"))))),
     ]
     listed = facts.select("doc_id", F.posexplode(F.array(*checks)).alias("pos", "c"))
     return listed.select("doc_id", (F.col("pos") + 1).alias("ord"), "c.name", "c.passed", "c.detail")

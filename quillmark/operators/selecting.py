@@ -68,21 +68,34 @@ def classified(items: DataFrame, text: str, rules: Sequence[tuple[str, str, str]
 
 
 def ranked(items: DataFrame, key: str, board: str = "board", level: str = "level", centrality: str = "centrality", date: str = "pub_date") -> DataFrame:
-    """Adds rank: within a board by level, then centrality, then the newest date (nulls last), then key."""
-    order = Window.partitionBy(board).orderBy(F.col(level).asc_nulls_last(), F.col(centrality).asc_nulls_last(), F.col(date).desc_nulls_last(), key)
-    return items.withColumn("rank", F.row_number().over(order))
+    """Adds rank: within a board by level, then centrality, then the newest date (nulls last), then key.
+
+    A board is never numbered in one task: items are numbered within equal level, centrality and date, and the numbers of these groups, a row each, are summed up over the board.
+    """
+    group = [board, level, centrality, date]
+    order = [F.col(level).asc_nulls_last(), F.col(centrality).asc_nulls_last(), F.col(date).desc_nulls_last()]
+    before = Window.partitionBy(board).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = items.groupBy(*group).agg(F.count("*").alias("_n"))
+    starts = sizes.select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(group)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = items.withColumn("_at", F.row_number().over(Window.partitionBy(*group).orderBy(key)))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(group)]
+    return own.join(starts, same).select(*items.columns, (F.col("_start") + F.col("_at")).cast("int").alias("rank"))
 
 
 def within_quota(items: DataFrame, quota: Mapping[str, int], key: str, direct: bool = False, **columns) -> DataFrame:
-    """Ranked items up to each board's quota (boards without one have none); direct takes the selection as it is."""
-    out = ranked(items, key, **columns)
+    """Ranked items up to each board's quota (boards without one have none); direct takes the selection as it is.
+
+    The largest quota bounds the numbering as such, so each task hands on its first items of a board alone.
+    """
     if direct:
-        return out
-    board = F.col(columns.get("board", "board"))
+        return ranked(items, key, **columns)
+    board, level, centrality, date = (columns.get(c, d) for c, d in (("board", "board"), ("level", "level"), ("centrality", "centrality"), ("date", "pub_date")))
+    order = Window.partitionBy(board).orderBy(F.col(level).asc_nulls_last(), F.col(centrality).asc_nulls_last(), F.col(date).desc_nulls_last(), key)
     most = F.lit(0)
     for name, n in quota.items():
-        most = F.when(board == name, F.lit(n)).otherwise(most)
-    return out.where(F.col("rank") <= most)
+        most = F.when(F.col(board) == name, F.lit(n)).otherwise(most)
+    wanted = items.where(F.col(board).isin(*quota)).withColumn("rank", F.row_number().over(order))
+    return wanted.where(F.col("rank") <= max(quota.values(), default=0)).where(F.col("rank") <= most)
 
 
 def preferred(items: DataFrame, story: str, priority: str, key: str) -> DataFrame:
@@ -105,5 +118,27 @@ def inserted(skeleton: DataFrame, extras: DataFrame, board: str = "board", rank:
 
 
 def page_breaks(articles: DataFrame, board: str = "board", ord_: str = "ord") -> DataFrame:
-    """Adds page_break: each article but a board's first begins a page."""
-    return articles.withColumn("page_break", F.row_number().over(Window.partitionBy(board).orderBy(ord_)) > 1)
+    """Adds page_break: each article but a board's first begins a page. ord_ is unique within a board; one aggregate row for each board is joined back."""
+    first = articles.groupBy(board).agg(F.min(ord_).alias("_first")).withColumnRenamed(board, "_board")
+    return articles.join(first, F.col(board).eqNullSafe(F.col("_board"))).select(*articles.columns, (F.col(ord_) > F.col("_first")).alias("page_break"))
+
+
+#: Kinds of items that are left out, in the order of the rule (fixed values: what they are), and patterns for each (ours: keywords aren't given). Patterns are the default of a parameter.
+EXCLUSIONS = (
+    ("local", "福建|本省"),
+    ("international", "国际|海外|联合国"),
+    ("popular science and maps", "科普|版图宣传|版图意识"),
+    ("party building", "党建|主题党日|党支部"),
+    ("promotion", "推广|宣传周|宣传活动"),
+    ("training and lectures", "培训|讲座"),
+    ("acceptance reviews", "验收|评审"),
+    ("prefecture level", "市局|地市|县级"),
+    ("not text", "视频|图集|组图"),
+)
+
+
+def excluded_by(items: DataFrame, text: str, rules: DataFrame, key: str) -> DataFrame:
+    """(key, kinds): items that meet an exclusion rule of rules (ord, kind, pattern; a short dimension), and the kinds in the order of ord. The rest is an anti join away; null texts meet none."""
+    met = items.select(key, F.col(text).alias("_text")).join(F.broadcast(rules), F.expr("_text rlike pattern"))
+    kinds = F.array_sort(F.collect_set(F.struct("ord", "kind")))
+    return met.groupBy(key).agg(F.array_join(F.transform(kinds, lambda x: x["kind"]), ",").alias("kinds"))

@@ -10,7 +10,7 @@ PAGES = """pages AS (
         (CASE WHEN (turn + 1) % 4 = 2 THEN '源：' ELSE '来源： ' END) || coalesce(text, '') || (CASE WHEN (turn + 1) % 4 = 1 THEN chr(10) || '来 ' ELSE '' END) AS body FROM conversations))"""
 BLANK = rf"regexp_replace(regexp_replace(regexp_replace(text, '{WS}', '', 'g'), '—\p{{Nd}}+—', '', 'g'), '^(?:政策法规|技术应用类|科技前沿类)', '') = ''"
 FACTS = rf"""facts AS (
-    SELECT doc_id, count(*) AS n_pages, regexp_replace(string_agg(text, '' ORDER BY page_no), '{WS}', '', 'g') AS text, coalesce(list(page_no ORDER BY page_no) FILTER (WHERE {BLANK}), []) AS blank
+    SELECT doc_id, count(*) AS n_pages, min(page_no) AS first_page, max(page_no) FILTER (WHERE page_no <= 3) AS body, regexp_replace(string_agg(text, '' ORDER BY page_no), '{WS}', '', 'g') AS text, coalesce(list(page_no ORDER BY page_no) FILTER (WHERE {BLANK}), []) AS blank
     FROM pages GROUP BY doc_id), counted AS (
     SELECT *, (length(text) - length(replace(text, '来源：', ''))) // 3 AS n_sources, (length(text) - length(replace(text, '原文链接：', ''))) // 5 AS n_links, list_filter({BOARDS}, lambda b: contains(text, b)) AS present FROM facts)"""
 
@@ -20,10 +20,11 @@ def _checks(expected: int = 0, links: bool = False) -> str:
         ("页数>0", "n_pages > 0", "n_pages || ' 页'"),
         ("三栏目齐全", "len(present) = 3", "array_to_string(present, '、')"),
         ("无“媒体动态类”", "NOT contains(text, '媒体动态类')", "CASE WHEN contains(text, '媒体动态类') THEN '仍出现' ELSE '0 处' END"),
-        ("来源行＝原文链接", "n_sources = n_links AND n_sources > 0", "n_sources || ' / ' || n_links") if links else ("正文不排原文链接", "n_links = 0", "'原文链接 ' || n_links || ' 行'"),
+        ("来源行＝原文链接", "n_sources = n_links AND n_sources > 0", "n_sources || ' / ' || n_links") if links else ("正文不排原文链接（固定规则）", "n_links = 0", "'原文链接 ' || n_links || ' 行'"),
         *([("条数符合预期", f"n_sources = {expected}", f"'期望 {expected}，实际 ' || n_sources")] if expected else []),
-        ("封面红字刊名", "false", "'未见大字号刊名'"),
-        ("正文页眉就位", "false", "'栏名 top=-｜线 []'"),
+        ("封面红字刊名", "doc_id % 3 = 0 AND first_page = 1", "CASE WHEN doc_id % 3 = 0 AND first_page = 1 THEN '测绘地理信息月刊' ELSE '未见大字号刊名' END"),
+        ("正文页眉就位", "(doc_id + body) % 2 = 0 AND body * 25 + 0.5 < 80 AND (doc_id + body) % 3 <> 0",
+            "'栏名 top=' || (CASE WHEN (doc_id + body) % 2 = 0 AND body * 25 + 0.5 < 80 THEN round_even(body * 25 + 0.5, 0)::BIGINT::VARCHAR ELSE '-' END) || '｜线 ' || (CASE WHEN (doc_id + body) % 3 <> 0 THEN '[' || printf('%.1f', 90.25 + body::DOUBLE) || ', ' || printf('%.1f', 94.05 + body / 1000.0::DOUBLE) || ']' ELSE '[]' END)"),
         ("无空白页", "len(blank) = 0", "CASE WHEN len(blank) = 0 THEN '空白页 0 个' ELSE '空白页 [' || array_to_string(blank, ', ') || ']' END"),
     ]
     return f"WITH {PAGES}, {FACTS}, checks AS (" + " UNION ALL ".join(f"SELECT doc_id, {i} AS ord, '{n}' AS name, {p} AS passed, {d} AS detail FROM counted" for i, (n, p, d) in enumerate(rows, 1)) + ")"
@@ -66,6 +67,45 @@ def _diff() -> str:
         SELECT doc_id, paragraph, sum(n)::BIGINT AS missing FROM both_ WHERE paragraph <> '' GROUP BY ALL HAVING sum(n) > 0"""
 
 
+HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
+MARKS = "，。；：？！、（）《》"
+BLANKS = r"[\x{a0}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}]"
+KEEP = r"^第[^ ]{1,6}[编章节条]|^ *— *\p{Nd}+ *— *$"
+PARAGRAPH_ROWS = "(SELECT doc_id AS id, unnest(range(1, len(p) + 1))::INT AS pos, unnest(p) AS paragraph FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))"
+HAN_LINES = f"WITH lines AS (SELECT id, pos, (CASE WHEN pos % 5 = 0 THEN '第二章 ' ELSE '' END) || translate(paragraph, 'etaoinzx', '的一是在不了' || chr(160) || chr(12288)) AS raw FROM {PARAGRAPH_ROWS})"
+SIGNED = f"""WITH signed AS (SELECT id, pos, CASE (id + pos) % 9 WHEN 0 THEN paragraph || '（刘某）' WHEN 1 THEN paragraph || '（详见下表）' WHEN 2 THEN substr(paragraph, 1, 3) || '/摄' WHEN 3 THEN '图为：' || substr(paragraph, 1, 60)
+    WHEN 4 THEN '字号：' || substr(paragraph, 1, 12) WHEN 5 THEN '扫一扫' || substr(paragraph, 1, 30) || '分享' ELSE paragraph END AS paragraph FROM {PARAGRAPH_ROWS})"""
+PARAGRAPHS = """(VALUES (1, '全省工作会议召开。（刘某）'), (2, '结果公布（详见下表）'), (3, '张某/摄'), (4, '图为：会场'), (5, '（王某 测绘院）'), (6, '李某 供图'), (7, '正文提到供图单位和地图。'), (8, '扫一扫打开当前页'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别'), (10, '打印本页')) AS t(id, paragraph)"""
+#: Whether a paragraph is one of the planted sign-offs, or planted furniture (texts of the tables have no full-width marks); the constant ones beside them.
+SIGN_OFF = "(suffix(paragraph, '/摄') OR prefix(paragraph, '图为：') OR paragraph IN ('（刘某）', '（王某测绘院）', '李某供图'))"
+FURNITURE = "(prefix(paragraph, '字号：') OR prefix(paragraph, '扫一扫') AND suffix(paragraph, '分享') OR paragraph IN ('扫一扫打开当前页', '打印本页'))"
+
+
+def _tidied() -> str:
+    """Spacing and marks of lines without quotations; patterns that take neighbours along go over the text twice."""
+    x = f"regexp_replace(raw, '{BLANKS}', ' ', 'g')"
+    for left, right in ((f"[{HAN}]", f"[{HAN}A-Za-z0-9]"), ("[A-Za-z0-9]", f"[{HAN}]")):
+        for _ in range(2):
+            x = f"regexp_replace({x}, '({left}) +({right})', '\\1\\2', 'g')"
+    x = f"regexp_replace({x}, ' *([{MARKS}]) *', '\\1', 'g')"
+    for half, full in ((",", "，"), (";", "；"), (":", "："), ("?", "？"), ("!", "！")):
+        for _ in range(2):
+            x = f"regexp_replace({x}, '([{HAN}])[{half}]([{HAN}])', '\\1{full}\\2', 'g')"
+    return f"tidied AS (SELECT id, pos, raw, {x} AS full_ FROM lines)"
+
+
+def _proofed() -> str:
+    """Hits of the three rules, from each line's characters, with runs of spaces made one."""
+    a, b = "c[i - 1]", "c[i + 1]"
+    of = lambda kind, at: f"regexp_matches(coalesce({at}, ''), '[{kind}]')"
+    alnum = "A-Za-z0-9"
+    behind = f"i > 1 AND ({of(HAN, a)} AND {of(HAN + alnum, b)} OR {of(alnum, a)} AND {of(HAN, b)} OR {of(MARKS, a)})"
+    space, half = f"x = ' ' AND ({behind} OR {of(MARKS, b)})", f"x IN (',', ';', ':', '?', '!') AND i > 1 AND {of(HAN, a)} AND {of(HAN, b)}"
+    return f"""chars AS (SELECT id, pos, raw, string_split(regexp_replace(raw, ' +', ' ', 'g'), '') AS c FROM lines),
+        proofed AS (SELECT id, pos, 'extra_space' AS rule, len(list_filter(c, lambda x, i: {space}))::INT AS hits FROM chars
+        UNION ALL SELECT id, pos, 'special_blank', (length(raw) - length(regexp_replace(raw, '{BLANKS}', '', 'g')))::INT FROM chars UNION ALL SELECT id, pos, 'half_width_mark', len(list_filter(c, lambda x, i: {half}))::INT FROM chars)"""
+
+
 ORACLES = {
     "layout_checks": _checks(3) + " SELECT * FROM checks",
     "layout_checks_links": _checks(links=True) + " SELECT * FROM checks WHERE ord = 4",
@@ -79,8 +119,9 @@ ORACLES = {
         FROM (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '{WS}', '', 'g') AS t FROM documents)""",
     "glyph_title": f"SELECT doc_id, coalesce(string_agg(text, '' ORDER BY pos, text, size) FILTER (WHERE size > 30), '') AS title FROM ({GLYPHS}) GROUP BY doc_id",
     "header_present": f"SELECT doc_id, bool_or(top < 80) AND bool_or(line < 95) AS passed FROM ({GLYPHS}) GROUP BY doc_id",
-    "html_paragraphs": r"""SELECT page_id, unnest(range(1, len(p) + 1))::INT AS pos, unnest(p) AS paragraph
-        FROM (SELECT page_id, string_split(regexp_replace(regexp_replace(html, '(?i)</p>|<br>|</h1>|</li>', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)) AS p FROM pages)""",
+    "html_paragraphs": rf"""SELECT * FROM (SELECT page_id, unnest(range(1, len(p) + 1))::INT AS pos, unnest(p) AS paragraph
+        FROM (SELECT page_id, string_split(regexp_replace(regexp_replace(html || CASE page_id % 3 WHEN 0 THEN '<p>打印本页</p>' WHEN 1 THEN '<p>　扫一扫在手机上打开当前页 </p>' ELSE '<p>扫一扫。打开当前页</p>' END, '(?i)</p>|<br>|</h1>|</li>', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)) AS p FROM pages))
+        WHERE regexp_replace(paragraph, '{WS}', '', 'g') NOT IN ('打印本页', '扫一扫在手机上打开当前页')""",
     "document_paragraphs": "SELECT doc_id, len(string_split(text, chr(10))) AS n_paragraphs, (length(text) + 1)::BIGINT AS n_chars FROM documents WHERE text IS NOT NULL",
     "source_whitelist_semi": f"WITH {KNOWN} SELECT * FROM sourced WHERE origin <> 'weekly' AND page_id IN (SELECT page_id FROM known)",
     "source_unverified_anti": f"WITH {KNOWN} SELECT * FROM sourced WHERE page_id NOT IN (SELECT page_id FROM known)",
@@ -96,7 +137,7 @@ ORACLES = {
     "board_quota_direct": f"WITH {ITEMS} SELECT board, count(*) AS n, max(rank) AS last FROM ranked GROUP BY board",
     "priority_pick": "SELECT story, priority, id FROM (SELECT *, row_number() OVER (PARTITION BY story ORDER BY priority, id) AS n FROM (SELECT l_orderkey AS story, l_suppkey % 3 AS priority, l_suppkey || '-' || l_linenumber AS id FROM lineitem)) WHERE n = 1",
     "skeleton_insert": f"""WITH {ITEMS}, both_ AS (SELECT board, id, rank, row_number() OVER (PARTITION BY board ORDER BY id % 97, id) AS place, 0 AS extra FROM ranked WHERE id % 5 = 0
-        UNION ALL SELECT board, id, rank, NULL, 1 FROM ranked WHERE id % 5 = 1), slots AS (SELECT *, CASE WHEN extra = 0 THEN place ELSE sum(1 - extra) OVER (PARTITION BY board ORDER BY rank) END AS slot FROM both_)
+        UNION ALL SELECT board, id, rank, NULL, 1 FROM ranked WHERE id % 5 <> 0), slots AS (SELECT *, CASE WHEN extra = 0 THEN place ELSE sum(1 - extra) OVER (PARTITION BY board ORDER BY rank) END AS slot FROM both_)
         SELECT board, id, row_number() OVER (PARTITION BY board ORDER BY slot, extra, rank, id)::INT AS position FROM slots""",
     "page_breaks": f"WITH {ITEMS} SELECT id, rank > 1 AS page_break FROM ranked",
     "step_plan": f"""WITH {STEPS} SELECT 'all' AS plan, pos, id FROM steps WHERE NOT leader
@@ -121,18 +162,48 @@ ORACLES = {
         SELECT *, 'only first' AS side FROM (SELECT item_id, text FROM benchmark EXCEPT ALL SELECT * FROM new) UNION ALL SELECT *, 'only second' FROM (SELECT * FROM new EXCEPT ALL SELECT item_id, text FROM benchmark)""",
     "page_reconcile": """WITH c AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id), pages_ AS (SELECT conv_id AS article, n AS body_page, CASE WHEN conv_id % 8 <> 5 THEN CASE WHEN conv_id % 6 = 0 THEN n + 1 ELSE n END END AS toc_page, CASE WHEN conv_id % 9 <> 2 THEN n END AS footer_page FROM c)
         SELECT * FROM pages_ WHERE body_page IS DISTINCT FROM toc_page OR toc_page IS DISTINCT FROM footer_page""",
-    "toc_backfill": f"WITH {PAGES} SELECT doc_id, page_no, page_no AS printed FROM pages WHERE page_no % 2 = 1",
-    "cjk_normalise": """SELECT * FROM (VALUES (1, '于2025年建成GNSS网'), (2, '该项工作，已完成'), (3, '测量，制图'), (4, '版本v2, 精度0.5'), (5, '第二章 附 则'), (6, '口号“守护安全 激活数据”已发布'), (7, '— 12 —'), (8, '甲乙丙丁'), (9, 'Open Data平台'), (10, '目录' || chr(9) || '7'),
+    "toc_backfill": f"WITH {PAGES} SELECT doc_id, page_no, page_no AS printed FROM pages",
+    "cjk_normalise": f"""{HAN_LINES}, {_tidied()} SELECT id, pos, CASE WHEN regexp_matches(raw, '{KEEP}') THEN raw ELSE full_ END AS line FROM tidied WHERE id >= 0 UNION ALL
+        SELECT -id, 1, line FROM (VALUES (1, '于2025年建成GNSS网'), (2, '该项工作，已完成'), (3, '测量，制图'), (4, '版本v2, 精度0.5'), (5, '第二章 附 则'), (6, '口号“守护安全 激活数据”已发布'), (7, '— 12 —'), (8, '甲乙丙丁'), (9, 'Open Data平台'), (10, '目录' || chr(9) || '7'),
         (11, '汉A字B汉'), (12, '于2025年建成'), (13, '编辑部；来稿'), (14, '他说:“好 的,再 见”，然后走了'), (15, '')) AS t(id, line)""",
-    "proof_report": """SELECT * FROM (VALUES (1, 'extra_space', 4), (2, 'extra_space', 3), (3, 'half_width_mark', 1), (4, 'extra_space', 2), (5, 'extra_space', 2), (6, 'extra_space', 1), (8, 'extra_space', 3), (9, 'extra_space', 1), (11, 'extra_space', 4), (12, 'special_blank', 2), (13, 'special_blank', 1), (13, 'half_width_mark', 1),
+    "proof_report": f"""{HAN_LINES}, {_proofed()} SELECT id, pos, rule, hits FROM proofed WHERE hits > 0 AND id >= 0 UNION ALL
+        SELECT -id, 1, rule, hits FROM (VALUES (1, 'extra_space', 4), (2, 'extra_space', 3), (3, 'half_width_mark', 1), (4, 'extra_space', 2), (5, 'extra_space', 2), (6, 'extra_space', 1), (8, 'extra_space', 3), (9, 'extra_space', 1), (11, 'extra_space', 4), (12, 'special_blank', 2), (13, 'special_blank', 1), (13, 'half_width_mark', 1),
         (14, 'extra_space', 4), (14, 'half_width_mark', 1)) AS t(id, rule, hits)""",
-    "sign_off_strip": """SELECT * FROM (VALUES (1, '全省工作会议召开。'), (2, '结果公布（详见下表）'), (7, '正文提到供图单位和地图。'), (8, '扫一扫打开当前页'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别'), (10, '打印本页')) AS t(id, paragraph)""",
-    "boilerplate_lines": """SELECT * FROM (VALUES (1, '全省工作会议召开。（刘某）'), (2, '结果公布（详见下表）'), (3, '张某/摄'), (4, '图为：会场'), (5, '（王某 测绘院）'), (6, '李某 供图'), (7, '正文提到供图单位和地图。'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别')) AS t(id, paragraph)""",
+    "sign_off_strip": f"""{SIGNED} SELECT id, pos, CASE WHEN ends(paragraph, '（刘某）') THEN left(paragraph, length(paragraph) - 4) ELSE paragraph END AS paragraph FROM signed WHERE id >= 0 AND NOT {SIGN_OFF}
+        UNION ALL SELECT -id, 1, paragraph FROM (VALUES (1, '全省工作会议召开。'), (2, '结果公布（详见下表）'), (7, '正文提到供图单位和地图。'), (8, '扫一扫打开当前页'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别'), (10, '打印本页')) AS t(id, paragraph)""".replace("ends(", "suffix("),
+    "boilerplate_lines": f"""{SIGNED} SELECT * FROM signed WHERE id >= 0 AND NOT {FURNITURE}
+        UNION ALL SELECT -id, 1, paragraph FROM (VALUES (1, '全省工作会议召开。（刘某）'), (2, '结果公布（详见下表）'), (3, '张某/摄'), (4, '图为：会场'), (5, '（王某 测绘院）'), (6, '李某 供图'), (7, '正文提到供图单位和地图。'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别')) AS t(id, paragraph)""",
+    "proof_omissions": f"""{SIGNED}, judged AS (SELECT id, pos, paragraph, {SIGN_OFF} OR {FURNITURE} AS gone FROM signed WHERE id >= 0 UNION ALL SELECT -id, 1, paragraph, id IN (3, 4, 5, 6, 8, 10) FROM {PARAGRAPHS}),
+        both_ AS (SELECT id, regexp_replace(paragraph, '{WS}', '', 'g') AS paragraph, 1 AS n FROM judged UNION ALL SELECT id, regexp_replace(paragraph, '{WS}', '', 'g'), -1 FROM judged WHERE NOT gone AND (id + pos) % 11 <> 0),
+        lost AS (SELECT id, paragraph, sum(n)::BIGINT AS missing FROM both_ WHERE paragraph <> '' GROUP BY ALL HAVING sum(n) > 0)
+        SELECT id, paragraph, missing, CASE WHEN {SIGN_OFF} OR {FURNITURE} THEN 'removed' ELSE 'omitted' END AS verdict FROM lost""",
+    "toc_backfill_front": "SELECT conv_id AS doc_id, (turn + 1)::INT AS page_no, CASE WHEN turn + 1 > conv_id % 3 THEN (turn + 1 - conv_id % 3)::INT END AS printed FROM conversations",
+    "precondition_stop": "SELECT s AS n_selected, c::INT AS n_catalog, p AS n_pending, s <> c OR s = 0 AS stop, p > 0 AS warn FROM (SELECT (SELECT count(*) FROM labels) AS s, (SELECT count(*) FROM documents) AS c, (SELECT count(*) FROM labels WHERE doc_id % 6 = 0) AS p)",
+    "rounded_tops": "SELECT l_orderkey, l_linenumber, printf('%.1f', l_extendedprice / 1000)::DOUBLE AS price, printf('%.1f', l_quantity / 20)::DOUBLE AS quantity, printf('%.1f', -l_discount / 4)::DOUBLE AS discount FROM lineitem",
+    "first_tops": f"""WITH g AS ({GLYPHS}) SELECT doc_id, array_to_string(list(printf('%.1f', line) ORDER BY pos, text, size, top, line)[1:2], ',') AS tops, round_even(list(top ORDER BY pos, text, size, top, line)[1], 0)::BIGINT::VARCHAR AS first FROM g GROUP BY doc_id""",
+    "elapsed_steps": "SELECT event_id, round_even((epoch_us(stop) - epoch_us(ts)) / 1e6, 0)::BIGINT AS seconds FROM (SELECT event_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS stop FROM events) WHERE stop IS NOT NULL",
+    "log_names": "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') || '_draft.log' AS name FROM events",
+    "clean_reports": r"SELECT conv_id, coalesce(bool_or(regexp_matches(text, '(?i)\bthe [a-m]')), false) AS found FROM conversations GROUP BY conv_id",
+    "catalog_head": "SELECT 1 AS ord, '- 采集范围：2031-02-01—2031-03-31' AS line UNION ALL SELECT 2, '- 条目总数：' || count(*) FROM orders JOIN customer ON o_custkey = c_custkey UNION ALL SELECT 3, '- 生成时间：2031-04-01 09:30:00'",
+    "closing_lines": f"""SELECT 0::BIGINT AS ord, '[汇总] 目录条数 ' || count(*) AS line FROM documents
+        UNION ALL SELECT (doc_id % 3 + 1)::BIGINT, '[汇总] ' || {BOARDS}[(doc_id % 3 + 1)::INT] || ' 原文归档 ' || count(*) || ' 份' FROM documents WHERE doc_id % 3 < 2 GROUP BY doc_id % 3""",
+    "last_renderer": "SELECT o_custkey AS folder, max('v' || o_orderkey || '/render.py') AS path FROM orders GROUP BY o_custkey",
+    "consistency": """WITH c AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id), wrong AS (SELECT count(*) AS n FROM c WHERE conv_id % 8 = 5 OR conv_id % 6 = 0 OR conv_id % 9 = 2)
+        SELECT n = 0 AS consistent, 'as found' AS what FROM wrong UNION ALL SELECT true, 'none'""",
+    "excluded_kinds": """SELECT doc_id, ['local', 'international', 'popular science and maps', 'party building', 'promotion', 'training and lectures', 'acceptance reviews', 'prefecture level', 'not text', '', 'local,party building'][(doc_id % 11 + 1)::INT] AS kinds FROM documents WHERE doc_id % 11 <> 9""",
+    "list_connector": """SELECT 'list a' AS origin, o_orderkey FROM (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' ORDER BY o_orderdate DESC, o_orderkey LIMIT 40)
+        UNION ALL SELECT 'list b', o_orderkey FROM (SELECT * FROM orders WHERE o_orderpriority = '5-LOW' ORDER BY o_orderdate DESC, o_orderkey LIMIT 20)""",
+    "whole_text_scan": "SELECT item_id, text FROM benchmark",
+    "json_records": "SELECT c_name AS issue_name, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS issue_label, c_nationkey AS draft_target, NULL::VARCHAR AS window_from FROM customer",
+    "json_selection": "SELECT CASE WHEN doc_id % 6 = 0 THEN '待补：正文' WHEN doc_id % 6 <> 1 THEN '官网' END AS body_source, count(*) AS n FROM labels GROUP BY 1",
+    "archive_listing": f"SELECT DISTINCT {BOARDS}[(doc_id % 3 + 1)::INT] AS board FROM documents",
+    "log_append": "SELECT '=== [' || event_id || '] ' || event_type AS line FROM events WHERE event_type IN ('click', 'view')",
+    "trial_issue": "SELECT n_nationkey, 'issue' AS kind FROM nation UNION ALL SELECT n_nationkey, 'trial' FROM nation WHERE n_nationkey < 10",
     "latest_artifact": "SELECT folder, path FROM (SELECT o_custkey AS folder, 'out/' || o_orderkey || '.pdf' AS path, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, 'out/' || o_orderkey || '.pdf' DESC) AS n FROM orders) WHERE n = 1",
     "first_ok_candidate": "SELECT run, name FROM (SELECT l_orderkey AS run, l_returnflag || l_suppkey AS name, row_number() OVER (PARTITION BY l_orderkey ORDER BY (l_returnflag = 'R') DESC, l_linenumber, l_returnflag || l_suppkey) AS n FROM lineitem) WHERE n = 1",
     "ordered_dedup": """SELECT doc_id, array_to_string(list_filter(w, lambda x, i: list_position(l, lower(x)) = i), ' ') AS words FROM (SELECT doc_id, w, list_transform(w, lambda x: lower(x)) AS l
-        FROM (SELECT doc_id, list_filter(string_split(text, ' ')[1:40], lambda x: x <> '') AS w FROM documents))""",
-    "missing_fonts": "SELECT DISTINCT p_brand AS font FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size < 3)",
+        FROM (SELECT doc_id, list_filter(string_split(text, ' '), lambda x: x <> '') AS w FROM documents))""",
+    "missing_fonts": "SELECT DISTINCT p_brand || '/' || p_size AS font FROM part WHERE p_brand || '/' || p_size NOT IN (SELECT p_brand || '/' || p_size FROM part WHERE p_retailprice > 1500)",
     "elapsed_round": "SELECT event_id, round_even(event_id / 2, 0)::BIGINT AS seconds FROM events",
     "flag_parse": "SELECT event_type, count(*) FILTER (WHERE event_id % 4 IN (0, 2)) AS n_on, count(*) AS n FROM events GROUP BY event_type",
     "path_parts": rf"""SELECT page_id, name, regexp_replace(name, '^(.+)\.[^.]*$', '\1') AS stem, regexp_replace(path, '[/][^/]*$', '') AS parent, regexp_replace(path, '\.[^./]*$', '') || '.pdf' AS pdf,

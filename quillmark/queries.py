@@ -19,7 +19,8 @@ B1, B2, B3 = layout.BOARDS
 def issue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as issues: a turn is a page, with a board in front and a page number behind; each third one has nothing else.
 
-    A source label is broken over the page break after each page whose number is 1 mod 4.
+    A source label is broken over the page break after each page whose number is 1 mod 4. Each third issue has its title in large glyphs on the first page; pages whose
+    number and issue add up to an even number have a header, and of three such sums two have ruled lines.
     """
     c = table(spark, sf_dir, "conversations")
     n = F.col("turn") + 1
@@ -27,7 +28,12 @@ def issue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     foot = F.concat(F.lit("\n—　"), n.cast("string"), F.lit(" —"))
     body = F.concat(F.when(n % 4 == 2, F.lit("源：")).otherwise(F.lit("来源： ")), F.coalesce("text", F.lit("")), F.when(n % 4 == 1, F.lit("\n来 ")).otherwise(F.lit("")))
     text = F.when(n % 3 == 0, F.concat(board, foot)).when(n % 4 == 2, F.concat(body, foot)).otherwise(F.concat(board, F.lit(" \n"), body, foot))
-    return c.select(F.col("conv_id").alias("doc_id"), n.cast("int").alias("page_no"), text.alias("text"), F.array().cast(readers.GLYPHS).alias("chars"), F.array().cast(readers.LINES).alias("lines"))
+    glyph = lambda t, size, top: F.struct(F.lit(t).alias("text"), F.lit(size).alias("size"), top.cast("double").alias("top"))
+    none, place = F.array().cast(readers.GLYPHS), F.col("conv_id") + n
+    title = F.when((F.col("conv_id") % 3 == 0) & (n == 1), F.array(glyph(layout.TITLE[:4], 36.0, F.lit(100)), glyph("小", 9.0, F.lit(110)), glyph(layout.TITLE[4:], 36.0, F.lit(120)))).otherwise(none)
+    header = F.when(place % 2 == 0, F.array(glyph("栏", 12.0, n * 25 + 0.5))).otherwise(none)
+    ruled = F.when(place % 3 != 0, F.array(F.struct((F.lit(90.25) + n).alias("top")), F.struct((F.lit(94.05) + n / 1000).alias("top")), F.struct(F.lit(400.0).alias("top")))).otherwise(F.array().cast(readers.LINES))
+    return c.select(F.col("conv_id").alias("doc_id"), n.cast("int").alias("page_no"), text.alias("text"), F.concat(title, header).cast(readers.GLYPHS).alias("chars"), ruled.cast(readers.LINES).alias("lines"))
 
 
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +84,8 @@ def header_present(spark, sf_dir):
 
 
 def html_paragraphs(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "(?i)</p>|<br>|</h1>|</li>", "\n").alias("html"))
+    furniture = F.when(F.col("page_id") % 3 == 0, F.lit("<p>打印本页</p>")).when(F.col("page_id") % 3 == 1, F.lit("<p>　扫一扫在手机上打开当前页 </p>")).otherwise(F.lit("<p>扫一扫。打开当前页</p>"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.concat("html", furniture), "(?i)</p>|<br>|</h1>|</li>", "\n").alias("html"))
     lines = diffing.paragraphs(p.select("page_id", F.regexp_replace("html", "<[^>]*>", "").alias("text")), "page_id", "text")
     return lines.where(~X.is_furniture(F.col("paragraph"))).select("page_id", "pos", "paragraph")
 
@@ -286,28 +293,53 @@ LINES = [
 ]
 
 
+#: Letters of the tables' texts, and Han characters and special blanks that stand for them in proofing.
+LETTERS, HAN_FOR = "etaoinzx", "的一是在不了\u00a0\u3000"
+
+
+def _han_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, pos, raw): the constant lines (below 0), and all paragraphs of documents with Han characters and special blanks for some letters; each fifth is like a heading."""
+    own = diffing.paragraphs(table(spark, sf_dir, "documents"), "doc_id", "text")
+    han = F.translate("paragraph", LETTERS, HAN_FOR)
+    lines = own.select(F.col("doc_id").alias("id"), "pos", F.when(F.col("pos") % 5 == 0, F.concat(F.lit("第二章 "), han)).otherwise(han).alias("raw"))
+    return readers.constant(spark, LINES, "id long, raw string").select((-F.col("id")).alias("id"), F.lit(1).alias("pos"), "raw").union(lines)
+
+
 def cjk_normalise(spark, sf_dir):
-    lines = readers.constant(spark, LINES, "id int, raw string")
-    return lines.select("id", X.cjk_normalise(F.col("raw")).alias("line"))
+    return _han_lines(spark, sf_dir).select("id", "pos", X.cjk_normalise(F.col("raw")).alias("line"))
 
 
 def proof_report(spark, sf_dir):
-    lines = readers.constant(spark, LINES, "id int, raw string")
     hits = F.array(*[F.struct(F.lit(k).alias("rule"), F.regexp_count("raw", F.lit(p)).alias("hits")) for k, p in X.PROOF_RULES.items()])
-    return lines.select("id", F.explode(hits).alias("h")).select("id", "h.*").where("hits > 0")
+    return _han_lines(spark, sf_dir).select("id", "pos", F.explode(hits).alias("h")).select("id", "pos", "h.*").where("hits > 0")
 
 
 PARAGRAPHS = [(1, "全省工作会议召开。（刘某）"), (2, "结果公布（详见下表）"), (3, "张某/摄"), (4, "图为：会场"), (5, "（王某 测绘院）"), (6, "李某 供图"), (7, "正文提到供图单位和地图。"), (8, "扫一扫打开当前页"), (9, "用手机扫一扫随机获取的地图，系统即可自动识别"), (10, "打印本页")]
 
 
+def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, pos, paragraph): the constant paragraphs (below 0), and those of all documents, with a sign-off or a pointer behind, or a credit, a caption or furniture in their place, by number."""
+    own = diffing.paragraphs(table(spark, sf_dir, "documents"), "doc_id", "text")
+    n, text = (F.col("doc_id") + F.col("pos")) % 9, F.col("paragraph")
+    made = F.when(n == 0, F.concat(text, F.lit("（刘某）"))).when(n == 1, F.concat(text, F.lit("（详见下表）"))).when(n == 2, F.concat(F.substring("paragraph", 1, 3), F.lit("/摄"))).when(n == 3, F.concat(F.lit("图为："), F.substring("paragraph", 1, 60)))
+    made = made.when(n == 4, F.concat(F.lit("字号："), F.substring("paragraph", 1, 12))).when(n == 5, F.concat(F.lit("扫一扫"), F.substring("paragraph", 1, 30), F.lit("分享"))).otherwise(text)
+    return readers.constant(spark, PARAGRAPHS, "id long, paragraph string").select((-F.col("id")).alias("id"), F.lit(1).alias("pos"), "paragraph").union(own.select(F.col("doc_id").alias("id"), "pos", made.alias("paragraph")))
+
+
 def sign_off_strip(spark, sf_dir):
-    p = readers.constant(spark, PARAGRAPHS, "id int, paragraph string")
-    return p.where(~X.is_sign_off(F.col("paragraph"))).select("id", X.strip_sign_off(F.col("paragraph")).alias("paragraph"))
+    return _signed(spark, sf_dir).where(~X.is_sign_off(F.col("paragraph"))).select("id", "pos", X.strip_sign_off(F.col("paragraph")).alias("paragraph"))
 
 
 def boilerplate_lines(spark, sf_dir):
-    p = readers.constant(spark, PARAGRAPHS, "id int, paragraph string")
-    return p.where(~X.is_furniture(F.col("paragraph")))
+    return _signed(spark, sf_dir).where(~X.is_furniture(F.col("paragraph")))
+
+
+def proof_omissions(spark, sf_dir):
+    """Paragraphs of the originals that the issue lacks: sign-offs and furniture were removed on purpose, others may have been lost."""
+    own = _signed(spark, sf_dir)
+    issue = own.where(~X.is_sign_off(F.col("paragraph")) & ~X.is_furniture(F.col("paragraph")) & ((F.col("id") + F.col("pos")) % 11 != 0))
+    text = F.col("paragraph")
+    return diffing.omissions(own, issue, "id", X.remove_space(text), X.is_sign_off(text) | X.is_furniture(text))
 
 
 def latest_artifact(spark, sf_dir):
@@ -326,8 +358,8 @@ def ordered_dedup(spark, sf_dir):
 
 
 def missing_fonts(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    return catalog.missing_fonts(p.select(F.col("p_brand").alias("font")), p.where("p_size < 3").select(F.col("p_brand").alias("font")).distinct())
+    p = table(spark, sf_dir, "part").select(F.concat_ws("/", "p_brand", "p_size").alias("font"), "p_retailprice")
+    return catalog.missing_fonts(p, p.where("p_retailprice > 1500").select("font").distinct())
 
 
 def elapsed_round(spark, sf_dir):
@@ -355,11 +387,151 @@ def pagination_stable(spark, sf_dir):
     return out
 
 
+def toc_backfill_front(spark, sf_dir):
+    """Contents of issues whose first pages, as many as the issue's number mod 3, are front matter without a printed number."""
+    front = F.col("conv_id") % 3
+    foot = F.when(F.col("turn") + 1 > front, F.concat(F.lit("\n—　"), (F.col("turn") + 1 - front).cast("string"), F.lit(" —"))).otherwise(F.lit(""))
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page_no"), F.concat(F.coalesce("text", F.lit("")), foot).alias("text"))
+    return diffing.backfilled_contents(pages.select("doc_id", "page_no"), pages)
+
+
+def precondition_stop(spark, sf_dir):
+    """The selection against a catalog that states another total."""
+    text = table(spark, sf_dir, "documents").agg(F.concat(F.lit("# t\n- 条目总数："), F.count("*").cast("string"), F.lit("\n")).alias("text"))
+    return catalog.preconditions(_pending(spark, sf_dir), text)
+
+
+def rounded_tops(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    return l.select("l_orderkey", "l_linenumber", X.round_one_decimal(F.col("l_extendedprice") / 1000).alias("price"), X.round_one_decimal(F.col("l_quantity") / 20).alias("quantity"), X.round_one_decimal(-F.col("l_discount") / 4).alias("discount"))
+
+
+def first_tops(spark, sf_dir):
+    """The first two tops of the ruled lines of each issue, and the first glyph's."""
+    p = order_pages(spark, sf_dir)
+    return p.select("doc_id", F.array_join(F.transform(F.slice("lines", 1, 2), lambda x: X.round_one_decimal(x["top"]).cast("string")), ",").alias("tops"), F.coalesce(F.try_element_at(F.transform("chars", lambda c: X.round_half_even(c["top"]).cast("string")), F.lit(1)), F.lit("-")).alias("first"))
+
+
+def elapsed_steps(spark, sf_dir):
+    """Seconds of the steps of each user's run, from an event to the next."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("start"), F.lead("ts").over(selecting.Window.partitionBy("user_id").orderBy("ts", "event_id")).alias("end"))
+    return e.where("end IS NOT NULL").select("event_id", X.elapsed_seconds(F.col("start"), F.col("end")).alias("seconds"))
+
+
+def log_names(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.concat(X.stamp(F.col("ts")), F.lit("_draft.log")).alias("name"))
+
+
+def clean_reports(spark, sf_dir):
+    """Which conversations' logs say that something was found."""
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list("text").alias("lines"))
+    return c.select("conv_id", X.any_line_matches(F.col("lines"), "\\bthe [a-m]").alias("found"))
+
+
+def catalog_head(spark, sf_dir):
+    made = F.lit("2031-04-01 09:30:00").cast("timestamp_ntz")
+    return catalog.full_heading(_items(spark, sf_dir), F.lit("2031-02-01"), F.lit("2031-03-31"), made)
+
+
+def closing_lines(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    files = d.select(F.element_at(F.array(*map(F.lit, (*layout.BOARDS[:2], "other"))), (F.col("doc_id") % 3 + 1).cast("int")).alias("board"))
+    text = d.agg(F.concat(F.lit("# t\n- 条目总数："), F.count("*").cast("string")).alias("text"))
+    return catalog.summary(text, files, layout.BOARDS)
+
+
+def last_renderer(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("folder"), F.concat(F.lit("v"), F.col("o_orderkey").cast("string"), F.lit("/render.py")).alias("path"))
+    return catalog.last_by_name(o, "folder")
+
+
+def consistency(spark, sf_dir):
+    issues = page_reconcile(spark, sf_dir)
+    return diffing.consistent(issues).withColumn("what", F.lit("as found")).union(diffing.consistent(issues.where("footer_page < 0")).withColumn("what", F.lit("none")))
+
+
+def excluded_kinds(spark, sf_dir):
+    """Documents with the word of a kind of exclusion planted, by number, against all nine."""
+    rules = readers.constant(spark, [(i, k, p) for i, (k, p) in enumerate(selecting.EXCLUSIONS, 1)], "ord int, kind string, pattern string")
+    words = F.array(*[F.lit(w) for w in ("福建", "国际", "科普", "党建", "推广", "培训", "验收", "市局", "图集", "测绘", "福建党建")])
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.element_at(words, (F.col("doc_id") % 11 + 1).cast("int"))).alias("text"))
+    return selecting.excluded_by(d, "text", rules, "doc_id")
+
+
+def list_connector(spark, sf_dir):
+    """Two pages of twenty items of one list, and one page of another."""
+    o = table(spark, sf_dir, "orders")
+    site = [F.col("o_orderdate").desc(), F.col("o_orderkey")]
+    one = readers.connected(o, "o_orderpriority", "1-URGENT", 2, 20, site)
+    two = readers.connected(o, "o_orderpriority", "5-LOW", 1, 20, site)
+    return readers.union_of_channels({"list a": one, "list b": two}).select("origin", "o_orderkey")
+
+
+def whole_text_scan(spark, sf_dir):
+    """Texts written as files, one each, and read whole again."""
+    place = sinks.workspace(spark, "texts")
+    b = table(spark, sf_dir, "benchmark")
+    b.select(F.col("text").alias("value"), "item_id").repartition("item_id").write.partitionBy("item_id").text(place, lineSep="\n")
+    read = readers.whole_texts(spark, f"{place}/*/*.txt")
+    return read.select(F.regexp_extract("path", r"item_id=(\d+)", 1).cast("long").alias("item_id"), F.regexp_replace("text", r"\n$", "").alias("text"))
+
+
+def _arrays(rows, place: str) -> None:
+    """Rows as JSON files of an array of a thousand records or fewer each."""
+    record = F.to_json(F.struct(*rows.columns))
+    chunks = rows.select(record.alias("r"), F.floor(F.monotonically_increasing_id() / 1000).alias("k")).groupBy("k").agg(F.collect_list("r").alias("r"))
+    chunks.select(F.concat(F.lit("["), F.array_join("r", ",\n"), F.lit("]")).alias("value")).write.option("maxRecordsPerFile", 1).text(place)
+
+
+def json_records(spark, sf_dir):
+    """Period records written as JSON and read by schema; fields that aren't there are null."""
+    place = sinks.workspace(spark, "periods")
+    c = table(spark, sf_dir, "customer")
+    _arrays(c.select(F.col("c_name").alias("issue_name"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("issue_label"), F.col("c_nationkey").alias("draft_target")), place)
+    return readers.records(spark, place, readers.PERIOD).select("issue_name", "issue_label", "draft_target", "window_from")
+
+
+def json_selection(spark, sf_dir):
+    """The selection as arrays in JSON files, with a key that isn't ASCII, and its items by state."""
+    place = sinks.workspace(spark, "selection")
+    _arrays(_pending(spark, sf_dir).select(F.col("body_source").alias("正文来源")), place)
+    return readers.selection(spark, place).groupBy("body_source").agg(F.count("*").alias("n"))
+
+
+def archive_listing(spark, sf_dir):
+    """The archive written by board, and its folders as the listing of its files has them."""
+    place = sinks.workspace(spark, "archive")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.element_at(F.array(*map(F.lit, layout.BOARDS)), (F.col("doc_id") % 3 + 1).cast("int")).alias("board"))
+    sinks.write_archive(d, place)
+    files = readers.listing(spark, place, "*.parquet").where("length > 0")
+    return files.select(F.url_decode(F.regexp_extract("path", "board=([^/]+)/", 1)).alias("board")).distinct()
+
+
+def log_append(spark, sf_dir):
+    """A log that two runs add to."""
+    place = sinks.workspace(spark, "log")
+    e = table(spark, sf_dir, "events")
+    for kind in ("click", "view"):
+        sinks.append_log(e.where(F.col("event_type") == kind).select(F.format_string("=== [%d] %s", "event_id", "event_type")), place)
+    return spark.read.text(place).select(F.col("value").alias("line"))
+
+
+def trial_issue(spark, sf_dir):
+    """An issue written once, and its trial twice: the trial alone is replaced."""
+    place, trial = sinks.workspace(spark, "issue"), sinks.workspace(spark, "trial")
+    n = table(spark, sf_dir, "nation")
+    sinks.write_issue(n, place)
+    for most in (20, 10):
+        sinks.write_issue(n.where(F.col("n_nationkey") < most), place, trial)
+    return spark.read.parquet(place).select("n_nationkey", F.lit("issue").alias("kind")).union(spark.read.parquet(trial).select("n_nationkey", F.lit("trial")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         layout_checks, layout_checks_links, layout_verdict, layout_report, blank_pages, cross_page_count, literal_count, glyph_title, header_present, html_paragraphs, document_paragraphs, source_whitelist_semi,
         source_unverified_anti, weekly_clue_anti, channel_union, channel_search, open_sources, window_filter, scope_filter, board_classify, r4_rank, board_quota, board_quota_direct, priority_pick, skeleton_insert,
         page_breaks, step_plan, step_failfast, period_validate, precondition_counts, pending_items, closing_summary, catalog_heading, catalog_archive_counts, markdown_catalog, board_containment, paragraph_diff,
-        golden_regression, page_reconcile, toc_backfill, cjk_normalise, proof_report, sign_off_strip, boilerplate_lines, latest_artifact, first_ok_candidate, ordered_dedup, missing_fonts, elapsed_round, flag_parse, path_parts, pagination_stable,
+        toc_backfill_front, precondition_stop, rounded_tops, first_tops, elapsed_steps, log_names, clean_reports, catalog_head, closing_lines, last_renderer, consistency, excluded_kinds, list_connector,
+        whole_text_scan, json_records, json_selection, archive_listing, log_append, trial_issue, proof_omissions, golden_regression, page_reconcile, toc_backfill, cjk_normalise, proof_report, sign_off_strip, boilerplate_lines, latest_artifact, first_ok_candidate, ordered_dedup, missing_fonts, elapsed_round, flag_parse, path_parts, pagination_stable,
     )
     return {f.__name__: f for f in own}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,3 +64,31 @@ def searched(items: DataFrame, text: str, query: str, category: str | None = Non
 def open_sources(items: DataFrame, status: str, barred: tuple[str, ...] = ("captcha", "paywall", "login")) -> DataFrame:
     """Items without those of sources that ask for more than a reader: such sources are given up, never got round."""
     return items.where(~F.coalesce(F.col(status).isin(*barred), F.lit(False)))
+
+
+def connected(items: DataFrame, category: str, wanted: str, pages: int, page_rows: int, order: list[Column]) -> DataFrame:
+    """What a list connector of a landed site brings in: the first pages of page_rows items each of a category, in the site's order."""
+    return items.where(F.col(category) == wanted).orderBy(*order).limit(pages * page_rows)
+
+
+def parameters(kind, given: dict, environment: dict[str, str], prefix: str):
+    """kind (a frozen dataclass of parameters) from what is given, else from the environment (prefix and field name in capitals), else its defaults."""
+    import dataclasses
+
+    def read(field):
+        raw = environment.get(prefix + field.name.upper())
+        if raw is None:
+            return field.default
+        if isinstance(field.default, bool):
+            return raw.strip().lower() in ("1", "true", "yes", "on")
+        return type(field.default)(raw) if isinstance(field.default, (int, str)) else tuple(raw.split(","))
+
+    return kind(**{f.name: given.get(f.name, read(f)) for f in dataclasses.fields(kind)})
+
+
+def process_lines(spark: SparkSession, command: list[str], timeout: float = 600) -> tuple[DataFrame, int]:
+    """(pos, line) of what a program prints, errors included, and its exit code; runs on the driver, for tools that aren't part of a plan."""
+    import subprocess
+
+    done = subprocess.run(command, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, text=True, timeout=timeout, check=False)
+    return constant(spark, list(enumerate(done.stdout.splitlines(), 1)), "pos int, line string"), done.returncode

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import shutil
+import tempfile
+import uuid
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,6 +42,35 @@ def markdown_catalog(items: DataFrame) -> DataFrame:
     return items.groupBy("board").agg(entries.alias("e")).select("board", F.array_join(F.transform("e", lambda x: x["line"]), "\n").alias("text"))
 
 
+class NotConfigured(SystemExit):
+    """A settings file was missing and has been laid down from the template: fill it in and run again. The status is 2."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(2)
+        self.path = path
+
+
+def settings(path: str, template: str) -> str:
+    """The place of a settings file; if there is none, a copy of the template goes there and NotConfigured is raised."""
+    if not Path(path).exists():
+        copy_file(template, path)
+        raise NotConfigured(path)
+    return path
+
+
+def copy_file(source: str, target: str) -> str:
+    """Copies a file on the driver; folders on the way are made."""
+    Path(target).parent.mkdir(parents=True, exist_ok=True)
+    shutil.copyfile(source, target)
+    return target
+
+
 def exit_status(verdict: DataFrame) -> int:
     """0 if all passed, else 1."""
     return 0 if verdict.where(~F.col("passed")).isEmpty() else 1
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder's place for files that are written and read again: below spark.checkpoint.dir, which all executors share; a temporary one only where that is unset (tests)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quillmark-")
+    return f"{shared.rstrip('/')}/quillmark/{name}-{uuid.uuid4().hex}"
