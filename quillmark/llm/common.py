@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: Rows that one bucket of an ordered prefix sum holds on average, and the fewest buckets of a group.
 BUCKET_ROWS = 200_000
 LEAST_BUCKETS = 64
+#: A key with more than one in HEAVY of all rows is dealt out under SALTS numbers: there are fewer than HEAVY such keys, whatever the data.
+HEAVY, SALTS = 500, 64
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,6 +43,25 @@ def dropped(spark: SparkSession, *tables: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def heavy_keys(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """(key) of the keys of counts (key, n: its rows) that hold more than one in HEAVY of all rows; fewer than HEAVY rows, so they may be broadcast."""
+    return counts.where(F.col(n) * HEAVY > total).select(key)
+
+
+def joined_evenly(rows: DataFrame, groups: DataFrame, key: str, heavy: DataFrame, spread: Column, how: str = "inner", also: tuple[str, ...] = ()) -> DataFrame:
+    """rows joined with groups on key and also (columns of both), none of which is null; heavy keys are salted, so that one that holds a third of all rows is dealt to many tasks.
+
+    spread: a number that differs among the rows of a key; it chooses a row's salt. The few groups of heavy keys are repeated
+    for each salt.
+    """
+    mark = F.broadcast(heavy.select(F.col(key).alias("_heavy")))
+    marked = lambda df: df.join(mark, F.col(key) == F.col("_heavy"), "left")
+    salted = marked(rows).withColumn("_salt", F.when(F.col("_heavy").isNotNull(), F.pmod(spread.cast("long"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_heavy")
+    every = F.when(F.col("_heavy").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    many = marked(groups).withColumn("_salt", F.explode(every)).drop("_heavy")
+    return salted.join(many, [key, *also, "_salt"], how).drop("_salt")
+
+
 def hidden(df: DataFrame) -> DataFrame:
     """df with its columns named in_0, in_1, ..., so that none clashes with what an operator adds."""
     return df.toDF(*[f"in_{i}" for i in range(len(df.columns))])

@@ -175,6 +175,15 @@ def _measured(hit: Column, rule: Rule) -> Column:
     return F.length(F.regexp_extract(hit, rule.pattern, rule.group)) if rule.group else F.length(hit)
 
 
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_sha")
+
+
+def _listed(texts: DataFrame) -> DataFrame:
+    """(_id, _sha, ...): a row for each of _pieces. The digest is taken before, once for a text."""
+    return texts.select("_id", _digest(), "_pieces").select("_id", "_sha", F.inline("_pieces"))
+
+
 def find_secrets(df: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BASE_RULES, *MORE_RULES)) -> DataFrame:
     """All rows and columns of df, and secrets: an array of (start, rank, end, kind), by start, then the order of rules.
 
@@ -192,17 +201,16 @@ def find_secrets(df: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BA
     heavy = written(heavy_keys(given.groupBy("_id").count(), "_id", "count", given.count()), "heavy")
     spread = F.spark_partition_id() + F.xxhash64(*[c for c in given.columns if c.startswith("in_") and c != hidden_name(kept, text)]) if len(kept.columns) > 1 else F.spark_partition_id()
 
-    exact = F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_sha")
     found = []
     if any(q is True for q in queries):
         every = F.flatten(F.array(*[pieces(F.col("_text"), r, i) for i, (r, q) in enumerate(zip(rules, queries, strict=True)) if q is True]))
-        found.append(given.select("_id", "_text", every.alias("_pieces")).where(F.size("_pieces") > 0).select("_id", exact, F.inline("_pieces")))
+        found.append(_listed(given.select("_id", "_text", every.alias("_pieces"))))
     if vocabulary:
         index = written(postings(given, vocabulary), "postings")
         chosen = written(candidates(index, queries, vocabulary), "candidates")
         asked = F.flatten(F.array(*[F.when(F.array_contains("rules", i), pieces(F.col("_text"), r, i)).otherwise(F.array().cast(PIECES)) for i, (r, q) in enumerate(zip(rules, queries, strict=True)) if q is not True]))
         texts = joined_evenly(given.select("_id", "_text", spread.alias("_spread")), chosen, "_id", heavy, F.col("_spread"))
-        found.append(texts.select("_id", "_text", asked.alias("_pieces")).where(F.size("_pieces") > 0).select("_id", exact, F.inline("_pieces")))
+        found.append(_listed(texts.select("_id", "_text", asked.alias("_pieces"))))
     walked = Window.partitionBy("_id", "_sha", "rank").orderBy("pos")
     every = (found[0].union(found[1]) if len(found) > 1 else found[0]).distinct().withColumn("_end", F.sum(F.col("gap") + F.col("n")).over(walked).cast("int"))
     least, kinds = (F.element_at(F.array(*map(F.lit, x)), F.col("rank") + 1) for x in ([r.least for r in rules], [r.kind for r in rules]))
@@ -211,7 +219,7 @@ def find_secrets(df: DataFrame, text: str = "text", rules: Sequence[Rule] = (*BA
     if vocabulary:
         dropped(df.sparkSession, index, chosen)
 
-    rows = joined_evenly(given.select("*", exact, spread.alias("_spread")), spans, "_id", heavy, F.col("_spread"), "left", ("_sha",))
+    rows = joined_evenly(given.select("*", _digest(), spread.alias("_spread")), spans, "_id", heavy, F.col("_spread"), "left", ("_sha",))
     own = [F.col(hidden_name(kept, c)).alias(c) for c in kept.columns]
     return rows.select(*own, F.coalesce("secrets", F.array().cast(SECRETS)).alias("secrets"))
 
