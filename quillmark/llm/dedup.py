@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import hidden, hidden_name, shown, written
+from quillmark.llm.common import heavy_keys, hidden, hidden_name, joined_evenly, shown, written
 
 #: White space as spaces; and what of it becomes one space.
 TO_SPACE = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
@@ -84,27 +84,29 @@ def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """(key, keep_id, group_size, kept, text_sha256) for each row of docs.
 
     Texts are equal when identical after each run of white space became one space; null counts as empty. The smallest key
-    of equal texts stays: keep_id; of rows that repeat a key and text, all have kept. An empty table gives no rows. Keys are integers; a null key
+    of equal texts stays: keep_id; of rows that repeat a key and text, all have kept. An empty table gives no rows. Keys are of any type with an order; a null key
     comes after all others, so it stays only where equal texts have no other (keep_id is null then).
 
     Each text is cut into chunks where its content says so; a recipe is the ordered list of its chunks' 128-bit identifiers.
     Identifiers are verified: chunks are dealt out by identifier and compared byte by byte (each task sends each
     content once), and if two contents shared one, all would be taken anew under another salt. Then recipes alone are compared,
-    so no long document is moved again. Groups are summed up before they are dealt out.
+    so no long document is moved again. Groups are summed up before they are dealt out, and the rows of large groups are salted.
     """
-    given = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    given = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    kind = given.schema["doc"].dataType.simpleString()
     round_ = 0
     while True:
         contents = given.select("doc", "text").mapInArrow(_scan(round_, True), "id binary, content binary").groupBy("id", "content").agg(F.lit(1).alias("one"))
         if contents.groupBy("id").count().where("count > 1").isEmpty():
             break
         round_ += 1
-    recipes = written(given.mapInArrow(_scan(round_, False), "doc long, sha string, recipe binary").withColumn("list", F.sha2("recipe", 256)), "recipes")
+    recipes = written(given.mapInArrow(_scan(round_, False), f"doc {kind}, sha string, recipe binary").withColumn("list", F.sha2("recipe", 256)), "recipes")
     # lists are compared as such; their digest only keeps the keys that are dealt out short
-    groups = recipes.groupBy("list", "recipe").agg(F.min("doc").alias("keep_id"), F.count("*").alias("group_size"))
-    one, two = recipes.alias("a"), groups.alias("b")
-    joined = one.join(two, (F.col("a.list") == F.col("b.list")) & (F.col("a.recipe") == F.col("b.recipe")))
-    return joined.select(F.col("a.doc").alias(key), "keep_id", "group_size", F.coalesce(F.col("a.doc") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("a.sha").alias("text_sha256"))
+    groups = written(recipes.groupBy("list", "recipe").agg(F.min("doc").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    heavy = heavy_keys(groups.groupBy("list").agg(F.sum("group_size").alias("n")), "list", "n", recipes.count())
+    spread = F.xxhash64("doc") + F.spark_partition_id()
+    joined = joined_evenly(recipes, groups, "list", heavy, spread, also=("recipe",))
+    return joined.select(F.col("doc").alias(key), "keep_id", "group_size", F.coalesce(F.col("doc") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
