@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -17,9 +18,11 @@ HEAVY, SALTS = 500, 64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset and Spark runs in one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="quillmark-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
