@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -71,6 +72,10 @@ def exit_status(verdict: DataFrame) -> int:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder's place for files that are written and read again: below spark.checkpoint.dir, which all executors share; a temporary one only where that is unset (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quillmark-")
+    """A new folder's place for files that are written and read again: below spark.checkpoint.dir, which all executors share; a temporary one only where that is unset and Spark runs in one process (tests)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="quillmark-")
     return f"{shared.rstrip('/')}/quillmark/{name}-{uuid.uuid4().hex}"
