@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import contamination, dedup, language, mixing, pages, quality, secrets, sharding, similarity, toxicity
+from quillmark.llm import contamination, dedup, divergence, interactions, language, minhash, mixing, pages, quality, secrets, sharding, similarity, toxicity
 from quillmark.llm.words import crc_remainder
 
 
@@ -72,6 +72,19 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("quality").alias("score"), (F.col("quality") >= 0.5).alias("kept"))
 
 
+def op11_fast_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
+    return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -140,16 +153,58 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-OP7_SQL = rf"""
-WITH RECURSIVE doc AS (SELECT doc_id, w, least(4, len(w)) AS n FROM (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents)),
+
+
+def _jaccard_sql(shingle: int, percent: int, kept: str = "") -> str:
+    return rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, w, least({shingle}, len(w)) AS n FROM (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents)),
 shingle AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s FROM doc WHERE n > 0),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM common JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
-reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
-SELECT doc_id, coalesce(size.n, 0) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id FROM doc LEFT JOIN size USING (doc_id)
+link AS (SELECT a, b FROM common JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+found AS (SELECT doc_id, coalesce(size.n, 0) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id FROM doc LEFT JOIN size USING (doc_id))
+SELECT doc_id, n_shingles, component_id{kept} FROM found
+"""
+
+
+OP7_SQL = _jaccard_sql(4, 85)
+OP11_SQL = _jaccard_sql(2, 80, ", doc_id = component_id AS kept")
+
+OP12_SQL = r"""
+WITH words AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+failed AS (SELECT words.doc_id, part,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END AS a, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 1 ELSE 0 END AS b,
+    CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 1 ELSE 0 END AS c, CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 1 ELSE 0 END AS d,
+    CASE WHEN coalesce(min(words.doc_id) OVER (PARTITION BY text) < words.doc_id, false) THEN 1 ELSE 0 END AS e, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+    FROM words LEFT JOIN known USING (doc_id)),
+masks AS (SELECT part, [a, b, c, d, e] AS m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL),
+letter(l, i) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)),
+orders AS (SELECT v.l || w.l || x.l || y.l || z.l AS filter_order, [v.i, w.i, x.i, y.i, z.i] AS spots FROM letter v, letter w, letter x, letter y, letter z WHERE len(list_distinct([v.i, w.i, x.i, y.i, z.i])) = 5),
+steps AS (SELECT filter_order, step, spots[step] AS own, spots[1:step - 1] AS earlier FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+told AS (SELECT part, filter_order, step, own, n, good, toxic, m[own] = 1 AS fails, list_sum(m) AS fallen, len(list_filter(earlier, lambda i: m[i] = 1)) > 0 AS gone FROM masks, steps),
+counts AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT fails AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE fails AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE fails AND fallen = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS toxic_lost FROM told GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM counts
+"""
+
+OP13_SQL = rf"""
+WITH doc AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i, regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+word AS (SELECT lang, source, i, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+cell AS (SELECT grp.lang, grp.source, kept.term, coalesce(c.n, 0) AS n FROM grp JOIN kept ON grp.lang = kept.lang LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM word GROUP BY ALL) c ON c.lang = grp.lang AND c.source = grp.source AND c.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g) AS p FROM cell WINDOW g AS (PARTITION BY lang, source)),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g) AS q FROM kept WINDOW g AS (PARTITION BY lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source),
+told AS (SELECT p.lang, source, p.term AS item, (p - q)::BIGINT AS value FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM pair
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM told) WHERE rank <= 50
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_rendezvous_shards": OP1_SQL, "op2_weighted_fair_mix": OP2_SQL, "op4_decontaminate": OP4_SQL, "op7_jaccard_join": OP7_SQL, "op5_exact_copies": OP5_SQL, "op8_secret_scan": _op8_sql()}
+    more = {"op11_fast_similarity": OP11_SQL, "op12_filter_audit": OP12_SQL, "op13_source_divergence": OP13_SQL}
+    return more | {"op1_rendezvous_shards": OP1_SQL, "op2_weighted_fair_mix": OP2_SQL, "op4_decontaminate": OP4_SQL, "op7_jaccard_join": OP7_SQL, "op5_exact_copies": OP5_SQL, "op8_secret_scan": _op8_sql()}

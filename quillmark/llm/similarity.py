@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quillmark.llm.common import dropped, heavy_keys, hidden, hidden_name, joined_evenly, shown, written
@@ -110,20 +111,25 @@ def fingerprint(shingles: np.ndarray, round_: int = 0) -> tuple[int, int]:
 
 
 SET, LINK, DOC, CHECK = 0, 1, 2, 3
-ROWS = "kind byte, key long, id long, other long"
+#: From the shingles of a set, the keys under which it meets candidates.
+Keys = Callable[[np.ndarray], np.ndarray]
 
 
-def sketch_rows(shingle: int, percent: int, round_: int = 0):
-    """For mapInArrow over (id, text): DOC rows (doc id, set, size), CHECK rows (second number, set), SET rows (key, set), the first of each key in a step over a batch,
-    and LINK rows (key, set, first set) for the other ones, so that no key has more rows to shuffle than there are steps."""
+def sketch_rows(shingle: int, keys_of: Keys, round_: int = 0):
+    """For mapInArrow over (doc, text): (kind, key, id, other, doc).
 
-    def table(kind, key, id, other):  # noqa: A002
+    DOC rows have the set (id), its size (other) and doc, CHECK rows the set and its second number (key); SET rows key and set, the first of
+    each key in a step over a batch; LINK rows key, set and that first set (other) for the other ones, so that no key has more SET rows than there are steps.
+    """
+
+    def table(kind, key, id, other, doc):  # noqa: A002
         n = len(id)
         as_long = [pa.array(x if isinstance(x, np.ndarray) and x.dtype == np.int64 else np.asarray(x, np.uint64).view(np.int64)) for x in (key, id, other)]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *as_long], names=["kind", "key", "id", "other"])
+        doc = pa.nulls(n, doc) if isinstance(doc, pa.DataType) else doc
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), *as_long, doc], names=["kind", "key", "id", "other", "doc"])
 
-    def step(sets: dict[int, np.ndarray]):
-        found = [segment_keys(s, percent) for s in sets.values()]
+    def step(sets: dict[int, np.ndarray], none: pa.DataType):
+        found = [keys_of(s) for s in sets.values()]
         keys = np.concatenate(found) if found else np.empty(0, np.uint64)
         if not len(keys):
             return
@@ -133,19 +139,19 @@ def sketch_rows(shingle: int, percent: int, round_: int = 0):
         new = np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))
         lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
         firsts = np.sort(order[new])
-        yield table(SET, keys[firsts], ids[firsts], np.zeros(len(firsts), np.uint64))
+        yield table(SET, keys[firsts], ids[firsts], np.zeros(len(firsts), np.uint64), none)
         rest = ~new & (ids[order] != ids[lead])
         if rest.any():
-            yield table(LINK, sorted_keys[rest], ids[order][rest], ids[lead][rest])
+            yield table(LINK, sorted_keys[rest], ids[order][rest], ids[lead][rest], none)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            docs, sizes, marks, sets, checks, held = [], [], [], {}, {}, 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            sizes, marks, sets, checks, held = [], [], {}, {}, 0
+            none = batch.column(0).type
+            for text in batch.column(1):
                 s = shingle_set(text.as_py(), shingle, hashes)
                 f, check = fingerprint(s, round_)
-                docs.append(doc)
                 sizes.append(len(s))
                 marks.append(f)
                 checks[f, check] = None
@@ -153,12 +159,12 @@ def sketch_rows(shingle: int, percent: int, round_: int = 0):
                     sets[f] = s
                     held += len(s)
                 if held > STEP_SHINGLES:
-                    yield from step(sets)
+                    yield from step(sets, none)
                     sets, held = {}, 0
-            yield from step(sets)
-            if docs:
-                yield table(DOC, np.array(docs, np.int64), np.array(marks, np.uint64), np.array(sizes, np.int64))
-                yield table(CHECK, np.array([c for _, c in checks], np.uint64), np.array([f for f, _ in checks], np.uint64), np.zeros(len(checks), np.uint64))
+            yield from step(sets, none)
+            if marks:
+                yield table(DOC, np.zeros(len(marks), np.int64), np.array(marks, np.uint64), np.array(sizes, np.int64), batch.column(0))
+                yield table(CHECK, np.array([c for _, c in checks], np.uint64), np.array([f for f, _ in checks], np.uint64), np.zeros(len(checks), np.uint64), none)
 
     return scan
 
@@ -250,17 +256,23 @@ def _marked(at: int, shingle: int, round_: int):
     return scan
 
 
-def _sketches(given: DataFrame, shingle: int, percent: int, round_: int) -> DataFrame:
-    """The rows of sketch_rows; of each key's sets one is the first, and the others are linked with it."""
-    raw = given.mapInArrow(sketch_rows(shingle, percent, round_), ROWS)
-    apart = F.when(F.col("kind") != SET, F.col("id")).otherwise(F.lit(0))
-    group = Window.partitionBy("kind", "key", "apart")
-    first = F.when(F.col("kind") == SET, F.min("id").over(group)).otherwise(F.col("other"))
-    kept = raw.withColumn("apart", apart).withColumn("other", first).drop("apart").where((F.col("kind") != SET) | (F.col("id") != F.col("other")))
-    return written(kept, "sketches")
+def _sketches(given: DataFrame, shingle: int, keys_of: Keys, round_: int) -> DataFrame:
+    """The rows of sketch_rows; but of each key's SET rows, the least set is the first, and the others are linked with it.
 
-
-def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    A key in every step has a row for each step, so the first ones are a partial aggregate and joined back: no task holds all rows of a key.
+    """
+    rows = f"kind byte, key long, id long, other long, doc {given.schema['doc'].dataType.simpleString()}"
+    raw = written(given.mapInArrow(sketch_rows(shingle, keys_of, round_), rows), "raw")
+    sets = raw.where(F.col("kind") == SET)
+    firsts = sets.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    firsts = written(firsts.select("key", "first"), "firsts")
+    linked = sets.join(firsts, "key").where("id <> first").select("kind", "key", "id", F.col("first").alias("other"), "doc")
+    out = written(linked.union(raw.where(F.col("kind") != SET)), "sketches")
+    dropped(given.sparkSession, raw, firsts)
+    return out
+
+
+def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, broadcast_ids: int = BROADCAST_IDS, keys_of: Keys | None = None) -> DataFrame:
     """(key, n_shingles, component) for each row of docs: the smallest key that links lead to, its own included.
 
     Two documents link when 100 * intersection >= percent * union of their sets of word shingles (64-bit hashes of lower-cased words
@@ -269,31 +281,34 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Equal sets are one vertex. Keys of parity sketches bring sets together; every set is checked against the first one of
     its key, then, where a key still has several components, against the set of that key that shares most keys. Of the pairs that share a key and are still in
     different components, those can link alone that also share one of their rarest shingles; all these are checked. So no link
-    between components is lost, and pairs inside a component needn't be made. Keys are integers; a row with a null key has null n_shingles and component and links with nothing.
+    between components is lost, and pairs inside a component needn't be made. Keys are of any type with an order; a row with a null key has null
+    n_shingles and component and links with nothing. keys_of: another way to bring sets together, in place of parity sketches; sets that share none of its keys aren't compared.
     """
-    return _classes(docs, key, text, shingle, percent, broadcast_ids)[0].select(F.col("doc").alias(key), "n_shingles", "component")
+    return _classes(docs, key, text, shingle, percent, broadcast_ids, keys_of)[0].select(F.col("doc").alias(key), "n_shingles", "component")
 
 
-def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int, broadcast_ids: int) -> tuple[DataFrame, int]:
+def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int, broadcast_ids: int, keys_of: Keys | None = None) -> tuple[DataFrame, int]:
     """similarity_classes with doc for the key, and for each row its set (id), and stays: whether that is the set of its class that is to stay.
 
     Of a class, that is the set of the smallest key (of several such sets, the smallest); texts without shingles all stay.
     And the round of identifiers that was used: sets of one identifier are verified to have one second number too, else all are taken anew.
     """
     spark = docs.sparkSession
-    every = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    keys_of = keys_of or partial(segment_keys, percent=percent)
+    every = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    kind = every.schema["doc"].dataType
     given = every.where("doc IS NOT NULL")
-    table, round_ = _sketches(given, shingle, percent, 0), 0
+    table, round_ = _sketches(given, shingle, keys_of, 0), 0
     while not table.where(F.col("kind") == CHECK).groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").isEmpty():
         dropped(spark, table)
         round_ += 1
-        table = _sketches(given, shingle, percent, round_)
-    links, rows = table.where(F.col("kind") < DOC).select("key", "id", "other"), table.where(F.col("kind") == DOC).select(F.col("key").alias("doc"), "id", F.col("other").alias("n"))
+        table = _sketches(given, shingle, keys_of, round_)
+    links, rows = table.where(F.col("kind") < DOC).select("key", "id", "other"), table.where(F.col("kind") == DOC).select("doc", "id", F.col("other").alias("n"))
     vertices = rows.where("n > 0").groupBy("id").agg(F.min("doc").alias("doc"))
 
     ids = links.select("id").union(links.select("other")).distinct()
     wanted = written(vertices.join(ids, "id", "left_semi").select("doc"), "candidates")
-    few = wanted.count() <= broadcast_ids
+    few = isinstance(kind, T.NumericType) and wanted.count() <= broadcast_ids  # keys of a fixed size alone
     texts = given.join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc", "left_semi")
     sets = written(texts.mapInArrow(set_rows(shingle, round_), "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
 
@@ -319,7 +334,7 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int, b
     shingled, spread = F.col("n") > 0, F.xxhash64("doc") + F.spark_partition_id()
     out = joined_evenly(rows, by_set, "id", written(heavy_keys(copies, "id", "count", rows.count()), "heavy"), spread, "left")
     out = out.select("doc", F.col("n").alias("n_shingles"), F.coalesce(F.when(shingled, F.col("component")), F.col("doc")).alias("component"), "id", (~shingled | (F.col("first") & (F.col("doc") == F.col("component")))).alias("stays"))
-    keyless = every.where("doc IS NULL").select("doc", *[F.lit(None).cast(t).alias(c) for c, t in (("n_shingles", "long"), ("component", "long"), ("id", "long"), ("stays", "boolean"))])
+    keyless = every.where("doc IS NULL").select("doc", *[F.lit(None).cast(t).alias(c) for c, t in (("n_shingles", "long"), ("component", kind), ("id", "long"), ("stays", "boolean"))])
     result = written(out.union(keyless), "classes")
     dropped(spark, table, wanted, sets, members, tried, more, smallest, by_set, open_, found, classes, checked)
     return result, round_
@@ -336,12 +351,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     classes = classes.where("doc IS NOT NULL")
     by_doc = written(classes.groupBy("doc").agg(F.count("*").alias("n_rows"), F.max("stays").alias("stays")).where("stays"), "stay")
     single, several = (by_doc.where(c).select("doc") for c in ("n_rows = 1", "n_rows > 1"))
-    given, at = hidden(docs), F.col(own).cast("long") == F.col("doc")
+    given, at = hidden(docs), F.col(own) == F.col("doc")
+    numbers = isinstance(given.schema[own].dataType, T.NumericType)
     out = given.join(single, at, "left_semi").union(given.where(F.col(own).isNull()))
     n = several.count()
     if n:
         schema = given.withColumn("id", F.lit(0).cast("long")).schema
-        texts = given.join(F.broadcast(several) if n <= broadcast_ids else several.hint("merge"), at, "left_semi")
+        texts = given.join(F.broadcast(several) if numbers and n <= broadcast_ids else several.hint("merge"), at, "left_semi")
         rows = texts.mapInArrow(_marked(given.columns.index(own_text), shingle, round_), schema)
         stay = classes.where("stays").join(several, "doc", "left_semi").groupBy("doc", "id").agg(F.max(F.col("n_shingles") > 0).alias("shingled"))
         stay = stay.select("doc", F.col("id").alias("set"), "shingled")
