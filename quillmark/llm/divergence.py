@@ -27,7 +27,7 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
     """The terms of a text, in lists of bounded size."""
     folded, at = text.translate(FOLDED), 0
     while len(folded) - at > PIECE:
-        end = folded.rfind(b" ", at, at + PIECE)
+        end = folded.rfind(b" ", at + 1, at + PIECE)
         end = end if end >= 0 else folded.find(b" ", at + PIECE)
         if end < 0:
             break
