@@ -19,7 +19,7 @@ FOLDED = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0
 #: Bytes that are split into terms at once; terms that a task holds before it hands on their counts.
 PIECE, HELD = 1 << 22, 200_000
 #: Distinct vectors of a part, sources of a block, and counts that a part turns into shares at once.
-PART, BLOCK, DENSE = 20_000, 256, 1 << 21
+PART, BLOCK, DENSE = 2_000, 256, 1 << 21
 SCALE, PRIOR = 1_000_000_000, 5
 
 
