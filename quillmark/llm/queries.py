@@ -128,15 +128,21 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITI
 
 OP2_SQL = r"""
 WITH measured AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(text, '')) AS digest FROM documents),
-placed AS (SELECT *, (('0x' || substr(md5(concat_ws(':', doc_id, digest, size)), 1, 13))::BIGINT + 0.5) / 4503599627370496 AS place FROM measured),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, digest) AS nth FROM measured),
+placed AS (SELECT *, (('0x' || substr(md5(concat_ws(':', doc_id, digest, size, CASE WHEN nth > 1 THEN nth END)), 1, 13))::BIGINT + 0.5) / 4503599627370496 AS place FROM numbered),
 queue AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed),
 sizes AS (SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS weight FROM measured GROUP BY source),
 steps AS (SELECT *, row_number() OVER f AS spot, sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
     sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_ FROM sizes WINDOW f AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
 level AS (SELECT spot AS first_free, left_ AS l, rest AS r FROM steps WHERE 3 * source_size >= left_ * weight / rest ORDER BY spot LIMIT 1),
-targets AS (SELECT source, source_size, CASE WHEN spot < first_free THEN 3.0 * source_size ELSE l * weight / r END::DOUBLE AS target FROM steps, level)
-SELECT doc_id, size::BIGINT AS size, source_size, target, sum(greatest(0, least(size, round(target)::BIGINT - before - c * source_size)))::BIGINT AS taken, CASE WHEN target > 0 THEN (before + size)::DOUBLE / target END AS virtual_finish
-FROM queue JOIN targets ON queue.source IS NOT DISTINCT FROM targets.source, (VALUES (0), (1), (2)) AS copies(c) GROUP BY doc_id, digest, size, source_size, target, before
+targets AS (SELECT source, source_size, CASE WHEN spot < first_free THEN 3.0 * source_size ELSE l * weight / r END::DOUBLE AS target FROM steps, level),
+docs AS (SELECT doc_id, queue.source, digest, nth, size::BIGINT AS size, before::BIGINT AS before, source_size, target FROM queue JOIN targets ON queue.source IS NOT DISTINCT FROM targets.source),
+pieces AS (SELECT *, unnest(range(0, (size + 63) // 64)) AS piece FROM docs WHERE target > 0),
+entries AS (SELECT *, least(size, (piece + 1) * 64) AS upto, (before + c * source_size + least(size, (piece + 1) * 64))::DOUBLE / target AS ends FROM pieces, (VALUES (0), (1), (2)) AS copies(c)),
+served AS (SELECT *, upto - piece * 64 AS words, coalesce(sum(upto - piece * 64) OVER (ORDER BY ends, source NULLS LAST, doc_id, digest, nth, c, piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM entries),
+taken AS (SELECT doc_id, source, digest, nth, sum(greatest(0, least(words, (SELECT sum(size) FROM docs) - place)))::BIGINT AS taken FROM served GROUP BY ALL)
+SELECT docs.doc_id, size, source_size, target, coalesce(taken, 0) AS taken, CASE WHEN target > 0 THEN (before + size)::DOUBLE / target END AS virtual_finish
+FROM docs LEFT JOIN taken ON docs.doc_id = taken.doc_id AND docs.source IS NOT DISTINCT FROM taken.source AND docs.digest = taken.digest AND docs.nth = taken.nth
 """
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
