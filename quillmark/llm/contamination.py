@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import dropped, hidden, hidden_name, shown, written
+from quillmark.llm.common import hidden, hidden_name, shared_dir, shown, written
 
 #: Bytes that belong to words, A-Z turned to a-z; all others become spaces.
 TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -173,57 +175,79 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     A window is `window` consecutive words of an item; an item of fewer words is one window. hit_spans: spans of
     words inside occurrences of windows (start, end exclusive; apart and in order). hit_items: ids of the items with
     occurring windows (distinct, sorted as strings). Longest matches against a suffix automaton give both in one pass over a text.
-    Items go to the executors in blocks of most_words words (or one longer item), one block after another: with several, each pass is written to the shared folder and the
-    one before dropped, so that driver and workers hold one block's automaton at a time, however large the benchmark is. Null and empty texts have no words; items without words are left out; repeated item ids count once.
+    Items go to the executors in blocks of most_words words (or one longer item), one block after another, so that driver and workers hold one block's automaton at a time, however
+    large the benchmark is. With several blocks, docs are numbered and written once, each block's pass writes the hits of its rows alone, and these are joined back at the end. Null and empty texts have no words; items without words are left out; repeated item ids count once.
     Items with a null id have windows like the others, but hit_items doesn't name them.
     Columns of docs by the names of new ones are replaced.
     """
     return _found(docs, benchmark, text, item_id, item_text, window, most_words)
 
 
+SPANS = "array<struct<start:long,end:long>>"
+SPAN_LIST, ITEM_LIST = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())
+
+
 def _found(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, most_words: int = 500_000, longest: int | None = None) -> DataFrame:
-    """contaminated_spans; with longest, spans of so many words or more are cut out of the texts in the last pass."""
-    new = ["n_words", "hit_spans", "hit_items"]
-    out = docs.drop(*new).withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.lit(None).cast("array<struct<start:long,end:long>>"), "hit_items": F.lit(None).cast("array<string>")})
-    blocks, schema, sent = item_blocks(benchmark, item_id, item_text, most_words), out.schema, docs.sparkSession.sparkContext
-    block, following, table = next(blocks, []), next(blocks, None), None
-    first = True
-    while True:
-        automaton = sent.broadcast(SuffixAutomaton(block, window))
-        out = out.mapInArrow(_scan(automaton, text, first, longest if following is None else None), schema)
-        if following is None:
-            return out
-        before, table = table, written(out, "contaminated")
+    """contaminated_spans; with longest, spans of so many words or more are cut out of the texts."""
+    spark = docs.sparkSession
+    own = docs.drop("n_words", "hit_spans", "hit_items")
+    filled = own.withColumns({"n_words": F.lit(None).cast("long"), "hit_spans": F.lit(None).cast(SPANS), "hit_items": F.lit(None).cast("array<string>")})
+    blocks = item_blocks(benchmark, item_id, item_text, most_words)
+    block, following = next(blocks, []), next(blocks, None)
+    if following is None:
+        automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+        return filled.mapInArrow(_scan(automaton, text, longest), filled.schema)
+    numbered = written(own.select(F.monotonically_increasing_id().alias("_row"), *own.columns), "numbered")
+    place = f"{shared_dir(spark)}/quillmark/hits-{uuid.uuid4().hex}"
+    for block in chain([block, following], blocks):
+        automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+        hits = numbered.select("_row", text).mapInArrow(_hits(automaton), f"_row long, hit_spans {SPANS}, hit_items array<string>")
+        hits.write.mode("append").parquet(place)
         automaton.unpersist()
-        if before is not None:
-            dropped(docs.sparkSession, before)
-        out, first, block, following = table, False, following, next(blocks, None)
+    hits = spark.read.schema(hits.schema).parquet(place)
+    each = hits.groupBy("_row").agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.flatten(F.collect_list("hit_items")).alias("hit_items"))
+    joined = numbered.join(each, "_row", "left").select(*own.columns, F.lit(None).cast("long").alias("n_words"), "hit_spans", "hit_items")
+    return joined.mapInArrow(_scan(None, text, longest), filled.schema)
 
 
-def _scan(automaton, text: str, first: bool, longest: int | None):
-    """For mapInArrow: fills in n_words, and adds to hit_spans and hit_items what one block's automaton finds; cuts spans of longest words or more."""
+def _hits(automaton):
+    """For mapInArrow over (row, text): (row, hit_spans, hit_items) of the rows that have hits of one block's automaton."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = automaton.value.matches
+        for batch in batches:
+            found = [(row, *match(words_of(value.as_py()))) for row, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
+            found = [x for x in found if x[1]]
+            spans = [[{"start": a, "end": b} for a, b in hit] for _, hit, _ in found]
+            columns = [pa.array([x[0] for x in found], pa.int64()), pa.array(spans, SPAN_LIST), pa.array([sorted(x[2]) for x in found], ITEM_LIST)]
+            yield pa.RecordBatch.from_arrays(columns, names=["_row", "hit_spans", "hit_items"])
+
+    return scan
+
+
+def _scan(automaton, text: str, longest: int | None):
+    """For mapInArrow: fills in n_words, hit_spans and hit_items from an automaton, or, without one, from the hits that the rows carry; cuts spans of longest words or more."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
+            column = batch.column(names.index(text))
             counts, spans, items, texts = [], [], [], {}
-            before = [None] * len(batch) if first else zip(batch.column(names.index("hit_spans")).to_pylist(), batch.column(names.index("hit_items")).to_pylist(), strict=True)
-            for i, (value, old) in enumerate(zip(batch.column(names.index(text)), before, strict=True)):
+            carried = zip(batch.column(names.index("hit_spans")), batch.column(names.index("hit_items")), strict=True)
+            for i, (value, (old_spans, old_items)) in enumerate(zip(column, carried, strict=True)):
                 words = words_of(value.as_py())
-                hit, named = match(words)
-                if old:
-                    hit = merged([*hit, *((x["start"], x["end"]) for x in old[0])])
-                    named = named | set(old[1])
+                if automaton is None:
+                    hit, named = merged([(x["start"], x["end"]) for x in old_spans.as_py() or ()]), set(old_items.as_py() or ())
+                else:
+                    hit, named = automaton.value.matches(words)
                 if longest is not None and (long_ := [x for x in hit if x[1] - x[0] >= longest]):
                     texts[i] = without_spans(value.as_py(), long_)
                 counts.append(len(words))
                 spans.append([{"start": a, "end": b} for a, b in hit])
                 items.append(sorted(named))
-            made = {"n_words": pa.array(counts, pa.int64()), "hit_spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "hit_items": pa.array(items, pa.list_(pa.string()))}
+            made = {"n_words": pa.array(counts, pa.int64()), "hit_spans": pa.array(spans, SPAN_LIST), "hit_items": pa.array(items, ITEM_LIST)}
             if texts:
-                own = batch.column(names.index(text))
-                made[text] = pa.array([texts.get(i, x) for i, x in enumerate(own.to_pylist())], own.type)
+                made[text] = pa.array([texts.get(i, x) for i, x in enumerate(column.to_pylist())], column.type)
             yield pa.RecordBatch.from_arrays([made.get(n, c) for n, c in zip(names, batch.columns, strict=True)], names=names)
 
     return scan
