@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,8 +172,8 @@ def _scan(text_at: int, values, judge, make):
     return scan
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: int = 6000, least_docs: int = 5, epochs: int = 300, rate: float = 0.05) -> QualityModel:
-    """No labels are needed. Votes are counted by pattern over all rows of docs; the scorer learns the posteriors of most_docs rows, chosen by the hash of the key.
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: int = 6000, most_bytes: int = 64_000_000, least_docs: int = 5, epochs: int = 300, rate: float = 0.05) -> QualityModel:
+    """No labels are needed. Votes are counted by pattern over all rows of docs; the scorer learns the posteriors of most_docs rows, of most_bytes of text together, give or take chance, chosen by the hash of the key.
 
     The scorer sees what the labellers don't: the words of a text and their shapes. Features of fewer than least_docs of its rows stay out, as they tell documents apart, not classes. A null key counts as the empty one; an empty docs gives the prior alone.
     """
@@ -182,12 +183,14 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: i
 
     def counted_votes(batch, found):
         columns = np.ascontiguousarray(np.array(found, np.int32).reshape(-1, len(LABELLERS)).T)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f"v{i}" for i in range(len(LABELLERS))])
+        sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).cast(pa.int64())
+        return pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], sizes], names=[*names, "bytes"])
 
     plain = lambda words: word_measures(words)[:, :9].astype(np.float32)
-    counted = docs.select(text).mapInArrow(_scan(0, plain, vote, counted_votes), VOTES).groupBy(*[f"v{i}" for i in range(len(LABELLERS))]).count().toPandas()
-    counted = counted.sort_values(list(counted.columns))
-    patterns, counts = counted.iloc[:, :-1].to_numpy(np.int64), counted["count"].to_numpy(float)
+    names = [f"v{i}" for i in range(len(LABELLERS))]
+    voted = docs.select(text).mapInArrow(_scan(0, plain, vote, counted_votes), f"{VOTES}, bytes long")
+    counted = voted.groupBy(*names).agg(F.count("*").alias("count"), F.sum("bytes").alias("bytes")).toPandas().sort_values(names)
+    patterns, counts, held = counted[names].to_numpy(np.int64), counted["count"].to_numpy(float), float(counted["bytes"].sum())
     says_bad, good_share = fit_labellers(patterns, counts)
 
     def described(rows, numbers):
@@ -198,7 +201,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: i
     def sample(batch, found):
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in range(3)], names=["votes", "bucket", "value"])
 
-    share = min(1.0, most_docs / max(1.0, counts.sum()))
+    share = min(1.0, most_docs / max(1.0, counts.sum()), most_bytes / max(1.0, held))
     chosen = docs.where(unit_hash(F.col(key), F.lit("quality")) < share).select(text)
     rows = chosen.mapInArrow(_scan(0, word_measures, described, sample), "votes binary, bucket binary, value binary").toArrow().to_pydict()
     rows = [(np.frombuffer(v, np.int8), np.frombuffer(b, np.int32), np.frombuffer(x, np.float32)) for v, b, x in zip(rows["votes"], rows["bucket"], rows["value"], strict=True) if b]
