@@ -182,20 +182,72 @@ def test_only_candidates_are_matched(spark):
     assert secrets.candidates(index.where(F.col("trigram") == -1), [query], vocabulary).count() == 0
 
 
-def test_mix_equals_sorting_all_words(spark):
-    """The cut at virtual time 1 takes the words that a global sort by virtual finish, cut at the budget, takes."""
-    r = random.Random(5)
-    rows = [(i, " ".join("w" for _ in range(r.randint(1, 40))), r.choice("abcd")) for i in range(120)]
-    out = mixing.mix_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    budget = sum(x["size"] for x in out)
-    words = []
-    for x in out:
+def cut_queue(rows, budget, order):
+    """Words taken of each document if all entries of all copies are served in this order up to the budget."""
+    entries = []
+    for x in rows:
         for copy in range(3):
-            words += [((x["words_before"] + copy * x["source_size"] + k + 1) / x["target"], x["source"], x["doc_id"]) for k in range(x["size"])]
+            for k in range(0, x["size"], mixing.QUANTUM):
+                upto = min(x["size"], k + mixing.QUANTUM)
+                entries.append((order(x, copy, upto), x["source"], x["doc_id"], copy, k, upto - k))
     taken = {}
-    for _, _, i in sorted(words)[:budget]:
-        taken[i] = taken.get(i, 0) + 1
-    assert sum(abs(taken.get(x["doc_id"], 0) - x["taken"]) for x in out) <= 8
+    for *_, i, _, _, words in sorted(entries):
+        taken[i] = taken.get(i, 0) + min(words, budget)
+        budget -= min(words, budget)
+    return taken
+
+
+def test_mix_is_the_global_sort_cut_at_the_budget(spark, monkeypatch):
+    r = random.Random(5)
+    rows = [(i, " ".join("w" for _ in range(r.choice([3, 40, 400]))), r.choice("abcd")) for i in range(120)]
+    monkeypatch.setattr(mixing, "buckets_for", lambda n: 37)
+    out = mixing.mix_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    got, budget = {x["doc_id"]: x["taken"] for x in out}, sum(x["size"] for x in out)
+    by_finish = cut_queue(out, budget, lambda x, copy, upto: (x["words_before"] + copy * x["source_size"] + upto) / x["target"])
+    assert got == {i: by_finish.get(i, 0) for i in got} and sum(got.values()) == budget
+    assert got != cut_queue(out, budget, lambda x, copy, upto: x["doc_id"])  # the order decides
+
+
+def test_mix_of_one_row_repeated(spark):
+    rows = [(7, "one two three four", "a")] * 3000 + [(i, "five six", "b") for i in range(500)]
+    out = mixing.mix_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken = {s: sum(x["taken"] for x in out if x["source"] == s) for s in "ab"}
+    assert len(out) == 3500 and sum(taken.values()) == 13000 and abs(taken["b"] - 3000) <= 4
+    assert len({x["words_before"] for x in out if x["source"] == "a"}) == 3000
+
+
+def test_blocks_write_hits_alone(spark, tmp_path, monkeypatch):
+    """Three blocks of items: the documents are written once, and each block adds its hits."""
+    import os
+
+    words = [f"w{i}" for i in range(60)]
+    filler = " ".join(f"x{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(i, f"{filler} {' '.join(words[i : i + 20])}" if i < 30 else filler + str(i)) for i in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(k, " ".join(words[20 * k : 20 * k + 20])) for k in range(3)], "item_id long, text string")
+
+    def size(folder, name):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files if f"/{name}-" in d and f.endswith(".parquet"))
+
+    for module in (common, contamination):
+        monkeypatch.setattr(module, "shared_dir", lambda _: str(tmp_path))
+    found = contamination.contaminated_spans(docs, items, most_words=20)
+    got = {x["doc_id"]: (x["n_words"], x["n"], x["hit_items"]) for x in found.select("doc_id", "n_words", contamination.hit_words().alias("n"), "hit_items").collect()}
+    one = contamination.contaminated_spans(docs, items)
+    assert got == {x["doc_id"]: (x["n_words"], x["n"], x["hit_items"]) for x in one.select("doc_id", "n_words", contamination.hit_words().alias("n"), "hit_items").collect()}
+    written = [size(str(tmp_path), name) for name in ("numbered", "hits", "contaminated")]
+    assert written[0] > 0 and 0 < written[1] < written[0] / 4 and written[2] == 0
+    cut = contamination.remove_spans(docs, items, longest=13, most_words=20).collect()
+    assert {x["doc_id"]: x["text"] for x in cut} == {x["doc_id"]: x["text"] for x in contamination.remove_spans(docs, items, longest=13).collect()}
+
+
+def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 997}" for k in range(200))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = []
+    fit = quality._posterior
+    monkeypatch.setattr(quality, "_posterior", lambda votes, *a: learned.append(len(votes)) or fit(votes, *a))
+    quality.train(docs, most_bytes=sum(len(t) for _, t in rows) // 8, epochs=1)
+    assert 20 <= learned[-1] <= 90
 
 
 PROSE = ["The council met on Tuesday to discuss the new bridge over the river.", "Members voted eleven to four in favour of the plan.", "Work is to begin in the spring of next year."]

