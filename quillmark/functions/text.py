@@ -124,16 +124,27 @@ def _tidy(text: Column) -> Column:
     return out
 
 
+#: Numbers of statutes' parts, in either script.
+NUMBER = r"[\p{Nd}零〇一二三四五六七八九十百千两]+"
+#: Headings of parts, chapters and sections, the whole line, which no sentence is; what stands in front of an article of a statute; page footers.
+HEADING = rf"^第{NUMBER}[编章节](?:[ \x{{3000}}][^。，；：！？,;:!?]*)?$"
+ARTICLE = rf"^第{NUMBER}条 +"
+PAGE_FOOTER = r"^ *— *\p{Nd}+ *— *$"
+
+
 def cjk_normalise(line: Column) -> Column:
     """A line with the spacing and punctuation of Chinese typesetting.
 
     Spaces between Han characters, or these and letters or digits, and around full-width marks go; half-width marks between Han
-    characters become full-width. Headings of statutes, page footers and quotations stay as they are, and so do tabs. Doing it again changes nothing.
+    characters become full-width. Headings of statutes (parts, chapters, sections; whole lines without a sentence), page footers and quotations stay as they are, and so do tabs; of an
+    article of a statute its number and the space behind it stay, and its text is corrected. Doing it again changes nothing.
     """
-    keep = F.regexp_like(line, F.lit(r"^第[^ ]{1,6}[编章节条]|^ *— *\p{Nd}+ *— *$"))
-    parts = F.split(line, "(?=“)|(?<=”)")
+    keep = F.regexp_like(line, F.lit(f"{HEADING}|{PAGE_FOOTER}"))
+    number = F.regexp_extract(line, ARTICLE, 0)
+    parts = F.split(F.regexp_replace(line, ARTICLE, ""), "(?=“)|(?<=”)")
     joined = F.array_join(F.transform(parts, lambda p: F.when(p.startswith("“"), p).otherwise(_tidy(p))), "")
-    return F.when(keep, line).otherwise(F.regexp_replace(F.regexp_replace(joined, " +(?=“)", ""), "(?<=”) +", ""))
+    tidy = F.regexp_replace(F.regexp_replace(joined, " +(?=“)", ""), "(?<=”) +", "")
+    return F.when(keep, line).otherwise(F.concat(number, tidy))
 
 
 #: Rules of the proof report and their patterns (ours, after the stated rules).
@@ -143,20 +154,27 @@ PROOF_RULES = {
     "half_width_mark": f"(?<=[{HAN}])[,;:?!](?=[{HAN}])",
 }
 
+#: Common surnames and last characters of units' names (ours): what tells a name in brackets from a remark.
+SURNAMES = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何林高罗郑梁谢宋唐许邓韩冯曹彭曾肖田董潘袁蔡蒋余于杜叶程魏苏吕丁任卢姚沈钟姜崔谭陆范汪廖石金韦贾夏付方邹熊白孟秦邱侯江尹薛闫雷龙黎史陶贺毛郝顾龚邵万覃武钱戴严莫孔向汤"
+UNITS = "局院厅中心社报部委处科会所站司校组网大学"
+_NAME = rf"(?:(?:记者|通讯员|作者|编辑)[ ：:]*)?[{SURNAMES}][{HAN}]{{1,3}}"
+_UNIT = rf"[{HAN}]+[{UNITS}]"
+_SIGNED = rf"(?:{_NAME}|{_UNIT})(?:[ 、/]+(?:{_NAME}|{_UNIT}))*"
 #: Sign-offs at the end of an article (ours, after the stated rules): names or units in brackets, photo credits, captions. Credits end with their mark and, like captions, hold no end of a sentence before it.
-SIGN_OFF = rf"^{WS}*(?:（[{HAN}]{{2,4}}(?:[ 、][{HAN}]{{2,12}})*）|\([{HAN}]{{2,4}}(?:[ 、][{HAN}]{{2,12}})*\)|[^。！？；，]*(?:[/／]摄|供图|摄影)[^{HAN}。！？；，]*|图[为：:][^。！？；]*。?)$"
-TRAILING_SIGN_OFF = rf"(?:（[{HAN}]{{2,4}}(?: [{HAN}]{{2,12}})*）)$"
+SIGN_OFF = rf"^{WS}*(?:（{_SIGNED}）|\({_SIGNED}\)|[^。！？；，]*(?:[/／]摄|供图|摄影)[^{HAN}。！？；，]*|图[为：:][^。！？；]*。?){WS}*$"
+#: The same in brackets behind the last sentence: after its end mark, so that no title or term loses what belongs to it.
+TRAILING_SIGN_OFF = rf"(?<=[。！？…”』」.!?]){WS}*(?:（{_SIGNED}）|\({_SIGNED}\)){WS}*$"
 POINTERS = "详见|见下表|见附件|附后"
 
 
 def is_sign_off(paragraph: Column) -> Column:
-    """Whether a paragraph is nothing but a sign-off; pointers to tables and the like aren't."""
+    """Whether a paragraph looks like nothing but a sign-off; pointers to tables and the like don't. What it is depends on where it stands: see operators.articles."""
     return F.regexp_like(paragraph, F.lit(SIGN_OFF)) & ~F.regexp_like(paragraph, F.lit(POINTERS))
 
 
 def strip_sign_off(paragraph: Column) -> Column:
-    """Without a sign-off in brackets at the end."""
-    return F.when(F.regexp_like(paragraph, F.lit(f"（[^）]*(?:{POINTERS})[^）]*）$")), paragraph).otherwise(F.regexp_replace(paragraph, TRAILING_SIGN_OFF, ""))
+    """Without a name or unit in brackets behind the last sentence; for the last paragraph of an article."""
+    return F.regexp_replace(paragraph, TRAILING_SIGN_OFF, "")
 
 
 #: Lines that are nothing but furniture of a page (ours): anchored at both ends, so that no sentence of the text can match.

@@ -40,22 +40,27 @@ def files_by_board(files: DataFrame, boards: tuple[str, ...], board: str = "boar
     return files.where(F.col(board).isin(*boards)).groupBy(board).agg(F.count("*").alias("n_files"))
 
 
+#: The lines of a catalog's head and of the closing summary.
+RANGE_LINE, COUNT_LINE, TIME_LINE = "- 采集范围：%s—%s", "- 条目总数：%d", "- 生成时间：%s"
+TOTAL_SAID, FILES_SAID = "[汇总] 目录条数 %s", "[汇总] %s 原文归档 %d 份"
+
+
 def heading(items: DataFrame, first: Column, last: Column) -> DataFrame:
     """The lines of a catalog's head but the time: range and total."""
-    return items.agg(F.count("*").alias("n")).select(F.explode(F.array(F.format_string("- 采集范围：%s—%s", first, last), F.format_string("- 条目总数：%d", F.col("n")))).alias("line"))
+    return items.agg(F.count("*").alias("n")).select(F.explode(F.array(F.format_string(RANGE_LINE, first, last), F.format_string(COUNT_LINE, F.col("n")))).alias("line"))
 
 
 def full_heading(items: DataFrame, first: Column, last: Column, made: Column) -> DataFrame:
     """(ord, line): the three lines of a catalog's head: range, total, time of making (a timestamp)."""
-    lines = F.array(F.format_string("- 采集范围：%s—%s", first, last), F.format_string("- 条目总数：%d", F.col("n")), F.format_string("- 生成时间：%s", F.date_format(made, "yyyy-MM-dd HH:mm:ss")))
+    lines = F.array(F.format_string(RANGE_LINE, first, last), F.format_string(COUNT_LINE, F.col("n")), F.format_string(TIME_LINE, F.date_format(made, "yyyy-MM-dd HH:mm:ss")))
     return items.agg(F.count("*").alias("n")).select(F.posexplode(lines).alias("pos", "line")).select((F.col("pos") + 1).alias("ord"), "line")
 
 
 def summary(catalog: DataFrame, files: DataFrame, boards: tuple[str, ...], text: str = "text", board: str = "board") -> DataFrame:
     """(ord, line): the total that the catalog states, then the files of each board that has some, in the order of boards."""
     place = F.array_position(F.array(*map(F.lit, boards)), F.col(board))
-    total = catalog.agg(F.max(first_group(F.col(text), TOTAL_LINE)).alias("t")).select(F.lit(0).cast("long").alias("ord"), F.format_string("[汇总] 目录条数 %s", "t").alias("line"))
-    return total.union(files_by_board(files, boards, board).select(place.cast("long"), F.format_string("[汇总] %s 原文归档 %d 份", board, "n_files")))
+    total = catalog.agg(F.max(first_group(F.col(text), TOTAL_LINE)).alias("t")).select(F.lit(0).cast("long").alias("ord"), F.format_string(TOTAL_SAID, "t").alias("line"))
+    return total.union(files_by_board(files, boards, board).select(place.cast("long"), F.format_string(FILES_SAID, board, "n_files")))
 
 
 def last_by_name(paths: DataFrame, group: str, path: str = "path") -> DataFrame:

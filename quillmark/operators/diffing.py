@@ -45,6 +45,21 @@ def page_mismatches(physical: DataFrame, toc: DataFrame, footer: DataFrame, fron
     return pages.where(~same)
 
 
+def page_totals(physical: DataFrame, toc: DataFrame, footer: DataFrame, front: int) -> DataFrame:
+    """One row: n_articles, last_page and page_sum of each of the three numberings (physical ones less front matter), and agree: whether all three have the same."""
+    one = lambda df, kind, off: df.agg(F.lit(kind).alias("kind"), F.count("page").alias("n"), F.max(F.col("page") - off).alias("last"), F.sum(F.col("page") - off).alias("sum"))
+    kinds = {"physical": (physical, front), "toc": (toc, 0), "footer": (footer, 0)}
+    rows = None
+    for kind, (df, off) in kinds.items():
+        rows = one(df, kind, off) if rows is None else rows.union(one(df, kind, off))
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    wide = rows.agg(*[of(kind, c).alias(f"{kind}_{c}") for kind in kinds for c in ("n", "last", "sum")])
+    same = F.lit(True)
+    for c in ("n", "last", "sum"):
+        same = same & F.col(f"physical_{c}").eqNullSafe(F.col(f"toc_{c}")) & F.col(f"toc_{c}").eqNullSafe(F.col(f"footer_{c}"))
+    return wide.withColumn("agree", same)
+
+
 def footer_number(text: Column) -> Column:
     """The number between dashes on a page (int; null without one)."""
     return F.nullif(F.regexp_extract(text, rf"—{WS}*(\p{{Nd}}+){WS}*—", 1), F.lit("")).try_cast("int")

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmark.operators.ordering import running_totals
+
 
 def in_window(items: DataFrame, date: str, first: Column, last: Column) -> DataFrame:
     """Items of a collection window, both ends included."""
@@ -70,16 +72,11 @@ def classified(items: DataFrame, text: str, rules: Sequence[tuple[str, str, str]
 def ranked(items: DataFrame, key: str, board: str = "board", level: str = "level", centrality: str = "centrality", date: str = "pub_date") -> DataFrame:
     """Adds rank: within a board by level, then centrality, then the newest date (nulls last), then key.
 
-    A board is never numbered in one task: items are numbered within equal level, centrality and date, and the numbers of these groups, a row each, are summed up over the board.
+    Items are dealt out by ranges of this order, so neither a board nor many items of one level, centrality and date are numbered in one task (see ordering).
     """
-    group = [board, level, centrality, date]
-    order = [F.col(level).asc_nulls_last(), F.col(centrality).asc_nulls_last(), F.col(date).desc_nulls_last()]
-    before = Window.partitionBy(board).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = items.groupBy(*group).agg(F.count("*").alias("_n"))
-    starts = sizes.select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(group)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    own = items.withColumn("_at", F.row_number().over(Window.partitionBy(*group).orderBy(key)))
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(group)]
-    return own.join(starts, same).select(*items.columns, (F.col("_start") + F.col("_at")).cast("int").alias("rank"))
+    order = [F.col(level).asc_nulls_last(), F.col(centrality).asc_nulls_last(), F.col(date).desc_nulls_last(), F.col(key).asc()]
+    out = running_totals(items, [board], order, {"rank": F.lit(1)})
+    return out.withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def within_quota(items: DataFrame, quota: Mapping[str, int], key: str, direct: bool = False, **columns) -> DataFrame:
@@ -105,16 +102,20 @@ def preferred(items: DataFrame, story: str, priority: str, key: str) -> DataFram
 
 
 def inserted(skeleton: DataFrame, extras: DataFrame, board: str = "board", rank: str = "rank", key: str = "id") -> DataFrame:
-    """(board, key, position): the skeleton (with place) keeps its order; each extra stands after all its items of a rank up to its own.
+    """(board, key, position): the skeleton (with place: 1, 2, ... in a board) keeps its order; each extra stands after as many of its items as have a rank up to its own.
 
-    The number of these comes from one running count over both, by rank, not from pairs of items.
+    One running count over both by rank, dealt out by ranges (ordering), gives all positions: an extra stands behind those skeleton items and the extras before it; the skeleton's
+    item at place p stands behind all extras of a rank before the p-th skeleton item by rank, which is found by an equi-join of place and that number. No board is ordered in one task.
     """
-    one = skeleton.select(board, key, rank, "place", F.lit(0).alias("_extra"))
-    two = extras.select(board, key, rank, F.lit(None).cast("int").alias("place"), F.lit(1).alias("_extra"))
-    upto = Window.partitionBy(board).orderBy(F.col(rank)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    both = one.unionByName(two).withColumn("_slot", F.when(F.col("_extra") == 0, F.col("place")).otherwise(F.sum(1 - F.col("_extra")).over(upto)).cast("long"))
-    order = Window.partitionBy(board).orderBy("_slot", "_extra", rank, key)
-    return both.select(board, key, F.row_number().over(order).alias("position"))
+    one = skeleton.select(board, key, rank, F.col("place").cast("long").alias("_place"), F.lit(0).alias("_extra"))
+    two = extras.select(board, key, rank, F.lit(None).cast("long").alias("_place"), F.lit(1).alias("_extra"))
+    order = [F.col(rank).asc_nulls_last(), F.col("_extra").asc(), F.col(key).asc()]
+    both = running_totals(one.unionByName(two), [board], order, {"_fixed": 1 - F.col("_extra"), "_extras": F.col("_extra")})
+    moved = both.where("_extra = 1").select(board, key, (F.col("_fixed") + F.col("_extras") + 1).alias("position"))
+    nth = both.where("_extra = 0").select(F.col(board).alias("_board"), (F.col("_fixed") + 1).alias("_nth"), F.col("_extras").alias("_before"))
+    at = F.col(board).eqNullSafe(F.col("_board")) & (F.col("_place") == F.col("_nth"))
+    kept = one.join(nth, at).select(board, key, (F.col("_place") + F.col("_before")).alias("position"))
+    return kept.union(moved).withColumn("position", F.col("position").cast("int"))
 
 
 def page_breaks(articles: DataFrame, board: str = "board", ord_: str = "ord") -> DataFrame:

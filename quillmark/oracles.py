@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quillmark import queries_issue
+
 WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 BOARDS = "['政策法规', '技术应用类', '科技前沿类']"
 PAGES = """pages AS (
@@ -40,7 +42,6 @@ ITEMS = """items AS (SELECT o_orderkey AS id, o_orderstatus AS board, substr(o_o
     CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate END AS pub_date FROM orders JOIN customer ON o_custkey = c_custkey),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY board ORDER BY level, centrality, pub_date DESC NULLS LAST, id)::INT AS rank FROM items)"""
 QUOTA = "rank <= CASE board WHEN 'F' THEN 6 WHEN 'O' THEN 24 WHEN 'P' THEN 5 ELSE 0 END"
-STEPS = "steps(pos, id, weekly, leader) AS (VALUES (1,'03',false,false),(2,'04',false,false),(3,'20',false,false),(4,'01',true,false),(5,'10',true,false),(6,'24',false,false),(7,'29',false,true),(8,'31',false,false),(9,'25',false,false),(10,'07',false,false),(11,'28',false,false))"
 PATH = r"(SELECT page_id, regexp_replace(url, '\?.*$', '.html') AS path FROM pages)"
 
 
@@ -70,20 +71,26 @@ def _diff() -> str:
 HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
 MARKS = "，。；：？！、（）《》"
 BLANKS = r"[\x{a0}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}]"
-KEEP = r"^第[^ ]{1,6}[编章节条]|^ *— *\p{Nd}+ *— *$"
+NUMBER = r"[\p{Nd}零〇一二三四五六七八九十百千两]+"
+KEEP = rf"^第{NUMBER}[编章节](?:[ \x{{3000}}][^。，；：！？,;:!?]*)?$|^ *— *\p{{Nd}}+ *— *$"
 PARAGRAPH_ROWS = "(SELECT doc_id AS id, unnest(range(1, len(p) + 1))::INT AS pos, unnest(p) AS paragraph FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))"
-HAN_LINES = f"WITH lines AS (SELECT id, pos, (CASE WHEN pos % 5 = 0 THEN '第二章 ' ELSE '' END) || translate(paragraph, 'etaoinzx', '的一是在不了' || chr(160) || chr(12288)) AS raw FROM {PARAGRAPH_ROWS})"
-SIGNED = f"""WITH signed AS (SELECT id, pos, CASE (id + pos) % 9 WHEN 0 THEN paragraph || '（刘某）' WHEN 1 THEN paragraph || '（详见下表）' WHEN 2 THEN substr(paragraph, 1, 3) || '/摄' WHEN 3 THEN '图为：' || substr(paragraph, 1, 60)
-    WHEN 4 THEN '字号：' || substr(paragraph, 1, 12) WHEN 5 THEN '扫一扫' || substr(paragraph, 1, 30) || '分享' ELSE paragraph END AS paragraph FROM {PARAGRAPH_ROWS})"""
+HAN_LINES = f"WITH lines AS (SELECT id, pos, (CASE WHEN pos % 5 = 0 THEN '第二章 ' WHEN pos % 7 = 0 THEN '第十三条 ' ELSE '' END) || translate(paragraph, 'etaoinzx', '的一是在不了' || chr(160) || chr(12288)) AS raw FROM {PARAGRAPH_ROWS})"
+SIGNED = f"""WITH inner_ AS (SELECT id, pos, CASE (id + pos) % 9 WHEN 0 THEN paragraph || '。（刘某）' WHEN 1 THEN paragraph || '（详见下表）' WHEN 2 THEN paragraph || '/摄' WHEN 3 THEN '图为：' || paragraph
+    WHEN 4 THEN '字号：' || paragraph WHEN 5 THEN '扫一扫' || paragraph || '分享' ELSE paragraph END AS paragraph FROM {PARAGRAPH_ROWS}),
+ends AS (SELECT id, n, CASE id % 6 WHEN 0 THEN ['正文到此。', '（刘某）'] WHEN 1 THEN ['正文到此。', '张某/摄', ' ', '图为：会场'] WHEN 2 THEN ['工作会议召开。（测绘局 王某）'] WHEN 3 THEN ['印发《测绘成果管理办法》（试行）'] WHEN 4 THEN ['结果公布（详见下表）'] ELSE ['正文到此。'] END AS e
+    FROM (SELECT id, max(pos) AS n FROM {PARAGRAPH_ROWS} GROUP BY id)),
+signed AS (SELECT * FROM inner_ UNION ALL SELECT id, (n + unnest(range(1, len(e) + 1)))::INT, unnest(e) FROM ends)"""
 PARAGRAPHS = """(VALUES (1, '全省工作会议召开。（刘某）'), (2, '结果公布（详见下表）'), (3, '张某/摄'), (4, '图为：会场'), (5, '（王某 测绘院）'), (6, '李某 供图'), (7, '正文提到供图单位和地图。'), (8, '扫一扫打开当前页'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别'), (10, '打印本页')) AS t(id, paragraph)"""
-#: Whether a paragraph is one of the planted sign-offs, or planted furniture (texts of the tables have no full-width marks); the constant ones beside them.
-SIGN_OFF = "(suffix(paragraph, '/摄') OR prefix(paragraph, '图为：') OR paragraph IN ('（刘某）', '（王某测绘院）', '李某供图'))"
+#: What stands behind the planted ends, and planted furniture (texts of the tables have no full-width marks and no such endings); the constant ones beside them.
+BEHIND = "(id >= 0 AND paragraph IN ('（刘某）', '张某/摄', '图为：会场') AND pos > (SELECT max(p.pos) FROM inner_ p WHERE p.id = s.id) OR id IN (-3, -4, -5, -6))"
 FURNITURE = "(prefix(paragraph, '字号：') OR prefix(paragraph, '扫一扫') AND suffix(paragraph, '分享') OR paragraph IN ('扫一扫打开当前页', '打印本页'))"
+ALL_SIGNED = f"{SIGNED}, every AS (SELECT * FROM signed UNION ALL SELECT -id, 1, paragraph FROM {PARAGRAPHS}), judged AS (SELECT *, {BEHIND} AS behind, {FURNITURE} AS furniture FROM every s)"
 
 
 def _tidied() -> str:
     """Spacing and marks of lines without quotations; patterns that take neighbours along go over the text twice."""
-    x = f"regexp_replace(raw, '{BLANKS}', ' ', 'g')"
+    article = rf"^第{NUMBER}条 +"
+    x = f"regexp_replace(regexp_replace(raw, '{article}', ''), '{BLANKS}', ' ', 'g')"
     for left, right in ((f"[{HAN}]", f"[{HAN}A-Za-z0-9]"), ("[A-Za-z0-9]", f"[{HAN}]")):
         for _ in range(2):
             x = f"regexp_replace({x}, '({left}) +({right})', '\\1\\2', 'g')"
@@ -91,7 +98,7 @@ def _tidied() -> str:
     for half, full in ((",", "，"), (";", "；"), (":", "："), ("?", "？"), ("!", "！")):
         for _ in range(2):
             x = f"regexp_replace({x}, '([{HAN}])[{half}]([{HAN}])', '\\1{full}\\2', 'g')"
-    return f"tidied AS (SELECT id, pos, raw, {x} AS full_ FROM lines)"
+    return f"tidied AS (SELECT id, pos, raw, regexp_extract(raw, '{article}') || {x} AS full_ FROM lines)"
 
 
 def _proofed() -> str:
@@ -140,10 +147,6 @@ ORACLES = {
         UNION ALL SELECT board, id, rank, NULL, 1 FROM ranked WHERE id % 5 <> 0), slots AS (SELECT *, CASE WHEN extra = 0 THEN place ELSE sum(1 - extra) OVER (PARTITION BY board ORDER BY rank) END AS slot FROM both_)
         SELECT board, id, row_number() OVER (PARTITION BY board ORDER BY slot, extra, rank, id)::INT AS position FROM slots""",
     "page_breaks": f"WITH {ITEMS} SELECT id, rank > 1 AS page_break FROM ranked",
-    "step_plan": f"""WITH {STEPS} SELECT 'all' AS plan, pos, id FROM steps WHERE NOT leader
-        UNION ALL SELECT 'from', pos, id FROM steps WHERE pos >= 5 AND NOT weekly AND NOT leader
-        UNION ALL SELECT 'leader', pos, id FROM steps WHERE pos >= 7
-        UNION ALL SELECT 'only', pos, id FROM steps WHERE id IN ('03', '25', '07') AND pos >= 9""",
     "step_failfast": """SELECT run, count(*) AS n_steps, max(code)::INT AS failed FROM (SELECT *, coalesce(max(code) OVER (PARTITION BY run ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
         FROM (SELECT user_id AS run, event_id AS pos, CASE WHEN value > 95 THEN 1 ELSE 0 END AS code FROM events)) WHERE before = 0 GROUP BY run""",
     "period_validate": """SELECT c_custkey, field, value FROM (
@@ -169,14 +172,11 @@ ORACLES = {
     "proof_report": f"""{HAN_LINES}, {_proofed()} SELECT id, pos, rule, hits FROM proofed WHERE hits > 0 AND id >= 0 UNION ALL
         SELECT -id, 1, rule, hits FROM (VALUES (1, 'extra_space', 4), (2, 'extra_space', 3), (3, 'half_width_mark', 1), (4, 'extra_space', 2), (5, 'extra_space', 2), (6, 'extra_space', 1), (8, 'extra_space', 3), (9, 'extra_space', 1), (11, 'extra_space', 4), (12, 'special_blank', 2), (13, 'special_blank', 1), (13, 'half_width_mark', 1),
         (14, 'extra_space', 4), (14, 'half_width_mark', 1)) AS t(id, rule, hits)""",
-    "sign_off_strip": f"""{SIGNED} SELECT id, pos, CASE WHEN ends(paragraph, '（刘某）') THEN left(paragraph, length(paragraph) - 4) ELSE paragraph END AS paragraph FROM signed WHERE id >= 0 AND NOT {SIGN_OFF}
-        UNION ALL SELECT -id, 1, paragraph FROM (VALUES (1, '全省工作会议召开。'), (2, '结果公布（详见下表）'), (7, '正文提到供图单位和地图。'), (8, '扫一扫打开当前页'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别'), (10, '打印本页')) AS t(id, paragraph)""".replace("ends(", "suffix("),
-    "boilerplate_lines": f"""{SIGNED} SELECT * FROM signed WHERE id >= 0 AND NOT {FURNITURE}
-        UNION ALL SELECT -id, 1, paragraph FROM (VALUES (1, '全省工作会议召开。（刘某）'), (2, '结果公布（详见下表）'), (3, '张某/摄'), (4, '图为：会场'), (5, '（王某 测绘院）'), (6, '李某 供图'), (7, '正文提到供图单位和地图。'), (9, '用手机扫一扫随机获取的地图，系统即可自动识别')) AS t(id, paragraph)""",
-    "proof_omissions": f"""{SIGNED}, judged AS (SELECT id, pos, paragraph, {SIGN_OFF} OR {FURNITURE} AS gone FROM signed WHERE id >= 0 UNION ALL SELECT -id, 1, paragraph, id IN (3, 4, 5, 6, 8, 10) FROM {PARAGRAPHS}),
-        both_ AS (SELECT id, regexp_replace(paragraph, '{WS}', '', 'g') AS paragraph, 1 AS n FROM judged UNION ALL SELECT id, regexp_replace(paragraph, '{WS}', '', 'g'), -1 FROM judged WHERE NOT gone AND (id + pos) % 11 <> 0),
-        lost AS (SELECT id, paragraph, sum(n)::BIGINT AS missing FROM both_ WHERE paragraph <> '' GROUP BY ALL HAVING sum(n) > 0)
-        SELECT id, paragraph, missing, CASE WHEN {SIGN_OFF} OR {FURNITURE} THEN 'removed' ELSE 'omitted' END AS verdict FROM lost""",
+    "sign_off_strip": f"""{ALL_SIGNED} SELECT id, pos, CASE WHEN id % 6 = 2 AND paragraph = '工作会议召开。（测绘局 王某）' THEN '工作会议召开。' WHEN id = -1 THEN '全省工作会议召开。' ELSE paragraph END AS paragraph FROM judged WHERE NOT behind""",
+    "boilerplate_lines": f"{ALL_SIGNED} SELECT id, pos, paragraph FROM judged WHERE NOT furniture",
+    "proof_omissions": f"""{ALL_SIGNED}, both_ AS (SELECT id, regexp_replace(paragraph, '{WS}', '', 'g') AS paragraph, 1 AS n, behind OR furniture AS gone FROM judged
+        UNION ALL SELECT id, regexp_replace(paragraph, '{WS}', '', 'g'), -1, false FROM judged WHERE NOT behind AND NOT furniture AND (id + pos) % 11 <> 0)
+        SELECT id, paragraph, sum(n)::BIGINT AS missing, CASE WHEN max(gone::INT) = 1 THEN 'removed' ELSE 'omitted' END AS verdict FROM both_ WHERE paragraph <> '' GROUP BY id, paragraph HAVING sum(n) > 0""",
     "toc_backfill_front": "SELECT conv_id AS doc_id, (turn + 1)::INT AS page_no, CASE WHEN turn + 1 > conv_id % 3 THEN (turn + 1 - conv_id % 3)::INT END AS printed FROM conversations",
     "precondition_stop": "SELECT s AS n_selected, c::INT AS n_catalog, p AS n_pending, s <> c OR s = 0 AS stop, p > 0 AS warn FROM (SELECT (SELECT count(*) FROM labels) AS s, (SELECT count(*) FROM documents) AS c, (SELECT count(*) FROM labels WHERE doc_id % 6 = 0) AS p)",
     "rounded_tops": "SELECT l_orderkey, l_linenumber, printf('%.1f', l_extendedprice / 1000)::DOUBLE AS price, printf('%.1f', l_quantity / 20)::DOUBLE AS quantity, printf('%.1f', -l_discount / 4)::DOUBLE AS discount FROM lineitem",
@@ -196,8 +196,8 @@ ORACLES = {
     "whole_text_scan": "SELECT item_id, text FROM benchmark",
     "json_records": "SELECT c_name AS issue_name, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS issue_label, c_nationkey AS draft_target, NULL::VARCHAR AS window_from FROM customer",
     "json_selection": "SELECT CASE WHEN doc_id % 6 = 0 THEN '待补：正文' WHEN doc_id % 6 <> 1 THEN '官网' END AS body_source, count(*) AS n FROM labels GROUP BY 1",
-    "archive_listing": f"SELECT DISTINCT {BOARDS}[(doc_id % 3 + 1)::INT] AS board FROM documents",
-    "log_append": "SELECT '=== [' || event_id || '] ' || event_type AS line FROM events WHERE event_type IN ('click', 'view')",
+    "archive_listing": f"SELECT DISTINCT {BOARDS}[(doc_id % 3 + 1)::INT] AS board, true AS has_files, true AS has_bytes, true AS is_new FROM documents",
+    "log_append": "SELECT '=== [' || event_id || '] ' || event_type AS line FROM events",
     "trial_issue": "SELECT n_nationkey, 'issue' AS kind FROM nation UNION ALL SELECT n_nationkey, 'trial' FROM nation WHERE n_nationkey < 10",
     "latest_artifact": "SELECT folder, path FROM (SELECT o_custkey AS folder, 'out/' || o_orderkey || '.pdf' AS path, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, 'out/' || o_orderkey || '.pdf' DESC) AS n FROM orders) WHERE n = 1",
     "first_ok_candidate": "SELECT run, name FROM (SELECT l_orderkey AS run, l_returnflag || l_suppkey AS name, row_number() OVER (PARTITION BY l_orderkey ORDER BY (l_returnflag = 'R') DESC, l_linenumber, l_returnflag || l_suppkey) AS n FROM lineitem) WHERE n = 1",
@@ -209,4 +209,4 @@ ORACLES = {
     "path_parts": rf"""SELECT page_id, name, regexp_replace(name, '^(.+)\.[^.]*$', '\1') AS stem, regexp_replace(path, '[/][^/]*$', '') AS parent, regexp_replace(path, '\.[^./]*$', '') || '.pdf' AS pdf,
         CASE WHEN name = '' THEN path WHEN contains(name, '.') THEN regexp_replace(path, '(\.[^./]*)$', '_v2\1') ELSE path || '_v2' END AS v2 FROM (SELECT page_id, path, regexp_extract(path, '([^/]*)$', 1) AS name FROM {PATH})""",
     "pagination_stable": _stable(),
-}
+} | queries_issue.ORACLES

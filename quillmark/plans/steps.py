@@ -8,22 +8,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def planned(steps: DataFrame, only: Sequence[str] = (), start: str = "", skip_weekly: bool = False, leader: bool = False, plan: str | None = None) -> DataFrame:
-    """Steps (pos, id, weekly, needs_leader) that run, in the order of pos.
+def planned(steps: DataFrame, only: Sequence[str] = (), start: str = "", skip_weekly: bool = False, leader: bool = False) -> DataFrame:
+    """Steps (pos, id, weekly, needs_leader) of one plan that run; see planned_for_each."""
+    own = {"_only": F.array(*[F.lit(x) for x in only]).cast("array<string>"), "_start": F.lit(start), "_skip": F.lit(skip_weekly), "_leader": F.lit(leader)}
+    return _running(steps.withColumns(own), Window.partitionBy()).select(*steps.columns)
 
-    only: these ids (none: all; commas separate ids too). start: from this id on, among those that only leaves; an unknown id runs nothing. Then weekly steps
-    go if skipped, and steps that need the leader's document if there is none. plan: a column that tells plans apart.
+
+def planned_for_each(steps: DataFrame, plans: DataFrame, plan: str) -> DataFrame:
+    """Steps (plan, pos, id, weekly, needs_leader) that run by the parameters of their plan in plans (plan, only, start, skip_weekly, leader).
+
+    only: these ids (none or null: all; commas separate ids too). start: from this id on, among those that only leaves, in the order of pos; empty or null: from the first; an unknown id runs nothing. Then weekly steps
+    go if skipped, and steps that need the leader's document if there is none; null flags are false. Steps of plans without parameters don't run.
     """
-    ids = [i.strip() for x in only for i in x.split(",") if i.strip()]
-    out = steps.where(F.col("id").isin(*ids)) if ids else steps
-    if start:
-        order = (Window.partitionBy(plan) if plan else Window.partitionBy()).orderBy("pos")
-        out = out.withColumn("_on", F.max(F.col("id") == start).over(order)).where("_on").drop("_on")
-    if skip_weekly:
-        out = out.where(~F.coalesce("weekly", F.lit(False)))
-    if not leader:
-        out = out.where(~F.coalesce("needs_leader", F.lit(False)))
-    return out
+    own = plans.select(F.col(plan).alias("_plan"), F.col("only").alias("_only"), F.col("start").alias("_start"), F.col("skip_weekly").alias("_skip"), F.col("leader").alias("_leader"))
+    joined = steps.join(own, F.col(plan) == F.col("_plan"))
+    return _running(joined, Window.partitionBy("_plan")).select(*steps.columns)
+
+
+def _running(steps: DataFrame, together) -> DataFrame:
+    said = lambda c: F.coalesce(c, F.lit(False))
+    ids = F.filter(F.transform(F.split(F.array_join("_only", ","), ","), lambda x: F.trim(x)), lambda x: x != "")
+    ids = F.coalesce(ids, F.array().cast("array<string>"))
+    wanted = steps.where((F.size(ids) == 0) | F.array_contains(ids, F.col("id")))
+    reached = F.max(F.col("id") == F.col("_start")).over(together.orderBy("pos"))
+    from_start = wanted.withColumn("_on", (F.coalesce("_start", F.lit("")) == "") | said(reached)).where("_on")
+    return from_start.where(~(said(F.col("_skip")) & said(F.col("weekly"))) & (said(F.col("_leader")) | ~said(F.col("needs_leader"))))
+
+
+def resumed(steps: DataFrame, runs: DataFrame, plan: str, id_: str = "id", exit_code: str = "exit_code") -> DataFrame:
+    """Steps that no run in runs (plan, id, exit_code) has ended well: what is left to do; an anti join, so that it doesn't matter how often a step was tried."""
+    done = runs.where(F.col(exit_code) == 0).select(plan, id_).distinct()
+    return steps.join(done, [plan, id_], "left_anti").select(*steps.columns)
 
 
 def executed(runs: DataFrame, run: str, pos: str = "pos", exit_code: str = "exit_code") -> DataFrame:

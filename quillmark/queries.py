@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark import queries_issue
 from quillmark.functions import text as X
-from quillmark.operators import catalog, diffing, layout, selecting
+from quillmark.operators import articles, catalog, diffing, layout, selecting
+from quillmark.operators.ordering import running_totals
 from quillmark.plans import steps
 from quillmark.sources import readers, sinks
 from quillmark.sources.readers import table
@@ -184,8 +187,8 @@ def priority_pick(spark, sf_dir):
 
 def skeleton_insert(spark, sf_dir):
     ranked = selecting.ranked(_items(spark, sf_dir), "id")
-    skeleton = ranked.where("id % 5 = 0").withColumn("place", F.row_number().over(selecting.Window.partitionBy("board").orderBy(F.col("id") % 97, "id")))
-    return selecting.inserted(skeleton, ranked.where("id % 5 <> 0"))
+    skeleton = running_totals(ranked.where("id % 5 = 0"), ["board"], [(F.col("id") % 97).asc(), F.col("id").asc()], {"place": F.lit(1)})
+    return selecting.inserted(skeleton.withColumn("place", F.col("place") + 1), ranked.where("id % 5 <> 0"))
 
 
 def page_breaks(spark, sf_dir):
@@ -193,21 +196,6 @@ def page_breaks(spark, sf_dir):
     return selecting.page_breaks(items, "board", "rank").select("id", "page_break")
 
 
-#: A plan's steps: number, id, weekly, needs the leader's document.
-STEPS = [(i + 1, s, w, n) for i, (s, w, n) in enumerate((("03", None, None), ("04", None, None), ("20", None, None), ("01", True, None), ("10", True, None), ("24", None, None), ("29", None, True), ("31", None, None), ("25", None, None), ("07", None, None), ("28", None, None)))]
-
-
-def _steps(spark: SparkSession) -> DataFrame:
-    return readers.constant(spark, STEPS, "pos int, id string, weekly boolean, needs_leader boolean")
-
-
-def step_plan(spark, sf_dir):
-    s = _steps(spark)
-    cases = {"all": {}, "from": {"start": "10", "skip_weekly": True}, "leader": {"start": "29", "leader": True}, "only": {"only": ["03,25", "07"], "start": "25"}, "unknown": {"start": "99"}}
-    out = [steps.planned(s, **c).select(F.lit(name).alias("plan"), "pos", "id") for name, c in cases.items()]
-    return out[0].union(out[1]).union(out[2]).union(out[3]).union(out[4])
-
-
 def step_failfast(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("pos"), F.when(F.col("value") > 95, 1).otherwise(0).alias("exit_code"))
     return steps.executed(e, "run").groupBy("run").agg(F.count("*").alias("n_steps"), F.max("exit_code").alias("failed"))
@@ -298,10 +286,10 @@ LETTERS, HAN_FOR = "etaoinzx", "的一是在不了\u00a0\u3000"
 
 
 def _han_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, pos, raw): the constant lines (below 0), and all paragraphs of documents with Han characters and special blanks for some letters; each fifth is like a heading."""
+    """(id, pos, raw): the constant lines (below 0), and all paragraphs of documents with Han characters and special blanks for some letters; each fifth is like a heading, and each seventh like an article of a statute."""
     own = diffing.paragraphs(table(spark, sf_dir, "documents"), "doc_id", "text")
     han = F.translate("paragraph", LETTERS, HAN_FOR)
-    lines = own.select(F.col("doc_id").alias("id"), "pos", F.when(F.col("pos") % 5 == 0, F.concat(F.lit("第二章 "), han)).otherwise(han).alias("raw"))
+    lines = own.select(F.col("doc_id").alias("id"), "pos", F.when(F.col("pos") % 5 == 0, F.concat(F.lit("第二章 "), han)).when(F.col("pos") % 7 == 0, F.concat(F.lit("第十三条 "), han)).otherwise(han).alias("raw"))
     return readers.constant(spark, LINES, "id long, raw string").select((-F.col("id")).alias("id"), F.lit(1).alias("pos"), "raw").union(lines)
 
 
@@ -318,16 +306,27 @@ PARAGRAPHS = [(1, "全省工作会议召开。（刘某）"), (2, "结果公布
 
 
 def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, pos, paragraph): the constant paragraphs (below 0), and those of all documents, with a sign-off or a pointer behind, or a credit, a caption or furniture in their place, by number."""
+    """(id, pos, paragraph): the constant paragraphs (below 0, an article each), and those of all documents, whole, with marks by number: a name or a pointer in brackets behind, a credit behind, a
+    caption in front, furniture around.
+
+    Documents end by their own number, with further paragraphs: names; a credit, a blank line and a caption; a last sentence with units behind it; a title with a term in brackets; a pointer; or nothing more.
+    """
     own = diffing.paragraphs(table(spark, sf_dir, "documents"), "doc_id", "text")
     n, text = (F.col("doc_id") + F.col("pos")) % 9, F.col("paragraph")
-    made = F.when(n == 0, F.concat(text, F.lit("（刘某）"))).when(n == 1, F.concat(text, F.lit("（详见下表）"))).when(n == 2, F.concat(F.substring("paragraph", 1, 3), F.lit("/摄"))).when(n == 3, F.concat(F.lit("图为："), F.substring("paragraph", 1, 60)))
-    made = made.when(n == 4, F.concat(F.lit("字号："), F.substring("paragraph", 1, 12))).when(n == 5, F.concat(F.lit("扫一扫"), F.substring("paragraph", 1, 30), F.lit("分享"))).otherwise(text)
-    return readers.constant(spark, PARAGRAPHS, "id long, paragraph string").select((-F.col("id")).alias("id"), F.lit(1).alias("pos"), "paragraph").union(own.select(F.col("doc_id").alias("id"), "pos", made.alias("paragraph")))
+    around = lambda before, after: F.concat(F.lit(before), text, F.lit(after))
+    made = F.when(n == 0, around("", "。（刘某）")).when(n == 1, around("", "（详见下表）")).when(n == 2, around("", "/摄")).when(n == 3, around("图为：", ""))
+    made = made.when(n == 4, around("字号：", "")).when(n == 5, around("扫一扫", "分享")).otherwise(text)
+    inner = own.select(F.col("doc_id").alias("id"), "pos", made.alias("paragraph"))
+    last = own.groupBy(F.col("doc_id").alias("id")).agg(F.max("pos").alias("n"))
+    kind, lines = F.col("id") % 6, lambda *x: F.array(*map(F.lit, x))
+    ends = F.when(kind == 0, lines("正文到此。", "（刘某）")).when(kind == 1, lines("正文到此。", "张某/摄", " ", "图为：会场")).when(kind == 2, lines("工作会议召开。（测绘局 王某）"))
+    ends = ends.when(kind == 3, lines("印发《测绘成果管理办法》（试行）")).when(kind == 4, lines("结果公布（详见下表）")).otherwise(lines("正文到此。"))
+    behind = last.select("id", "n", F.posexplode(ends).alias("k", "paragraph")).select("id", (F.col("n") + F.col("k") + 1).alias("pos"), "paragraph")
+    return readers.constant(spark, PARAGRAPHS, "id long, paragraph string").select((-F.col("id")).alias("id"), F.lit(1).alias("pos"), "paragraph").union(inner).union(behind)
 
 
 def sign_off_strip(spark, sf_dir):
-    return _signed(spark, sf_dir).where(~X.is_sign_off(F.col("paragraph"))).select("id", "pos", X.strip_sign_off(F.col("paragraph")).alias("paragraph"))
+    return articles.without_sign_offs(_signed(spark, sf_dir), "id")
 
 
 def boilerplate_lines(spark, sf_dir):
@@ -335,11 +334,11 @@ def boilerplate_lines(spark, sf_dir):
 
 
 def proof_omissions(spark, sf_dir):
-    """Paragraphs of the originals that the issue lacks: sign-offs and furniture were removed on purpose, others may have been lost."""
-    own = _signed(spark, sf_dir)
-    issue = own.where(~X.is_sign_off(F.col("paragraph")) & ~X.is_furniture(F.col("paragraph")) & ((F.col("id") + F.col("pos")) % 11 != 0))
-    text = F.col("paragraph")
-    return diffing.omissions(own, issue, "id", X.remove_space(text), X.is_sign_off(text) | X.is_furniture(text))
+    """Paragraphs of the originals that the issue lacks: sign-offs at the end and furniture were removed on purpose, others may have been lost."""
+    own = articles.with_ends(_signed(spark, sf_dir), "id")
+    gone = F.col("sign_off") | X.is_furniture(F.col("paragraph"))
+    issue = own.where(~gone & ((F.col("id") + F.col("pos")) % 11 != 0))
+    return diffing.omissions(own, issue, "id", X.remove_space(F.col("paragraph")), gone)
 
 
 def latest_artifact(spark, sf_dir):
@@ -499,20 +498,22 @@ def json_selection(spark, sf_dir):
 
 
 def archive_listing(spark, sf_dir):
-    """The archive written by board, and its folders as the listing of its files has them."""
+    """The archive written by board, and what the listing of its files says of each: whether they hold anything, and whether the newest is of this run."""
+    began = datetime.datetime.now(datetime.UTC) - datetime.timedelta(minutes=1)
     place = sinks.workspace(spark, "archive")
     d = table(spark, sf_dir, "documents").select("doc_id", F.element_at(F.array(*map(F.lit, layout.BOARDS)), (F.col("doc_id") % 3 + 1).cast("int")).alias("board"))
     sinks.write_archive(d, place)
-    files = readers.listing(spark, place, "*.parquet").where("length > 0")
-    return files.select(F.url_decode(F.regexp_extract("path", "board=([^/]+)/", 1)).alias("board")).distinct()
+    files = readers.listing(spark, place, "*.parquet").withColumn("board", F.url_decode(F.regexp_extract("path", "board=([^/]+)/", 1)))
+    by_board = readers.listed_by(files, "board")
+    return by_board.select("board", (F.col("n_files") > 0).alias("has_files"), (F.col("length") > 0).alias("has_bytes"), (F.col("newest") >= F.lit(began)).alias("is_new"))
 
 
 def log_append(spark, sf_dir):
-    """A log that two runs add to."""
+    """A log that two runs add to: the events of odd numbers, then the others."""
     place = sinks.workspace(spark, "log")
     e = table(spark, sf_dir, "events")
-    for kind in ("click", "view"):
-        sinks.append_log(e.where(F.col("event_type") == kind).select(F.format_string("=== [%d] %s", "event_id", "event_type")), place)
+    for odd in (1, 0):
+        sinks.append_log(e.where(F.col("event_id") % 2 == odd).select(F.format_string("=== [%d] %s", "event_id", "event_type")), place)
     return spark.read.text(place).select(F.col("value").alias("line"))
 
 
@@ -530,8 +531,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         layout_checks, layout_checks_links, layout_verdict, layout_report, blank_pages, cross_page_count, literal_count, glyph_title, header_present, html_paragraphs, document_paragraphs, source_whitelist_semi,
         source_unverified_anti, weekly_clue_anti, channel_union, channel_search, open_sources, window_filter, scope_filter, board_classify, r4_rank, board_quota, board_quota_direct, priority_pick, skeleton_insert,
-        page_breaks, step_plan, step_failfast, period_validate, precondition_counts, pending_items, closing_summary, catalog_heading, catalog_archive_counts, markdown_catalog, board_containment, paragraph_diff,
+        page_breaks, step_failfast, period_validate, precondition_counts, pending_items, closing_summary, catalog_heading, catalog_archive_counts, markdown_catalog, board_containment, paragraph_diff,
         toc_backfill_front, precondition_stop, rounded_tops, first_tops, elapsed_steps, log_names, clean_reports, catalog_head, closing_lines, last_renderer, consistency, excluded_kinds, list_connector,
         whole_text_scan, json_records, json_selection, archive_listing, log_append, trial_issue, proof_omissions, golden_regression, page_reconcile, toc_backfill, cjk_normalise, proof_report, sign_off_strip, boilerplate_lines, latest_artifact, first_ok_candidate, ordered_dedup, missing_fonts, elapsed_round, flag_parse, path_parts, pagination_stable,
     )
-    return {f.__name__: f for f in own}
+    return {f.__name__: f for f in own} | queries_issue.queries()

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The names of a period's fields, as its file has them.
 _STRINGS = ("issue_name", "issue_dir", "window_from", "window_to", "collect_date", "title_range", "issue_label", "publish_date", "editor_unit")
 PERIOD = T.StructType([*[T.StructField(f, T.StringType()) for f in _STRINGS], *[T.StructField(f, T.IntegerType()) for f in ("draft_target", "final_target_low", "final_target_high")], T.StructField("leader_label", T.StringType()), T.StructField("selection_report", T.StringType())])
-STEP = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("id", T.StringType()), T.StructField("file", T.StringType()), T.StructField("args", T.ArrayType(T.StringType())), T.StructField("weekly", T.BooleanType()), T.StructField("needs_leader", T.BooleanType()), T.StructField("is_check", T.BooleanType())])
 GLYPHS = "array<struct<text:string,size:double,top:double>>"
 LINES = "array<struct<top:double>>"
 
@@ -31,9 +31,13 @@ def periods(spark: SparkSession, path: str) -> DataFrame:
     return records(spark, path, PERIOD)
 
 
+#: Fixed value: the field of a selected item that says where its body comes from.
+BODY_SOURCE = "正文来源"
+
+
 def selection(spark: SparkSession, path: str) -> DataFrame:
     """(body_source): the chosen items; the field has a Chinese name in the files."""
-    return records(spark, path, "`正文来源` string").select(F.col("`正文来源`").alias("body_source"))
+    return records(spark, path, f"`{BODY_SOURCE}` string").select(F.col(f"`{BODY_SOURCE}`").alias("body_source"))
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -42,6 +46,11 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("mtime"))
 
 
+def listed_by(files: DataFrame, *by: str) -> DataFrame:
+    """(by, n_files, length, newest) of a listing: how many files, their bytes together, and the newest time; nothing for what has no file."""
+    return files.groupBy(*by).agg(F.count("*").alias("n_files"), F.sum("length").alias("length"), F.max("mtime").alias("newest"))
+
+
 def constant(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

@@ -17,12 +17,16 @@ def append_log(lines: DataFrame, path: str) -> None:
     lines.write.mode("append").text(path)
 
 
+#: The lines of a report of checks.
+CHECK_LINE, VERDICT_LINE = "  %s %s（%s）", "[%s] 版式体检：%d 项，%d 项不通过"
+
+
 def report_lines(checks: DataFrame) -> DataFrame:
     """(doc_id, ord, line): a marked line for each check, then the verdict."""
-    line = F.format_string("  %s %s（%s）", F.when(F.col("passed"), F.lit("✓")).otherwise(F.lit("✗")), "name", "detail")
+    line = F.format_string(CHECK_LINE, F.when(F.col("passed"), F.lit("✓")).otherwise(F.lit("✗")), "name", "detail")
     each = checks.select("doc_id", "ord", line.alias("line"))
     failed = F.count_if(~F.col("passed"))
-    verdict = F.format_string("[%s] 版式体检：%d 项，%d 项不通过", F.when(failed == 0, F.lit("PASS")).otherwise(F.lit("FAIL")), F.count("*"), failed)
+    verdict = F.format_string(VERDICT_LINE, F.when(failed == 0, F.lit("PASS")).otherwise(F.lit("FAIL")), F.count("*"), failed)
     return each.union(checks.groupBy("doc_id").agg((F.max("ord") + 1).alias("ord"), verdict.alias("line")))
 
 
