@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import html as entities
+import json
 import random
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import takewhile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -50,15 +54,25 @@ PARTS = re.compile(r"[a-z]+")
 VALUE_END = re.compile(r"=\s*[^\s\"'=]+$")  # a slash behind it belongs to the value
 
 
-@dataclass
+STYLE = re.compile(r"\bstyle\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+HIDDEN_ATTRIBUTE = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+
+
+@dataclass(slots=True)
 class Element:
-    """An element of a page: the one it is in, its tag, what its names tell, whether it holds a main heading or an article, its characters of text."""
+    """An element of a page: the one it is in, its number in page order, its tag, what its names tell, whether it isn't shown, the tags it is in and its own;
+    whether it holds a main heading or an article, a main heading, and its characters of text."""
 
     parent: Element | None
+    number: int
     tag: str
     kinds: frozenset[str]
-    depth: int
+    unseen: bool
+    inside: frozenset[str]
     holds: bool = False
+    headed: bool = False
     size: int = 0
 
 
@@ -83,22 +97,33 @@ def _names(tag: str, attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
+def _unseen(tag: str, attributes: str) -> bool:
+    """Whether an element says that it isn't shown; pages as a whole and their articles may say so until a script shows them."""
+    if tag in ("html", "body", "main", "article"):
+        return False
+    return any(UNSEEN.search("".join(v)) for v in STYLE.findall(attributes)) or bool(HIDDEN_ATTRIBUTE.search(QUOTED.sub("", attributes)))
+
+
 def blocks(html: str) -> list[Block]:
-    """Leaf blocks in page order: text between tags that aren't inline, with character references decoded and white space made single."""
+    """Leaf blocks in page order: text that is shown, between tags that aren't inline, with character references decoded and white space made single.
+
+    The places of open elements are kept by tag, so that a tag costs no more in a deep page than in a flat one.
+    """
     out: list[Block] = []
-    root = Element(None, "", frozenset(), 0)
+    root = Element(None, 0, "", frozenset(), False, frozenset())
     stack: list[Element] = []
+    where: defaultdict[str, list[int]] = defaultdict(list)  # places in stack by tag
+    solid: list[int] = []  # of elements that aren't inline
     pieces: list[str] = []
-    linked, at, links, unseen, drawn = 0, 0, 0, 0, 0
-    known: dict[tuple[str, str], frozenset[str]] = {}
+    linked, at, links, unseen, drawn, number = 0, 0, 0, 0, 0, 0
+    known: dict[tuple[str, str], tuple[frozenset[str], bool]] = {}
 
     def flush() -> None:
         nonlocal linked
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                block = next((e for e in reversed(stack) if e.tag not in INLINE), root)
-                out.append(Block(text, stack[-1] if stack and block is root else block, min(linked, len(text))))
+                out.append(Block(text, stack[solid[-1]] if solid else stack[-1] if stack else root, min(linked, len(text))))
             pieces.clear()
         linked = 0
 
@@ -113,10 +138,24 @@ def blocks(html: str) -> list[Block]:
     def close(i: int) -> None:
         """Ends the elements from the i-th open one on."""
         nonlocal links, unseen, drawn
-        links -= sum(e.tag == "a" for e in stack[i:])
-        unseen -= sum(e.tag in HIDDEN_PARTS for e in stack[i:])
-        drawn -= sum(e.tag in ("svg", "math") for e in stack[i:])
-        del stack[i:]
+        while len(stack) > i:
+            e = stack.pop()
+            where[e.tag].pop()
+            if solid and solid[-1] == len(stack):
+                solid.pop()
+            links -= e.tag == "a"
+            unseen -= e.unseen
+            drawn -= e.tag in ("svg", "math")
+
+    def held(i: int) -> bool:
+        """Whether an element that isn't inline is open within the i-th, outside hidden parts."""
+        k = bisect_right(solid, i)
+        return k < len(solid) and not any(e.tag in HIDDEN_PARTS for e in stack[i + 1 : solid[k] + 1])
+
+    def barred(i: int, cell: bool) -> bool:
+        """Whether an element is open within the i-th that keeps the next tag from ending that."""
+        above = takewhile(lambda k: k > i, reversed(solid))
+        return any(stack[k].tag != "svg" and not (cell and stack[k].tag == "p") for k in above)
 
     for m in TAG.finditer(html):
         text(html[at : m.start()])
@@ -133,34 +172,28 @@ def blocks(html: str) -> list[Block]:
             pieces.append(" " if name == "br" else "")
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == name:
-                    if name in INLINE and any(e.tag not in INLINE for e in takewhile(lambda e: e.tag not in HIDDEN_PARTS, stack[i + 1 :])):
-                        break
-                    close(i)
-                    break
+            if where[name] and not (name in INLINE and held(where[name][-1])):
+                close(where[name][-1])
             continue
         if name in VOID or attributes.endswith("/") and (name == "svg" or name in MATH or drawn) and not VALUE_END.search(attributes):
             continue
         ends = "p" if name in ENDS_P else name if name in ("li", "td", "th", "tr", "option", "dt", "dd") else ""
-        if ends:
-            for i in range(len(stack) - 1, -1, -1):
-                tag = stack[i].tag
-                if tag == ends:
-                    close(i)
-                    break
-                if tag not in INLINE and tag != "svg" and not (ends in ("td", "th", "li", "dt", "dd") and tag == "p"):
-                    break
+        if ends and where[ends] and not barred(where[ends][-1], ends in ("td", "th", "li", "dt", "dd")):
+            close(where[ends][-1])
         if (name, attributes) not in known:
-            known[name, attributes] = _names(name, attributes) if name not in ("html", "body") else frozenset()
-        parent = stack[-1] if stack else root
+            known[name, attributes] = _names(name, attributes) if name not in ("html", "body") else frozenset(), name in HIDDEN_PARTS or _unseen(name, attributes)
+        kinds, gone = known[name, attributes]
+        parent, number = stack[-1] if stack else root, number + 1
         links += name == "a"
-        unseen += name in HIDDEN_PARTS
+        unseen += gone
         drawn += name in ("svg", "math")
-        stack.append(Element(parent, name, known[name, attributes], parent.depth + 1))
+        where[name].append(len(stack))
+        if name not in INLINE:
+            solid.append(len(stack))
+        stack.append(Element(parent, number, name, kinds, gone, parent.inside if name in parent.inside else parent.inside | {name}))
     text(html[at:])
     flush()
-    return [b for b in out if not _in(b.element, "head") or _in(b.element, "body")]
+    return [b for b in out if "head" not in b.element.inside or "body" in b.element.inside]
 
 
 def _above(element: Element) -> Iterator[Element]:
@@ -170,50 +203,64 @@ def _above(element: Element) -> Iterator[Element]:
         element = element.parent
 
 
-def _in(element: Element, tag: str) -> bool:
-    return any(e.tag == tag for e in _above(element))
-
-
 #: Ancestor tags that set a block apart from the article it stands in.
-APART = frozenset(f"in:{t}" for t in ("aside", "nav", "footer", "header", "form", "button", "noscript"))
+SETS_APART = frozenset(("aside", "nav", "footer", "header", "form", "button", "noscript", "dialog"))
+APART = frozenset(f"in:{t}" for t in SETS_APART)
 SENTENCE = re.compile(r"[.!?。！？…][\"'”’)\]]*$")
 
 
+def _sized(found: list[Block]) -> int:
+    """Sums up the text of each element, and whether it holds a main heading or an article, from the inside outwards, once for each element; returns all text's characters."""
+    elements: dict[int, Element] = {}
+    for b in found:
+        for e in takewhile(lambda e: e.number not in elements, _above(b.element)):
+            elements[e.number] = e
+            e.size, e.holds, e.headed = 0, e.tag in ("h1", "article", "main"), e.tag == "h1"
+    for b in found:
+        b.element.size += len(b.text)
+    for n in sorted(elements, reverse=True):
+        e = elements[n]
+        if e.parent is not None:
+            e.parent.size += e.size
+            e.parent.holds, e.parent.headed = e.parent.holds or e.holds, e.parent.headed or e.headed
+    return sum(len(b.text) for b in found)
+
+
 def block_features(found: list[Block]) -> list[list[str]]:
     """Names of the features of each block: ancestor tags, what names of ancestors tell, its place, and its text.
 
-    What the names of a wrapper tell, of an element that has half of a page's text or more and a main heading or article in it, counts for
+    What the names and the tag of a wrapper tell, of an element that has half of a page's text or more and a main heading in it, or an article in pages without (or of an article with a main heading, or a form with three quarters of the text), counts for
     nothing: they tell of the layout. Of the others, the nearest that tells anything counts on its own besides.
     """
-    headed, whole = None, 0
-    for i, b in enumerate(found):
-        whole += len(b.text)
-        main = False
-        for e in _above(b.element):
-            e.size += len(b.text)
-            main = main or e.tag in ("h1", "article", "main")
-            e.holds = e.holds or main
-        if headed is None and _in(b.element, "h1"):
-            headed = i
-    tags = {t for t in ("article", "main") if any(_in(b.element, t) for b in found)}
+    whole = _sized(found)
+    headed = next((i for i, b in enumerate(found) if "h1" in b.element.inside), None)
+    tags = {t for t in ("article", "main") if any(t in b.element.inside for b in found)}
     known: dict[int, tuple[frozenset[str], str]] = {}
 
     def told(element: Element) -> tuple[frozenset[str], str]:
         """Features of the blocks in an element; what the nearest names tell."""
-        todo = [e for e in takewhile(lambda e: id(e) not in known, _above(element))]
+        todo = [e for e in takewhile(lambda e: e.number not in known, _above(element))]
         for e in reversed(todo):
-            above, near = known[id(e.parent)] if e.parent is not None else (frozenset(), "")
-            kinds = frozenset() if e.holds and 2 * e.size >= whole and e.tag not in ("article", "main", "h1") else e.kinds
-            known[id(e)] = above | ({f"in:{e.tag}"} if e.tag not in ("", "html", "body") else set()) | {f"kind:{k}" for k in kinds}, "+".join(sorted(kinds)) or near
-        return known[id(element)]
+            above, near = known[e.parent.number] if e.parent is not None else (frozenset(), "")
+            main = e.holds if headed is None else e.headed
+            wraps = e.tag != "h1" and (main and 2 * e.size >= whole or e.headed and e.tag in ("article", "main") or e.tag == "form" and 4 * e.size >= 3 * whole)
+            kinds = frozenset() if wraps else e.kinds
+            own = {f"kind:{k}" for k in kinds}
+            if e.tag not in ("", "html", "body") and not (wraps and e.tag in SETS_APART):
+                own.add(f"in:{e.tag}")
+            known[e.number] = above if own <= above else above | own, "+".join(sorted(kinds)) or near
+        return known[element.number]
 
     out = []
     for i, b in enumerate(found):
         inside, near = told(b.element)
         words = b.text.count(" ") + 1
         own = [*inside, "bias", f"words:{min(6, words.bit_length())}", f"links:{min(4, 5 * b.linked // max(1, len(b.text)))}", f"leaf:{b.element.tag}", f"near:{near}"]
-        own += ["sentence"] if SENTENCE.search(b.text) else ["no sentence"]
+        own += [said := "sentence" if SENTENCE.search(b.text) else "no sentence"]
+        own += [f"{said} words:{min(4, words.bit_length())} links:{min(4, 5 * b.linked // max(1, len(b.text)))}"]
         own += ["sign"] if any(c in b.text for c in "©®»›") else []
+        own += ["only block"] if len(found) == 1 else []
+        own += [f"leaf:{b.element.tag} before"] if headed is not None and i < headed else []
         own += [f"out of {t}" for t in tags if f"in:{t}" not in inside]
         own += ["before heading"] if headed is not None and i < headed else ["after heading"] if headed is not None else []
         apart = inside & APART or near not in ("", "content")
@@ -306,7 +353,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     chance = lambda p: rng.random() < p
     furniture = lambda: rng.choice(OF_KIND[rng.choice([k for k in OF_KIND if k != "content"])].split())
     label: list[bool] = []
-    plain, alone = chance(0.15), chance(0.06)  # no names, no tags of sections; nothing beside the article
+    plain, alone = chance(0.15), chance(0.08)  # no names, no tags of sections; nothing beside the article
 
     def leaf(tag: str, inner: str, main: bool, attributes: str = "") -> str:
         label.append(main)
@@ -316,9 +363,11 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
             attributes = f' class="{rng.choice((f"{furniture()}-free", f"no-{furniture()}", f"{word()}-{word()}"))}"'
         return f"<{tag}{attributes}>{inner}" + ("" if tag in ("p", "li") and chance(0.15) else f"</{tag}>")
 
-    def named(kind: str) -> str:
+    def named(kind: str, sure: bool = False) -> str:
         if plain:
             return ""
+        if not sure and chance(0.2):
+            return f' class="{word()}-{word()}"' if chance(0.5) else ""  # names that tell nothing
         name = rng.choice(OF_KIND[kind].split())
         name = rng.choice((name, name, f"{name}-{word()}", f"{word()}_{name}", f"site-{name}"))
         return f' {rng.choice(("class", "id"))}="{name}"'
@@ -328,13 +377,13 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         name = rng.choice((f"has-{furniture()}", f"no-{furniture()}", f"{rng.choice(('left', 'right', word()))}-{furniture()}", f"{furniture()}-{word()}", f"page-with-{furniture()}", furniture(), word()))
         return f' {rng.choice(("class", "class", "id"))}="{name}"' if not plain and chance(0.5) else ""
 
-    def wrap(kind: str, tag: str, inner: str) -> str:
+    def wrap(kind: str, tag: str, inner: str, sure: bool = False) -> str:
         if plain:
             return f"<{(t := rng.choice(('div', 'div', 'section')))}>{inner}</{t}>"
         if tag and chance(0.5):
             return f"<{tag}{named(kind) if chance(0.4) else ''}>{inner}</{tag}>"
         tag = rng.choice(("div", "section"))
-        return f"<{tag}{named(kind)}>{inner}</{tag}>"
+        return f"<{tag}{named(kind, sure)}>{inner}</{tag}>"
 
     def items(a: int, b: int) -> str:
         links = [f'<a href="/{word()}">{phrase(1, 6)}</a>' for _ in range(rng.randint(a, b))]
@@ -344,18 +393,22 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         return "".join(leaf(rng.choice(("p", "div")), x, False) for x in links) if kind < 0.85 else f"<div>{bare(rng.choice((' ', ' | ', ' &middot; ')).join(links))}</div>"
 
     def odd() -> str:
-        kind = rng.choice(("advert", "notice", "side", "form", "menu", "noscript"))
+        kind = rng.choice(("advert", "notice", "side", "side", "form", "menu", "noscript", "dialog", "unseen"))
+        if kind == "dialog":
+            return f"<dialog{rng.choice((' open', ''))}{named('notice') if chance(0.4) else ''}>{leaf('p', prose(1, 2), False) if chance(0.7) else bare(prose(1, 2))}</dialog>"
+        if kind == "unseen":
+            return f'<div style="display{rng.choice((":", ": "))}none">{prose(1, 2)}</div>'
         if kind == "noscript":
             return f"<noscript>{leaf('p', prose(1, 1), False) if chance(0.5) else bare(prose(1, 1))}</noscript>"
         if plain:
             kind = rng.choice(("form", "menu"))
         if kind == "advert":
-            return wrap(kind, "", leaf("p", prose(1, 2), False) if chance(0.6) else bare(prose(1, 3)))
+            return wrap(kind, "", leaf("p", prose(1, 2), False) if chance(0.6) else bare(prose(1, 3)), sure=True)
         if kind == "notice":
-            return wrap(kind, "", leaf("p", prose(1, 2), False) + leaf("button", phrase(1, 2), False))
+            return wrap(kind, "", leaf("p", prose(1, 2), False) + leaf("button", phrase(1, 2), False), sure=True)
         if kind == "form":
             return f"<form{named(kind)}>" + leaf("label", prose(1, 1), False) + "<input><br>" + leaf("button", phrase(1, 2), False) + "</form>"
-        return wrap(kind, {"side": "aside", "menu": "nav"}[kind], (leaf("h3", phrase(1, 3), False) if chance(0.5) and not plain else "") + (items(2, 6) if chance(0.7) or plain else leaf("p", prose(1, 2), False)))
+        return wrap(kind, {"side": "aside", "menu": "nav"}[kind], (leaf("h3", phrase(1, 3), False) if chance(0.5) and not plain else "") + (items(2, 6) if chance(0.5) or plain else leaf("p", prose(1, 2), False)), sure=True)
 
     def bare(inner: str) -> str:
         label.append(False)
@@ -364,7 +417,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     def comments() -> str:
         one = lambda: leaf("p", phrase(1, 3), False) + leaf("p", prose(1, 4), False)
         tag = rng.choice(("div", "div", "article"))
-        return wrap("comment", "", leaf("h3", phrase(1, 2), False) + "".join(f"<{tag}{named('comment') if chance(0.5) else ''}>{one()}</{tag}>" for _ in range(rng.randint(1, 6))))
+        return wrap("comment", "", sure=True, inner=leaf("h3", phrase(1, 2), False) + "".join(f"<{tag}{named('comment') if chance(0.5) else ''}>{one()}</{tag}>" for _ in range(rng.randint(1, 6))))
 
     def by_line(tag: str) -> str:
         return f"<{tag}>" + (leaf("p", rng.choice((f"By {phrase(1, 3).title()}", phrase(1, 6), prose(1, 1), f"{phrase(1, 2).title()}, 3 {word()} 2021")), False)) + (items(1, 3) if chance(0.3) else "") + f"</{tag}>"
@@ -374,7 +427,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         return f"{mark} {rng.choice(('', '2019 ', '2024 '))}{phrase(1, 4).title()}{rng.choice(('', '.', ' Ltd', '. All rights reserved.'))}" + (f" {prose(1, 2)}" if chance(0.4) else "")
 
     def content() -> str:
-        if chance(0.08):
+        if chance(0.3 if alone else 0.08):
             return leaf("p", sentence(), True)
         heading = [leaf("h1", phrase(2, 10), True)] if plain or chance(0.85) else []
         if heading and not plain and chance(0.12):
@@ -382,21 +435,21 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         parts = heading
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
-            if kind < 0.68:
+            if kind < 0.60:
                 parts.append(leaf("p", prose(1, 6) if chance(0.85) else phrase(1, 9), True))
-            elif kind < 0.76:
+            elif kind < 0.68:
                 parts.append(leaf(rng.choice(("h2", "h3")), phrase(1, 8), True))
-            elif kind < 0.82:
+            elif kind < 0.74:
                 parts.append("<ul>" + "".join(leaf("li", phrase(1, 12), True) for _ in range(rng.randint(2, 4))) + "</ul>")
-            elif kind < 0.86:
+            elif kind < 0.78:
                 parts.append("<blockquote>" + leaf("p", prose(1, 2), True) + "</blockquote>")
-            elif kind < 0.89:
+            elif kind < 0.81:
                 parts.append("<table><tr>" + "".join(leaf("td", phrase(1, 4), True) for _ in range(rng.randint(2, 4))) + "</tr></table>")
-            elif kind < 0.92:
+            elif kind < 0.835:
                 parts.append(leaf("p", f'{prose(1, 2)} <a href="/x">{phrase(1, 5)}</a>', True))
-            elif kind < 0.93:
+            elif kind < 0.845:
                 parts.append(leaf("p", rights() if chance(0.5) else "All rights reserved.", True))
-            elif kind < 0.94:
+            elif kind < 0.855:
                 parts.append(f"<noscript>{leaf('p', prose(3, 6), True)}</noscript>")
             else:
                 parts.append(odd())
@@ -415,15 +468,17 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         out.append(odd())
     if chance(0.5) and not plain:
         out.append(wrap("head", "header", leaf(rng.choice(("p", "div", "h2")), phrase(1, 5), False) + (items(2, 5) if chance(0.4) else "")))
-    if chance(0.8):
-        out.append(wrap("menu", "nav", items(2, 8)))
+    cells = not alone and chance(0.1)  # a table that lays out the page
+    if cells:
+        out.append("<table><tr><td>" + (items(2, 8) if chance(0.6) else bare(phrase(1, 6))) + "</td><td>")
+    elif chance(0.8):
+        menu = wrap("menu", "nav", items(2, 8))
+        out.append(menu[: -len("</nav>")] if menu.endswith("</nav>") and chance(0.08) else menu)  # some never end
     if chance(0.5):
         out.append(odd())
     before = len(label)
     tag = "div" if plain else rng.choice(("article", "article", "article", "main", "div"))
     names = layout() if tag in ("article", "main") and chance(0.3) else named("content") if tag == "div" or chance(0.3) else ""
-    if tag in ("article", "main") and any(f'"{k}"' in names for k in KIND_OF):
-        names = ""  # an article by such a name would be what it says
     article = f"<{tag}{names}>{content()}</{tag}>"
     if chance(0.3):
         inner = article + (odd() if chance(0.4) and not alone else "")
@@ -431,6 +486,8 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     if alone:
         return article, label[before:]
     out.append(article)
+    if cells:
+        out.append("</td><td>" + (items(1, 5) if chance(0.6) else leaf("p", prose(1, 2), False)) + "</td></tr></table>" if chance(0.6) else "</td></tr></table>")
     if chance(0.4) and not plain:
         out.append(comments())
     if chance(0.5):
@@ -440,11 +497,12 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     inner = "".join(out)
     if chance(0.3):
         inner = f"<div{layout()}>{inner}</div>"
+    if chance(0.07):
+        inner = f"<form{rng.choice((f' id={chr(34)}{word()}Form{chr(34)}', ' method=post', ''))}>{inner}</form>"
     return f"<html{layout() if chance(0.1) else ''}><head><title>{phrase(2, 6)}</title></head><body{layout()}>{inner}</body></html>", label
 
 
-@lru_cache(maxsize=4)
-def trained(pages: int = 1200, seed: int = 11) -> PageModel:
+def fitted(pages: int = 4000, seed: int = 11) -> PageModel:
     """The field, trained on labelled pages of labelled_page."""
     rng = random.Random(seed)
     made = []
@@ -456,6 +514,22 @@ def trained(pages: int = 1200, seed: int = 11) -> PageModel:
     return train_crf(made)
 
 
+#: Weights as fitted() gives them; written by `python -m quillmark.llm.pages`.
+WEIGHTS = Path(__file__).with_name("page_model.json")
+
+
+@lru_cache(maxsize=1)
+def trained() -> PageModel:
+    """The field with the weights that were kept, so that no session trains it anew."""
+    kept = json.loads(WEIGHTS.read_text(encoding="utf-8"))
+    return PageModel(kept["weights"], tuple(map(tuple, kept["steps"])), tuple(kept["first"]))
+
+
+def keep(model: PageModel) -> None:
+    rounded = {f: round(w, 5) for f, w in model.weights.items()}
+    WEIGHTS.write_text(json.dumps({"weights": rounded, "steps": model.steps, "first": model.first}, indent=0, ensure_ascii=False) + "\n", encoding="utf-8")
+
+
 def main_text(html: str | None, model: PageModel) -> str:
     """The blocks of main text, joined by a space; empty if there are none."""
     found = blocks(html) if html else []
@@ -465,7 +539,8 @@ def main_text(html: str | None, model: PageModel) -> str:
 def extract_pages(pages: DataFrame, html: str = "html", model: PageModel | None = None) -> DataFrame:
     """All rows of pages, and its columns but html, with text (the main text; string) and n_chars (its code points; long).
 
-    Null and empty pages, and those without main text, have an empty text. Columns text and n_chars of pages are replaced.
+    Null and empty pages, and those without main text, have an empty text. Columns text and n_chars of pages are replaced. Repeated rows are extracted alike; an empty table gives no rows. A page is one task's
+    work, in time linear in its length, however deep it is.
     """
     model = model or trained()
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
@@ -478,3 +553,7 @@ def extract_pages(pages: DataFrame, html: str = "html", model: PageModel | None
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[: len(kept)])
     return own.mapInArrow(scan, (schema + ", " if schema else "") + "text string, n_chars long")
+
+
+if __name__ == "__main__":
+    keep(fitted())
