@@ -49,6 +49,11 @@ class LanguageModel:
     written_in: np.ndarray
     penalty: float
 
+    def word_rows(self, words: list[str]) -> np.ndarray:
+        """word_scores, and in a last column whether any language is written in the word's script."""
+        fits = self.written_in[:, scripts_of(words)].any(axis=0) if words else np.empty(0)
+        return np.column_stack([self.word_scores(words), fits.astype(np.float32)])
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """A row for each word, a column for each language: n-gram log likelihoods, less the best one's."""
         out = np.zeros((len(words), len(self.languages)), np.float32)
@@ -134,15 +139,17 @@ SPANS = "lang_spans array<struct<start:long,end:long,lang:string>>, lang_pred st
 def label_languages(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_spans, lang_pred, score) of each row of docs.
 
-    lang_spans: spans of words (runs of letters; start, end exclusive, language) of the best labelling. lang_pred: the language
-    with the most letters; score: its share of them. und, with score 0 and no spans, if the text is null or has no letter, or nothing was learned.
+    lang_spans: spans of words (letters with their marks; start, end exclusive, language) of the best labelling. lang_pred: the language
+    with the most letters in words of a script that any language is written in; score: their share of all letters, so 0 where no language fits.
+    und, with score 0 and no spans, if the text is null or has no letter (signs for numbers are none), or nothing was learned. Repeated rows are labelled alike, an empty
+    docs gives no rows, and a very long text is one task's work, a step for each of its words.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        table, names = WordTable(model.word_scores), np.array(model.languages, dtype=object)
+        table, names = WordTable(model.word_rows), np.array(model.languages, dtype=object)
         for batch in by_steps(batches):
             table.trim()
             numbers, letters = [], []
@@ -153,7 +160,8 @@ def label_languages(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
             lengths = np.fromiter(map(len, numbers), np.int64, len(numbers))
             starts = np.cumsum(lengths) - lengths
             all_numbers, all_letters = np.concatenate(numbers), np.concatenate(letters)
-            label = viterbi(table.rows()[all_numbers], starts, lengths, model.penalty) if len(all_numbers) else np.empty(0, np.int32)
+            rows = table.rows()[all_numbers] if len(all_numbers) else np.empty((0, len(names) + 1), np.float32)
+            label, told = viterbi(rows[:, :-1], starts, lengths, model.penalty), all_letters * rows[:, -1]
             spans, preds, scores = [], [], []
             for a, n in zip(starts.tolist(), lengths.tolist(), strict=True):
                 if not n:
@@ -162,10 +170,10 @@ def label_languages(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
                     scores.append(0.0)
                     continue
                 own = label[a : a + n]
-                weight = np.bincount(own, all_letters[a : a + n], len(names))
-                top = int(weight.argmax())
+                weight, every = (np.bincount(own, x[a : a + n], len(names)) for x in (told, all_letters))
+                top = int(weight.argmax() if weight.any() else every.argmax())
                 preds.append(names[top])
-                scores.append(float(weight[top] / weight.sum()))
+                scores.append(float(weight[top] / every.sum()))
                 cuts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))).tolist()
                 spans.append([{"start": s, "end": e, "lang": names[own[s]]} for s, e in zip(cuts, [*cuts[1:], n], strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], names=[key, "lang_spans", "lang_pred", "score"])

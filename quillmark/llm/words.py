@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import unit_hash
 
-#: Runs of letters; runs of letters, digits and the signs that stand in for letters.
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Words: a letter, and the letters and marks behind it. Signs for numbers (fractions, circled and Roman ones) are no letters.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Words that a table keeps between batches at most.
 MOST_WORDS = 400_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -97,11 +97,12 @@ def crc_remainder(key: Column, n: int) -> Column:
 
 
 def sampled(df: DataFrame, key: str, label: str, size: Column, most_docs: int, most_bytes: int) -> DataFrame:
-    """Rows of df by label, chosen by the hash of key: most_docs rows and most_bytes of size for each label, give or take chance."""
-    totals = df.groupBy(label).agg(F.count("*").alias("n"), F.sum(size).alias("b")).collect()
-    share = F.lit(0.0)
-    for row in totals:
-        part = min(1.0, most_docs / row["n"], most_bytes / max(1, row["b"] or 0))
-        share = F.when(F.col(label) == F.lit(row[label]), F.lit(part)).otherwise(share)
-    return df.where(unit_hash(F.col(key), F.lit("sample")) < share)
-
+    """Rows of df by label (not null), chosen by the hash of key: most_docs rows and most_bytes of size for each label, give or take chance.
+
+    The share of each label is a row of a small aggregate, joined back by label: labels may be many.
+    """
+    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"), F.sum(size).alias("_b"))
+    share = F.least(F.lit(1.0), F.lit(float(most_docs)) / F.col("_n"), F.lit(float(most_bytes)) / F.greatest(F.lit(1), F.col("_b")))
+    told = df.withColumn("_at", unit_hash(F.col(key), F.lit("sample")))
+    joined = told.join(sizes.select("_label", share.alias("_share")), F.col(label) == F.col("_label"))
+    return joined.where(F.col("_at") < F.col("_share")).select(*df.columns)
