@@ -83,8 +83,8 @@ def _scan(round_: int, contents: bool):
 def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, keep_id, group_size, kept, text_sha256) for each row of docs.
 
-    Texts are equal when identical after each run of white space became one space; null counts as empty. The smallest key
-    of equal texts stays: keep_id; of rows that repeat a key and text, all have kept. An empty table gives no rows. Keys are of any type with an order; a null key
+    Texts are equal when identical after each run of white space became one space; null counts as empty. The row with the smallest key
+    of equal texts stays: keep_id; of rows that repeat that key and text, one has kept. An empty table gives no rows. Keys are of any type with an order; a null key
     comes after all others, so it stays only where equal texts have no other (keep_id is null then).
 
     Each text is cut into chunks where its content says so; a recipe is the ordered list of its chunks' 128-bit identifiers.
@@ -100,17 +100,20 @@ def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         if contents.groupBy("id").count().where("count > 1").isEmpty():
             break
         round_ += 1
-    recipes = written(given.mapInArrow(_scan(round_, False), f"doc {kind}, sha string, recipe binary").withColumn("list", F.sha2("recipe", 256)), "recipes")
+    recipes = given.mapInArrow(_scan(round_, False), f"doc {kind}, sha string, recipe binary")
+    recipes = written(recipes.withColumns({"list": F.sha2("recipe", 256), "row": F.monotonically_increasing_id()}), "recipes")
     # lists are compared as such; their digest only keeps the keys that are dealt out short
-    groups = written(recipes.groupBy("list", "recipe").agg(F.min("doc").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    groups = written(recipes.groupBy("list", "recipe").agg(F.min(F.struct(F.col("doc").isNull().alias("no_key"), "doc", "row")).alias("keep"), F.count("*").alias("group_size")), "groups")
     heavy = heavy_keys(groups.groupBy("list").agg(F.sum("group_size").alias("n")), "list", "n", recipes.count())
     spread = F.xxhash64("doc") + F.spark_partition_id()
     joined = joined_evenly(recipes, groups, "list", heavy, spread, also=("recipe",))
-    return joined.select(F.col("doc").alias(key), "keep_id", "group_size", F.coalesce(F.col("doc") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("sha").alias("text_sha256"))
+    return joined.select(F.col("doc").alias(key), F.col("keep.doc").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay, with the columns of docs; if a null key stays anywhere, all rows with one do."""
-    stay = exact_copies(docs, key, text).where("kept").select(F.col(key).alias("_stay")).distinct()
-    own = hidden_name(docs, key)
-    return shown(hidden(docs).join(stay, F.col(own).eqNullSafe(F.col("_stay")), "left_semi"), docs)
+    """The rows of docs that stay, with the columns of docs: one of each group of equal texts. Rows are numbered and written first, so that each is told from all others."""
+    own, own_text = hidden_name(docs, key), hidden_name(docs, text)
+    rows = written(hidden(docs).withColumn("_n", F.monotonically_increasing_id()), "numbered")
+    told = rows.select(F.struct(F.col(own).isNull().alias("none"), F.col(own).alias("key"), "_n").alias("_key"), F.col(own_text).alias("_text"))
+    stay = exact_copies(told, "_key", "_text").where("kept").select(F.col("_key._n").alias("_n"))
+    return shown(rows.join(stay, "_n", "left_semi"), docs)

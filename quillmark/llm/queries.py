@@ -92,7 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 OP5_SQL = r"""
 WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
 copies AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM plain GROUP BY text)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM plain JOIN copies USING (text)
+SELECT doc_id, keep_id, group_size, row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1 AS kept, sha256(text) AS text_sha256 FROM plain JOIN copies USING (text)
 """
 
 
