@@ -267,6 +267,17 @@ HAND_MADE = {
     "comments that are articles": (f'<body><article>{H}{P}<div id="comments" class="comments-area"><ol class="comment-list"><li class="comment"><article class="comment-body"><p>I think this is a great idea.</p></article></li></ol></div></article></body>', WHOLE),
     "more comments than text": (f'<body><div class="post">{H}{P}</div><section class="comments"><h3>Comments</h3>' + "".join(f'<div class="comment"><p>Sam</p><p>This is comment number {i} and it goes on for a good while.</p></div>' for i in range(12)) + "</section></body>", WHOLE),
     "rights in the article": (f"<body><article>{H}{P}<p>All rights reserved.</p></article><footer><p>&copy; Example</p></footer></body>", WHOLE + " All rights reserved."),
+    "a form around the page": (f'<html><body><form id="aspnetForm"><div id="nav"><a href="/">Home</a> <a href="/n">News</a></div>{H}{P}</form></body></html>', WHOLE),
+    "a form and the article": (f"<body><form><article>{H}{P}</article></form></body>", WHOLE),
+    "a form without a main heading": (f'<html><body><form id="aspnetForm"><h2>Bridge approved</h2>{P}</form></body></html>', WHOLE),
+    "a menu that never ends": (f'<body><nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul><article>{H}{P}</article></body>', WHOLE),
+    "an article named search": (f'<body><article class="search">{H}{P}</article></body>', WHOLE),
+    "a sidebar in main": (f'<body><main>{H}{P}<div class="sidebar"><p>Popular: read this next story today.</p></div></main></body>', WHOLE),
+    "a dialog": (f"<body><dialog open><p>Sign up for our newsletter today and never miss a story.</p></dialog><article>{H}{P}</article></body>", WHOLE),
+    "a table that lays out the page": (f"<body><table><tr><td>Home News</td><td>{H}{P}</td></tr></table></body>", WHOLE),
+    "such a table with links": (f'<body><table><tr><td><a href="/">Home</a> <a href="/n">News</a></td><td>{H}{P}</td></tr></table></body>', WHOLE),
+    "text that isn't shown": (f'<body><article>{H}{P}<div style="color: red; display : none"><p>This text is not shown to anyone.</p></div><p hidden>Nor this one here.</p></article></body>', WHOLE),
+    "a class named hidden": (f'<body><article>{H}<div class="hidden md:block">{P}</div></article></body>', WHOLE),
 }
 
 
@@ -295,3 +306,42 @@ def test_pages_with_clashing_and_repeated_rows(spark):
     out = pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string, size int"))
     got = sorted(((x["page_id"], x["text"], x["n_chars"], x["size"]) for x in out.collect()), key=repr)
     assert got == sorted([(1, WHOLE, len(WHOLE), 5), (1, WHOLE, len(WHOLE), 5), (2, "", 0, None), (None, "", 0, 1)], key=repr)
+
+
+@pytest.mark.parametrize("page", [lambda n: "<div><p>x</p>" * n, lambda n: "<a><div>" * n + "</a>" * n + "x", lambda n: "<b>" * n + "<p>x" * n, lambda n: "<div>" * n + "<p>x</p></span>" * n])
+def test_deep_pages_take_linear_time(page):
+    start = time.perf_counter()
+    assert isinstance(pages.main_text(page(50_000), pages.trained()), str)
+    assert time.perf_counter() - start < 20  # quadratic, this would be hours
+
+
+def test_fitting_gives_the_kept_weights_again():
+    model, kept = pages.fitted(), pages.trained()
+    assert model.weights.keys() == kept.weights.keys() and all(abs(w - kept.weights[f]) < 0.01 for f, w in model.weights.items())
+    assert np.allclose(model.steps, kept.steps, atol=0.01)
+
+
+def test_letters_are_letters_and_marks_belong_to_them():
+    assert [language.LETTERS.findall(x) for x in ("½ ² ① Ⅷ", "हिन्दी भाषा", "ภาษาไทย", "漢字", "a1b_c")] == [[], ["हिन्दी", "भाषा"], ["ภาษาไทย"], ["漢字"], ["a", "b", "c"]]
+
+
+def test_languages_of_numbers_and_unknown_scripts(spark):
+    known = [(i, t, x) for i, (t, x) in enumerate([("the house and the garden", "en"), ("das haus und der garten", "de")] * 20)]
+    model = language.train(spark.createDataFrame(known, "doc_id long, text string, lang string"), "doc_id", "lang", "text")
+    rows = [(1, "½ ² ① Ⅷ 12"), (2, "漢字"), (3, "the house 漢字"), (4, "हिन्दी"), (5, None), (6, "das haus")]
+    got = {x["doc_id"]: (x["lang_pred"], round(x["score"], 3)) for x in language.label_languages(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[1] == got[5] == ("und", 0.0) and got[6] == ("de", 1.0)
+    assert got[2][0] in ("de", "en") and got[2][1] == got[4][1] == 0.0 and got[3] == ("en", 0.8)
+
+
+def test_one_row_of_equal_texts_stays(spark):
+    rows = [(1, "a b"), (1, "a  b"), (2, "a b"), (1, "c"), (3, "c"), (None, "c"), (None, "d"), (None, "d")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    found = dedup.exact_copies(d).collect()
+    by_text = {}
+    for x in found:
+        by_text.setdefault(x["text_sha256"], []).append((x["doc_id"], x["keep_id"], x["group_size"], x["kept"]))
+    assert len(found) == 8 and all(sum(x[3] for x in g) == 1 for g in by_text.values())
+    assert sorted(len(g) for g in by_text.values()) == [2, 3, 3] and {g[0][1] for g in by_text.values()} == {1, None}
+    assert sorted((x["doc_id"], " ".join(x["text"].split())) for x in dedup.without_copies(d).collect() if x["doc_id"]) == [(1, "a b"), (1, "c")]
+    assert dedup.without_copies(d).count() == 3
