@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.operators.ordering import running_totals
+from quillmark.operators.ruling import rules_met
 
 
 def in_window(items: DataFrame, date: str, first: Column, last: Column) -> DataFrame:
@@ -139,7 +140,6 @@ EXCLUSIONS = (
 
 
 def excluded_by(items: DataFrame, text: str, rules: DataFrame, key: str) -> DataFrame:
-    """(key, kinds): items that meet an exclusion rule of rules (ord, kind, pattern; a short dimension), and the kinds in the order of ord. The rest is an anti join away; null texts meet none."""
-    met = items.select(key, F.col(text).alias("_text")).join(F.broadcast(rules), F.expr("_text rlike pattern"))
+    """(key, kinds): items that meet an exclusion rule of rules (ord, kind, pattern; any number), and the kinds in the order of ord. The rest is an anti join away; null texts meet none. Rules are looked up by what their matches must hold (ruling)."""
     kinds = F.array_sort(F.collect_set(F.struct("ord", "kind")))
-    return met.groupBy(key).agg(F.array_join(F.transform(kinds, lambda x: x["kind"]), ",").alias("kinds"))
+    return rules_met(items, text, rules, key).groupBy(key).agg(F.array_join(F.transform(kinds, lambda x: x["kind"]), ",").alias("kinds"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmark.functions import text as X
-from quillmark.operators import articles, diffing, headings, layout
+from quillmark.operators import articles, diffing, headings, layout, ruling
 from quillmark.plans import steps
 from quillmark.sources import sinks
 from quillmark.sources.readers import table
@@ -132,8 +132,29 @@ def undeclared_fields(spark, sf_dir):
     return fields.groupBy("event_type", "key", F.schema_of_variant("value").alias("type")).agg(F.count("*").alias("n"), F.sum(F.try_variant_get("value", "$", "double")).alias("total"))
 
 
+def _many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four rules of each item of the benchmark: two neighbouring words as they stand, either of two others in any case, a word behind another, and a short beginning of a word; boards by number."""
+    w = F.filter(F.split(F.regexp_replace("text", "[^A-Za-z]+", " "), " +"), lambda x: x != "")
+    b = table(spark, sf_dir, "benchmark").select("item_id", w.alias("w")).where(F.size("w") >= 9)
+    at = lambda n: F.col("w")[n - 1]
+    patterns = F.array(F.concat_ws(" ", at(2), at(3)), F.concat(F.lit("(?i)"), at(4), F.lit(" x|"), at(5), F.lit(" "), at(6)), F.concat(at(7), F.lit(r"\s+(?:"), at(8), F.lit("|q)")), F.concat(F.lit(r"\b"), F.substring(at(9), 1, 2), F.lit("zz")))
+    rules = b.select("item_id", F.posexplode(patterns).alias("k", "pattern"))
+    board = F.element_at(F.array(*map(F.lit, layout.BOARDS)), (F.pmod(F.col("item_id") + F.col("k"), F.lit(3)) + 1).cast("int"))
+    return rules.select((F.col("item_id") * 4 + F.col("k")).alias("ord"), board.alias("board"), F.concat_ws("-", F.lit("tag"), F.pmod("item_id", F.lit(17))).alias("tag"), "pattern")
+
+
+def rules_met(spark, sf_dir):
+    """Documents and the rules, hundreds of them, that they meet."""
+    return ruling.rules_met(table(spark, sf_dir, "documents"), "text", _many_rules(spark, sf_dir), "doc_id").select("doc_id", "ord")
+
+
+def classified_by_rules(spark, sf_dir):
+    out = ruling.classified_by(table(spark, sf_dir, "documents"), "text", _many_rules(spark, sf_dir), "doc_id", layout.BOARDS[1])
+    return out.select("doc_id", "board", F.array_join("tags", ",").alias("tags"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (heading_pages, contents_printed, broken_labels, paragraph_verdicts, omitted_spans, page_totals, step_plan, step_resume, undeclared_fields)
+    own = (heading_pages, contents_printed, broken_labels, paragraph_verdicts, omitted_spans, page_totals, step_plan, step_resume, undeclared_fields, rules_met, classified_by_rules)
     return {f.__name__: f for f in own}
 
 
@@ -144,7 +165,17 @@ HEADED = """SELECT conv_id AS doc_id, (turn + 1)::INT AS ord, '第' || (turn + 1
 PARAGRAPHS = "(SELECT doc_id, unnest(range(1, len(p) + 1))::INT AS pos, unnest(p) AS paragraph, len(p) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))"
 EVENT_STEPS = "s AS (SELECT user_id AS plan, event_id AS pos, event_type || '-' || (event_id % 7) AS id, event_type = 'view' AS weekly, coalesce(value > 60, false) AS needs, user_id % 5 AS k FROM events)"
 
+MANY_RULES = r"""b AS (SELECT item_id, list_filter(string_split(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM benchmark),
+    r AS (SELECT item_id, unnest([0, 1, 2, 3]) AS k, unnest([w[2] || ' ' || w[3], '(?i)' || w[4] || ' x|' || w[5] || ' ' || w[6], w[7] || '\s+(?:' || w[8] || '|q)', '\b' || w[9][1:2] || 'zz']) AS pattern FROM b WHERE len(w) >= 9),
+    rules AS (SELECT item_id * 4 + k AS ord, ['政策法规', '技术应用类', '科技前沿类'][((item_id + k) % 3 + 1)::INT] AS board, 'tag-' || (item_id % 17) AS tag, pattern FROM r),
+    met AS (SELECT doc_id, ord, board, tag FROM documents, rules WHERE regexp_matches(text, pattern))"""
+
 ORACLES = {
+    "rules_met": f"WITH {MANY_RULES} SELECT doc_id, ord FROM met",
+    "classified_by_rules": f"""WITH {MANY_RULES}, scores AS (SELECT doc_id, board, count(*) AS n FROM met GROUP BY ALL), firsts AS (SELECT board, min(ord) AS f FROM rules GROUP BY board),
+        best AS (SELECT doc_id, arg_max(board, n * 1000000 - f) AS board FROM scores JOIN firsts USING (board) GROUP BY doc_id),
+        tags AS (SELECT doc_id, string_agg(tag, ',' ORDER BY o) AS tags FROM (SELECT doc_id, tag, min(ord) AS o FROM met GROUP BY ALL) GROUP BY doc_id)
+        SELECT documents.doc_id, coalesce(board, '技术应用类') AS board, coalesce(tags, '') AS tags FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN tags USING (doc_id)""",
     "heading_pages": HEADED,
     "contents_printed": f"SELECT doc_id, ord, title || chr(9) || coalesce(printed::VARCHAR, '?') AS line FROM ({HEADED})",
     "broken_labels": rf"""WITH pages AS (SELECT conv_id AS doc_id, turn, CASE turn % 5 WHEN 0 THEN coalesce(text, '') || '来' WHEN 1 THEN '源' WHEN 2 THEN '：' || coalesce(text, '') WHEN 3 THEN coalesce(text, '') || '来源：来源' ELSE '：' || coalesce(text, '') END AS text FROM conversations),

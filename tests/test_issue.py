@@ -1,13 +1,14 @@
 """Issues as they come out: alignment, omissions, headings, labels, orders, steps, sign-offs; against plain versions and small fixtures."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quillmark import queries_issue
 from quillmark.functions import text as X
-from quillmark.operators import articles, headings, ordering, selecting
+from quillmark.operators import articles, headings, ordering, ruling, selecting
 from quillmark.plans import steps
 from tests.oracle import assert_same
 
@@ -179,3 +180,23 @@ def test_sign_offs_stand_behind_the_end(spark):
 def test_headings_stay_and_articles_are_corrected(spark, line, want):
     df = spark.createDataFrame([(line,)], "t string")
     assert df.select(X.cjk_normalise(F.col("t"))).first()[0] == want
+
+
+def test_mandatory_strings_are_in_every_match():
+    known = {"福建|本省": {"福建", "本省"}, "(?i)Licen[sc]ed? UNDER": {" under"}, "a*": None, "(ab|cd)+x": {"ab", "cd"}, "(?:ab)?c": {"c"}, "[ab]": None, "x|": None, "(": None, "a(bc)d": {"abcd"}, r"(\d)\1é": {"é"}}
+    assert {p: ruling.mandatory(p) for p in known} == known
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 16_000_000])
+def test_rules_met_equal_trying_all(spark, monkeypatch, broadcast_bytes):
+    r = random.Random(13)
+    words = ["ab", "abc", "Ab", "é", "福建", "本省福", "x1", "测绘地理", " ", "q", "zzzzzz"]
+    texts = [None, "", *("".join(r.choice(words) for _ in range(r.randint(0, 12))) for _ in range(200))]
+    part = lambda: r.choice(["ab", "b.?q", "(?i)ABQ", "福建|é", "绘地", "[xq]1", "z{3}", "^q", "(ab|福)+x", "abc ", "x*"])
+    patterns = [None, *sorted({part() + r.choice(["", "a", "|q1"]) for _ in range(40)} - {""})]
+    patterns = [p for p in patterns if p is None or "(?i)" not in p[1:]]
+    monkeypatch.setattr(ruling, "STEP_BYTES", 50)
+    items, rules = spark.createDataFrame(list(enumerate(texts)), "k int, t string"), spark.createDataFrame(list(enumerate(patterns)), "ord int, pattern string")
+    got = {(x["k"], x["ord"]) for x in ruling.rules_met(items, "t", rules, "k", broadcast_bytes=broadcast_bytes).collect()}
+    assert got == {(i, n) for i, t in enumerate(texts) for n, p in enumerate(patterns) if t is not None and p is not None and re.search(p, t)}
+    assert ruling.rules_met(items, "t", rules.limit(0), "k").count() == 0 and ruling.rules_met(items.limit(0), "t", rules, "k").count() == 0
