@@ -124,6 +124,44 @@ def _tidy(text: Column) -> Column:
     return out
 
 
+def quoted_pieces(line: Column) -> Column:
+    """A line in pieces: array<struct<text, quoted>>; quoted pieces are quotations with their marks, the outermost ones where they are nested. A mark without its counterpart quotes nothing.
+
+    Two folds over what stands between marks, from the left for closing marks and from the right for opening ones, tell which have a counterpart; a third tells what stands within any.
+    """
+    pieces = F.filter(F.split(line, "(?=[“”])|(?<=[“”])"), lambda x: x != "")
+    row = lambda text, on, off: F.struct(text.alias("text"), on.alias("opens"), off.alias("closes"))
+    no = F.lit(False)
+    plain = F.array().cast("array<struct<text:string,opens:boolean,closes:boolean>>")
+
+    def marked(state: Column, x: Column) -> Column:  # a closing mark has its counterpart if one is open
+        closes = (x == "”") & (state["depth"] > 0)
+        depth = state["depth"] + F.when(x == "“", 1).when(closes, -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.array_append(state["out"], row(x, no, closes)).alias("out"))
+
+    def opened(state: Column, x: Column) -> Column:  # from the right: an opening mark, if a closing one waits
+        opens = (x["text"] == "“") & (state["depth"] > 0)
+        depth = state["depth"] + F.when(x["closes"], 1).when(opens, -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.array_append(state["out"], row(x["text"], opens, x["closes"])).alias("out"))
+
+    none = F.struct(F.lit(0).alias("depth"), plain.alias("out"))
+    closed = F.aggregate(pieces, none, marked, lambda s: F.reverse(s["out"]))
+    both = F.aggregate(closed, none, opened, lambda s: F.reverse(s["out"]))
+    joined = F.array().cast("array<struct<text:string,quoted:boolean>>")
+
+    def gathered(state: Column, x: Column) -> Column:  # neighbours of one kind make one piece, but for quotations side by side
+        quoted = (state["depth"] > 0) | x["opens"]
+        out = state["out"]
+        last = F.element_at(out, -1)
+        goes_on = (F.size(out) > 0) & F.when(quoted, state["depth"] > 0).otherwise(F.try_element_at(out, F.lit(-1))["quoted"] == no)
+        piece = lambda text: F.struct(text.alias("text"), quoted.alias("quoted"))
+        longer = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(piece(F.concat(last["text"], x["text"]))))
+        depth = state["depth"] + F.when(x["opens"], 1).when(x["closes"], -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(goes_on, longer).otherwise(F.array_append(out, piece(x["text"]))).alias("out"))
+
+    return F.aggregate(both, F.struct(F.lit(0).alias("depth"), joined.alias("out")), gathered, lambda s: s["out"])
+
+
 #: Numbers of statutes' parts, in either script.
 NUMBER = r"[\p{Nd}零〇一二三四五六七八九十百千两]+"
 #: Headings of parts, chapters and sections, the whole line, which no sentence is; what stands in front of an article of a statute; page footers.
@@ -132,19 +170,44 @@ ARTICLE = rf"^第{NUMBER}条 +"
 PAGE_FOOTER = r"^ *— *\p{Nd}+ *— *$"
 
 
+def preserved_spans(line: Column) -> Column:
+    """Spans of a line that proofing leaves as they are: array<struct<start, end>> in characters, from 0, end exclusive: the whole of a heading or page footer; an article's number; quotations; tabs. In order, apart but for neighbours."""
+    whole = F.regexp_like(line, F.lit(f"{HEADING}|{PAGE_FOOTER}"))
+    span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
+    number = F.length(F.regexp_extract(line, ARTICLE, 0))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    # tabs are pieces of their own, as quotations are
+    pieces = F.flatten(F.transform(quoted_pieces(F.regexp_replace(line, ARTICLE, "")), lambda p: F.when(p["quoted"], F.array(p)).otherwise(F.transform(F.split(p["text"], "(?=\t)|(?<=\t)"), lambda x: F.struct(x.alias("text"), (x == "\t").alias("quoted"))))))
+
+    def step(state: Column, p: Column) -> Column:
+        end = state["at"] + F.length(p["text"])
+        return F.struct(end.alias("at"), F.when(p["quoted"] & (F.length(p["text"]) > 0), F.array_append(state["out"], span(state["at"], end))).otherwise(state["out"]).alias("out"))
+
+    first = F.struct(number.alias("at"), F.when(number > 0, F.array(span(F.lit(0), number))).otherwise(none).alias("out"))
+    return F.when(whole, F.array(span(F.lit(0), F.length(line)))).when(line.isNotNull(), F.aggregate(pieces, first, step, lambda s: s["out"]))
+
+
 def cjk_normalise(line: Column) -> Column:
     """A line with the spacing and punctuation of Chinese typesetting.
 
     Spaces between Han characters, or these and letters or digits, and around full-width marks go; half-width marks between Han
-    characters become full-width. Headings of statutes (parts, chapters, sections; whole lines without a sentence), page footers and quotations stay as they are, and so do tabs; of an
-    article of a statute its number and the space behind it stay, and its text is corrected. Doing it again changes nothing.
+    characters become full-width. Headings of statutes (parts, chapters, sections; whole lines without a sentence), page footers and quotations (nested ones too; a mark without its counterpart quotes nothing) stay as they
+    are, and so do tabs; of an article of a statute its number and the space behind it stay, and its text is corrected. Spaces beside a quotation go. Doing it again changes nothing.
     """
     keep = F.regexp_like(line, F.lit(f"{HEADING}|{PAGE_FOOTER}"))
-    number = F.regexp_extract(line, ARTICLE, 0)
-    parts = F.split(F.regexp_replace(line, ARTICLE, ""), "(?=“)|(?<=”)")
-    joined = F.array_join(F.transform(parts, lambda p: F.when(p.startswith("“"), p).otherwise(_tidy(p))), "")
-    tidy = F.regexp_replace(F.regexp_replace(joined, " +(?=“)", ""), "(?<=”) +", "")
-    return F.when(keep, line).otherwise(F.concat(number, tidy))
+    number, rest = F.regexp_extract(line, ARTICLE, 0), F.regexp_replace(line, ARTICLE, "")
+
+    def tidied(pieces: Column) -> Column:
+        def one(p: Column, i: Column) -> Column:
+            text = _tidy(p["text"])
+            text = F.when(i > 0, F.regexp_replace(text, "^ +", "")).otherwise(text)
+            return F.when(p["quoted"], p["text"]).otherwise(F.when(i < F.size(pieces) - 1, F.regexp_replace(text, " +$", "")).otherwise(text))
+
+        return F.array_join(F.transform(pieces, one), "")
+
+    # within the transform, the pieces are a variable: they aren't made anew for each of them; most lines have no mark at all
+    quoted = F.transform(F.array(quoted_pieces(rest)), tidied)[0]
+    return F.when(keep, line).otherwise(F.concat(number, F.when(F.regexp_like(rest, F.lit("[“”]")), quoted).otherwise(_tidy(rest))))
 
 
 #: Rules of the proof report and their patterns (ours, after the stated rules).

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.functions.text import WS
+from quillmark.sources.sinks import kept
 
 
 def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -72,10 +73,49 @@ def backfilled_contents(headings: DataFrame, pages: DataFrame, doc: str = "doc_i
 
 
 def until_stable(state: DataFrame, step, most: int = 10) -> tuple[DataFrame, int]:
-    """state after step has been applied until it no longer changes a row, and the number of times; an error beyond most."""
+    """state after step has been applied until it no longer changes a row, and the number of times; an error beyond most. Each round is a table, so that none is worked out again."""
+    state = kept(state, "state")
     for n in range(1, most + 1):
-        new = step(state)
+        new = kept(step(state), "state")
         if new.exceptAll(state).isEmpty() and state.exceptAll(new).isEmpty():
             return new, n
         state = new
     raise RuntimeError(f"not stable after {most} steps")
+
+
+def settled(state: DataFrame, step, key: str, most: int = 50) -> DataFrame:
+    """state, and round: the number of times that step was applied to the rows of each key until it changed none of them; null for those that still change after most.
+
+    step takes and gives rows of whole keys, with the columns of state; keys don't depend on each other. Only keys of which a row changed go on to the next round, each round is a table, and keys that have settled are never touched again. Null keys are left out.
+    """
+    going = kept(state.where(F.col(key).isNotNull()), "state")
+    done = None
+    for n in range(1, most + 1):
+        new = kept(step(going).select(*state.columns), "state")
+        rows = lambda df, sign: df.select(*state.columns, F.lit(sign).alias("_sign"))
+        changed = rows(new, 1).union(rows(going, -1)).groupBy(*state.columns).agg(F.sum("_sign").alias("_n")).where("_n <> 0")
+        changed = kept(changed.select(F.col(key).alias("_key")).distinct(), "changed")
+        same = new.join(changed, F.col(key) == F.col("_key"), "left_anti").withColumn("round", F.lit(n))
+        done = same if done is None else done.union(same)
+        going = kept(new.join(changed, F.col(key) == F.col("_key"), "left_semi"), "state")
+        if going.isEmpty():
+            return done
+    return done.union(going.withColumn("round", F.lit(None).cast("int")))
+
+
+def paginated(entries: DataFrame, doc: str = "doc_id", ord_: str = "ord", line_chars: int = 30, page_lines: int = 20, most: int = 50) -> DataFrame:
+    """(doc, ord, title_chars, n_pages, front, page, round): on which page each entry (doc, ord, title_chars, n_pages) begins, when the contents in front take as many pages as they need with these numbers.
+
+    A contents line has the title, two characters' space and the number; what passes line_chars goes on in another line, page_lines make a page. The pages of the contents move all articles, whose numbers may then need another line: so it goes round until
+    nothing moves (settled).
+    """
+    start = entries.select(doc, ord_, "title_chars", "n_pages", F.lit(0).cast("long").alias("front"), F.lit(0).cast("long").alias("page"))
+
+    def step(now: DataFrame) -> DataFrame:
+        before = Window.partitionBy(doc).orderBy(ord_).rowsBetween(Window.unboundedPreceding, -1)
+        page = F.col("front") + 1 + F.coalesce(F.sum("n_pages").over(before), F.lit(0))
+        placed = now.withColumn("page", page)
+        lines = F.ceil((F.col("title_chars") + 2 + F.length(F.col("page").cast("string"))) / line_chars)
+        return placed.withColumn("front", F.ceil(F.sum(lines).over(Window.partitionBy(doc)) / page_lines).cast("long"))
+
+    return settled(start, step, doc, most)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.sources.sinks import workspace
+from quillmark.sources.sinks import kept
 
 #: Rows of a range, about, beyond what the session's number of shuffle partitions gives.
 RANGE_ROWS = 500_000
@@ -21,12 +21,10 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], to
     """
     spark = df.sparkSession
     numbered = df.select(*df.columns, *[c.cast("long").alias(f"_v_{n}") for n, c in totals.items()])
-    place = workspace(spark, "ranges")
     counts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(counts, -(-df.count() // range_rows))
     dealt = numbered.repartitionByRange(ranges, *[F.col(b).asc_nulls_last() for b in by], *order).withColumn("_range", F.spark_partition_id())
-    dealt.write.parquet(place)
-    rows = spark.read.schema(dealt.schema).parquet(place)
+    rows = kept(dealt, "ranges")
     parts = rows.groupBy("_range", *by).agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in totals])
     upto = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(F.col("_range").alias("_of"), *[F.col(b).alias(f"_by_{b}") for b in by], *[F.coalesce(F.sum(f"_v_{n}").over(upto), F.lit(0)).alias(f"_start_{n}") for n in totals])

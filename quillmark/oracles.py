@@ -210,3 +210,4 @@ ORACLES = {
         CASE WHEN name = '' THEN path WHEN contains(name, '.') THEN regexp_replace(path, '(\.[^./]*)$', '_v2\1') ELSE path || '_v2' END AS v2 FROM (SELECT page_id, path, regexp_extract(path, '([^/]*)$', 1) AS name FROM {PATH})""",
     "pagination_stable": _stable(),
 } | queries_issue.ORACLES
+ORACLES["issue_files"] = ORACLES["layout_checks"]

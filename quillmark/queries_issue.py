@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import text as X
 from quillmark.operators import articles, diffing, headings, layout, ruling
+from quillmark.operators import stories as story
 from quillmark.plans import steps
-from quillmark.sources import sinks
+from quillmark.sources import readers, sinks
 from quillmark.sources.readers import table
 
 
@@ -153,8 +154,49 @@ def classified_by_rules(spark, sf_dir):
     return out.select("doc_id", "board", F.array_join("tags", ",").alias("tags"))
 
 
+def _told_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and, for each, another one that tells the same but for its last words; official sites (by number) come before accounts."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", " ").alias("text"))
+    again = p.select((F.col("page_id") + 1_000_000_000).alias("page_id"), F.regexp_replace("text", r"\w+\W+\w+\W*$", "as told elsewhere").alias("text"))
+    return p.union(again).withColumn("priority", F.pmod(F.col("page_id"), F.lit(3)))
+
+
+def stories(spark, sf_dir):
+    return story.with_stories(_told_pages(spark, sf_dir), "page_id", "text", percent=70).select("page_id", "story")
+
+
+def story_picks(spark, sf_dir):
+    return story.story_picks(_told_pages(spark, sf_dir), "page_id", "text", "priority", percent=70).select("story", "page_id", "priority")
+
+
+def pagination_settled(spark, sf_dir):
+    """Pages on which the articles of conversations begin behind contents that print these numbers: long titles, short lines, five lines a page."""
+    c = table(spark, sf_dir, "conversations")
+    entries = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).alias("ord"), (F.pmod(F.length(F.coalesce("text", F.lit(""))), F.lit(29)) + 3).alias("title_chars"), (F.pmod(F.length(F.coalesce("text", F.lit(""))), F.lit(7)) + 1).cast("long").alias("n_pages"))
+    return diffing.paginated(entries, line_chars=12, page_lines=5).select("doc_id", "ord", "front", "page")
+
+
+def preserved_spans(spark, sf_dir):
+    """Spans that proofing leaves alone, in all paragraphs of documents, with nested and unbalanced quotations, tabs, article numbers and headings by number."""
+    own = diffing.paragraphs(table(spark, sf_dir, "documents"), "doc_id", "text")
+    kind, text = F.pmod(F.col("doc_id") + F.col("pos"), F.lit(7)), F.col("paragraph")
+    made = F.when(kind == 0, F.concat(F.lit("甲“乙“丙”丁”"), text)).when(kind == 1, F.concat(F.lit("“甲"), text, F.lit("“乙”"))).when(kind == 2, F.concat(F.lit("甲”\t"), text)).when(kind == 3, F.concat(F.lit("第十条 “甲”"), text))
+    made = made.when(kind == 4, F.concat(F.lit("第三章 "), F.regexp_replace("paragraph", "[,;:!?]", ""))).when(kind == 5, F.concat(F.lit("“甲”“乙”"), text)).otherwise(text)
+    spans = F.array_join(F.transform(X.preserved_spans(made), lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
+    return own.select("doc_id", "pos", spans.alias("spans")).where("spans <> ''")
+
+
+def issue_files(spark, sf_dir):
+    """The layout checks of issues that were written as files and read again."""
+    from quillmark.queries import issue_pages
+
+    place = sinks.workspace(spark, "issues")
+    issue_pages(spark, sf_dir).write.json(place)
+    return layout.layout_checks(readers.issue_files(spark, place), layout.LayoutRules(expected_items=3))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (heading_pages, contents_printed, broken_labels, paragraph_verdicts, omitted_spans, page_totals, step_plan, step_resume, undeclared_fields, rules_met, classified_by_rules)
+    own = (heading_pages, contents_printed, broken_labels, paragraph_verdicts, omitted_spans, page_totals, step_plan, step_resume, undeclared_fields, rules_met, classified_by_rules, stories, story_picks, pagination_settled, preserved_spans, issue_files)
     return {f.__name__: f for f in own}
 
 
@@ -170,7 +212,32 @@ MANY_RULES = r"""b AS (SELECT item_id, list_filter(string_split(regexp_replace(t
     rules AS (SELECT item_id * 4 + k AS ord, ['政策法规', '技术应用类', '科技前沿类'][((item_id + k) % 3 + 1)::INT] AS board, 'tag-' || (item_id % 17) AS tag, pattern FROM r),
     met AS (SELECT doc_id, ord, board, tag FROM documents, rules WHERE regexp_matches(text, pattern))"""
 
+TOLD = r"""p AS (SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS text FROM pages),
+    told AS (SELECT * FROM p UNION ALL SELECT page_id + 1000000000, regexp_replace(text, '[A-Za-z0-9_]+[^A-Za-z0-9_]+[A-Za-z0-9_]+[^A-Za-z0-9_]*$', 'as told elsewhere') FROM p),
+    words AS (SELECT page_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM told),
+    gram AS (SELECT DISTINCT page_id, unnest(CASE WHEN len(w) > 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) ELSE [array_to_string(w, ' ')] END) AS g FROM words WHERE len(w) > 0),
+    size AS (SELECT page_id, count(*) AS n FROM gram GROUP BY page_id),
+    common AS (SELECT a.page_id AS a, b.page_id AS b, count(*) AS c FROM gram a JOIN gram b ON a.g = b.g AND a.page_id <> b.page_id GROUP BY ALL),
+    link AS (SELECT a, b FROM common JOIN size x ON a = x.page_id JOIN size y ON b = y.page_id WHERE 100 * c >= 70 * (x.n + y.n - c)),
+    reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+    story AS (SELECT page_id, least(page_id, coalesce((SELECT min(b) FROM reach WHERE a = page_id), page_id)) AS story FROM told)"""
+
+
+
+def _settled(times: int = 12) -> str:
+    now = "SELECT conv_id AS doc_id, turn + 1 AS ord, length(coalesce(text, '')) % 29 + 3 AS chars, length(coalesce(text, '')) % 7 + 1 AS n, 0 AS front, 0 AS page FROM conversations"
+    for _ in range(times):
+        placed = f"SELECT doc_id, ord, chars, n, front, front + 1 + coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS page FROM ({now})"
+        now = f"SELECT doc_id, ord, chars, n, ceil(sum(ceil((chars + 2 + length(page::BIGINT::VARCHAR)) / 12)) OVER (PARTITION BY doc_id) / 5) AS front, page FROM ({placed})"
+    return f"SELECT doc_id, ord, front::BIGINT AS front, page::BIGINT AS page FROM ({now})"
+
+
 ORACLES = {
+    "pagination_settled": _settled(),
+    "preserved_spans": f"""SELECT * FROM (SELECT doc_id, pos, CASE (doc_id + pos) % 7 WHEN 0 THEN '1-8' WHEN 1 THEN (length(paragraph) + 2) || '-' || (length(paragraph) + 5) WHEN 2 THEN '2-3' WHEN 3 THEN '0-4,4-7'
+        WHEN 4 THEN '0-' || (4 + length(regexp_replace(paragraph, '[,;:!?]', '', 'g'))) WHEN 5 THEN '0-3,3-6' ELSE '' END AS spans FROM {PARAGRAPHS}) WHERE spans <> ''""",
+    "stories": f"WITH RECURSIVE {TOLD} SELECT page_id, story FROM story",
+    "story_picks": f"WITH RECURSIVE {TOLD} SELECT story, page_id, page_id % 3 AS priority FROM story QUALIFY row_number() OVER (PARTITION BY story ORDER BY page_id % 3, page_id) = 1",
     "rules_met": f"WITH {MANY_RULES} SELECT doc_id, ord FROM met",
     "classified_by_rules": f"""WITH {MANY_RULES}, scores AS (SELECT doc_id, board, count(*) AS n FROM met GROUP BY ALL), firsts AS (SELECT board, min(ord) AS f FROM rules GROUP BY board),
         best AS (SELECT doc_id, arg_max(board, n * 1000000 - f) AS board FROM scores JOIN firsts USING (board) GROUP BY doc_id),

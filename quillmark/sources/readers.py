@@ -46,6 +46,19 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("mtime"))
 
 
+#: A page of an extracted issue, as its file has it.
+PAGE = f"doc_id long, page_no int, text string, chars {GLYPHS}, lines {LINES}"
+
+
+def issue_files(spark: SparkSession, path: str, columns: tuple[str, ...] = ("doc_id", "page_no", "text", "chars", "lines")) -> DataFrame:
+    """Pages of extracted issues from files of one JSON object a page: the columns asked for alone are parsed. Null texts are empty, and glyphs and lines that a page lacks are none."""
+    schema = T.StructType([f for f in T._parse_datatype_string(PAGE).fields if f.name in columns])
+    pages = spark.read.schema(schema).json(path)
+    for name, empty in (("text", F.lit("")), ("chars", F.array().cast(GLYPHS)), ("lines", F.array().cast(LINES))):
+        pages = pages.withColumn(name, F.coalesce(name, empty)) if name in columns else pages
+    return pages.select(*columns)
+
+
 def listed_by(files: DataFrame, *by: str) -> DataFrame:
     """(by, n_files, length, newest) of a listing: how many files, their bytes together, and the newest time; nothing for what has no file."""
     return files.groupBy(*by).agg(F.count("*").alias("n_files"), F.sum("length").alias("length"), F.max("mtime").alias("newest"))

@@ -83,3 +83,10 @@ def workspace(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="quillmark-")
     return f"{shared.rstrip('/')}/quillmark/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written below the shared folder and read again: cuts the lineage, and outlives the executors that made it."""
+    place = workspace(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)

@@ -6,9 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quillmark import queries_issue
+from quillmark import oracles, queries_issue
 from quillmark.functions import text as X
-from quillmark.operators import articles, headings, ordering, ruling, selecting
+from quillmark.operators import articles, diffing, headings, ordering, ruling, selecting, stories
 from quillmark.plans import steps
 from tests.oracle import assert_same
 
@@ -17,7 +17,7 @@ BOARDS = ("政策法规", "技术应用类", "科技前沿类")
 
 @pytest.mark.parametrize("name", sorted(queries_issue.queries()))
 def test_query_equals_its_sql(spark, name):
-    assert_same(spark, queries_issue.queries()[name], queries_issue.ORACLES[name], "/root/testdata/sf0.001")
+    assert_same(spark, queries_issue.queries()[name], oracles.ORACLES[name], "/root/testdata/sf0.001")
 
 
 def longest_common(a, b):
@@ -200,3 +200,94 @@ def test_rules_met_equal_trying_all(spark, monkeypatch, broadcast_bytes):
     got = {(x["k"], x["ord"]) for x in ruling.rules_met(items, "t", rules, "k", broadcast_bytes=broadcast_bytes).collect()}
     assert got == {(i, n) for i, t in enumerate(texts) for n, p in enumerate(patterns) if t is not None and p is not None and re.search(p, t)}
     assert ruling.rules_met(items, "t", rules.limit(0), "k").count() == 0 and ruling.rules_met(items.limit(0), "t", rules, "k").count() == 0
+
+
+def plain_quotations(line):
+    """Spans of outermost quotations, by a stack."""
+    open_, pairs = [], []
+    for i, c in enumerate(line):
+        if c == "“":
+            open_.append(i)
+        elif c == "”" and open_:
+            pairs.append((open_.pop(), i + 1))
+    return sorted(p for p in pairs if not any(q != p and q[0] <= p[0] and p[1] <= q[1] for q in pairs))
+
+
+def test_quotations_by_a_stack(spark):
+    r = random.Random(17)
+    lines = ["".join(r.choice("甲乙 a“”“”\t") for _ in range(r.randint(0, 14))) for _ in range(800)] + [None, "", "“", "”“"]
+    got = spark.createDataFrame(list(enumerate(lines)), "i int, t string").select("i", X.quoted_pieces(F.col("t")).alias("p"), X.preserved_spans(F.col("t")).alias("s")).collect()
+    for x in got:
+        line = lines[x["i"]]
+        if line is None:
+            assert x["p"] is None and x["s"] is None
+            continue
+        at, spans = 0, []
+        for p in x["p"]:
+            if p["quoted"]:
+                spans.append((at, at + len(p["text"])))
+            at += len(p["text"])
+        assert "".join(p["text"] for p in x["p"]) == line and spans == plain_quotations(line)
+        tabs = {(i, i + 1) for i, c in enumerate(line) if c == "\t" and not any(a <= i < b for a, b in spans)}
+        assert [tuple(s) for s in x["s"]] == sorted({*spans, *tabs})
+
+
+def test_pages_settle_one_issue_at_a_time(spark):
+    rows = [(1, 5), (2, 95), (3, 1), (None, 2)]
+    rounds = []
+
+    def step(state):
+        rounds.append(sorted(x["k"] for x in state.collect()))
+        return state.withColumn("n", F.least(F.col("n") + 40, F.lit(100)))
+
+    out = {x["k"]: (x["n"], x["round"]) for x in diffing.settled(spark.createDataFrame(rows, "k int, n int"), step, "k").collect()}
+    assert out == {1: (100, 4), 2: (100, 2), 3: (100, 4)} and rounds == [[1, 2, 3], [1, 2, 3], [1, 3], [1, 3]]
+    going = diffing.settled(spark.createDataFrame([(1, 0), (2, 7)], "k int, n int"), lambda s: s.withColumn("n", F.when(F.col("k") == 1, 1 - F.col("n")).otherwise(F.col("n"))), "k", most=3)
+    assert {x["k"]: x["round"] for x in going.collect()} == {1: None, 2: 1}
+
+
+def test_contents_that_push_their_own_numbers(spark):
+    entries = [(1, i, 8, 4) for i in range(1, 31)] + [(2, 1, 3, 1)]
+    got = {(x["doc_id"], x["ord"]): (x["front"], x["page"]) for x in diffing.paginated(spark.createDataFrame(entries, "doc_id int, ord int, title_chars int, n_pages long"), line_chars=12, page_lines=10).collect()}
+    for doc in (1, 2):
+        own, front = [e for e in entries if e[0] == doc], 0
+        for _ in range(10):
+            pages = [front + 1 + sum(e[3] for e in own[:i]) for i in range(len(own))]
+            front = -(-sum(-(-(e[2] + 2 + len(str(p))) // 12) for e, p in zip(own, pages, strict=True)) // 10)
+        assert [got[doc, e[1]] for e in own] == [(front, p) for p in pages]
+
+
+def test_stories_equal_all_pairs(spark):
+    r = random.Random(19)
+    texts = [" ".join(f"w{r.randint(0, 60)}" for _ in range(r.randint(0, 25))) for _ in range(40)]
+    for t in list(texts):
+        for _ in range(2):
+            words = t.split()
+            for _ in range(r.randint(0, 2)):
+                if words:
+                    words[r.randrange(len(words))] = "new"
+            texts.append(" ".join(words))
+    texts += [None, "", "w1", "W1!", "w1 w2", "w2 w1"]
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} or ({tuple(w)} if w else set()) for w in (re.findall(r"\w+", (t or "").lower()) for t in texts)]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b]):
+                one, two = sorted((root[a], root[b]))
+                root = [one if x == two else x for x in root]
+    items = spark.createDataFrame(list(enumerate(texts)), "k int, t string").withColumn("priority", -F.col("k") % 5)
+    got = {x["k"]: x["story"] for x in stories.with_stories(items, "k", "t").collect()}
+    assert got == dict(enumerate(root))
+    picks = {x["story"]: x["k"] for x in stories.story_picks(items, "k", "t", "priority").collect()}
+    assert picks == {s: min((k for k in got if got[k] == s), key=lambda k: (-(k % 5), k)) for s in set(root)}
+    assert stories.with_stories(items.limit(0), "k", "t").count() == 0
+
+
+def test_issue_files_lack_what_they_lack(spark, tmp_path):
+    from quillmark.sources import readers
+
+    (tmp_path / "a.json").write_text('{"doc_id": 1, "page_no": 1, "text": "一", "chars": [{"text": "刊", "size": 36.0, "top": 10.0}], "other": 5}\n{"doc_id": 1, "page_no": 2}\n', encoding="utf-8")
+    rows = {x["page_no"]: x for x in readers.issue_files(spark, str(tmp_path)).collect()}
+    assert rows[1]["text"] == "一" and rows[1]["chars"][0]["size"] == 36.0 and rows[1]["lines"] == [] and rows[2]["text"] == "" and rows[2]["chars"] == []
+    few = readers.issue_files(spark, str(tmp_path), ("doc_id", "text"))
+    assert few.columns == ["doc_id", "text"] and "chars" not in few._jdf.queryExecution().executedPlan().toString()

@@ -44,10 +44,9 @@ def test_small_scalars(spark):
 
 def test_normaliser_changes_nothing_the_second_time(spark):
     r = random.Random(2)
-    parts = ["汉", "字", "A", "9", " ", "  ", "\xa0", " ", "，", ",", ":", "“", "”", "。", "\t", "—"]
-    df = spark.createDataFrame([("".join(r.choice(parts) for _ in range(12)),) for _ in range(400)], "t string").select(X.cjk_normalise(F.col("t")).alias("t"))
-    bad = df.where(X.cjk_normalise(F.col("t")) != F.col("t")).collect()
-    assert all(x["t"].count("“") != x["t"].count("”") or "”" in x["t"].split("“")[0] for x in bad), bad[:3]
+    parts = ["汉", "字", "A", "9", " ", "  ", "\xa0", " ", "，", ",", ":", "“", "”", "。", "\t", "—"]
+    df = spark.createDataFrame([("".join(r.choice(parts) for _ in range(12)),) for _ in range(1500)], "t string").select(X.cjk_normalise(F.col("t")).alias("t"))
+    assert df.where(X.cjk_normalise(F.col("t")) != F.col("t")).collect() == []
 
 
 PAGES = [(1, 1, "测绘月刊封面"), (1, 2, "目录甲1乙2"), (1, 3, "政策法规\n甲文\n来源：某厅\n— 1 —"), (1, 4, "技术应用类\n乙文 来"), (1, 5, "源：某局 科技前沿类"), (1, 6, "政策法规\n—2—")]
