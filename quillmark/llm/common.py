@@ -29,21 +29,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's tables in the shared folder."""
+    return f"{shared_dir(spark)}/quillmark/{spark.sparkContext.applicationId}"
+
+
+def new_table(spark: SparkSession, name: str) -> str:
+    """A place for a table in the folder of this application."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives the loss of executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quillmark/{name}-{uuid.uuid4().hex}"
+    path = new_table(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_tables(spark: SparkSession) -> None:
+    """Removes all tables that operators of this application have left in the shared folder: once their results are stored elsewhere, as results read them."""
+    _remove(spark, run_dir(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(spark: SparkSession, *tables: DataFrame) -> None:
     """Removes tables that written() made and that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
     for table in tables:
         for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _remove(spark, folder)
 
 
 def heavy_keys(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:

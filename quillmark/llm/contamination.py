@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import hidden, hidden_name, shared_dir, shown, written
+from quillmark.llm.common import hidden, hidden_name, new_table, shown, written
 
 #: Bytes that belong to words, A-Z turned to a-z; all others become spaces.
 TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -198,7 +197,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
         automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         return filled.mapInArrow(_scan(automaton, text, longest), filled.schema)
     numbered = written(own.select(F.monotonically_increasing_id().alias("_row"), *own.columns), "numbered")
-    place = f"{shared_dir(spark)}/quillmark/hits-{uuid.uuid4().hex}"
+    place = new_table(spark, "hits")
     for block in chain([block, following], blocks):
         automaton = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         hits = numbered.select("_row", text).mapInArrow(_hits(automaton), f"_row long, hit_spans {SPANS}, hit_items array<string>")

@@ -228,7 +228,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most_docs: i
 def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
     """All rows and columns of docs, and quality: the scorer's chance that a text is good (double).
 
-    Null and empty texts, and those of white space alone, have 0. A column quality of docs is replaced.
+    Null and empty texts, and those of white space alone, have 0. A column quality of docs is replaced. Repeated rows are scored alike, an empty docs gives no rows, and a very long text is one task's work.
     """
     sent, own = docs.sparkSession.sparkContext.broadcast(model), docs.drop("quality")
     at = own.columns.index(text)

@@ -51,11 +51,11 @@ def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["y", "size", "buckets", "counts"])
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most_docs: int = 1500, most_bytes: int = 5_000_000, epochs: int = 80, rate: float = 0.3, seed: int = 7) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most_docs: int = 1500, most_bytes: int = 5_000_000, least_seen: int = 5, epochs: int = 80, rate: float = 0.3, seed: int = 7) -> ToxicityModel:
     """From a sample of rows that labels marks 0 or 1: most_docs documents and most_bytes of text for each label.
 
     A document is the average of its subwords' embeddings; cross-entropy of the softmax, each class weighed by its share among all labelled
-    rows (to a power of 0.7), however many were sampled. Steps follow the gradient over the square root of a subword's frequency; those that occur fewer than 5 times
+    rows (to a power of 0.7), however many were sampled. Steps follow the gradient over the square root of a subword's frequency; those that occur fewer than least_seen times
     stay out, as they tell documents apart, not classes. Repeated labels of a key: the highest counts; of its rows, that of the least text does. Null keys have no label. With only one class, or none, known, all scores are that class's share.
     """
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).cast("int").alias("_y"))
@@ -74,7 +74,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, m
     rows = [(np.frombuffer(b.as_py(), np.int32), (np.frombuffer(c.as_py(), np.int64) / s).astype(np.float32)) for b, c, s in zip(sample["buckets"], sample["counts"], sample["size"].to_numpy(), strict=True)]
     frequency = sum(np.bincount(b, v * s, BUCKETS) for (b, v), s in zip(rows, sample["size"].to_numpy(), strict=True))
     del sample
-    step = np.where(frequency >= 5, 1 / np.sqrt(np.maximum(1, frequency)), 0)[:, None]
+    step = np.where(frequency >= least_seen, 1 / np.sqrt(np.maximum(1, frequency)), 0)[:, None]
     weight = np.where(y == 1, *((in_all[k] / (y == k).sum()) ** 0.7 for k in (1, 0)))
     weight /= weight.sum()
     rng = np.random.default_rng(seed)
@@ -108,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, m
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) of each row of docs: the softmax probability of class 1; null and empty texts get that of the biases."""
+    """(key, score) of each row of docs: the softmax probability of class 1; null and empty texts get that of the biases. Repeated rows are scored alike, an empty docs gives no rows, and a very long text is one task's work."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

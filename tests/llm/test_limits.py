@@ -228,8 +228,7 @@ def test_blocks_write_hits_alone(spark, tmp_path, monkeypatch):
     def size(folder, name):
         return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files if f"/{name}-" in d and f.endswith(".parquet"))
 
-    for module in (common, contamination):
-        monkeypatch.setattr(module, "shared_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
     found = contamination.contaminated_spans(docs, items, most_words=20)
     got = {x["doc_id"]: (x["n_words"], x["n"], x["hit_items"]) for x in found.select("doc_id", "n_words", contamination.hit_words().alias("n"), "hit_items").collect()}
     one = contamination.contaminated_spans(docs, items)
@@ -345,3 +344,11 @@ def test_one_row_of_equal_texts_stays(spark):
     assert sorted(len(g) for g in by_text.values()) == [2, 3, 3] and {g[0][1] for g in by_text.values()} == {1, None}
     assert sorted((x["doc_id"], " ".join(x["text"].split())) for x in dedup.without_copies(d).collect() if x["doc_id"]) == [(1, "a b"), (1, "c")]
     assert dedup.without_copies(d).count() == 3
+
+
+def test_one_call_clears_the_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    rows = spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id long, text string")
+    assert dedup.exact_copies(rows).count() == 2 and list(tmp_path.rglob("*.parquet"))
+    common.clear_tables(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
