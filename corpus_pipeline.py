@@ -22,19 +22,19 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one word in 20 or more inside benchmark windows go; from the others, spans of 13 such words or more are cut out, and n_chars follows.
 
-    Null and empty texts stay; so do all documents if the benchmark is empty.
+    Null and empty texts stay; so do all documents if the benchmark is empty. Repeated rows are judged alike, and an empty docs stays empty.
     """
     out = contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), longest=13)
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, each up to 3 times, so that each source comes near its target, in order of virtual finish time. A null source is a source; texts without words stay once."""
+    """Whole documents, each up to 3 times, so that each source comes near its target, in order of virtual finish time. A null source is a source; texts without words stay once; ties go by doc_id; repeated rows are as many documents; an empty docs stays empty."""
     return mixing.mix_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows and columns of documents with shard and slot, and what shard_records adds besides; null keys share the empty key's shard."""
+    """All rows and columns of documents with shard and slot, and what shard_records adds besides; null keys share the empty key's shard, repeated rows are numbered one after the other, and an empty docs stays empty."""
     return sharding.shard_records(docs)
 
 
