@@ -82,7 +82,7 @@ def workspace(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="quillmark-")
-    return f"{shared.rstrip('/')}/quillmark/{name}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/quillmark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
