@@ -195,8 +195,17 @@ def issue_files(spark, sf_dir):
     return layout.layout_checks(readers.issue_files(spark, place), layout.LayoutRules(expected_items=3))
 
 
+def period_objects(spark, sf_dir):
+    """Settings written as files of one JSON object each, and read by schema."""
+    place = sinks.workspace(spark, "settings")
+    b = table(spark, sf_dir, "benchmark")
+    record = F.to_json(F.struct(F.col("text").alias("issue_name"), F.col("item_id").cast("int").alias("draft_target"), F.lit("2031-02-01").alias("window_from")), {"pretty": "true"})
+    b.select(record.alias("value")).write.option("maxRecordsPerFile", 1).text(place)
+    return readers.periods(spark, place).select("issue_name", "draft_target", "window_from", "window_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (heading_pages, contents_printed, broken_labels, paragraph_verdicts, omitted_spans, page_totals, step_plan, step_resume, undeclared_fields, rules_met, classified_by_rules, stories, story_picks, pagination_settled, preserved_spans, issue_files)
+    own = (heading_pages, contents_printed, broken_labels, paragraph_verdicts, omitted_spans, page_totals, step_plan, step_resume, undeclared_fields, rules_met, classified_by_rules, stories, story_picks, pagination_settled, preserved_spans, issue_files, period_objects)
     return {f.__name__: f for f in own}
 
 
@@ -233,6 +242,7 @@ def _settled(times: int = 12) -> str:
 
 
 ORACLES = {
+    "period_objects": "SELECT text AS issue_name, item_id::INT AS draft_target, '2031-02-01' AS window_from, NULL::VARCHAR AS window_to FROM benchmark",
     "pagination_settled": _settled(),
     "preserved_spans": f"""SELECT * FROM (SELECT doc_id, pos, CASE (doc_id + pos) % 7 WHEN 0 THEN '1-8' WHEN 1 THEN (length(paragraph) + 2) || '-' || (length(paragraph) + 5) WHEN 2 THEN '2-3' WHEN 3 THEN '0-4,4-7'
         WHEN 4 THEN '0-' || (4 + length(regexp_replace(paragraph, '[,;:!?]', '', 'g'))) WHEN 5 THEN '0-3,3-6' ELSE '' END AS spans FROM {PARAGRAPHS}) WHERE spans <> ''""",
