@@ -157,7 +157,7 @@ def test_heavy_keys_are_few(spark):
 def test_identifiers_that_clash_are_taken_anew(spark, monkeypatch):
     real = similarity.fingerprint
     monkeypatch.setattr(similarity, "fingerprint", lambda s, round_=0: (1, real(s)[1]) if round_ == 0 and len(s) else real(s, round_))
-    table = similarity._sketches(spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l")], "doc long, text string"), 5, 80, 0)
+    table = similarity._sketches(spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l")], "doc long, text string"), 5, lambda s: similarity.segment_keys(s, 80), 0)
     assert table.where(F.col("kind") == similarity.CHECK).count() >= 2
     assert real(np.array([1, 2], np.uint64))[0] != real(np.array([1, 2], np.uint64), 1)[0]
 
