@@ -9,20 +9,16 @@ from pyspark.sql import functions as F
 
 from quillmark.sources.sinks import kept
 
-#: Rows of a range, about, beyond what the session's number of shuffle partitions gives.
-RANGE_ROWS = 500_000
 
-
-def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column], range_rows: int = RANGE_ROWS) -> DataFrame:
+def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column], ranges: int | None = None) -> DataFrame:
     """Adds for each name of totals the sum of its column over the rows of the same group (by; null is a group) before this one in order (long).
 
-    Rows are dealt out by ranges of by and order, so the ranges are about as large whatever the groups are, and written with their range's number; a total of each
+    Rows are dealt out by ranges of by and order (as many as the session has shuffle partitions, unless ranges says otherwise), so the ranges are about as large whatever the groups are, and written with their range's number; a total of each
     group's part of a range is summed up over the ranges, and rows are summed up within their part alone. order should end with a key: rows that it doesn't tell apart are in any order, and in one range.
     """
     spark = df.sparkSession
     numbered = df.select(*df.columns, *[c.cast("long").alias(f"_v_{n}") for n, c in totals.items()])
-    counts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(counts, -(-df.count() // range_rows))
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = numbered.repartitionByRange(ranges, *[F.col(b).asc_nulls_last() for b in by], *order).withColumn("_range", F.spark_partition_id())
     rows = kept(dealt, "ranges")
     parts = rows.groupBy("_range", *by).agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in totals])

@@ -120,7 +120,7 @@ def test_running_totals_equal_a_window(spark):
     rows = [(i, r.choice([None, "P", "T", "T"]), r.choice([None, 1, 2]), r.choice([None, "2026-01-01", "2026-02-01"])) for i in range(700)]
     items = spark.createDataFrame(rows, "id int, board string, level int, pub_date string").withColumn("centrality", F.lit(1))
     order = [F.col("level").asc_nulls_last(), F.col("pub_date").desc_nulls_last(), F.col("id").asc()]
-    out = ordering.running_totals(items, ["board"], order, {"n": F.lit(1), "s": F.col("id")}, range_rows=50)
+    out = ordering.running_totals(items, ["board"], order, {"n": F.lit(1), "s": F.col("id")}, ranges=9)
     want = {}
     for b in (None, "P", "T"):
         own = sorted((x for x in rows if x[1] == b), key=lambda x: (x[2] is None, x[2] or 0, x[3] is None, [-ord(c) for c in x[3] or ""], x[0]))
