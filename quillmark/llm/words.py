@@ -9,8 +9,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quillmark.llm.common import unit_hash
+from quillmark.llm.common import unit_hash, written
 
 #: Words: a letter, and the letters and marks behind it. Signs for numbers (fractions, circled and Roman ones) are no letters.
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -96,13 +97,16 @@ def crc_remainder(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def sampled(df: DataFrame, key: str, label: str, size: Column, most_docs: int, most_bytes: int) -> DataFrame:
+def sampled(df: DataFrame, key: str, label: str, size: Column, most_docs: int, most_bytes: int, broadcast_keys: int = 1_000_000) -> DataFrame:
     """Rows of df by label (not null), chosen by the hash of key: most_docs rows and most_bytes of size for each label, give or take chance.
 
-    The share of each label is a row of a small aggregate, joined back by label: labels may be many.
+    Labels may be many: their shares are a small aggregate, joined with keys and labels alone. The keys that are chosen pick the rows; numeric ones up to broadcast_keys are broadcast, so that no text is moved.
     """
     sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"), F.sum(size).alias("_b"))
     share = F.least(F.lit(1.0), F.lit(float(most_docs)) / F.col("_n"), F.lit(float(most_bytes)) / F.greatest(F.lit(1), F.col("_b")))
-    told = df.withColumn("_at", unit_hash(F.col(key), F.lit("sample")))
-    joined = told.join(sizes.select("_label", share.alias("_share")), F.col(label) == F.col("_label"))
-    return joined.where(F.col("_at") < F.col("_share")).select(*df.columns)
+    told = df.select(F.col(key).alias("_key"), F.col(label).alias("_of"), unit_hash(F.col(key), F.lit("sample")).alias("_at"))
+    joined = told.join(sizes.select("_label", share.alias("_share")), F.col("_of") == F.col("_label"))
+    chosen = written(joined.where(F.col("_at") < F.col("_share")).select("_key", "_of").distinct(), "chosen")
+    few = isinstance(chosen.schema["_key"].dataType, T.NumericType) and chosen.count() <= broadcast_keys
+    at = F.col(key).eqNullSafe(F.col("_key")) & (F.col(label) == F.col("_of"))
+    return df.join(F.broadcast(chosen) if few else chosen, at, "left_semi")
