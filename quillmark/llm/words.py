@@ -100,12 +100,13 @@ def crc_remainder(key: Column, n: int) -> Column:
 def sampled(df: DataFrame, key: str, label: str, size: Column, most_docs: int, most_bytes: int, broadcast_keys: int = 1_000_000) -> DataFrame:
     """Rows of df by label (not null), chosen by the hash of key: most_docs rows and most_bytes of size for each label, give or take chance.
 
-    Labels may be many: their shares are a small aggregate, joined with keys and labels alone. The keys that are chosen pick the rows; numeric ones up to broadcast_keys are broadcast, so that no text is moved.
+    Labels may be many: their shares are an aggregate, written, so that Spark knows its size and moves no rows of a frequent label if it is small, and joined with keys and labels alone. The keys that are chosen pick the rows; numeric ones up to broadcast_keys are broadcast, so that no text is moved.
     """
     sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n"), F.sum(size).alias("_b"))
     share = F.least(F.lit(1.0), F.lit(float(most_docs)) / F.col("_n"), F.lit(float(most_bytes)) / F.greatest(F.lit(1), F.col("_b")))
     told = df.select(F.col(key).alias("_key"), F.col(label).alias("_of"), unit_hash(F.col(key), F.lit("sample")).alias("_at"))
-    joined = told.join(sizes.select("_label", share.alias("_share")), F.col("_of") == F.col("_label"))
+    shares = written(sizes.select("_label", share.alias("_share")), "shares")
+    joined = told.join(shares, F.col("_of") == F.col("_label"))
     chosen = written(joined.where(F.col("_at") < F.col("_share")).select("_key", "_of").distinct(), "chosen")
     few = isinstance(chosen.schema["_key"].dataType, T.NumericType) and chosen.count() <= broadcast_keys
     at = F.col(key).eqNullSafe(F.col("_key")) & (F.col(label) == F.col("_of"))
