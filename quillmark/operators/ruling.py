@@ -114,9 +114,12 @@ def _looked_up(known: np.ndarray, every: bool):
             pairs = np.unique(np.stack([row, gram]), axis=1)
             if every:
                 pairs = np.concatenate([pairs, np.stack([np.arange(len(batch)), np.zeros(len(batch), np.int64)])], axis=1)
-            valid = np.asarray(batch.column(1).is_valid())[pairs[0]]
-            row, gram = pa.array(pairs[0][valid]), pa.array(pairs[1][valid])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), gram], names=["_key", "_text", "probe"])
+            pairs = pairs[:, np.asarray(batch.column(1).is_valid())[pairs[0]]]
+            pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+            row, counts = np.unique(pairs[0], return_counts=True)
+            probes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(pairs[1]))
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), probes], names=["_key", "_text", "probes"])
 
     return scan
 
@@ -133,7 +136,8 @@ def rules_met(items: DataFrame, text: str, rules: DataFrame, key: str, pattern:
     every = bool(held["every"])
     posted = F.broadcast(posted) if (held["bytes"] or 0) <= broadcast_bytes else posted
     given = items.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    looked = given.mapInArrow(_looked_up(slots, every), given.withColumn("probe", F.lit(0).cast("long")).schema)
+    looked = given.mapInArrow(_looked_up(slots, every), given.withColumn("probes", F.array(F.lit(0).cast("long"))).schema)
+    looked = looked.select("_key", "_text", F.explode("probes").alias("probe"))
     tried = looked.join(posted, "probe").where(F.expr(f"_text rlike `{pattern}`"))
     return tried.select(F.col("_key").alias(key), *rules.columns).distinct()
 
