@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of the n-grams by which rules are looked up, longest first; a number holds an n-gram and, above it, its size.
-SIZES = (6, 3, 1)
-#: Bits of the places of a filter that tells n-grams which no rule has; bytes of text that are looked at at once.
-FILTER_BITS, STEP_BYTES = 20, 1 << 22
+SIZES = (6, 3, 2, 1)
+#: Bits of the places of a filter that tells n-grams which no rule has; bytes of text and rows that are looked at at once; bits of an n-gram's number.
+FILTER_BITS, STEP_BYTES, STEP_ROWS, GRAM_BITS = 20, 1 << 18, 1 << 12, 51
 #: ASCII capitals as small letters; an odd multiplier that spreads n-grams over the filter.
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -89,8 +89,26 @@ def _slot(grams: np.ndarray) -> np.ndarray:
     return (grams * SPREAD) >> np.uint64(64 - FILTER_BITS)
 
 
+def _found(table: np.ndarray, at: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, n-gram), once each and in order of rows, of the n-grams whose places in the filter are known; at: where the STEP_ROWS rows at most begin and end. What is held at once follows STEP_BYTES."""
+    pairs = [np.empty(0, np.uint64)]
+    for start in range(int(at[0]), int(at[-1]), STEP_BYTES):
+        part = LOWER[whole[start : min(start + STEP_BYTES + SIZES[0] - 1, int(at[-1]))]]
+        for size in SIZES:
+            own = numbers(part, size)[:STEP_BYTES]
+            hit = np.flatnonzero(table[_slot(own)])
+            row = np.searchsorted(at, hit + start, side="right") - 1
+            inside = hit + start + size <= at[row + 1]
+            pairs.append(np.unique(row[inside].astype(np.uint64) << np.uint64(GRAM_BITS) | own[hit[inside]]))
+    both = np.unique(np.concatenate(pairs))
+    return (both >> np.uint64(GRAM_BITS)).astype(np.int64), (both & np.uint64((1 << GRAM_BITS) - 1)).astype(np.int64)
+
+
 def _looked_up(known: np.ndarray, every: bool):
-    """For mapInArrow over (key, text): (key, text, probes) of the texts that have n-grams whose places in the filter are known (all texts, if every rule needn't have any)."""
+    """For mapInArrow over (key, text): (key, text, probes) of the texts that have n-grams whose places in the filter are known (all texts, if every rule needn't have any).
+
+    Rows are taken together up to STEP_BYTES (or one longer text) and STEP_ROWS, and handed on before the next ones are looked at.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << FILTER_BITS, bool)
@@ -100,26 +118,20 @@ def _looked_up(known: np.ndarray, every: bool):
             _, offsets, data = texts.buffers()
             at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
             whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
-            rows, grams = [], []
-            for start in range(int(at[0]), int(at[-1]), STEP_BYTES):
-                part = LOWER[whole[start : min(start + STEP_BYTES + SIZES[0] - 1, int(at[-1]))]]
-                for size in SIZES:
-                    own = numbers(part, size)[:STEP_BYTES]
-                    hit = np.flatnonzero(table[_slot(own)])
-                    row = np.searchsorted(at, hit + start, side="right") - 1
-                    inside = hit + start + size <= at[row + 1]
-                    rows.append(row[inside])
-                    grams.append(own[hit[inside]])
-            row, gram = (np.concatenate([np.empty(0, t), *x]).astype(t) for x, t in ((rows, np.int64), (grams, np.int64)))
-            pairs = np.unique(np.stack([row, gram]), axis=1)
-            if every:
-                pairs = np.concatenate([pairs, np.stack([np.arange(len(batch)), np.zeros(len(batch), np.int64)])], axis=1)
-            pairs = pairs[:, np.asarray(batch.column(1).is_valid())[pairs[0]]]
-            pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
-            row, counts = np.unique(pairs[0], return_counts=True)
-            probes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(pairs[1]))
-            row = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), probes], names=["_key", "_text", "probes"])
+            valid, low = np.asarray(batch.column(1).is_valid()), 0
+            while low < len(batch):
+                high = max(low + 1, min(int(np.searchsorted(at, at[low] + STEP_BYTES, side="right")) - 1, low + STEP_ROWS, len(batch)))
+                row, gram = _found(table, at[low : high + 1], whole)
+                if every:
+                    row, gram = np.concatenate([row, np.arange(high - low)]), np.concatenate([gram, np.zeros(high - low, np.int64)])
+                    order = np.argsort(row, kind="stable")
+                    row, gram = row[order], gram[order]
+                stays = valid[low:high][row]
+                row, counts = np.unique(row[stays], return_counts=True)
+                probes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(gram[stays]))
+                taken = pa.array(row + low)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), probes], names=["_key", "_text", "probes"])
+                low = high
 
     return scan
 

@@ -2,7 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,3 +287,17 @@ def test_issue_files_lack_what_they_lack(spark, tmp_path):
     assert rows[1]["text"] == "一" and rows[1]["chars"][0]["size"] == 36.0 and rows[1]["lines"] == [] and rows[2]["text"] == "" and rows[2]["chars"] == []
     few = readers.issue_files(spark, str(tmp_path), ("doc_id", "text"))
     assert few.columns == ["doc_id", "text"] and "chars" not in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rules_are_looked_up_in_bounded_memory(monkeypatch):
+    """What the look-up holds at once follows its step, not the batch, even if every place of the text may be a rule's."""
+    texts = ["ab " * 1000] * 1500 + [None, ""]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    scan = ruling._looked_up(np.arange(1 << ruling.FILTER_BITS), False)
+    tracemalloc.start()
+    try:
+        rows = sum(len(b) for b in scan(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 1500 and most < 10 * batch.nbytes
