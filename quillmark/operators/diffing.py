@@ -25,7 +25,18 @@ def omissions(originals: DataFrame, issue: DataFrame, key: str, clean: Column, o
     """(key, paragraph, missing, verdict): what the originals have and the issue lacks, as missing_paragraphs has it; removed if on_purpose says so of the paragraph as it stood, else omitted."""
     counted = lambda df, sign, gone: df.select(key, clean.alias("paragraph"), F.lit(sign).alias("n"), gone.alias("gone")).where("paragraph <> ''")
     both = counted(originals, 1, F.coalesce(on_purpose, F.lit(False))).union(counted(issue, -1, F.lit(False)))
-    lost = both.groupBy(key, "paragraph").agg(F.sum("n").alias("missing"), F.max("gone").alias("gone")).where("missing > 0")
+    return _omitted(both, key)
+
+
+def omissions_by_mark(originals: DataFrame, key: str, clean: Column, on_purpose: Column, in_issue: Column) -> DataFrame:
+    """omissions of originals and those of their rows for which in_issue holds, from one reading: rows that the issue has and that weren't to be removed add nothing, so neither are they cleaned nor moved."""
+    gone, missing = F.coalesce(on_purpose, F.lit(False)), F.when(in_issue, 0).otherwise(1)
+    rows = originals.where(gone | (missing > 0)).select(key, clean.alias("paragraph"), missing.alias("n"), gone.alias("gone")).where("paragraph <> ''")
+    return _omitted(rows, key)
+
+
+def _omitted(rows: DataFrame, key: str) -> DataFrame:
+    lost = rows.groupBy(key, "paragraph").agg(F.sum("n").alias("missing"), F.max("gone").alias("gone")).where("missing > 0")
     return lost.select(key, "paragraph", "missing", F.when(F.col("gone"), F.lit("removed")).otherwise(F.lit("omitted")).alias("verdict"))
 
 
