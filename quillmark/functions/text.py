@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +25,11 @@ def remove_space(text: Column) -> Column:
     return F.regexp_replace(text, WS + "+", "")
 
 
+def is_blank(text: Column) -> Column:
+    """Whether a text has nothing but white space; null counts as blank."""
+    return ~F.coalesce(F.regexp_like(text, F.lit(f"[^{WS[1:]}")), F.lit(False))
+
+
 def remove_footers(text: Column) -> Column:
     """Without page numbers between dashes; for text without white space."""
     return F.regexp_replace(text, FOOTER, "")
@@ -224,7 +231,12 @@ _NAME = rf"(?:(?:记者|通讯员|作者|编辑)[ ：:]*)?[{SURNAMES}][{HAN}]{{1
 _UNIT = rf"[{HAN}]+[{UNITS}]"
 _SIGNED = rf"(?:{_NAME}|{_UNIT})(?:[ 、/]+(?:{_NAME}|{_UNIT}))*"
 #: Sign-offs at the end of an article (ours, after the stated rules): names or units in brackets, photo credits, captions. Credits end with their mark and, like captions, hold no end of a sentence before it.
-SIGN_OFF = rf"^{WS}*(?:（{_SIGNED}）|\({_SIGNED}\)|[^。！？；，]*(?:[/／]摄|供图|摄影)[^{HAN}。！？；，]*|图[为：:][^。！？；]*。?){WS}*$"
+#: Each is the whole paragraph, and has one of the characters in front of it here, which are looked for first.
+SIGN_OFFS = {
+    ("（", "("): rf"(?:（{_SIGNED}）|\({_SIGNED}\))",
+    ("摄", "供图"): rf"[^。！？；，]*(?:[/／]摄|供图|摄影)[^{HAN}。！？；，]*",
+    ("图为", "图：", "图:"): r"图[为：:][^。！？；]*。?",
+}
 #: The same in brackets behind the last sentence: after its end mark, so that no title or term loses what belongs to it.
 TRAILING_SIGN_OFF = rf"(?<=[。！？…”』」.!?]){WS}*(?:（{_SIGNED}）|\({_SIGNED}\)){WS}*$"
 POINTERS = "详见|见下表|见附件|附后"
@@ -232,7 +244,8 @@ POINTERS = "详见|见下表|见附件|附后"
 
 def is_sign_off(paragraph: Column) -> Column:
     """Whether a paragraph looks like nothing but a sign-off; pointers to tables and the like don't. What it is depends on where it stands: see operators.articles."""
-    return F.regexp_like(paragraph, F.lit(SIGN_OFF)) & ~F.regexp_like(paragraph, F.lit(POINTERS))
+    kinds = [reduce(or_, [F.contains(paragraph, F.lit(m)) for m in marks]) & F.regexp_like(paragraph, F.lit(f"^{WS}*{kind}{WS}*$")) for marks, kind in SIGN_OFFS.items()]
+    return reduce(or_, kinds) & ~F.regexp_like(paragraph, F.lit(POINTERS))
 
 
 def strip_sign_off(paragraph: Column) -> Column:

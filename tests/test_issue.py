@@ -301,3 +301,21 @@ def test_rules_are_looked_up_in_bounded_memory(monkeypatch):
     finally:
         tracemalloc.stop()
     assert rows == 1500 and most < 10 * batch.nbytes
+
+
+def test_sign_offs_are_told_from_one_reading(spark):
+    """Neither are paragraphs read twice nor their ends joined back, and what can't be a sign-off meets no pattern."""
+    d = spark.createDataFrame([(1, 1, "a"), (None, 1, "（刘某）")], "id int, pos int, paragraph string")
+    out = articles.with_ends(d, "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 1
+    assert [tuple(x)[-2:] for x in out.orderBy("id").collect()] == [(True, False), (False, True)]
+
+
+def test_omissions_by_mark_equal_those_of_two_tables(spark):
+    r = random.Random(23)
+    rows = [(r.choice([1, 2, None]), r.choice(["a b", "ab", " ", "c", None]), r.choice([True, False, None]), r.choice([True, False, None])) for _ in range(300)]
+    d = spark.createDataFrame(rows, "id int, paragraph string, gone boolean, kept boolean")
+    clean = X.remove_space(F.col("paragraph"))
+    want = diffing.omissions(d, d.where("kept"), "id", clean, F.col("gone")).collect()
+    assert want and sorted(map(str, diffing.omissions_by_mark(d, "id", clean, F.col("gone"), F.col("kept")).collect())) == sorted(map(str, want))
