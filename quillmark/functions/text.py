@@ -18,6 +18,8 @@ HAN, ALNUM = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}", "A-Za-z0-9"
 FULL_MARKS = "，。；：？！、（）《》"
 #: Half-width marks and the full-width ones that replace them between Han characters.
 HALF_TO_FULL = ((",", "，"), (";", "；"), (":", "："), ("?", "？"), ("!", "！"))
+#: What a text must have for its marks to be changed.
+MARKED = rf"[{FULL_MARKS}]|[,;:?!](?<=[{HAN}].)(?=[{HAN}])"
 
 
 def remove_space(text: Column) -> Column:
@@ -124,11 +126,17 @@ def with_suffix(path: Column, suffix: str) -> Column:
 def _tidy(text: Column) -> Column:
     """Spacing and marks outside quotations."""
     out = F.regexp_replace(text, BLANKS, " ")
-    out = F.regexp_replace(out, f"(?<=[{HAN}]) +(?=[{HAN}{ALNUM}])|(?<=[{ALNUM}]) +(?=[{HAN}])", "")
-    out = F.regexp_replace(out, f" *([{FULL_MARKS}]) *", "$1")
-    for half, full in HALF_TO_FULL:
-        out = F.regexp_replace(out, rf"(?<=[{HAN}])\{half}(?=[{HAN}])", full)
-    return out
+    # each pattern begins with the character that it is about and looks behind from there, so that it fails at once at all others
+    out = F.regexp_replace(out, f" (?:(?<=[{HAN}] ) *(?=[{HAN}{ALNUM}])|(?<=[{ALNUM}] ) *(?=[{HAN}]))", "")
+
+
+    def marked(x: Column) -> Column:
+        out = F.regexp_replace(x, f"(?: (?<! {{2}}) *)?([{FULL_MARKS}]) *", "$1")
+        for half, full in HALF_TO_FULL:
+            out = F.regexp_replace(out, rf"\{half}(?<=[{HAN}]\{half})(?=[{HAN}])", full)
+        return F.when(F.regexp_like(x, F.lit(MARKED)), out).otherwise(x)
+
+    return F.transform(F.array(out), marked)[0]  # a variable, so that what goes before isn't done anew in each branch
 
 
 def quoted_pieces(line: Column) -> Column:
@@ -201,8 +209,9 @@ def cjk_normalise(line: Column) -> Column:
     characters become full-width. Headings of statutes (parts, chapters, sections; whole lines without a sentence), page footers and quotations (nested ones too; a mark without its counterpart quotes nothing) stay as they
     are, and so do tabs; of an article of a statute its number and the space behind it stay, and its text is corrected. Spaces beside a quotation go. Doing it again changes nothing.
     """
-    keep = F.regexp_like(line, F.lit(f"{HEADING}|{PAGE_FOOTER}"))
-    number, rest = F.regexp_extract(line, ARTICLE, 0), F.regexp_replace(line, ARTICLE, "")
+    numbered = F.startswith(line, F.lit("第"))
+    keep = (numbered | F.contains(line, F.lit("—"))) & F.regexp_like(line, F.lit(f"{HEADING}|{PAGE_FOOTER}"))
+    number, rest = F.when(numbered, F.regexp_extract(line, ARTICLE, 0)).otherwise(F.lit("")), F.when(numbered, F.regexp_replace(line, ARTICLE, "")).otherwise(line)
 
     def tidied(pieces: Column) -> Column:
         def one(p: Column, i: Column) -> Column:
@@ -212,9 +221,12 @@ def cjk_normalise(line: Column) -> Column:
 
         return F.array_join(F.transform(pieces, one), "")
 
-    # within the transform, the pieces are a variable: they aren't made anew for each of them; most lines have no mark at all
-    quoted = F.transform(F.array(quoted_pieces(rest)), tidied)[0]
-    return F.when(keep, line).otherwise(F.concat(number, F.when(F.regexp_like(rest, F.lit("[“”]")), quoted).otherwise(_tidy(rest))))
+    def done(rest: Column) -> Column:
+        # within the transform, the pieces are a variable: they aren't made anew for each of them; most lines have no mark at all
+        quoted = F.transform(F.array(quoted_pieces(rest)), tidied)[0]
+        return F.when(F.contains(rest, F.lit("“")) | F.contains(rest, F.lit("”")), quoted).otherwise(_tidy(rest))
+
+    return F.when(keep, line).otherwise(F.concat(number, F.transform(F.array(rest), done)[0]))
 
 
 #: Rules of the proof report and their patterns (ours, after the stated rules).
