@@ -6,8 +6,11 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import repeat
+from operator import add
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,10 @@ from quillmark.functions import text as X
 #: White space and Han characters, for Python.
 SPACE = re.compile("[\t-\r\x1c-\x20\x85\xa0  -     　]+")
 TOKEN = re.compile("[㐀-䶿一-鿿]|[^\t-\r\x1c-\x20\x85\xa0  -     　㐀-䶿一-鿿]+")
+#: Articles whose paragraphs are Python strings at once.
+STEP_ARTICLES = 64
+#: Pairs of texts, for each text, that are compared without being looked up.
+DIRECT_PAIRS = 16
 SAME, MOVED, EDITED, SPLIT, MERGED, LOST = "same", "moved", "edited", "split", "merged", "lost"
 
 
@@ -80,8 +87,10 @@ def grams(text: str) -> set[tuple[str, int]]:
 def similar_pairs(one: dict[int, str], two: dict[int, str], percent: int) -> list[tuple[int, int, float]]:
     """(i, j, similarity) of all texts of one and two with a similarity of percent / 100 or more: twice the common grams over all grams.
 
-    Such texts share percent / (200 - percent) of either's grams, so with grams in one order, rare ones first, they share one of the first that are left over by this: only those are looked up.
+    Few pairs are compared directly, by how often either has each pair of characters. Of many, such texts share percent / (200 - percent) of either's grams, so with grams in one order, rare ones first, they share one of the first that are left over by this: only those are looked up.
     """
+    if len(one) * len(two) <= DIRECT_PAIRS * (len(one) + len(two)):
+        return _compared(one, two, percent)
     first, second = {i: grams(t) for i, t in one.items()}, {j: grams(t) for j, t in two.items()}
     often = Counter(g for own in (*first.values(), *second.values()) for g in own)
 
@@ -102,6 +111,20 @@ def similar_pairs(one: dict[int, str], two: dict[int, str], percent: int) -> lis
     return out
 
 
+def _compared(one: dict[int, str], two: dict[int, str], percent: int) -> list[tuple[int, int, float]]:
+    """similar_pairs of all pairs; what two texts have in common is the sum of the smaller counts of each pair of characters, so those of long texts are few."""
+    counted = lambda t: Counter(map(add, t, t[1:]) if len(t) > 1 else [t])
+    first, second = ([(k, max(1, len(t) - 1), counted(t)) for k, t in side.items()] for side in (one, two))
+    out = []
+    for i, n, own in first:
+        for j, m, other in second:
+            if 200 * min(n, m) >= percent * (n + m):
+                common = sum(map(min, own.values(), map(other.get, own, repeat(0))))
+                if 200 * common >= percent * (n + m):
+                    out.append((i, j, 2 * common / (n + m)))
+    return out
+
+
 def _runs(wholes: dict[int, str], parts: dict[int, str]) -> list[tuple[int, list[int]]]:
     """(i, [j, ...]): texts of wholes that are the neighbouring texts j, j + 1, ... of parts, two or more, put together."""
     starts = defaultdict(list)
@@ -194,35 +217,43 @@ def _in_turn(one: dict[int, str], held: dict[str, list[int]]) -> list[tuple[int,
     return out
 
 
-def _plain(values: pa.ChunkedArray) -> list[str]:
-    return [SPACE.sub("", t or "") for t in values.to_pylist()]
+def _articles(rows: pa.ListArray) -> Iterator[tuple[list, list[str]]]:
+    """(places, texts without white space) of each list of (pos, paragraph), in order; null is an article without paragraphs."""
+    for first in range(0, len(rows), STEP_ARTICLES):
+        part = rows.slice(first, STEP_ARTICLES)
+        values, at = part.flatten(), 0
+        places, texts = values.field("pos").to_pylist(), values.field("paragraph").to_pylist()
+        for n in pc.fill_null(pc.list_value_length(part), 0).to_pylist():
+            own = list(zip(places[at : at + n], texts[at : at + n], strict=True))
+            own.sort(key=lambda x: (x[0] is None, x[0] if x[0] is not None else 0, x[1] is None, x[1] or ""))
+            yield [p for p, _ in own], ["".join((t or "").split()) for _, t in own]
+            at += n
 
 
 def paragraph_verdicts(originals: DataFrame, issue: DataFrame, key: str, pos: str = "pos", paragraph: str = "paragraph", percent: int = 60) -> DataFrame:
     """(key, pos, verdict, issue_pos, similarity) for each original paragraph that isn't blank: same, edited, split, merged, moved or lost (issue_pos null).
 
-    originals and issue have (key, pos, paragraph); white space doesn't count. Articles are dealt out by key, and each is aligned as a whole in one task (aligned); none is
+    originals and issue have (key, pos, paragraph); white space doesn't count. Articles are put together by key, a row each with its paragraphs on either side, and each is aligned as a whole in one task (aligned); none is
     compared with another. An article that the issue lacks is lost; rows without key are left out; of rows that repeat key and pos the order is that of their text.
     """
     kinds = {f.name: f.dataType.simpleString() for f in originals.schema}
-    own, other = (df.where(F.col(key).isNotNull()).select(key, F.col(pos).alias("pos"), F.col(paragraph).alias("paragraph")) for df in (originals, issue))
-
-    def align(one: pa.Table, two: pa.Table) -> pa.Table:
-        one, two = (t.sort_by([("pos", "ascending"), ("paragraph", "ascending")]) for t in (one, two))
-        texts, places = _plain(one["paragraph"]), two["pos"].to_pylist()
-        found = [(p, x, y) for p, x, y in zip(one["pos"].to_pylist(), aligned(texts, _plain(two["paragraph"]), percent), texts, strict=True) if y]
-        return pa.table(
-            {
-                key: pa.array([one[key][0].as_py()] * len(found) if len(one) else [], one[key].type),
-                "pos": pa.array([p for p, _, _ in found], one["pos"].type),
-                "verdict": pa.array([v for _, (v, _, _), _ in found], pa.string()),
-                "issue_pos": pa.array([None if j is None else places[j] for _, (_, j, _), _ in found], one["pos"].type),
-                "similarity": pa.array([s for _, (_, _, s), _ in found], pa.float64()),
-            }
-        )
+
+    def lists(df: DataFrame, name: str) -> DataFrame:
+        return df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col(paragraph).alias("paragraph"))).alias(name))
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, rows, found = batch.column(1).type.value_type.field("pos").type, [], []
+            for i, ((own, texts), (places, issued)) in enumerate(zip(_articles(batch.column(1)), _articles(batch.column(2)), strict=True)):
+                for p, t, (verdict, j, share) in zip(own, texts, aligned(texts, issued, percent), strict=True):
+                    if t:
+                        rows.append(i)
+                        found.append((p, verdict, None if j is None else places[j], share))
+            made = [pa.array([f[k] for f in found], t) for k, t in enumerate((kind, pa.string(), kind, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *made], names=[key, "pos", "verdict", "issue_pos", "similarity"])
 
     schema = f"`{key}` {kinds[key]}, pos {kinds[pos]}, verdict string, issue_pos {kinds[pos]}, similarity double"
-    return own.groupBy(key).cogroup(other.groupBy(key)).applyInArrow(align, schema)
+    return lists(originals, "one").join(lists(issue, "two"), "_key", "left").select("_key", "one", "two").mapInArrow(align, schema)
 
 
 def lost_spans(one: Sequence[str], two: Sequence[str]) -> list[tuple[int, int, bool]]:

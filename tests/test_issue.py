@@ -319,3 +319,18 @@ def test_omissions_by_mark_equal_those_of_two_tables(spark):
     clean = X.remove_space(F.col("paragraph"))
     want = diffing.omissions(d, d.where("kept"), "id", clean, F.col("gone")).collect()
     assert want and sorted(map(str, diffing.omissions_by_mark(d, "id", clean, F.col("gone"), F.col("kept")).collect())) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("direct", [0, 10**6])
+def test_similar_pairs_by_either_way(monkeypatch, direct):
+    r = random.Random(29)
+    monkeypatch.setattr(articles, "DIRECT_PAIRS", direct)
+    one, two = ({k: "".join(r.choice("abc") for _ in range(r.randint(1, 9))) for k in range(60)} for _ in range(2))
+    want = set()
+    for i, a in one.items():
+        for j, b in two.items():
+            x, y = articles.grams(a), articles.grams(b)
+            if 200 * len(x & y) >= 60 * (len(x) + len(y)):
+                want.add((i, j, 2 * len(x & y) / (len(x) + len(y))))
+    got = articles.similar_pairs(one, two, 60)
+    assert len(got) == len(set(got)) and set(got) == want
