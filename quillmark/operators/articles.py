@@ -19,6 +19,7 @@ from quillmark.functions import text as X
 #: White space and Han characters, for Python.
 SPACE = re.compile("[\t-\r\x1c-\x20\x85\xa0  -     　]+")
 TOKEN = re.compile("[㐀-䶿一-鿿]|[^\t-\r\x1c-\x20\x85\xa0  -     　㐀-䶿一-鿿]+")
+HAN = re.compile("[㐀-䶿一-鿿]")
 #: Articles whose paragraphs are Python strings at once.
 STEP_ARTICLES = 64
 #: Pairs of texts, for each text, that are compared without being looked up.
@@ -302,6 +303,33 @@ def lost_spans(one: Sequence[str], two: Sequence[str]) -> list[tuple[int, int, b
     return [(s, e, any(s <= i <= e for i in added)) for s, e in spans]
 
 
+def _alike(a: str, b: str) -> int:
+    """How many characters a and b have in common in front, found by halves, so that slices are compared and not characters."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        half = (low + high + 1) // 2
+        low, high = (half, high) if a[low:half] == b[low:half] else (low, half - 1)
+    return low
+
+
+def _unlike(a: str, b: str) -> tuple[str, str, str]:
+    """(what a and b have in common in front, up to white space; what of a and b stands between that and what they have in common behind): whole tokens, as white space parts them.
+
+    The end is cut off only if the first tokens behind the front differ: else more belongs to the front.
+    """
+    cut = _alike(a, b)
+    while cut and not a[cut - 1].isspace():
+        cut -= 1
+    same, a, b = a[:cut], a[cut:], b[cut:]
+    one, two = TOKEN.search(a), TOKEN.search(b)
+    if one and two and one[0] != two[0]:
+        end = _alike(a[::-1], b[::-1])
+        while end and not a[-end].isspace():
+            end -= 1
+        a, b = a[: len(a) - end], b[: len(b) - end]
+    return same, a, b
+
+
 def omitted_spans(pairs: DataFrame, key: Sequence[str], original: str = "original", issue: str = "issue") -> DataFrame:
     """(key, start, end, lost, replaced) for each span of original that issue lacks: tokens from start to end (exclusive, from 0), their text in between, and whether other tokens stand in their place.
 
@@ -315,10 +343,12 @@ def omitted_spans(pairs: DataFrame, key: Sequence[str], original: str = "origina
             for i, (a, b) in enumerate(zip(batch.column(len(key)), batch.column(len(key) + 1), strict=True)):
                 a, b = a.as_py() or "", b.as_py() or ""
                 if a != b:
+                    same, a, b = _unlike(a, b)
                     places = [x.span() for x in TOKEN.finditer(a)]
-                    for s, e, replaced in lost_spans(TOKEN.findall(a), TOKEN.findall(b)):
+                    before = len(TOKEN.findall(same) if not same.isascii() and HAN.search(same) else same.split())
+                    for s, e, replaced in lost_spans([a[x:y] for x, y in places], TOKEN.findall(b)):
                         rows.append(i)
-                        found.append((s, e, a[places[s][0] : places[e - 1][1]], replaced))
+                        found.append((s + before, e + before, a[places[s][0] : places[e - 1][1]], replaced))
             made = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(rows, pa.int64())) for k in range(len(key))], *made], names=[*key, "start", "end", "lost", "replaced"])
 

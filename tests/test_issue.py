@@ -334,3 +334,18 @@ def test_similar_pairs_by_either_way(monkeypatch, direct):
                 want.add((i, j, 2 * len(x & y) / (len(x) + len(y))))
     got = articles.similar_pairs(one, two, 60)
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_ends_in_common_are_cut_by_whole_tokens(monkeypatch):
+    """Only what stands between them is compared; the spans are those of the whole texts."""
+    r = random.Random(31)
+    for _ in range(3000):
+        a, b = ("".join(r.choice(["x", "xy", " ", "  ", "　", "甲", "乙"]) for _ in range(r.randint(0, 9))) for _ in range(2))
+        front, back = (r.choice(["", "x y ", "甲乙 ", "x"]) * r.randint(0, 3) for _ in range(2))
+        a, b = front + a + back, front + b + back
+        same, one, two = articles._unlike(a, b)
+        n = len(articles.TOKEN.findall(same))
+        want = articles.lost_spans(articles.TOKEN.findall(a), articles.TOKEN.findall(b))
+        assert want == [(s + n, e + n, x) for s, e, x in articles.lost_spans(articles.TOKEN.findall(one), articles.TOKEN.findall(two))]
+    long = " ".join(f"w{k}" for k in range(1000))
+    assert [len(x) for x in articles._unlike(long + " lost " + long, long + " " + long)][1:] == [len("lost w0"), len("w0")]
