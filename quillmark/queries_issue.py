@@ -157,8 +157,11 @@ def classified_by_rules(spark, sf_dir):
 def _told_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and, for each, another one that tells the same but for its last words; official sites (by number) come before accounts."""
     p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", " ").alias("text"))
-    again = p.select((F.col("page_id") + 1_000_000_000).alias("page_id"), F.regexp_replace("text", r"\w+\W+\w+\W*$", "as told elsewhere").alias("text"))
-    return p.union(again).withColumn("priority", F.pmod(F.col("page_id"), F.lit(3)))
+    # whole words alone are tried, and none is given back: what the SQL's pattern finds, without its trials
+    again = F.regexp_replace("text", r"(?<!\w)\w++\W++\w++\W*+$", "as told elsewhere")
+    told = p.select("page_id", "text", F.explode(F.array(F.lit(False), F.lit(True))).alias("again"))
+    told = told.select(F.when(F.col("again"), F.col("page_id") + 1_000_000_000).otherwise(F.col("page_id")).alias("page_id"), F.when(F.col("again"), again).otherwise(F.col("text")).alias("text"))
+    return told.withColumn("priority", F.pmod(F.col("page_id"), F.lit(3)))
 
 
 def stories(spark, sf_dir):

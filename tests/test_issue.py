@@ -279,6 +279,64 @@ def test_stories_equal_all_pairs(spark):
     assert stories.with_stories(items.limit(0), "k", "t").count() == 0
 
 
+def _sets(r, sizes):
+    """Sets of runs as stories keeps them: sorted numbers, one set behind the other."""
+    rows = [np.array(sorted(r.sample(range(1 << 62), k)), np.uint64) for k in sizes]
+    return rows, np.concatenate(rows), np.array(sizes)
+
+
+def test_sketches_never_differ_in_more_bits_than_sets_in_runs():
+    r = random.Random(5)
+    rows, _, _ = _sets(r, [1, 7, 100, 140, 400, 3000])
+    rows += [np.unique(np.concatenate((rows[4][:300], rows[5][:k]))) for k in (0, 60, 500)]
+    n = np.array([len(x) for x in rows])
+    bits, held = stories.sketches(np.concatenate(rows), n)
+    ends = np.cumsum(held)
+    marks = [bits[a:b] for a, b in zip(ends - held, ends, strict=True)]
+    for a in range(len(rows)):
+        for b in range(len(rows)):
+            differ = len(set(rows[a].tolist()) ^ set(rows[b].tolist()))
+            assert stories.fewest_differences(marks[a], marks[b]) <= differ
+    assert 170 * stories.fewest_differences(marks[2], marks[3]) > 30 * 240  # unlike sets are told to be less than 70% similar without their runs
+
+
+def test_similar_sets_share_one_of_their_rarest_runs_in_any_order():
+    r = random.Random(6)
+    for percent in (60, 70, 100):
+        for _ in range(200):
+            (one,), _, _ = _sets(r, [r.randint(1, 40)])
+            two = np.unique(np.concatenate((one[r.randint(0, 9) :], _sets(r, [r.randint(1, 9)])[1])))
+            common = len(np.intersect1d(one, two))
+            levels = np.frombuffer(r.randbytes(1 << 10), np.uint8).repeat(1 << (stories.SLOT_BITS - 10))
+            keys, most = stories.rarest(np.concatenate((one, two)), np.array([len(one), len(two)]), levels, percent)
+            if 100 * common >= percent * (len(one) + len(two) - common):
+                assert set(keys[: most[0]].tolist()) & set(keys[most[0] :].tolist())
+
+
+def test_stories_shuffle_little_of_what_they_read(spark, tmp_path):
+    """Sets are shuffled to be verified alone: unlike texts that share many runs are told apart by their sketches, and no full set moves."""
+    r = random.Random(23)
+    phrases = [" ".join(f"p{i}x{j}" for j in range(12)) for i in range(400)]
+    texts = [(i, " ".join(r.sample(phrases, 30))) for i in range(600)]
+    items = spark.createDataFrame(texts, "k int, t string")
+    moved = []
+    real = stories.kept
+
+    def watched(df, name):
+        out = real(df, name)
+        moved.append((name, out.count()))
+        return out
+
+    stories.kept = watched
+    try:
+        got = stories.with_stories(items, "k", "t", percent=70).collect()
+    finally:
+        stories.kept = real
+    assert all(x["k"] == x["story"] for x in got)
+    tried = sum(n for name, n in moved if name == "pairs")
+    assert tried > 0 and [n for name, n in moved if name == "wanted"] and sum(n for name, n in moved if name == "wanted") * 20 < tried
+
+
 def test_issue_files_lack_what_they_lack(spark, tmp_path):
     from quillmark.sources import readers
 
